@@ -1,0 +1,88 @@
+"""The standard pipeline over the TESTDATA tables, as lazily-built DataFrames.
+
+Each attribute is a DataFrame built once per Pipeline object, so a query that
+uses silver twice gets the same plan node (and Spark reuses its exchange).
+"""
+from __future__ import annotations
+
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
+
+from tidewell.operators import attribution as attr
+from tidewell.operators import cleaning, features
+from tidewell.params import (AttributionParams, BudgetParams, Cutoffs, FeatureParams,
+                             MetricsParams, PropensityParams, SegmentationParams)
+from tidewell.sources.testdata import bronze_from_testdata, table
+
+
+def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Round every double column (float sums are order-dependent in the last bits)."""
+    return df.select(*[
+        F.round(F.col(f.name), digits).alias(f.name)
+        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
+        for f in df.schema.fields])
+
+
+class Pipeline:
+    def __init__(self, spark: SparkSession, sf_dir: str,
+                 cutoffs: Cutoffs = Cutoffs(),
+                 feature_params: FeatureParams = FeatureParams(),
+                 attribution_params: AttributionParams = AttributionParams(),
+                 segmentation_params: SegmentationParams = SegmentationParams(),
+                 propensity_params: PropensityParams = PropensityParams(),
+                 metrics_params: MetricsParams = MetricsParams(),
+                 budget_params: BudgetParams = BudgetParams()):
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self.cutoffs = cutoffs
+        self.fp = feature_params
+        self.ap = attribution_params
+        self.sp = segmentation_params
+        self.pp = propensity_params
+        self.mp = metrics_params
+        self.bp = budget_params
+
+    def table(self, name: str) -> DataFrame:
+        return table(self.spark, self.sf_dir, name)
+
+    @cached_property
+    def bronze(self) -> DataFrame:
+        return bronze_from_testdata(self.spark, self.sf_dir)
+
+    @cached_property
+    def silver(self) -> DataFrame:
+        return cleaning.clean_silver(self.bronze)
+
+    @cached_property
+    def dim(self) -> DataFrame:
+        return features.dim_customers(self.silver)
+
+    def features_at(self, as_of, include_target: bool = True) -> DataFrame:
+        return features.customer_features(self.silver, self.dim, as_of, self.cutoffs.window_days,
+                                          self.fp, include_target)
+
+    @cached_property
+    def features_test(self) -> DataFrame:
+        return self.features_at(self.cutoffs.t_test)
+
+    @cached_property
+    def features_train(self) -> DataFrame:
+        return self.features_at(self.cutoffs.t_train)
+
+    @cached_property
+    def features_current(self) -> DataFrame:
+        if self.cutoffs.t_full == self.cutoffs.t_test:
+            return self.features_test
+        return self.features_at(self.cutoffs.t_full)
+
+    @cached_property
+    def snapshots(self) -> DataFrame:
+        return features.feature_snapshots(self.silver, self.dim, self.cutoffs.distinct(),
+                                          self.cutoffs.window_days, self.fp)
+
+    @cached_property
+    def attribution(self) -> DataFrame:
+        return attr.synthetic_attribution(self.features_current, self.ap)
