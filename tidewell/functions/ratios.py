@@ -26,3 +26,17 @@ def roas(revenue, cost) -> Column:
 def ltv_cac(ltv, cac) -> Column:
     """ltv / cac with the same zero rule as roas."""
     return roas(ltv, cac)
+
+
+def round_half(x, digits: int) -> Column:
+    """Round half away from zero on the binary value: scale, round to an
+    integer, unscale (the same arithmetic numpy / DuckDB use, so every engine
+    returns the identical double)."""
+    scale = float(10 ** digits)
+    return F.round(_c(x) * F.lit(scale), 0) / F.lit(scale)
+
+
+def money_sum(x) -> Column:
+    """Sum carried at micro-unit precision, so the result does not depend on
+    the order partial sums are merged in."""
+    return round_half(F.sum(_c(x)), 6)

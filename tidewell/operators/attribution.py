@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.hashing import hash_normal, hash_uniform
+from tidewell.functions.ratios import round_half
 from tidewell.params import AttributionParams
 
 
@@ -70,6 +71,6 @@ def attribution_mix(attribution: DataFrame) -> DataFrame:
                           F.avg(F.col("exposed").cast("double")).alias("overall_exposed_rate"))
     return per.select(
         "channel", "customers",
-        F.round(F.col("customers") / tot.select("n").scalar(), 3).alias("share"),
+        round_half(F.col("customers") / tot.select("n").scalar(), 3).alias("share"),
         "exposed_rate",
         tot.select("overall_exposed_rate").scalar().alias("overall_exposed_rate"))

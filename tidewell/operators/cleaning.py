@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.functions.ratios import round_half
+
 from tidewell.params import (CLEANING_RATIONALE, CLEANING_STEPS, DEDUP_KEY,
                              NON_PRODUCT_STOCK_CODES)
 
@@ -141,8 +143,11 @@ def dq_report(bronze: DataFrame, codes=NON_PRODUCT_STOCK_CODES) -> DataFrame:
          .when(F.col("rule") == CLEANING_STEPS[5], F.lit(0))
          .otherwise(F.col("rows")), F.lit(0)).cast("bigint")
     # six fixed rows: the window below runs over a bounded frame
+    # totals are one row: attached as scalar subqueries
     rep = (F.broadcast(order).join(per_tag, order.rule == per_tag.tag, "left")
-           .crossJoin(F.broadcast(totals))
+           .withColumns({"rows_raw": totals.select("rows_raw").scalar(),
+                         "rows_silver": totals.select("rows_silver").scalar(),
+                         "dup_removed": totals.select("dup_removed").scalar()})
            .select("rule_order", "rule", "rationale", "rows_raw", "rows_silver",
                    removed.alias("rows_removed")))
     w = Window.orderBy("rule_order").rowsBetween(Window.unboundedPreceding, -1)
@@ -150,11 +155,11 @@ def dq_report(bronze: DataFrame, codes=NON_PRODUCT_STOCK_CODES) -> DataFrame:
                          (F.col("rows_raw") - F.coalesce(F.sum("rows_removed").over(w), F.lit(0))).cast("bigint"))
     return rep.select(
         "rule_order", "rule", "rationale", "rows_before", "rows_removed",
-        F.round(F.lit(100.0) * F.col("rows_removed") / F.greatest(F.col("rows_before"), F.lit(1)), 2).alias("pct_of_input"),
-        F.round(F.lit(100.0) * F.col("rows_removed") / F.greatest(F.col("rows_raw"), F.lit(1)), 2).alias("pct_of_raw"),
+        round_half(F.lit(100.0) * F.col("rows_removed") / F.greatest(F.col("rows_before"), F.lit(1)), 2).alias("pct_of_input"),
+        round_half(F.lit(100.0) * F.col("rows_removed") / F.greatest(F.col("rows_raw"), F.lit(1)), 2).alias("pct_of_raw"),
         F.col("rows_raw").cast("bigint").alias("rows_raw"),
         F.col("rows_silver").cast("bigint").alias("rows_silver"),
-        F.round(F.lit(100.0) * F.col("rows_silver") / F.col("rows_raw"), 2).alias("retention_pct"),
+        round_half(F.lit(100.0) * F.col("rows_silver") / F.col("rows_raw"), 2).alias("retention_pct"),
     )
 
 
@@ -164,4 +169,4 @@ def dq_active_rules(report: DataFrame) -> DataFrame:
             .select("rule_order",
                     F.initcap(F.regexp_replace("rule", "_", " ")).alias("rule_label"),
                     "rows_removed",
-                    F.round(F.lit(100.0) * F.col("rows_removed") / F.col("rows_raw"), 2).alias("pct_of_raw")))
+                    round_half(F.lit(100.0) * F.col("rows_removed") / F.col("rows_raw"), 2).alias("pct_of_raw")))

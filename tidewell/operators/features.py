@@ -14,6 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.functions.ratios import money_sum, round_half
 from tidewell.functions.timecols import as_ts, floor_days, month_index
 from tidewell.params import FeatureParams
 
@@ -94,7 +95,7 @@ def _core(expanded: DataFrame, trend_months: int) -> DataFrame:
     agg = expanded.groupBy("as_of", "customer_id").agg(
         F.max(F.when(hist, F.col("invoice_date"))).alias("last_ts"),
         F.count_distinct(F.when(hist, F.col("invoice"))).alias("frequency"),
-        F.sum(F.when(hist, F.col("revenue"))).alias("monetary"),
+        money_sum(F.when(hist, F.col("revenue"))).alias("monetary"),
         F.count_distinct(F.when(hist, F.col("stock_code"))).alias("product_diversity"),
         F.sum(F.when(in_trend, (m - F.col("trend_start") - F.lit(center)) * F.col("revenue"))).alias("_slope_num"),
         F.max(F.when(fut, F.lit(1)).otherwise(F.lit(0))).alias("target_conversion"),
@@ -179,7 +180,7 @@ def rfm(fact: DataFrame, as_of: dt.datetime) -> DataFrame:
     return hist.groupBy("customer_id").agg(
         floor_days(as_ts(as_of), F.max("invoice_date")).alias("recency_days"),
         F.count_distinct("invoice").alias("frequency"),
-        F.sum("revenue").alias("monetary"))
+        money_sum("revenue").alias("monetary"))
 
 
 def product_diversity(fact: DataFrame, as_of: dt.datetime) -> DataFrame:
@@ -255,7 +256,7 @@ def leakage_audit(fact: DataFrame, dim: DataFrame, as_ofs, params: FeatureParams
     for a, full, trunc in outs:
         def rnd(df, side):
             return df.select("as_of", "customer_id", *[
-                (F.round(F.col(c), digits) if c in ("monetary", "avg_days_between_orders", "spend_trend_slope")
+                (round_half(F.col(c), digits) if c in ("monetary", "avg_days_between_orders", "spend_trend_slope")
                  else F.col(c)).alias(f"{side}_{c}") for c in cols])
         j = rnd(full, "f").join(rnd(trunc, "t"), ["as_of", "customer_id"], "full_outer")
         same = F.lit(True)

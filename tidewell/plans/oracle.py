@@ -40,6 +40,9 @@ def build(final: str, *needs: str) -> str:
     if not order:
         return final
     body = ",\n".join(f"{n} AS (\n{_CTES[n][1]}\n)" for n in order)
+    head = final.lstrip()
+    if head[:5].upper() == "WITH ":
+        return f"WITH {body},\n{head[5:]}"
     return f"WITH {body}\n{final}"
 
 
@@ -163,7 +166,7 @@ core AS (
   SELECT as_of, customer_id,
          {days('as_of', 'max(CASE WHEN invoice_date <= as_of THEN invoice_date END)')} AS recency_days,
          count(DISTINCT CASE WHEN invoice_date <= as_of THEN invoice END) AS frequency,
-         sum(CASE WHEN invoice_date <= as_of THEN revenue END) AS monetary,
+         round(sum(CASE WHEN invoice_date <= as_of THEN revenue END), 6) AS monetary,
          count(DISTINCT CASE WHEN invoice_date <= as_of THEN stock_code END) AS product_diversity,
          coalesce(sum(CASE WHEN invoice_date <= as_of AND {month_idx('invoice_date')} BETWEEN ts_start AND ts_end
                       THEN ({month_idx('invoice_date')} - ts_start - {tm / 2.0}) * revenue END), 0) / {denom} AS spend_trend_slope,
@@ -209,3 +212,118 @@ FROM (
          CASE WHEN monetary >= (SELECT quantile_cont(monetary, {AP.high_value_percentile / 100.0!r}) FROM features_current)
               THEN {_pick(_u, AP.cumulative(True), _names)} ELSE {_pick(_u, AP.cumulative(False), _names)} END AS channel
   FROM features_current)""")
+
+
+def dl(x: float) -> str:
+    """Exact DOUBLE literal (string parse is correctly rounded)."""
+    return f"CAST('{float(x)!r}' AS DOUBLE)"
+
+
+from tidewell.params import (DEFAULT_SEGMENT_ACTION, SEGMENT_ACTIONS, BudgetParams,  # noqa: E402
+                             MetricsParams, PropensityParams)
+
+MP = MetricsParams()
+BP = BudgetParams()
+PP = PropensityParams()
+
+# ---------------------------------------------------------------- given scores / labels
+cte("scores", ("features_test",), """
+SELECT customer_id, CAST(least(greatest(50 + 60 * frequency - 2 * recency_days, 10), 990) AS DOUBLE) / 1000.0 AS score,
+       target_conversion AS label
+FROM features_test""")
+cte("rule_labels", ("features_current",), """
+SELECT customer_id, CASE WHEN recency_days <= 30 AND frequency >= 10 THEN 0 WHEN recency_days <= 30 THEN 1
+                         WHEN frequency >= 10 THEN 2 WHEN recency_days <= 120 THEN 3 ELSE 4 END AS cluster
+FROM features_current""")
+_actions = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in SEGMENT_ACTIONS.items())
+cte("profile", ("features_current", "rule_labels"), f"""
+SELECT cluster, size, recency_days, frequency, monetary, avg_order_value, ltv_historical, conversion_rate, pct_of_base,
+       segment_name,
+       CASE regexp_replace(segment_name, ' [0-9]+$', '') {_actions} ELSE {q(DEFAULT_SEGMENT_ACTION)} END AS recommended_action
+FROM (
+  SELECT *, CASE WHEN count(*) OVER (PARTITION BY base) > 1
+                 THEN base || ' ' || CAST(row_number() OVER (PARTITION BY base ORDER BY monetary DESC, cluster) AS VARCHAR)
+                 ELSE base END AS segment_name
+  FROM (
+    SELECT *, CASE WHEN quad <> 'engaged' THEN quad
+                   WHEN row_number() OVER (PARTITION BY quad ORDER BY monetary DESC, cluster) = 1 THEN 'Champions'
+                   ELSE 'Loyal Customers' END AS base
+    FROM (
+      SELECT *, size / sum(size) OVER () AS pct_of_base,
+             CASE WHEN recency_days <= mr AND frequency >= mf THEN 'engaged'
+                  WHEN recency_days <= mr THEN 'Potential Loyalists'
+                  WHEN frequency >= mf THEN 'At Risk' ELSE 'Hibernating' END AS quad
+      FROM (
+        SELECT *, median(recency_days) OVER () AS mr, median(frequency) OVER () AS mf
+        FROM (
+          SELECT l.cluster, count(*) AS size, avg(f.recency_days) AS recency_days, avg(f.frequency) AS frequency,
+                 avg(f.monetary) AS monetary, avg(f.monetary / f.frequency) AS avg_order_value,
+                 avg(f.monetary) AS ltv_historical, avg(f.target_conversion) AS conversion_rate
+          FROM features_current f JOIN rule_labels l ON f.customer_id = l.customer_id GROUP BY l.cluster)))))""")
+cte("segments", ("rule_labels", "profile"), """
+SELECT l.customer_id, l.cluster, p.segment_name FROM rule_labels l LEFT JOIN profile p ON l.cluster = p.cluster""")
+
+# ---------------------------------------------------------------- metrics marts
+cte("ltv", ("features_current",), f"""
+SELECT customer_id, monetary, frequency, tenure_days, monetary / frequency AS avg_order_value,
+       (monetary / frequency) * (frequency / (greatest(tenure_days, 1) / {dl(365.25)})) * {dl(MP.gross_margin)}
+         * {dl(MP.ltv_horizon_months / 12.0)} AS ltv_heuristic,
+       monetary AS ltv_historical,
+       (monetary / frequency) * (frequency / (greatest(tenure_days, 1) / {dl(365.25)})) * {dl(MP.gross_margin)}
+         * {dl(MP.ltv_horizon_months / 12.0)} AS ltv_probabilistic,
+       'heuristic_fallback' AS ltv_method
+FROM features_current""")
+_H = tslit(CUT.t_test + dt.timedelta(days=CUT.window_days))
+cte("window_rev", ("silver",), f"""
+SELECT customer_id, sum(revenue) AS window_revenue FROM silver
+WHERE invoice_date > {tslit(CUT.t_test)} AND invoice_date <= {_H} GROUP BY customer_id""")
+cte("channel_base", ("features_current", "attribution", "ltv", "window_rev"), """
+SELECT f.customer_id, f.target_conversion, a.channel, a.cac_synthetic, l.ltv_probabilistic,
+       coalesce(w.window_revenue, 0.0) AS window_revenue
+FROM features_current f JOIN attribution a ON f.customer_id = a.customer_id
+JOIN ltv l ON f.customer_id = l.customer_id LEFT JOIN window_rev w ON f.customer_id = w.customer_id""")
+INF_SQL = "CAST('inf' AS DOUBLE)"
+
+
+def cpa_sql(cost: str, conv: str) -> str:
+    return f"CASE WHEN {conv} = 0 THEN {INF_SQL} ELSE {cost} / {conv} END"
+
+
+def roas_sql(rev: str, cost: str) -> str:
+    return f"CASE WHEN {cost} = 0 THEN CASE WHEN {rev} > 0 THEN {INF_SQL} ELSE 0.0 END ELSE {rev} / {cost} END"
+
+
+cte("channel_agg", ("channel_base",), """
+SELECT channel, count(*) AS customers, sum(cac_synthetic) AS cost, CAST(sum(target_conversion) AS BIGINT) AS conversions,
+       sum(window_revenue) AS rev, avg(ltv_probabilistic) AS ltv, avg(cac_synthetic) AS cac
+FROM channel_base GROUP BY channel""")
+cte("channel_table", ("channel_agg",), f"""
+SELECT channel, customers, round(cost, 2) AS spend_synthetic, conversions, round(rev, 2) AS revenue,
+       round({cpa_sql('cost', 'conversions')}, 2) AS cpa, round({roas_sql('rev', 'cost')}, 2) AS roas,
+       round(cac, 2) AS avg_cac, round(ltv, 2) AS avg_ltv, round({roas_sql('ltv', 'cac')}, 2) AS ltv_cac
+FROM channel_agg""")
+
+
+def hill_sql(x: str, vmax: str = "vmax", k: str = "k", s: str = "s") -> str:
+    xx = f"pow(greatest({x}, 0.0), {s})"
+    return f"({vmax} * {xx} / (pow({k}, {s}) + {xx}))"
+
+
+cte("hill", ("channel_table", "attribution", "scores"), f"""
+SELECT c.channel, coalesce(a.vmax, 0.0) AS vmax, greatest(c.cpa, 1.0) AS k, {dl(BP.hill_shape)} AS s
+FROM channel_table c LEFT JOIN (
+  SELECT at.channel, sum(sc.score) AS vmax FROM attribution at JOIN scores sc ON at.customer_id = sc.customer_id
+  GROUP BY at.channel) a ON c.channel = a.channel""")
+cte("scored_attribution", ("attribution", "scores"), """
+SELECT a.customer_id, a.channel, s.score FROM attribution a JOIN scores s ON a.customer_id = s.customer_id""")
+
+# ---------------------------------------------------------------- uplift frame
+cte("uplift_frame", ("features_test", "attribution"), f"""
+SELECT customer_id, label, treated, is_test,
+       CAST(floor({hash_u('customer_id', 'uplift', PP.seed)} * 200) AS DOUBLE) / 1000.0 - {dl(0.1)} AS uplift
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY treated, label ORDER BY u, customer_id)
+              <= (count(*) OVER (PARTITION BY treated, label) * 300 + 999) // 1000 AS is_test
+  FROM (
+    SELECT f.customer_id, f.target_conversion AS label, a.exposed AS treated, {hash_u('f.customer_id', 'split', PP.seed)} AS u
+    FROM features_test f JOIN attribution a ON f.customer_id = a.customer_id))""")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from tidewell.functions.ratios import round_half
 from tidewell.operators import attribution as attr
 from tidewell.operators import cleaning, features
 from tidewell.params import (AttributionParams, BudgetParams, Cutoffs, FeatureParams,
@@ -21,7 +22,7 @@ from tidewell.sources.testdata import bronze_from_testdata, table
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column (float sums are order-dependent in the last bits)."""
     return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name)
+        round_half(F.col(f.name), digits).alias(f.name)
         if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
         for f in df.schema.fields])
 
@@ -86,3 +87,65 @@ class Pipeline:
     @cached_property
     def attribution(self) -> DataFrame:
         return attr.synthetic_attribution(self.features_current, self.ap)
+
+    # ---------------------------------------------------------------- derived marts
+    @cached_property
+    def scores(self) -> DataFrame:
+        """Deterministic reference score on the test snapshot (integer arithmetic,
+        so every engine computes the identical double): customer_id, score, label."""
+        raw = F.least(F.greatest(F.lit(50) + F.lit(60) * F.col("frequency") - F.lit(2) * F.col("recency_days"),
+                                 F.lit(10)), F.lit(990))
+        return self.features_test.select("customer_id", (raw.cast("double") / F.lit(1000.0)).alias("score"),
+                                         F.col("target_conversion").alias("label"))
+
+    @cached_property
+    def rule_labels(self) -> DataFrame:
+        from tidewell.operators.segmentation import rule_clusters
+        return rule_clusters(self.features_current)
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        from tidewell.operators.segmentation import segment_profiles
+        return segment_profiles(self.features_current, self.rule_labels)
+
+    @cached_property
+    def segments(self) -> DataFrame:
+        from tidewell.operators.segmentation import segment_assignments
+        return segment_assignments(self.rule_labels, self.profile)
+
+    @cached_property
+    def ltv(self) -> DataFrame:
+        from tidewell.operators.metrics import ltv_table
+        return ltv_table(self.features_current, None, self.mp)
+
+    @cached_property
+    def window_rev(self) -> DataFrame:
+        from tidewell.operators.metrics import window_revenue
+        return window_revenue(self.silver, self.cutoffs.t_test, self.cutoffs.window_days)
+
+    @cached_property
+    def channel_table(self) -> DataFrame:
+        from tidewell.operators.metrics import channel_metrics
+        return channel_metrics(self.features_current, self.attribution, self.ltv, self.window_rev)
+
+    @cached_property
+    def hill(self) -> DataFrame:
+        from tidewell.operators.budget import hill_params
+        return hill_params(self.attribution, self.scores, self.channel_table, self.bp)
+
+    @cached_property
+    def scored_attribution(self) -> DataFrame:
+        return self.attribution.select("customer_id", "channel").join(
+            self.scores.select("customer_id", "score"), "customer_id")
+
+    @cached_property
+    def uplift_frame(self) -> DataFrame:
+        """Test snapshot ⋈ exposure with a stratified 70/30 split (U1) and a
+        deterministic reference uplift score for the test rows."""
+        from tidewell.operators.propensity import stratified_split
+        from tidewell.functions.hashing import hash_uniform
+        df = self.features_test.select("customer_id", F.col("target_conversion").alias("label")).join(
+            self.attribution.select("customer_id", F.col("exposed").alias("treated")), "customer_id")
+        split = stratified_split(df, ["treated", "label"], 0.3, self.pp.seed)
+        u = hash_uniform(self.pp.seed, "customer_id", "uplift")
+        return split.withColumn("uplift", F.floor(u * 200).cast("double") / F.lit(1000.0) - F.lit(0.1))
