@@ -24,24 +24,29 @@ def prepare_features(features: DataFrame) -> DataFrame:
            else F.col(c)).cast("double").alias(c) for c in FEATURE_COLUMNS])
 
 
-def training_medians(train: DataFrame, cols=FEATURE_COLUMNS) -> DataFrame:
-    """One row of exact medians of the training set."""
-    return train.agg(*[F.median(c).alias(c) for c in cols])
+def training_medians(train: DataFrame, cols=FEATURE_COLUMNS) -> dict[str, float]:
+    """Exact medians of the training set, one aggregate job (P2).  A fitted
+    imputer is a fixed-size parameter vector, so it comes back to the driver."""
+    row = train.agg(*[F.median(c).alias(c) for c in cols]).first()
+    return {c: row[c] for c in cols}
 
 
-def median_impute(df: DataFrame, medians: DataFrame, cols=FEATURE_COLUMNS) -> DataFrame:
-    """Fill nulls with the training medians (scalar subqueries)."""
-    return df.withColumns({c: F.coalesce(F.col(c), medians.select(c).scalar()) for c in cols})
+def median_impute(df: DataFrame, medians: dict[str, float], cols=FEATURE_COLUMNS) -> DataFrame:
+    """Fill nulls with the training medians."""
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(medians[c]).cast("double")) for c in cols})
+
+
+def scaler_params(train: DataFrame, cols=FEATURE_COLUMNS) -> dict[str, tuple[float, float]]:
+    """Training mean and population std per column (zero std → 1), one job."""
+    row = train.agg(*[F.avg(c).alias(f"mu_{c}") for c in cols],
+                    *[F.stddev_pop(c).alias(f"sd_{c}") for c in cols]).first()
+    return {c: (row[f"mu_{c}"], row[f"sd_{c}"] if row[f"sd_{c}"] else 1.0) for c in cols}
 
 
 def standard_scale(df: DataFrame, train: DataFrame, cols=FEATURE_COLUMNS) -> DataFrame:
     """z-score with the training mean and population std; zero std → 1."""
-    stats = train.agg(*[F.avg(c).alias(f"mu_{c}") for c in cols], *[F.stddev_pop(c).alias(f"sd_{c}") for c in cols])
-    out = {}
-    for c in cols:
-        sd = stats.select(F.when(F.col(f"sd_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"sd_{c}"))).scalar()
-        out[c] = (F.col(c) - stats.select(f"mu_{c}").scalar()) / sd
-    return df.withColumns(out)
+    par = scaler_params(train, cols)
+    return df.withColumns({c: (F.col(c) - F.lit(par[c][0])) / F.lit(par[c][1]) for c in cols})
 
 
 def temporal_split(snapshots: DataFrame, t_train, t_test) -> tuple[DataFrame, DataFrame]:

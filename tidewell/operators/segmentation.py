@@ -28,12 +28,13 @@ def rfm_matrix(features: DataFrame, params: SegmentationParams = SegmentationPar
     cap = base.agg(F.percentile("recency_days", F.lit(params.recency_winsor_pct / 100.0))).scalar()
     t = base.select("*", F.least(F.col("recency_days").cast("double"), cap).alias("_r"),
                     F.log1p("frequency").alias("_f"), F.log1p("monetary").alias("_m"))
-    stats = t.agg(*[F.avg(c).alias(f"mu{c}") for c in ("_r", "_f", "_m")],
-                  *[F.stddev_pop(c).alias(f"sd{c}") for c in ("_r", "_f", "_m")])
+    # fitted scaler = six numbers: one aggregate job, applied as literals
+    st = t.agg(*[F.avg(c).alias(f"mu{c}") for c in ("_r", "_f", "_m")],
+               *[F.stddev_pop(c).alias(f"sd{c}") for c in ("_r", "_f", "_m")]).first()
     out = t
     for c, name in zip(("_r", "_f", "_m"), RFM_FEATURES):
-        sd = stats.select(F.when(F.col(f"sd{c}") == 0, F.lit(1.0)).otherwise(F.col(f"sd{c}"))).scalar()
-        out = out.withColumn(name, (F.col(c) - stats.select(f"mu{c}").scalar()) / sd)
+        sd = st[f"sd{c}"] or 1.0
+        out = out.withColumn(name, (F.col(c) - F.lit(st[f"mu{c}"])) / F.lit(sd))
     return out.select("customer_id", "recency_days", "frequency", "monetary", *RFM_FEATURES)
 
 
