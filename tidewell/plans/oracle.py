@@ -312,8 +312,8 @@ def hill_sql(x: str, vmax: str = "vmax", k: str = "k", s: str = "s") -> str:
 cte("hill", ("channel_table", "attribution", "scores"), f"""
 SELECT c.channel, coalesce(a.vmax, 0.0) AS vmax, greatest(c.cpa, 1.0) AS k, {dl(BP.hill_shape)} AS s
 FROM channel_table c LEFT JOIN (
-  SELECT at.channel, sum(sc.score) AS vmax FROM attribution at JOIN scores sc ON at.customer_id = sc.customer_id
-  GROUP BY at.channel) a ON c.channel = a.channel""")
+  SELECT ab.channel, sum(sc.score) AS vmax FROM attribution ab JOIN scores sc ON ab.customer_id = sc.customer_id
+  GROUP BY ab.channel) a ON c.channel = a.channel""")
 cte("scored_attribution", ("attribution", "scores"), """
 SELECT a.customer_id, a.channel, s.score FROM attribution a JOIN scores s ON a.customer_id = s.customer_id""")
 
