@@ -133,12 +133,11 @@ def best_channel(channel_table: DataFrame) -> DataFrame:
     total = channel_table.agg(F.sum("spend_synthetic")).scalar()
     t = channel_table.select("channel", lab.alias("channel_label"), "roas", "ltv_cac",
                              (F.col("spend_synthetic") / total).alias("spend_share"))
-    return t.agg(F.max_by(F.struct("roas", "channel"), F.struct("roas", F.col("channel"))).alias("_r"),
-                 F.max_by("channel_label", F.struct("roas", "channel")).alias("best_roas_label"),
+    by_roas = F.struct("roas", "channel")
+    return t.agg(F.max_by("channel", by_roas).alias("best_roas_channel"),
+                 F.max_by("channel_label", by_roas).alias("best_roas_label"),
                  F.max_by("channel", F.struct("ltv_cac", "channel")).alias("best_ltv_cac_channel"),
-                 F.max_by("spend_share", F.struct("roas", "channel")).alias("best_roas_spend_share")) \
-        .select(F.col("_r.channel").alias("best_roas_channel"), "best_roas_label", "best_ltv_cac_channel",
-                "best_roas_spend_share")
+                 F.max_by("spend_share", by_roas).alias("best_roas_spend_share"))
 
 
 def model_comparison(long_scores: DataFrame, baseline: str = "baseline") -> DataFrame:

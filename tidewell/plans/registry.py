@@ -31,7 +31,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # importing the modules registers their queries
-    from tidewell.plans import q_ingest, q_features, q_metrics, q_models, q_budget  # noqa: F401
+    from tidewell.plans import q_ingest, q_features, q_metrics, q_models, q_budget, q_reports  # noqa: F401
     for mod in ("q_models", "q_metrics", "q_budget", "q_reports"):
         try:
             __import__(f"tidewell.plans.{mod}")
