@@ -2,9 +2,15 @@
 
 A window with no PARTITION BY sends every row to one task.  Instead the rows
 are range-partitioned on the order key (equal keys always land in the same
-range), each range computes local running sums with a window keyed by its
-partition id, and each range adds the totals of the ranges before it — a
-table with one row per (group, range), i.e. bounded by the partition count.
+range), each range computes local running sums and its own total with one
+window keyed by the range id, and each row then adds the totals of the
+ranges before it — a table with one row per (group, range), bounded by the
+partition count.
+
+The range id comes from ``spark_partition_id()`` right after the range
+exchange.  Because the result is consumed twice (rows and range totals), it
+is checkpointed to the shared checkpoint folder first: two separately
+planned consumers could otherwise see differently coalesced partitions.
 """
 from __future__ import annotations
 
@@ -23,15 +29,17 @@ def running_totals(df: DataFrame, order: list[Column], values: dict[str, Column]
     base = df.withColumns({"_v__one": F.lit(1)} | {f"_v_{k}": v for k, v in values.items()})
     ranged = (base.repartitionByRange(n, *[F.col(g) for g in groups], *order)
               .withColumn("_pid", F.spark_partition_id()))
-    w = Window.partitionBy("_pid", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding,
-                                                                        Window.currentRow)
-    local = ranged.withColumns({f"_l_{k}": F.sum(f"_v_{k}").over(w) for k in names})
-    tot = ranged.groupBy("_pid", *groups).agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in names])
+    part = Window.partitionBy("_pid", *groups)
+    w = part.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumns({f"_l_{k}": F.sum(f"_v_{k}").over(w) for k in names}
+                               | {f"_t_{k}": F.sum(f"_v_{k}").over(part) for k in names})
+    local = local.checkpoint(eager=True)
+    tot = local.groupBy("_pid", *groups).agg(*[F.first(f"_t_{k}").alias(f"_t_{k}") for k in names])
     wo = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select("_pid", *groups,
                       *[F.coalesce(F.sum(f"_t_{k}").over(wo), F.lit(0)).alias(f"_o_{k}") for k in names])
     out = local.join(offs, ["_pid", *groups])
     out = out.withColumns({"pos": (F.col("_l__one") + F.col("_o__one")).cast("bigint")}
                           | {f"cum_{k}": F.col(f"_l_{k}") + F.col(f"_o_{k}") for k in values})
-    drop = ["_pid"] + [f"_{p}_{k}" for p in ("v", "l", "o") for k in names]
+    drop = ["_pid"] + [f"_{p}_{k}" for p in ("v", "l", "t", "o") for k in names]
     return out.drop(*drop)

@@ -207,7 +207,12 @@ def kmeans_fits(matrix: DataFrame, fits: list[tuple[int, int, int, int]], subsam
     else:
         run_fits = F.broadcast(fit_df.select("fit", "run"))
         points = subsample.join(run_fits, "run").join(pts, "customer_id").select("fit", "customer_id", *RFM_FEATURES)
-    points = points.checkpoint(eager=True)
+    # Hash-partition on (fit, customer_id) before cutting the lineage: the
+    # checkpoint keeps that partitioning, so each iteration's nearest-centre
+    # aggregate (grouped by a superset of those keys) needs no exchange, and
+    # AQE cannot collapse the point set into a single task.
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    points = points.repartition(n_parts, "fit", "customer_id").checkpoint(eager=True)
     assign, _ = lloyd(points, fit_df.select("fit", "k"), params.seed, params.max_iter, params.tol)
     inertia = assign.groupBy("fit").agg(F.sum("d").alias("inertia")).join(F.broadcast(fit_df), "fit")
     best = inertia.withColumn("_r", F.row_number().over(
