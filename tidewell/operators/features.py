@@ -72,6 +72,8 @@ def expand_to_cutoffs(fact: DataFrame, as_ofs, window_days: int | None,
     as_ofs = sorted(set(as_ofs))
     last = as_ofs[-1] + (dt.timedelta(days=window_days) if window_days is not None else dt.timedelta(0))
     base = fact.filter(F.col("invoice_date") <= as_ts(last))
+    if "month" in fact.columns:  # fact mart partitioned by yyyymm: prune whole months
+        base = base.filter(F.col("month") <= F.lit(last.year * 100 + last.month))
     return (base.withColumn("_c", F.explode(_cutoff_rows(as_ofs, window_days, trend_months)))
             .filter(F.col("invoice_date") <= F.col("_c.horizon"))
             .select("*", "_c.as_of", "_c.horizon", "_c.trend_start", "_c.trend_end").drop("_c"))

@@ -35,6 +35,8 @@ def ltv_heuristic(features: DataFrame, params: MetricsParams = MetricsParams())
 def window_revenue(fact: DataFrame, as_of: dt.datetime, window_days: int) -> DataFrame:
     """Realised revenue per customer in (as_of, as_of + window] — reporting only (M5)."""
     horizon = as_of + dt.timedelta(days=window_days)
+    if "month" in fact.columns:  # month-partitioned fact: prune to the window's months
+        fact = fact.filter(F.col("month").between(as_of.year * 100 + as_of.month, horizon.year * 100 + horizon.month))
     return (fact.filter((F.col("invoice_date") > as_ts(as_of)) & (F.col("invoice_date") <= as_ts(horizon)))
             .groupBy("customer_id").agg(F.sum("revenue").alias("window_revenue")))
 

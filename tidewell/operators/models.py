@@ -69,7 +69,10 @@ def _gbt(params: PropensityParams, seed_salt: int = 0, early_stop: bool = True)
               stepSize=params.gbm_learning_rate, maxDepth=params.gbm_max_depth,
               minInstancesPerNode=params.gbm_min_instances, seed=params.seed + seed_salt, maxBins=64)
     if early_stop:
+        # stop at the first round that does not improve the held-out loss
+        # (Spark's default 0.01 is relative and stops after ~1 tree)
         kw["validationIndicatorCol"] = "is_val"
+        kw["validationTol"] = 1e-7
     return GBTClassifier(**kw)
 
 

@@ -19,6 +19,7 @@ from tidewell.functions.hashing import hash_uniform
 from tidewell.params import DEFAULT_SEGMENT_ACTION, SEGMENT_ACTIONS, SegmentationParams
 
 RFM_FEATURES = ["x_recency", "x_frequency", "x_monetary"]
+_DEBUG = False
 
 
 def rfm_matrix(features: DataFrame, params: SegmentationParams = SegmentationParams()) -> DataFrame:
@@ -110,73 +111,106 @@ def choose_k(sweep: DataFrame, chosen_k: int | None = None) -> DataFrame:
 
 # ---------------------------------------------------------------- batched Lloyd
 
-def _sqdist(prefix: str = "c_") -> Column:
-    return sum((F.pow(F.col(f) - F.col(prefix + f), 2) for f in RFM_FEATURES[1:]),
-               F.pow(F.col(RFM_FEATURES[0]) - F.col(prefix + RFM_FEATURES[0]), 2))
+def _sq(c) -> Column:
+    """Squared distance from the row's point to centre struct ``c``."""
+    terms = [(F.col(f) - c["c_" + f]) * (F.col(f) - c["c_" + f]) for f in RFM_FEATURES]
+    return terms[0] + terms[1] + terms[2]
 
 
-def _assign(points: DataFrame, centres: DataFrame) -> DataFrame:
-    """Nearest centre of every fit for every point the fit covers.
+def _centre_arrays(centres: DataFrame) -> DataFrame:
+    """One row per fit holding its k centres as an array (fits × k values)."""
+    return centres.groupBy("fit").agg(F.collect_list(F.struct(
+        "cluster", *[F.col("c_" + f) for f in RFM_FEATURES])).alias("_cs"))
+
 
-    ``points`` has (fit, customer_id, x_*) rows (a point may belong to a
-    subset of fits); ``centres`` has (fit, cluster, c_x_*) — runs × k rows,
-    broadcast by construction of the parameters."""
-    j = points.join(F.broadcast(centres), "fit")
-    return j.groupBy("fit", "customer_id", *RFM_FEATURES).agg(
-        F.min(F.struct(_sqdist().alias("d"), F.col("cluster").alias("cluster"))).alias("_best")) \
-        .select("fit", "customer_id", *RFM_FEATURES, F.col("_best.cluster").alias("cluster"),
-                F.col("_best.d").alias("d"))
+def _assign(points: DataFrame, centres: DataFrame) -> DataFrame:
+    """Nearest centre of its fit for every (fit, point) row — a map-side
+    expression over the fit's broadcast centre array: no shuffle, no
+    per-point aggregation."""
+    j = points.join(F.broadcast(_centre_arrays(centres)), "fit")
+    best = F.array_min(F.transform("_cs", lambda c: F.struct(_sq(c).alias("d"), c["cluster"].alias("cluster"))))
+    return j.select("fit", "customer_id", *RFM_FEATURES, best["cluster"].alias("cluster"), best["d"].alias("d"))
 
 
 def _init_centres(points: DataFrame, k: DataFrame, seed: int) -> DataFrame:
     """k-means++-style seeding for all fits at once: the first centre is the
     point with the smallest hashed uniform; each next centre is drawn with
     probability ∝ D² by the exponential-race trick (argmin −ln(u)/D²), one
-    grouped aggregate per centre."""
+    grouped min_by (partially aggregated map-side) per centre."""
     spark = points.sparkSession
     u0 = hash_uniform(seed, F.concat_ws(":", "fit", "customer_id"), "init0")
     first = points.groupBy("fit").agg(F.min_by(F.struct(*RFM_FEATURES), u0).alias("_p")) \
         .select("fit", F.lit(0).alias("cluster"), *[F.col(f"_p.{f}").alias("c_" + f) for f in RFM_FEATURES])
-    centres = first
+    centres = spark.createDataFrame(first.collect(), first.schema)
     kmax = k.agg(F.max("k")).first()[0]
+    k_of = {r["fit"]: r["k"] for r in k.collect()}
     for c in range(1, kmax):
-        active = k.filter(F.col("k") > c).select("fit")
-        pts = points.join(F.broadcast(active), "fit")
-        d = pts.join(F.broadcast(centres), "fit").groupBy("fit", "customer_id", *RFM_FEATURES) \
-            .agg(F.min(_sqdist()).alias("d2"))
+        active = [f for f, kk in k_of.items() if kk > c]
+        pts = points.filter(F.col("fit").isin(active))
+        d = pts.join(F.broadcast(_centre_arrays(centres)), "fit").withColumn(
+            "d2", F.array_min(F.transform("_cs", lambda cc: _sq(cc))))
         u = hash_uniform(seed, F.concat_ws(":", "fit", "customer_id"), f"init{c}")
-        race = F.when(F.col("d2") > 0, -F.log(u) / F.col("d2"))
+        race = -F.log(u) / F.col("d2")
         nxt = d.filter(F.col("d2") > 0).groupBy("fit").agg(F.min_by(F.struct(*RFM_FEATURES), race).alias("_p")) \
             .select("fit", F.lit(c).alias("cluster"), *[F.col(f"_p.{f}").alias("c_" + f) for f in RFM_FEATURES])
-        centres = spark.createDataFrame(centres.unionByName(nxt).collect(), centres.schema)
+        centres = spark.createDataFrame(centres.collect() + nxt.collect(), centres.schema)
     return centres
 
 
+_CENTRE_SCHEMA = "fit int, cluster int, " + ", ".join(f"c_{f} double" for f in RFM_FEATURES)
+_ARRAY_SCHEMA = ("fit int, _cs array<struct<cluster:int, "
+                 + ", ".join(f"c_{f}:double" for f in RFM_FEATURES) + ">>")
+
+
+def _assign_local(points: DataFrame, rows: list[tuple]) -> DataFrame:
+    """_assign with the centre arrays built from driver-side rows (fits × k)."""
+    by_fit: dict[int, list] = {}
+    for r in rows:
+        by_fit.setdefault(r[0], []).append(tuple(r[1:]))
+    arr = points.sparkSession.createDataFrame(list(by_fit.items()), _ARRAY_SCHEMA)
+    j = points.join(F.broadcast(arr), "fit")
+    best = F.array_min(F.transform("_cs", lambda c: F.struct(_sq(c).alias("d"), c["cluster"].alias("cluster"))))
+    return j.select("fit", "customer_id", *RFM_FEATURES, best["cluster"].alias("cluster"), best["d"].alias("d"))
+
+
 def lloyd(points: DataFrame, fits: DataFrame, seed: int, max_iter: int = 50, tol: float = 1e-4):
     """Run Lloyd's algorithm for every fit in ``fits`` (fit, k) at once.
 
     ``points``: (fit, customer_id, x_*) — the rows each fit clusters.
-    Returns (assignments DataFrame, centres DataFrame, inertia per fit).
-    The centre table is collected each iteration (≤ fits × k rows) and
-    re-created from local rows, which also cuts the lineage.
+    A fit has converged when the sum of its squared centre shifts is at most
+    ``tol`` × the mean feature variance; converged fits are dropped from later
+    iterations (a narrow filter on the fit id).  Centres live on the driver
+    between iterations (≤ fits × k rows), so every iteration is one job over
+    the checkpointed points and the lineage never grows.
+    Returns (assignments DataFrame for all fits, centres DataFrame).
     """
     spark = points.sparkSession
-    centres = _init_centres(points, fits, seed)
+    var = points.agg(*[F.var_pop(f) for f in RFM_FEATURES]).first()
+    threshold = tol * (sum(v or 0.0 for v in var) / len(RFM_FEATURES))
+    rows = [tuple(r) for r in _init_centres(points, fits, seed).collect()]
+    active = sorted({r[0] for r in rows})
     for _ in range(max_iter):
-        a = _assign(points, centres)
-        new = a.groupBy("fit", "cluster").agg(*[F.avg(f).alias("c_" + f) for f in RFM_FEATURES])
-        # clusters that lost all points keep their old centre
-        merged = centres.alias("o").join(new.alias("n"), ["fit", "cluster"], "left").select(
-            "fit", "cluster", *[F.coalesce(F.col(f"n.c_{f}"), F.col(f"o.c_{f}")).alias("c_" + f) for f in RFM_FEATURES],
-            F.sqrt(sum((F.pow(F.coalesce(F.col(f"n.c_{f}"), F.col(f"o.c_{f}")) - F.col(f"o.c_{f}"), 2)
-                        for f in RFM_FEATURES), F.lit(0.0))).alias("_shift"))
-        rows = merged.collect()
-        shift = max((r["_shift"] for r in rows), default=0.0)
-        centres = spark.createDataFrame([r[:-1] for r in rows], centres.schema)
-        if shift < tol:
+        if not active:
             break
-    final = _assign(points, centres)
-    return final, centres
+        live = set(active)
+        a = _assign_local(points.filter(F.col("fit").isin(active)), [r for r in rows if r[0] in live])
+        new = a.groupBy("fit", "cluster").agg(*[F.avg(f).alias(f) for f in RFM_FEATURES]).collect()
+        moved = {(r["fit"], r["cluster"]): tuple(r[f] for f in RFM_FEATURES) for r in new}
+        shift: dict[int, float] = {}
+        out = []
+        for r in rows:
+            if r[0] in live:
+                vals = moved.get((r[0], r[1]), tuple(r[2:]))  # an emptied cluster keeps its centre
+                shift[r[0]] = shift.get(r[0], 0.0) + sum((v - o) ** 2 for v, o in zip(vals, r[2:]))
+                out.append((r[0], r[1], *vals))
+            else:
+                out.append(r)
+        rows = out
+        active = sorted(f for f, sh in shift.items() if sh > threshold)
+        if _DEBUG:
+            print("lloyd active", len(active), max(shift.values()))
+    centres = spark.createDataFrame(rows, _CENTRE_SCHEMA)
+    return _assign_local(points, rows), centres
 
 
 def subsample_members(matrix: DataFrame, runs: list[int], frac: float, seed: int) -> DataFrame:

@@ -54,39 +54,67 @@ class Pipeline:
         return bronze_from_testdata(self.spark, self.sf_dir)
 
     @cached_property
-    def silver(self) -> DataFrame:
+    def signature(self) -> str:
+        from tidewell.sources.marts import input_signature
+        from tidewell.sources.testdata import TABLES
+        return input_signature(self.spark, [f"{self.sf_dir.rstrip('/')}/{t}.parquet"
+                                            for t in ("lineitem", "orders", "part", "supplier", "nation")
+                                            if t in TABLES])
+
+    def mart(self, name: str, build, partition_by=None) -> DataFrame:
+        from tidewell.sources.marts import materialize
+        return materialize(self.spark, self.signature, name, build, partition_by)
+
+    @cached_property
+    def silver_plan(self) -> DataFrame:
+        """C1–C6 as a plan over bronze (what the cleaning queries measure)."""
         return cleaning.clean_silver(self.bronze)
 
+    @cached_property
+    def silver(self) -> DataFrame:
+        """fact_transactions mart: silver stored once, partitioned by month
+        (yyyymm), so time-window scans prune whole months."""
+        return self.mart("fact_transactions", lambda: self.silver_plan.withColumn(
+            "month", (F.year("invoice_date") * 100 + F.month("invoice_date")).cast("int")), ["month"])
+
     @cached_property
     def dim(self) -> DataFrame:
-        return features.dim_customers(self.silver)
+        return self.mart("dim_customers", lambda: features.dim_customers(self.silver))
 
     def features_at(self, as_of, include_target: bool = True) -> DataFrame:
         return features.customer_features(self.silver, self.dim, as_of, self.cutoffs.window_days,
                                           self.fp, include_target)
 
+    @cached_property
+    def snapshots_plan(self) -> DataFrame:
+        """F12 as a plan over the fact mart (what the snapshot queries measure)."""
+        return features.feature_snapshots(self.silver, self.dim, self.cutoffs.distinct(),
+                                          self.cutoffs.window_days, self.fp)
+
+    @cached_property
+    def snapshots(self) -> DataFrame:
+        """customer_features mart: every cutoff, written once."""
+        return self.mart("customer_features", lambda: self.snapshots_plan)
+
+    def _snapshot(self, as_of) -> DataFrame:
+        from tidewell.functions.timecols import as_ts
+        return self.snapshots.filter(F.col("as_of") == as_ts(as_of)).select(*features.FEATURE_TABLE_COLUMNS)
+
     @cached_property
     def features_test(self) -> DataFrame:
-        return self.features_at(self.cutoffs.t_test)
+        return self._snapshot(self.cutoffs.t_test)
 
     @cached_property
     def features_train(self) -> DataFrame:
-        return self.features_at(self.cutoffs.t_train)
+        return self._snapshot(self.cutoffs.t_train)
 
     @cached_property
     def features_current(self) -> DataFrame:
-        if self.cutoffs.t_full == self.cutoffs.t_test:
-            return self.features_test
-        return self.features_at(self.cutoffs.t_full)
-
-    @cached_property
-    def snapshots(self) -> DataFrame:
-        return features.feature_snapshots(self.silver, self.dim, self.cutoffs.distinct(),
-                                          self.cutoffs.window_days, self.fp)
+        return self._snapshot(self.cutoffs.t_full)
 
     @cached_property
     def attribution(self) -> DataFrame:
-        return attr.synthetic_attribution(self.features_current, self.ap)
+        return self.mart("synthetic_attribution", lambda: attr.synthetic_attribution(self.features_current, self.ap))
 
     # ---------------------------------------------------------------- derived marts
     @cached_property

@@ -98,14 +98,14 @@ def target_conversion(p):
 
 @register("customer_features", build(f"SELECT {FEAT_COLS} FROM features_test", "features_test"))
 def customer_features(p):
-    """the full feature row at t_test."""
-    return round_doubles(p.features_test)
+    """the full feature row at t_test (computed, not read from the mart)."""
+    return round_doubles(p.features_at(p.cutoffs.t_test))
 
 
 @register("feature_snapshots", build(f"SELECT {FEAT_COLS} FROM snapshots", "snapshots"))
 def feature_snapshots(p):
-    """all cutoffs in one job."""
-    return round_doubles(p.snapshots)
+    """all cutoffs in one job (computed from the fact mart)."""
+    return round_doubles(p.snapshots_plan)
 
 
 @register("snapshot_conversion_rate", build("""

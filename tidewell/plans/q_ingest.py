@@ -77,7 +77,7 @@ def standardize(p):
 @register("clean_silver", build(f"SELECT {SV} FROM silver", "silver"))
 def clean_silver(p):
     """C1–C6 composed as one tagged plan."""
-    return p.silver
+    return p.silver_plan
 
 
 @register("dq_report", build("SELECT * FROM dq", "dq"))
@@ -100,7 +100,7 @@ def dq_active_rules(p):
 @register("contract_types")
 def contract_types(p):
     """K1: silver schema vs the declared contract."""
-    return contracts.contract_types(p.silver, contracts.SILVER)
+    return contracts.contract_types(p.silver_plan, contracts.SILVER)
 
 
 _checks_sql = """
@@ -121,7 +121,7 @@ SELECT 'silver' AS "table", "column", "check", violations FROM (
 @register("contract_checks", build(_checks_sql, "silver"))
 def contract_checks(p):
     """K2: every silver value check from one aggregate."""
-    return contracts.contract_checks(p.silver, contracts.SILVER)
+    return contracts.contract_checks(p.silver_plan, contracts.SILVER)
 
 
 @register("contract_unique", build("""
@@ -131,4 +131,4 @@ FROM (SELECT count(*) AS n FROM silver GROUP BY invoice, stock_code, invoice_dat
                                    "silver"))
 def contract_unique(p):
     """K3: composite unique key of silver."""
-    return contracts.contract_unique(p.silver, contracts.SILVER)
+    return contracts.contract_unique(p.silver_plan, contracts.SILVER)
