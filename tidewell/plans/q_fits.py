@@ -102,3 +102,38 @@ def kmeans_segments(p):
     """G9–G12 on the fitted k-means labels: named profile per cluster."""
     ref, _ = M.kmeans_fit(p.features_current, p.sp)
     return seg.segment_profiles(p.features_current, ref.select("customer_id", "cluster"))
+
+
+# ---------------------------------------------------------------- probabilistic LTV
+def _rf(p):
+    from tidewell.operators.metrics import rf_summary
+    return rf_summary(p.silver, p.cutoffs.t_test).cache()
+
+
+@register("bgnbd_fit")
+def bgnbd_fit(p):
+    """BG/NBD parameters by distributed maximum likelihood (ridge 0.01)."""
+    from tidewell.operators import ltv
+    return ltv.bgnbd_fit(_rf(p))
+
+
+@register("gamma_gamma_fit")
+def gamma_gamma_fit(p):
+    """Gamma-Gamma spend parameters on repeat customers (ridge 0.01)."""
+    from tidewell.operators import ltv
+    return ltv.gamma_gamma_fit(_rf(p))
+
+
+@register("clv")
+def clv(p):
+    """12 × 30-day expected spend per customer from M10 × M11, clipped at 0."""
+    from tidewell.operators import ltv
+    rf = _rf(p)
+    return ltv.clv(rf, ltv.bgnbd_fit(rf), ltv.gamma_gamma_fit(rf), p.mp.ltv_horizon_months)
+
+
+@register("ltv_table_probabilistic")
+def ltv_table_probabilistic(p):
+    """LTV table on the probabilistic path (heuristic when the fit is unusable)."""
+    from tidewell.operators import ltv
+    return ltv.probabilistic_ltv_table(p.silver, p.features_current, p.cutoffs.t_test, p.mp)

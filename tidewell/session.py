@@ -58,3 +58,24 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder, for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, *parts)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidewell`` importable by Python workers (needed by the few
+    pandas UDF / mapInPandas closures): zip the package once per context and
+    register it with addPyFile, which distributes it to every executor."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidewell_shipped", False):
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="tidewell-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w") as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    sc._tidewell_shipped = True
