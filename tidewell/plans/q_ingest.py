@@ -15,8 +15,10 @@ SV = "invoice, stock_code, description, quantity, invoice_date, unit_price, cust
 
 @register("bronze_union", build(f"SELECT {BR} FROM bronze", "bronze"))
 def bronze_union(p):
-    """The bronze line items (all source parts, union all, renamed)."""
-    return p.bronze
+    """Source part(s) with raw padded headers → trimmed, unioned, renamed, conformed."""
+    from tidewell.sources.files import bronze_union as union
+    from tidewell.sources.testdata import bronze_source_part
+    return union([bronze_source_part(p.spark, p.sf_dir)])
 
 
 _conform_sql = " UNION ALL ".join(
@@ -132,3 +134,81 @@ FROM (SELECT count(*) AS n FROM silver GROUP BY invoice, stock_code, invoice_dat
 def contract_unique(p):
     """K3: composite unique key of silver."""
     return contracts.contract_unique(p.silver_plan, contracts.SILVER)
+
+
+# ---------------------------------------------------------------- sinks and stored layers
+@register("bronze_cache", build(f"SELECT {BR} FROM bronze", "bronze"))
+def bronze_cache(p):
+    """S3: bronze materialised once in the shared folder and read back."""
+    return p.mart("bronze", lambda: p.bronze)
+
+
+@register("source_manifest")
+def source_manifest(p):
+    """Lineage rows for the source files (bytes, sha256, rows)."""
+    from tidewell.sources.files import source_manifest as manifest
+    paths = [f"{p.sf_dir.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders", "part", "supplier", "nation")]
+    return manifest(p.spark, paths)
+
+
+@register("write_mart", build("SELECT * FROM channel_table", "channel_table"))
+def write_mart(p):
+    """The channel-metrics mart written to the shared folder and read back."""
+    return p.mart("channel_metrics", lambda: p.channel_table)
+
+
+@register("read_mart", build(f"SELECT {SV} FROM silver", "silver"))
+def read_mart(p):
+    """The stored fact mart read by name (partition column dropped)."""
+    from tidewell.operators.cleaning import SILVER_COLUMNS
+    return p.silver.select(*SILVER_COLUMNS)
+
+
+@register("export_csv", build("""
+SELECT 'segment_assignments' AS export, count(*) AS rows FROM segments
+UNION ALL SELECT 'top_audience', least(count(*), 500) FROM scores
+UNION ALL SELECT 'channel_metrics', count(*) FROM channel_table
+UNION ALL SELECT 'dq_report', count(*) FROM dq""", "segments", "scores", "channel_table", "dq"))
+def export_csv(p):
+    """The four CSV exports, written with headers and re-read (row counts)."""
+    from pyspark.sql import functions as F
+    from tidewell.operators import reports as rep
+    from tidewell.session import shared_path
+    from tidewell.sources.files import export_csv as export
+    seg_rfm = p.segments.join(p.features_current.select("customer_id", "recency_days", "frequency", "monetary"),
+                              "customer_id")
+    outs = {"segment_assignments": seg_rfm, "top_audience": rep.top_audience(p.scores, p.segments),
+            "channel_metrics": p.channel_table, "dq_report": cleaning.dq_report(p.bronze)}
+    frames = []
+    for name, df in outs.items():
+        path = shared_path(p.spark, "exports", p.signature, name)
+        export(df, path)
+        frames.append(p.spark.read.option("header", True).csv(path)
+                      .agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("export"), "rows"))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("write_summary", build("""
+SELECT metric, value FROM (
+  SELECT 'rows_raw' AS metric, CAST(rows_raw AS DOUBLE) AS value FROM dq WHERE rule_order = 0
+  UNION ALL SELECT 'rows_silver', CAST(rows_silver AS DOUBLE) FROM dq WHERE rule_order = 0
+  UNION ALL SELECT 'retention_pct', retention_pct FROM dq WHERE rule_order = 0
+  UNION ALL SELECT 'share_' || channel, round(count(*) / (SELECT count(*) FROM attribution), 3)
+            FROM attribution GROUP BY channel)""", "dq", "attribution"))
+def write_summary(p):
+    """Run summary as tidy (metric, value) JSON, read back."""
+    from pyspark.sql import functions as F
+    from tidewell.functions.ratios import round_half
+    from tidewell.session import shared_path
+    from tidewell.sources.files import write_summary as summary
+    r = cleaning.dq_report(p.bronze).filter(F.col("rule_order") == 0)
+    m = (r.select(F.lit("rows_raw").alias("metric"), F.col("rows_raw").cast("double").alias("value"))
+         .unionByName(r.select(F.lit("rows_silver").alias("metric"), F.col("rows_silver").cast("double").alias("value")))
+         .unionByName(r.select(F.lit("retention_pct").alias("metric"), F.col("retention_pct").alias("value"))))
+    n = p.attribution.count()
+    mix = p.attribution.groupBy("channel").agg(F.count(F.lit(1)).alias("c")).select(
+        F.concat(F.lit("share_"), F.col("channel")).alias("metric"), round_half(F.col("c") / F.lit(n), 3).alias("value"))
+    return summary(p.spark, m.unionByName(mix), shared_path(p.spark, "summaries", p.signature, "run_summary"))

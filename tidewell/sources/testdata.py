@@ -25,6 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def bronze_source_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The adapter output under the retail export's raw, space-padded headers
+    (what the file reader S1 has to trim and rename)."""
+    from tidewell.sources.files import RAW_COLUMNS
+    raw = {v: k for k, v in RAW_COLUMNS.items()}
+    b = bronze_from_testdata(spark, sf_dir)
+    return b.select(*[F.col(c).alias(f" {raw[c]} " if i % 2 else raw[c]) for i, c in enumerate(b.columns)])
+
+
 def bronze_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem ⋈ orders ⋈ part ⋈ (supplier ⋈ nation) → 8 bronze columns.
 
