@@ -26,10 +26,15 @@ def conform_text(df: DataFrame) -> DataFrame:
 
 
 def bronze_union(parts: list[DataFrame], rename: dict[str, str] = RAW_COLUMNS) -> DataFrame:
-    """Trim header names of every part, UNION ALL by name, rename by map, conform text."""
-    trimmed = [p.toDF(*[c.strip() for c in p.columns]) for p in parts]
-    unioned = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), trimmed)
-    return conform_text(unioned.withColumnsRenamed({k: v for k, v in rename.items() if k in unioned.columns}))
+    """Trim header names of every part, rename by map, conform text per
+    part (a part may type a column as number, another as text — conforming
+    before the union keeps ANSI coercion from casting text to numbers),
+    then UNION ALL by name."""
+    ready = []
+    for p in parts:
+        t = p.toDF(*[c.strip() for c in p.columns])
+        ready.append(conform_text(t.withColumnsRenamed({k: v for k, v in rename.items() if k in t.columns})))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ready)
 
 
 def read_parts(spark: SparkSession, paths: list[str], fmt: str = "parquet", schema=None,
