@@ -123,3 +123,16 @@ def test_hash_uniform_is_partition_invariant_and_uniform(spark):
     st = a.agg(F.min("u"), F.max("u"), F.avg("u")).first()
     assert 0 < st[0] and st[1] < 1 and abs(st[2] - 0.5) < 0.01
     assert not math.isnan(st[2])
+
+
+def test_exact_percentile_paths_agree(spark):
+    from tidewell.operators.quantiles import _ranked, exact_percentiles
+    rnd = random.Random(5)
+    rows = [(float(rnd.randint(0, 300)),) for _ in range(2001)] + [(None,)]
+    df = spark.createDataFrame(rows, "x double")
+    xs = sorted(r[0] for r in rows if r[0] is not None)
+    for p in (0.0, 0.1, 0.5, 0.75, 0.99, 1.0):
+        exp = float(np.percentile(xs, p * 100))
+        assert exact_percentiles(df, ["x"], p)["x"] == pytest.approx(exp)
+        assert exact_percentiles(df, ["x"], p, max_distinct=0)["x"] == pytest.approx(exp)
+        assert _ranked(df, "x", [p])[0] == pytest.approx(exp)

@@ -16,8 +16,9 @@ from tidewell.params import AttributionParams
 
 
 def high_value_threshold(features: DataFrame, pct: float) -> Column:
-    """Scalar subquery: exact percentile (linear interpolation) of monetary."""
-    return features.agg(F.percentile(F.col("monetary"), F.lit(pct / 100.0))).scalar()
+    """Exact percentile (linear interpolation) of monetary, as a literal."""
+    from tidewell.operators.quantiles import exact_percentiles
+    return F.lit(exact_percentiles(features, ["monetary"], pct / 100.0)["monetary"])
 
 
 def high_value_flag(features: DataFrame, params: AttributionParams = AttributionParams()) -> DataFrame:

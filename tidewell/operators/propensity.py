@@ -27,8 +27,8 @@ def prepare_features(features: DataFrame) -> DataFrame:
 def training_medians(train: DataFrame, cols=FEATURE_COLUMNS) -> dict[str, float]:
     """Exact medians of the training set, one aggregate job (P2).  A fitted
     imputer is a fixed-size parameter vector, so it comes back to the driver."""
-    row = train.agg(*[F.median(c).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+    from tidewell.operators.quantiles import exact_percentiles
+    return exact_percentiles(train, list(cols), 0.5)
 
 
 def median_impute(df: DataFrame, medians: dict[str, float], cols=FEATURE_COLUMNS) -> DataFrame:

@@ -26,7 +26,8 @@ def rfm_matrix(features: DataFrame, params: SegmentationParams = SegmentationPar
     """Recency capped at its exact p99, log1p frequency / monetary, each
     z-scored with the population std (zero std → divide by 1) (G1)."""
     base = features.select("customer_id", "recency_days", "frequency", "monetary")
-    cap = base.agg(F.percentile("recency_days", F.lit(params.recency_winsor_pct / 100.0))).scalar()
+    from tidewell.operators.quantiles import exact_percentiles
+    cap = F.lit(exact_percentiles(base, ["recency_days"], params.recency_winsor_pct / 100.0)["recency_days"])
     t = base.select("*", F.least(F.col("recency_days").cast("double"), cap).alias("_r"),
                     F.log1p("frequency").alias("_f"), F.log1p("monetary").alias("_m"))
     # fitted scaler = six numbers: one aggregate job, applied as literals
