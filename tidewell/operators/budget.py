@@ -141,3 +141,15 @@ def evaluate_allocations(candidates: DataFrame, hp: DataFrame, params: BudgetPar
                       F.when(F.col("total_conversions") == 0, F.lit(float("inf")))
                       .otherwise(F.col("allocated_total") / F.col("total_conversions")).alias("blended_cpa"),
                       (F.abs(F.col("allocated_total") - F.lit(b)) > F.lit(0.02 * b)).alias("off_budget"))
+
+
+def response_bands(scored_attribution: DataFrame, channel_table: DataFrame,
+                   params: BudgetParams = BudgetParams(), score_col: str = "score") -> DataFrame:
+    """Response-curve uncertainty band (B3 re-aimed): the curve of every
+    bootstrap resample, then exact p10 / p50 / p90 per (channel, spend point)."""
+    hp = bootstrap_hill_params(scored_attribution, channel_table, params, score_col)
+    curves = response_curves(hp, params, groups=("resample",))
+    q = F.percentile("conversions", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
+    return curves.groupBy("channel", "point", "spend").agg(q.alias("_q")).select(
+        "channel", "point", "spend", F.col("_q")[0].alias("p10"), F.col("_q")[1].alias("p50"),
+        F.col("_q")[2].alias("p90"))

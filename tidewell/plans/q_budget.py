@@ -95,6 +95,18 @@ SELECT resample, max(total_conversions) AS total_conversions FROM ({_alloc_sql('
 GROUP BY resample""")
 
 
+@register("response_bands", build(f"""
+SELECT channel, point, spend, round(quantile_cont(conv, 0.1), 6) AS p10, round(quantile_cont(conv, 0.5), 6) AS p50,
+       round(quantile_cont(conv, 0.9), 6) AS p90
+FROM (SELECT h.resample, h.channel, g.point, g.spend, {hill_sql('g.spend', 'h.vmax', 'h.k', 'h.s')} AS conv
+      FROM boot_hill h, ({_grid_sql}) g)
+GROUP BY channel, point, spend""", "boot_hill"))
+def response_bands(p):
+    """p10 / p50 / p90 response per channel and spend over bootstrap resamples."""
+    b = bud.response_bands(p.scored_attribution, p.channel_table, p.bp)
+    return b.select("channel", "point", "spend", *[round_half(F.col(c), 6).alias(c) for c in ("p10", "p50", "p90")])
+
+
 @register("bootstrap_allocation", build(
     "SELECT resample, round(total_conversions, 6) AS total_conversions FROM boot", "boot"))
 def bootstrap_allocation(p):
