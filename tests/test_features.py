@@ -107,3 +107,10 @@ def test_leakage_audit_is_clean(spark, silver):
 def test_label_requires_window():
     with pytest.raises(ValueError):
         features.feature_snapshots(None, None, [AS_OF], None, UK, include_target=True)
+
+
+def test_same_day_invoices_have_zero_gap(spark):
+    rows = [("S", "1", "s", d("2023-01-05 08:00:00"), 1.0, "X"), ("S", "2", "s", d("2023-01-05 20:00:00"), 1.0, "X"),
+            ("S", "3", "s", d("2023-01-07 09:00:00"), 1.0, "X"), ("S", "3", "t", d("2023-01-07 10:00:00"), 1.0, "X")]
+    # invoice 3's time is its earliest row; gaps 0 (same day) and 1 (1 d 13 h)
+    assert feats(spark, rows)["S"].avg_days_between_orders == pytest.approx(0.5)

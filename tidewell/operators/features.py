@@ -118,27 +118,23 @@ def _core(expanded: DataFrame, trend_months: int) -> DataFrame:
 def order_gaps(hist: DataFrame) -> DataFrame:
     """Mean floored day gap between a customer's consecutive invoices.
 
-    Invoice time = earliest row of the invoice.  To keep a customer with a
-    huge history from becoming one window task, invoices are first split by
-    calendar month: gaps inside a month come from a window keyed by
-    (as_of, customer, month); the gap across each month boundary comes from
-    a second window over per-month (first, last) pairs — at most one row per
-    active month.  Sum of all gaps / (invoices − 1); null below two invoices.
+    Invoice time = earliest row of the invoice.  Two invoices on the same
+    calendar day are less than 24 h apart, so their floored gap is 0: only
+    the gap from the last invoice of one active day to the first invoice of
+    the next active day contributes.  Invoices are therefore reduced to one
+    row per (as_of, customer, day) — plain aggregations, pre-aggregated
+    map-side — and a single window runs over a customer's *active days*,
+    which is bounded by the calendar however many rows the customer has.
+    Sum of gaps / (invoices − 1); null below two invoices.
     """
     inv = (hist.groupBy("as_of", "customer_id", "invoice")
-           .agg(F.min("invoice_date").alias("t"))
-           .withColumn("bucket", month_index("t")))
-    w_in = Window.partitionBy("as_of", "customer_id", "bucket").orderBy("t")
-    inv = inv.withColumn("gap", floor_days(F.col("t"), F.lag("t").over(w_in)))
-    per_bucket = inv.groupBy("as_of", "customer_id", "bucket").agg(
-        F.min("t").alias("first_t"), F.max("t").alias("last_t"),
-        F.sum("gap").alias("gap_sum"), F.count(F.lit(1)).alias("n"))
-    w_b = Window.partitionBy("as_of", "customer_id").orderBy("bucket")
-    per_bucket = per_bucket.withColumn(
-        "edge_gap", floor_days(F.col("first_t"), F.lag("last_t").over(w_b)))
-    tot = per_bucket.groupBy("as_of", "customer_id").agg(
-        (F.coalesce(F.sum("gap_sum"), F.lit(0)) + F.coalesce(F.sum("edge_gap"), F.lit(0))).alias("gaps"),
-        F.sum("n").alias("n_invoices"))
+           .agg(F.min("invoice_date").alias("t")))
+    days = inv.groupBy("as_of", "customer_id", F.to_date("t").alias("day")).agg(
+        F.min("t").alias("first_t"), F.max("t").alias("last_t"), F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("as_of", "customer_id").orderBy("day")
+    days = days.withColumn("edge_gap", floor_days(F.col("first_t"), F.lag("last_t").over(w)))
+    tot = days.groupBy("as_of", "customer_id").agg(
+        F.coalesce(F.sum("edge_gap"), F.lit(0)).alias("gaps"), F.sum("n").alias("n_invoices"))
     return tot.select(
         "as_of", "customer_id",
         F.when(F.col("n_invoices") >= 2, F.col("gaps") / (F.col("n_invoices") - 1))
