@@ -44,3 +44,10 @@ def test_query_matches_oracle(spark, con, smoke_dir, name):
     assert sorted(sdf.columns) == sorted(odf.columns)
     assert len(sdf) == len(odf)
     assert _canon(sdf) == _canon(odf)
+
+
+def test_marts_satisfy_their_contracts(spark, smoke_dir):
+    checks = E.queries()["mart_contract_checks"](spark, smoke_dir).collect()
+    assert checks and all(r.violations == 0 for r in checks), [r for r in checks if r.violations]
+    uniq = E.queries()["mart_contract_unique"](spark, smoke_dir).collect()
+    assert all(r.duplicate_keys == 0 for r in uniq)

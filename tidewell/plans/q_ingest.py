@@ -212,3 +212,50 @@ def write_summary(p):
     mix = p.attribution.groupBy("channel").agg(F.count(F.lit(1)).alias("c")).select(
         F.concat(F.lit("share_"), F.col("channel")).alias("metric"), round_half(F.col("c") / F.lit(n), 3).alias("value"))
     return summary(p.spark, m.unionByName(mix), shared_path(p.spark, "summaries", p.signature, "run_summary"))
+
+
+def _contract_sql(contract, source: str) -> str:
+    parts = []
+    for c in contract.columns:
+        col = f'"{c.name}"'
+        if not c.nullable:
+            parts.append(f"SELECT '{contract.table}' AS \"table\", '{c.name}' AS \"column\", 'not_null' AS \"check\", "
+                         f"count(*) FILTER (WHERE {col} IS NULL) AS violations FROM {source}")
+        for kind, arg in c.checks:
+            if kind == "isin":
+                label, bad = "isin", f"NOT {col} IN ({', '.join(repr(a) for a in arg)})"
+            else:
+                label, bad = f"{kind}_{arg}", f"NOT {col} {'>' if kind == 'gt' else '>='} {arg}"
+            parts.append(f"SELECT '{contract.table}', '{c.name}', '{label}', "
+                         f"count(*) FILTER (WHERE {col} IS NOT NULL AND {bad}) FROM {source}")
+    return " UNION ALL ".join(parts)
+
+
+@register("mart_contract_checks", build(" UNION ALL ".join([
+    _contract_sql(contracts.BRONZE, "bronze"),
+    _contract_sql(contracts.DIM_CUSTOMERS, "dim"),
+    _contract_sql(contracts.CUSTOMER_FEATURES, "features_test"),
+    _contract_sql(contracts.ATTRIBUTION, "attribution")]), "bronze", "dim", "features_test", "attribution"))
+def mart_contract_checks(p):
+    """K2 on bronze and on every gold mart (dimension, features, attribution)."""
+    out = contracts.contract_checks(p.bronze, contracts.BRONZE)
+    for df, c in ((p.dim, contracts.DIM_CUSTOMERS), (p.features_test, contracts.CUSTOMER_FEATURES),
+                  (p.attribution, contracts.ATTRIBUTION)):
+        out = out.unionByName(contracts.contract_checks(df, c))
+    return out
+
+
+@register("mart_contract_unique", build("""
+SELECT 'dim_customers' AS "table", 'customer_id' AS key, CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_keys,
+       count(*) FILTER (WHERE n > 1) AS duplicate_keys FROM (SELECT count(*) AS n FROM dim GROUP BY customer_id)
+UNION ALL
+SELECT 'customer_features', 'as_of,customer_id', CAST(sum(n) AS BIGINT), count(*), count(*) FILTER (WHERE n > 1)
+FROM (SELECT count(*) AS n FROM features_test GROUP BY as_of, customer_id)
+UNION ALL
+SELECT 'synthetic_attribution', 'customer_id', CAST(sum(n) AS BIGINT), count(*), count(*) FILTER (WHERE n > 1)
+FROM (SELECT count(*) AS n FROM attribution GROUP BY customer_id)""", "dim", "features_test", "attribution"))
+def mart_contract_unique(p):
+    """K3 on the gold marts' keys."""
+    return (contracts.contract_unique(p.dim, contracts.DIM_CUSTOMERS)
+            .unionByName(contracts.contract_unique(p.features_test, contracts.CUSTOMER_FEATURES))
+            .unionByName(contracts.contract_unique(p.attribution, contracts.ATTRIBUTION)))
