@@ -147,10 +147,10 @@ def uplift_by_decile(df: DataFrame, uplift: str = "uplift", label: str = "label"
                      groups: tuple = ()) -> DataFrame:
     """Equal-frequency bins of −uplift from exact linear quantile edges,
     right-closed, duplicate edges dropped; decile 1 = highest uplift (U5)."""
+    from tidewell.operators.quantiles import grouped_percentiles
     src, gs = _with_group(df, groups)
-    v = -F.col(uplift)
-    qs = F.array(*[F.lit(i / 10.0) for i in range(11)])
-    edges = src.groupBy(*gs).agg(F.sort_array(F.array_distinct(F.percentile(v, qs))).alias("_edges"))
+    q = grouped_percentiles(src.withColumn("_neg", -F.col(uplift)), "_neg", [i / 10.0 for i in range(11)], gs)
+    edges = q.select(*gs, F.sort_array(F.array_distinct(F.array(*[F.col(f"q{i}") for i in range(11)]))).alias("_edges"))
     j = src.join(edges, gs)
     interior = F.slice(F.col("_edges"), 2, F.greatest(F.size("_edges") - 2, F.lit(0)))
     j = j.withColumn("decile", F.lit(1) + F.size(F.filter(interior, lambda e: -F.col(uplift) > e)))

@@ -62,3 +62,40 @@ def exact_percentiles(df: DataFrame, cols: list[str], p: float,
         if c not in out:
             out[c] = _ranked(df, c, [p])[0]
     return out
+
+
+def grouped_percentiles(df: DataFrame, col: str, ps: list[float], groups: list[str],
+                        max_distinct: int = MAX_DISTINCT_IN_ONE_TASK) -> DataFrame:
+    """Exact linear-interpolated quantiles of ``col`` per group, as columns
+    q0..q{k-1} (one per requested p).
+
+    Small inputs use Spark's exact ``percentile`` (a value map per group).
+    Above the distinct-value bound, each group's order statistics come from
+    range-partitioned running counts over its distinct values; the target
+    ranks are columns of the per-group count table, so nothing but one row
+    per group is ever brought together."""
+    v = F.col(col).cast("double")
+    base = df.select(*groups, v.alias("_v")).filter(F.col("_v").isNotNull())
+    est = base.agg(F.approx_count_distinct("_v")).first()[0]
+    if est <= max_distinct:
+        q = F.percentile("_v", F.array(*[F.lit(float(p)) for p in ps]))
+        agg = base.groupBy(*groups).agg(q.alias("_q"))
+        return agg.select(*groups, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(ps))])
+    counts = base.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("c"))
+    rt = running_totals(counts, [F.col("_v").asc()], {"c": F.col("c")}, tuple(groups))
+    n = rt.groupBy(*groups).agg(F.max("cum_c").alias("_n"))
+    for i, p in enumerate(ps):
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        n = n.withColumns({f"_lo{i}": F.floor(pos), f"_hi{i}": F.ceil(pos), f"_fr{i}": pos - F.floor(pos)})
+    j = rt.join(n, list(groups))
+
+    def at(rank):
+        return F.max(F.when((F.col("cum_c") - F.col("c") <= rank) & (rank < F.col("cum_c")), F.col("_v")))
+
+    aggs = []
+    for i in range(len(ps)):
+        aggs += [at(F.col(f"_lo{i}")).alias(f"_a{i}"), at(F.col(f"_hi{i}")).alias(f"_b{i}"),
+                 F.first(f"_fr{i}").alias(f"_f{i}")]
+    g = j.groupBy(*groups).agg(*aggs)
+    return g.select(*groups, *[(F.col(f"_a{i}") + F.col(f"_f{i}") * (F.col(f"_b{i}") - F.col(f"_a{i}"))).alias(f"q{i}")
+                               for i in range(len(ps))])

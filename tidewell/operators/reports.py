@@ -103,7 +103,8 @@ def segment_scatter(features: DataFrame, segments: DataFrame, pct: float = 0.98)
     """Monetary clipped at its per-segment exact percentile, √-scaled marker size."""
     j = features.select("customer_id", "recency_days", "frequency", "monetary") \
         .join(segments.select("customer_id", "segment_name"), "customer_id")
-    caps = j.groupBy("segment_name").agg(F.percentile("monetary", F.lit(pct)).alias("_cap"))
+    from tidewell.operators.quantiles import grouped_percentiles
+    caps = grouped_percentiles(j, "monetary", [pct], ["segment_name"]).withColumnRenamed("q0", "_cap")
     j = j.join(caps, "segment_name")
     return j.select("customer_id", "segment_name", "recency_days", "frequency", "monetary",
                     (F.sqrt(F.least(F.col("monetary"), F.col("_cap"))) / 3 + 5).alias("marker_size"))
