@@ -77,12 +77,6 @@ def k_sweep(p):
     return M.k_sweep(p.features_current, p.sp)
 
 
-@register("choose_k")
-def choose_k(p):
-    """Configured k, else the first k with the best silhouette."""
-    return seg.choose_k(M.k_sweep(p.features_current, p.sp), None)
-
-
 @register("stability_reseed")
 def stability_reseed(p):
     """ARI of reseeded refits vs the reference labelling (mean, min)."""

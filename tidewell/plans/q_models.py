@@ -283,3 +283,34 @@ def temporal_split(p):
     return (tr.groupBy("as_of").agg(*agg).select("as_of", F.lit("train").alias("split"), "customers", "positives")
             .unionByName(te.groupBy("as_of").agg(*agg).select("as_of", F.lit("test").alias("split"),
                                                                "customers", "positives")))
+
+
+# ---------------------------------------------------------------- G5 on a deterministic sweep
+cte("tier_sweep", ("rfm_matrix",), """
+SELECT k, customer_id, x_recency, x_frequency, x_monetary, least(frequency - 1, k - 1) AS cluster
+FROM rfm_matrix, range(2, 11) t(k)""")
+
+
+@register("choose_k", build("""
+SELECT k, round(silhouette, 6) AS silhouette FROM (
+  SELECT k, avg(CASE WHEN own_n <= 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END) AS silhouette FROM (
+    SELECT k, i, max(own_n) AS own_n, max(CASE WHEN same THEN d / (own_n - 1) END) AS a,
+           min(CASE WHEN NOT same THEN d / n END) AS b
+    FROM (
+      SELECT x.k, x.customer_id AS i, y.cluster AS c, x.cluster = y.cluster AS same,
+             sum(pow(x.x_recency - y.x_recency, 2) + pow(x.x_frequency - y.x_frequency, 2)
+                 + pow(x.x_monetary - y.x_monetary, 2)) AS d,
+             count(*) AS n, max(sz.own) AS own_n
+      FROM tier_sweep x JOIN tier_sweep y ON x.k = y.k
+      JOIN (SELECT k, cluster, count(*) AS own FROM tier_sweep GROUP BY 1, 2) sz ON sz.k = x.k AND sz.cluster = x.cluster
+      GROUP BY 1, 2, 3, 4) GROUP BY k, i) GROUP BY k)
+ORDER BY silhouette DESC, k LIMIT 1""", "tier_sweep"))
+def choose_k(p):
+    """First k with the highest silhouette over a sweep (here: frequency
+    tiers for k = 2..10, silhouettes for all k in one grouped job)."""
+    m = seg.rfm_matrix(p.features_current, p.sp)
+    sweep = m.withColumn("k", F.explode(F.sequence(F.lit(2), F.lit(10)))).withColumn(
+        "cluster", F.least(F.col("frequency") - 1, F.col("k") - 1))
+    sil = ev.silhouette(sweep, seg.RFM_FEATURES, "cluster", ("k",))
+    best = seg.choose_k(sil.select("k", "silhouette"), None)
+    return round_doubles(best.join(sil, "k").select("k", "silhouette"))
