@@ -133,23 +133,23 @@ def dq_report(bronze: DataFrame, codes=NON_PRODUCT_STOCK_CODES) -> DataFrame:
     order = spark.createDataFrame(
         [(i, name, CLEANING_RATIONALE[name]) for i, name in enumerate(CLEANING_STEPS)],
         "rule_order int, rule string, rationale string")
-    totals = per_tag.agg(
-        F.sum("rows").alias("rows_raw"),
-        F.sum(F.when(F.col("tag") == "_survivor", F.col("rows") - F.col("dupes"))
-              .otherwise(0)).alias("rows_silver"),
-        F.sum(F.when(F.col("tag") == "_survivor", F.col("dupes")).otherwise(0)).alias("dup_removed"))
+    # per_tag has at most five rows (four rule tags + survivors) and order six:
+    # one outer join, then totals as windows over that bounded frame, so the
+    # bronze scan feeds a single consumer
+    j = order.join(per_tag, order.rule == per_tag.tag, "full_outer")
+    everything = Window.partitionBy()
+    is_surv = F.col("tag") == "_survivor"
+    j = j.select(
+        "rule_order", "rule", "rationale", "rows",
+        F.sum("rows").over(everything).alias("rows_raw"),
+        F.sum(F.when(is_surv, F.col("rows") - F.col("dupes")).otherwise(0)).over(everything).alias("rows_silver"),
+        F.sum(F.when(is_surv, F.col("dupes")).otherwise(0)).over(everything).alias("dup_removed")
+    ).filter(F.col("rule").isNotNull())
     removed = F.coalesce(
         F.when(F.col("rule") == CLEANING_STEPS[4], F.col("dup_removed"))
          .when(F.col("rule") == CLEANING_STEPS[5], F.lit(0))
          .otherwise(F.col("rows")), F.lit(0)).cast("bigint")
-    # six fixed rows: the window below runs over a bounded frame
-    # totals are one row: attached as scalar subqueries
-    rep = (F.broadcast(order).join(per_tag, order.rule == per_tag.tag, "left")
-           .withColumns({"rows_raw": totals.select("rows_raw").scalar(),
-                         "rows_silver": totals.select("rows_silver").scalar(),
-                         "dup_removed": totals.select("dup_removed").scalar()})
-           .select("rule_order", "rule", "rationale", "rows_raw", "rows_silver",
-                   removed.alias("rows_removed")))
+    rep = j.select("rule_order", "rule", "rationale", "rows_raw", "rows_silver", removed.alias("rows_removed"))
     w = Window.orderBy("rule_order").rowsBetween(Window.unboundedPreceding, -1)
     rep = rep.withColumn("rows_before",
                          (F.col("rows_raw") - F.coalesce(F.sum("rows_removed").over(w), F.lit(0))).cast("bigint"))
