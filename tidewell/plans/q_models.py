@@ -153,13 +153,6 @@ def rfm_matrix(p):
     return round_doubles(seg.rfm_matrix(p.features_current, p.sp))
 
 
-@register("silhouette")
-def silhouette(p):
-    """Mean silhouette (squared Euclidean, exact O(n·k) decomposition)."""
-    lab = seg.rfm_matrix(p.features_current, p.sp).join(p.rule_labels, "customer_id")
-    return round_doubles(ev.silhouette(lab, seg.RFM_FEATURES))
-
-
 cte("lab", ("rfm_matrix", "rule_labels"),
     "SELECT m.*, l.cluster FROM rfm_matrix m JOIN rule_labels l ON m.customer_id = l.customer_id")
 _sil_sql = build("""
@@ -173,8 +166,14 @@ SELECT round(avg(CASE WHEN own_n <= 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END
            count(*) AS n, max(sz.own) AS own_n
     FROM lab x CROSS JOIN lab y JOIN (SELECT cluster, count(*) AS own FROM lab GROUP BY 1) sz ON sz.cluster = x.cluster
     GROUP BY 1, 2, 3) GROUP BY i)""", "lab")
-from tidewell.plans.registry import ORACLE  # noqa: E402
-ORACLE["silhouette"] = _sil_sql  # brute-force all-pairs oracle (small scale only)
+
+@register("silhouette", _sil_sql)  # oracle: brute-force all pairs (small scale)
+def silhouette(p):
+    """Mean silhouette (squared Euclidean, exact O(n·k) decomposition)."""
+    lab = seg.rfm_matrix(p.features_current, p.sp).join(p.rule_labels, "customer_id")
+    return round_doubles(ev.silhouette(lab, seg.RFM_FEATURES))
+
+
 
 cte("label_b", ("features_current",), """
 SELECT customer_id, CASE WHEN monetary >= 1000000 THEN 2 WHEN monetary >= 300000 THEN 1 ELSE 0 END AS tier

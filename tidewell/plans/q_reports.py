@@ -58,17 +58,10 @@ def revenue_share_country(p):
     return r.select("country", round_half("revenue", 2).alias("revenue"), round_half("pct", 6).alias("pct"))
 
 
-@register("activation_funnel")
-def activation_funnel(p):
-    """Nested activation stages."""
-    return rep.activation_funnel(p.features_test, p.scores, p.attribution)
-
-
 cte("funnel_base", ("features_test", "scores", "attribution"), """
 SELECT f.customer_id, f.target_conversion, s.score, a.exposed FROM features_test f
 JOIN scores s ON f.customer_id = s.customer_id JOIN attribution a ON f.customer_id = a.customer_id""")
-from tidewell.plans.registry import ORACLE  # noqa: E402
-ORACLE["activation_funnel"] = build("""
+_funnel_sql = build("""
 SELECT v.stage, v.name, c.customers FROM (VALUES (1, 'all_customers'), (2, 'converted'), (3, 'high_score'), (4, 'exposed')) v(stage, name)
 JOIN (
   SELECT 1 AS stage, count(*) AS customers FROM funnel_base
@@ -77,6 +70,13 @@ JOIN (
   UNION ALL SELECT 4, count(*) FILTER (WHERE target_conversion = 1 AND score > 0.6 AND exposed) FROM funnel_base) c
 ON v.stage = c.stage""", "funnel_base")
 
+
+@register("activation_funnel", _funnel_sql)
+def activation_funnel(p):
+    """Nested activation stages."""
+    return rep.activation_funnel(p.features_test, p.scores, p.attribution)
+
+
 _bands = " ".join(f"WHEN score >= {lo} AND score < {hi} THEN {i}" for i, (lo, hi, _) in enumerate(rep.SCORE_BANDS))
 _labels = " UNION ALL ".join(f"SELECT {i} AS band, {q(lab)} AS label" for i, (_, _, lab) in enumerate(rep.SCORE_BANDS))
 
