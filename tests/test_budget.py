@@ -74,3 +74,9 @@ def test_bootstrap_is_partition_invariant_and_centred(spark):
     assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], rel=1e-12) for k in a)
     q = bud.allocation_quantiles(bud.bootstrap_allocation(sa, ch, p)).first()
     assert q.p10 <= q.p50 <= q.p90
+
+
+def test_non_concave_floor_raises(spark):
+    steep = [("a", 100.0, 50000.0, 3.0), ("b", 100.0, 100.0, 1.3)]
+    with pytest.raises(ValueError):
+        bud.budget_allocation(hp(spark, steep), BudgetParams(total_budget=10000.0, min_share=0.05, max_share=0.95))

@@ -45,6 +45,19 @@ def response_curves(hp: DataFrame, params: BudgetParams = BudgetParams(), groups
                       hill(F.col("_p.spend"), F.col("vmax"), F.col("k"), F.col("s")).alias("conversions"))
 
 
+def check_concave_above_floor(hp: DataFrame, floor: float) -> None:
+    """Marginal-gain ranking is exact only where each curve is concave above
+    its floor: raise if a Hill inflection k·((s−1)/(s+1))^(1/s) exceeds it.
+    Reads the distinct (k, s) pairs — at most one per channel."""
+    import math
+    for r in hp.select("k", "s").distinct().collect():
+        k, s = r["k"], r["s"]
+        if k is None or not math.isfinite(k) or s is None or s <= 1:
+            continue  # s ≤ 1 is concave everywhere; k = ∞ is a flat zero curve
+        if k * ((s - 1) / (s + 1)) ** (1 / s) > floor:
+            raise ValueError(f"Hill curve (k={k}, s={s}) is not concave above the floor {floor}")
+
+
 def budget_allocation(hp: DataFrame, params: BudgetParams = BudgetParams(), groups: tuple = ()) -> DataFrame:
     """Marginal-gain allocation per scenario (B4): (groups, channel, allocation,
     conversions, total_conversions, concave_ok)."""
@@ -53,6 +66,7 @@ def budget_allocation(hp: DataFrame, params: BudgetParams = BudgetParams(), grou
     n_channels = hp.select("channel").distinct().count() if not groups else None
     if n_channels is not None and not (n_channels * params.min_share <= 1 <= n_channels * params.max_share):
         raise ValueError("budget bounds are infeasible for this many channels")
+    check_concave_above_floor(hp, floor)
     j_max = int(round((cap - floor) / d))
     steps = hp.withColumn("j", F.explode(F.sequence(F.lit(1), F.lit(j_max))))
     x = F.lit(floor) + F.col("j") * F.lit(d)

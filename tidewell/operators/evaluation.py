@@ -159,7 +159,7 @@ def uplift_by_decile(df: DataFrame, uplift: str = "uplift", label: str = "label"
     out = j.groupBy(*gs, "decile").agg(
         F.avg(F.when(tr, y)).alias("treated_conv_rate"),
         F.avg(F.when(~tr, y)).alias("control_conv_rate"))
-    out = out.withColumn("uplift", F.col("treated_conv_rate") - F.col("control_conv_rate"))
+    out = out.withColumn("uplift", F.col("treated_conv_rate") - F.col("control_conv_rate")).orderBy(*gs, "decile")
     return out if groups else out.drop("_g")
 
 

@@ -68,7 +68,7 @@ def _cohort_frame(fact: DataFrame, dim: DataFrame, observed_through: dt.datetime
         *[F.count(F.when(F.col("m") == i, F.lit(1))).alias(f"_a{i}") for i in range(max_months + 1)],
         *[money_sum(F.when(F.col("m") <= i, F.col("rev"))).alias(f"_r{i}") for i in range(max_months + 1)])
     obs = observed_through.year * 12 + observed_through.month - 1
-    j = sizes.join(per, "acquisition_cohort", "left")
+    j = sizes.join(per, "acquisition_cohort", "left").orderBy("acquisition_cohort")
     max_obs = F.lit(obs) - _cohort_index(F.col("acquisition_cohort"))
     return j.select("acquisition_cohort", "cohort_size", *[
         F.when(F.lit(i) > max_obs, F.lit(None).cast("double")).otherwise(cell(i)).alias(f"M{i}")
@@ -153,7 +153,8 @@ def channel_metrics(features: DataFrame, attribution: DataFrame, ltv: DataFrame,
         "channel", "customers", round_half("cost", 2).alias("spend_synthetic"), "conversions",
         round_half("rev", 2).alias("revenue"), round_half(cpa("cost", "conversions"), 2).alias("cpa"),
         round_half(roas("rev", "cost"), 2).alias("roas"), round_half("cac", 2).alias("avg_cac"),
-        round_half("ltv", 2).alias("avg_ltv"), round_half(ltv_cac("ltv", "cac"), 2).alias("ltv_cac"))
+        round_half("ltv", 2).alias("avg_ltv"), round_half(ltv_cac("ltv", "cac"), 2).alias("ltv_cac")
+    ).orderBy(F.col("roas").desc(), F.col("channel"))
 
 
 def channel_segment_metrics(features: DataFrame, attribution: DataFrame, segments: DataFrame,

@@ -172,7 +172,8 @@ def permutation_importance(train: DataFrame, test: DataFrame, params: Propensity
     te.unpersist()
     return auc.groupBy("feature").agg(
         (F.lit(base_auc) - F.avg("roc_auc")).alias("importance_mean"),
-        F.stddev_pop(F.lit(base_auc) - F.col("roc_auc")).alias("importance_std"))
+        F.stddev_pop(F.lit(base_auc) - F.col("roc_auc")).alias("importance_std")).orderBy(
+        F.col("importance_mean").desc(), F.col("feature"))
 
 
 def propensity_scores(train: DataFrame, test: DataFrame, params: PropensityParams = PropensityParams()) -> DataFrame:

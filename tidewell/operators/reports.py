@@ -114,7 +114,7 @@ def segment_mix(profile: DataFrame) -> DataFrame:
     """Size and share of base by segment, largest first, and the top segment."""
     w = Window.orderBy(F.col("size").desc(), F.col("segment_name"))
     return profile.select("segment_name", "size", "pct_of_base").withColumn(
-        "is_top", F.row_number().over(w) == 1)
+        "is_top", F.row_number().over(w) == 1).orderBy(F.col("size").desc(), F.col("segment_name"))
 
 
 def segment_profile_display(profile: DataFrame) -> DataFrame:

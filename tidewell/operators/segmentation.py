@@ -59,7 +59,7 @@ def segment_profiles(features: DataFrame, labels: DataFrame) -> DataFrame:
         F.avg("monetary").alias("monetary"), F.avg(F.col("monetary") / F.col("frequency")).alias("avg_order_value"),
         F.avg("monetary").alias("ltv_historical"), F.avg("target_conversion").alias("conversion_rate"))
     prof = prof.withColumn("pct_of_base", F.col("size") / F.sum("size").over(Window.partitionBy()))
-    return segment_actions(segment_naming(prof))
+    return segment_actions(segment_naming(prof)).orderBy(F.col("monetary").desc(), F.col("cluster"))
 
 
 def segment_naming(profile: DataFrame) -> DataFrame:
