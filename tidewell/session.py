@@ -14,6 +14,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # delete checkpoint files once their RDDs are unreachable (marts are separate files)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
