@@ -152,8 +152,10 @@ def bgnbd_fit(rf: DataFrame, penalizer: float = 0.01) -> DataFrame:
     stats = (rf.groupBy("frequency", "recency", "T").agg(F.count(F.lit(1)).alias("w"))
              .select(F.col("frequency").cast("double").alias("x"), (F.col("recency") * scale).alias("tx"),
                      (F.col("T") * scale).alias("T"), F.col("w").cast("double").alias("w")).cache())
+    from tidewell.session import static_plans
     f = _batch_objective(stats, ["x", "tx", "T"], bgnbd_ll, penalizer)
-    x, fx = minimise(f, np.full(4, 0.1))
+    with static_plans(spark):
+        x, fx = minimise(f, np.full(4, 0.1))
     r, alpha, a, b = np.exp(x)
     rows = stats.agg(F.sum("w")).first()[0]
     stats.unpersist()
@@ -168,8 +170,10 @@ def gamma_gamma_fit(rf: DataFrame, penalizer: float = 0.01) -> DataFrame:
              .groupBy("frequency", "monetary_value").agg(F.count(F.lit(1)).alias("w"))
              .select(F.col("frequency").cast("double").alias("x"), F.col("monetary_value").alias("m"),
                      F.col("w").cast("double").alias("w")).cache())
+    from tidewell.session import static_plans
     f = _batch_objective(stats, ["x", "m"], gamma_gamma_ll, penalizer)
-    x, fx = minimise(f, np.full(3, 0.1))
+    with static_plans(spark):
+        x, fx = minimise(f, np.full(3, 0.1))
     p, q, v = np.exp(x)
     rows = stats.agg(F.sum("w")).first()[0] or 0
     stats.unpersist()

@@ -185,9 +185,19 @@ def lloyd(points: DataFrame, fits: DataFrame, seed: int, max_iter: int = 50, tol
     the checkpointed points and the lineage never grows.
     Returns (assignments DataFrame for all fits, centres DataFrame).
     """
+    from tidewell.session import static_plans
     spark = points.sparkSession
     var = points.agg(*[F.var_pop(f) for f in RFM_FEATURES]).first()
     threshold = tol * (sum(v or 0.0 for v in var) / len(RFM_FEATURES))
+    # the per-iteration shuffle carries at most fits × k rows: size it to that
+    n_groups = fits.agg(F.sum("k")).first()[0] or 1
+    with static_plans(spark, max(1, -(-n_groups // 20000))):
+        rows = _lloyd_loop(points, fits, seed, max_iter, threshold)
+    centres = spark.createDataFrame(rows, _CENTRE_SCHEMA)
+    return _assign_local(points, rows), centres
+
+
+def _lloyd_loop(points: DataFrame, fits: DataFrame, seed: int, max_iter: int, threshold: float) -> list[tuple]:
     rows = [tuple(r) for r in _init_centres(points, fits, seed).collect()]
     active = sorted({r[0] for r in rows})
     for _ in range(max_iter):
@@ -210,8 +220,7 @@ def lloyd(points: DataFrame, fits: DataFrame, seed: int, max_iter: int = 50, tol
         active = sorted(f for f, sh in shift.items() if sh > threshold)
         if _DEBUG:
             print("lloyd active", len(active), max(shift.values()))
-    centres = spark.createDataFrame(rows, _CENTRE_SCHEMA)
-    return _assign_local(points, rows), centres
+    return rows
 
 
 def subsample_members(matrix: DataFrame, runs: list[int], frac: float, seed: int) -> DataFrame:
@@ -249,7 +258,12 @@ def kmeans_fits(matrix: DataFrame, fits: list[tuple[int, int, int, int]], subsam
     from tidewell.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    from pyspark import StorageLevel
+    # checkpoint: reliable copy that cuts the lineage; persist: every Lloyd
+    # iteration re-reads the points, so keep them in executor memory (spilling
+    # to disk) — a lost block is re-read from the checkpoint
     points = points.repartition(n_parts, "fit", "customer_id").checkpoint(eager=True)
+    points = points.persist(StorageLevel.MEMORY_AND_DISK)
     assign, _ = lloyd(points, fit_df.select("fit", "k"), params.seed, params.max_iter, params.tol)
     inertia = assign.groupBy("fit").agg(F.sum("d").alias("inertia")).join(F.broadcast(fit_df), "fit")
     best = inertia.withColumn("_r", F.row_number().over(

@@ -81,3 +81,37 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(path)
     sc._tidewell_shipped = True
+
+
+class sql_conf:
+    """Temporarily set session SQL options, restoring the previous values.
+
+    Used around driver loops of many tiny, fixed-shape jobs (Lloyd
+    iterations, likelihood evaluations): their plans are already optimal —
+    a broadcast of a parameter-sized local table and an aggregate to a
+    parameter-sized result — so adaptive re-planning only adds a per-stage
+    round trip to every iteration."""
+
+    def __init__(self, spark: SparkSession, options: dict[str, str]):
+        self.spark, self.options, self.saved = spark, options, {}
+
+    def __enter__(self):
+        for k, v in self.options.items():
+            self.saved[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.saved.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False
+
+
+def static_plans(spark: SparkSession, shuffle_partitions: int | None = None) -> sql_conf:
+    opts = {"spark.sql.adaptive.enabled": "false"}
+    if shuffle_partitions:
+        opts["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    return sql_conf(spark, opts)
