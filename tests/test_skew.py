@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from tidewell.functions.hashing import hash_uniform
 from tidewell.operators import features, metrics
 from tidewell.plans.oracle import CUT, features_sql
-from tidewell.plans.pipeline import Pipeline, round_doubles
+from tidewell.plans.layers import Layers, round_doubles
 
 
 @pytest.fixture(scope="module")
 def skewed(spark, smoke_dir):
-    p = Pipeline(spark, smoke_dir)
+    p = Layers(spark, smoke_dir)
     from tidewell.operators.cleaning import SILVER_COLUMNS
     silver = p.silver.select(*SILVER_COLUMNS)
     hot = hash_uniform(7, F.concat_ws(":", "invoice", "stock_code"), "hot") < 1 / 3

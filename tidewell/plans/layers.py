@@ -1,6 +1,6 @@
-"""The standard pipeline over the TESTDATA tables, as lazily-built DataFrames.
+"""The standard layers over the TESTDATA tables, as lazily-built DataFrames.
 
-Each attribute is a DataFrame built once per Pipeline object, so a query that
+Each attribute is a DataFrame built once per Layers object, so a query that
 uses silver twice gets the same plan node (and Spark reuses its exchange).
 """
 from __future__ import annotations
@@ -27,7 +27,7 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
         for f in df.schema.fields])
 
 
-class Pipeline:
+class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str,
                  cutoffs: Cutoffs = Cutoffs(),
                  feature_params: FeatureParams = FeatureParams(),

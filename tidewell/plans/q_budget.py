@@ -8,7 +8,7 @@ from tidewell.functions.hill import hill
 from tidewell.functions.ratios import round_half
 from tidewell.operators import budget as bud
 from tidewell.plans.oracle import BP, build, cte, dl, hash_u, hill_sql
-from tidewell.plans.pipeline import round_doubles
+from tidewell.plans.layers import round_doubles
 from tidewell.plans.registry import register
 
 B = BP.total_budget

@@ -7,7 +7,7 @@ from tidewell.functions.hashing import hash_uniform
 from tidewell.operators import attribution as attr
 from tidewell.operators import features as feat
 from tidewell.plans.oracle import AP, CUT, FP, build, features_sql, hash_u, tslit
-from tidewell.plans.pipeline import round_doubles
+from tidewell.plans.layers import round_doubles
 from tidewell.plans.registry import register
 
 FEAT_COLS = ("customer_id, recency_days, frequency, round(monetary, 6) AS monetary, product_diversity, "

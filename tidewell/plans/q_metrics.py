@@ -10,7 +10,7 @@ from tidewell.functions.ratios import ltv_cac as ltv_cac_col
 from tidewell.functions.ratios import roas as roas_col
 from tidewell.operators import metrics as met
 from tidewell.plans.oracle import CUT, MP, build, cpa_sql, roas_sql, tslit
-from tidewell.plans.pipeline import round_doubles
+from tidewell.plans.layers import round_doubles
 from tidewell.plans.registry import register
 
 

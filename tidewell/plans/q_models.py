@@ -11,7 +11,7 @@ from tidewell.operators import propensity as prop
 from tidewell.operators import segmentation as seg
 from tidewell.params import FEATURE_COLUMNS
 from tidewell.plans.oracle import INF_SQL, build, cte
-from tidewell.plans.pipeline import round_doubles
+from tidewell.plans.layers import round_doubles
 from tidewell.plans.registry import register
 
 # ---------------------------------------------------------------- evaluation (given scores)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidewell.operators import cleaning
 from tidewell.operators import reports as rep
 from tidewell.plans.oracle import build, cte, q
-from tidewell.plans.pipeline import round_doubles
+from tidewell.plans.layers import round_doubles
 from tidewell.plans.registry import register
 
 

@@ -1,7 +1,7 @@
 """Query registry: name -> (spark plan builder, oracle SQL or None).
 
 Keys are the operator names of the inventory.  Every builder takes
-(spark, sf_dir), reads the given tables through the Pipeline and returns a
+(spark, sf_dir), reads the given tables through the Layers and returns a
 DataFrame whose column names equal the oracle SQL's.
 """
 from __future__ import annotations
@@ -10,16 +10,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.plans.pipeline import Pipeline
+from tidewell.plans.layers import Layers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
-    def deco(fn: Callable[[Pipeline], DataFrame]):
+    def deco(fn: Callable[[Layers], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Pipeline(spark, sf_dir))
+            return fn(Layers(spark, sf_dir))
         run.__name__ = f"q_{name}"
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
