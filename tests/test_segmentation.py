@@ -1,5 +1,4 @@
 """Segment naming, actions and batched k-means."""
-import pytest
 from pyspark.sql import functions as F
 
 from tidewell.operators import segmentation as seg

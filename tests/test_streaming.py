@@ -2,7 +2,7 @@
 import os
 import tempfile
 
-from fixtures import BRONZE_SCHEMA, SAMPLE_TRANSACTIONS, SMOKE_CODES
+from fixtures import BRONZE_SCHEMA, SAMPLE_TRANSACTIONS
 from tidewell.operators import cleaning
 from tidewell.streaming import silver as st
 

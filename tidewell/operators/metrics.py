@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.ratios import round_half
 
 from tidewell.functions.ratios import cpa, ltv_cac, money_sum, roas
-from tidewell.functions.timecols import as_ts, floor_days, month_index
+from tidewell.functions.timecols import as_ts, month_index
 from tidewell.params import MetricsParams
 
 

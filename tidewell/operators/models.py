@@ -14,7 +14,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.hashing import hash_uniform
@@ -225,12 +225,11 @@ def stability_reseed(features: DataFrame, reference: DataFrame, params: Segmenta
     """ARI of ``reseed_runs`` refits (new seeds) against the reference labels."""
     m = seg.rfm_matrix(features, params)
     k = params.chosen_k or 5
-    fits = seg.fit_table([k] * params.reseed_runs, params.restarts)
-    fits = [(f, kk, run, r) for f, kk, run, r in fits]
-    labels, _ = seg.kmeans_fits(m, [(f + 1000, kk, run, r) for f, kk, run, r in fits], None, params)
+    # fit ids offset from the reference fit's, so every run gets new seeds
+    fits = [(f + 1000, kk, run, r) for f, kk, run, r in seg.fit_table([k] * params.reseed_runs, params.restarts)]
+    labels, _ = seg.kmeans_fits(m, fits, None, params)
     j = labels.join(reference.select("customer_id", F.col("cluster").alias("ref")), "customer_id")
-    ari = ev.adjusted_rand_index(j, "ref", "cluster", ("run",))
-    return ari
+    return ev.adjusted_rand_index(j, "ref", "cluster", ("run",))
 
 
 def stability_subsample(features: DataFrame, reference: DataFrame,

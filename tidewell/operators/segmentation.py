@@ -19,7 +19,6 @@ from tidewell.functions.hashing import hash_uniform
 from tidewell.params import DEFAULT_SEGMENT_ACTION, SEGMENT_ACTIONS, SegmentationParams
 
 RFM_FEATURES = ["x_recency", "x_frequency", "x_monetary"]
-_DEBUG = False
 
 
 def rfm_matrix(features: DataFrame, params: SegmentationParams = SegmentationParams()) -> DataFrame:
@@ -218,8 +217,6 @@ def _lloyd_loop(points: DataFrame, fits: DataFrame, seed: int, max_iter: int, th
                 out.append(r)
         rows = out
         active = sorted(f for f, sh in shift.items() if sh > threshold)
-        if _DEBUG:
-            print("lloyd active", len(active), max(shift.values()))
     return rows
 
 

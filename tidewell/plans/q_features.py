@@ -1,9 +1,10 @@
 """Registered plans: dimension, point-in-time features, label, attribution (F*, A*)."""
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from tidewell.functions.hashing import hash_uniform
 from tidewell.operators import attribution as attr
 from tidewell.operators import features as feat
 from tidewell.plans.oracle import AP, CUT, FP, build, features_sql, hash_u, tslit
@@ -89,7 +90,7 @@ def behavioral(p):
 
 @register("target_conversion", build(f"""
 SELECT customer_id, CAST(max(CASE WHEN invoice_date > {T} THEN 1 ELSE 0 END) AS INTEGER) AS target_conversion
-FROM silver WHERE invoice_date <= {tslit(CUT.t_test + __import__('datetime').timedelta(days=CUT.window_days))}
+FROM silver WHERE invoice_date <= {tslit(CUT.t_test + dt.timedelta(days=CUT.window_days))}
 GROUP BY customer_id HAVING max(CASE WHEN invoice_date <= {T} THEN 1 ELSE 0 END) = 1""", "silver"))
 def target_conversion(p):
     """purchase in (as_of, as_of + 90 days], eligible = has history."""

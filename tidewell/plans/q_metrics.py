@@ -1,8 +1,6 @@
 """Registered plans: media ratios, LTV, cohorts (M*)."""
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from tidewell.functions.ratios import cpa as cpa_col
