@@ -37,10 +37,20 @@ def _canon(df):
     return digest(df)[0]
 
 
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                   "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, smoke_dir, name):
-    sdf = E.queries()[name](spark, smoke_dir).toPandas()
-    odf = con.execute(E.oracle_sql()[name]).df()
+    frame = E.queries()[name](spark, smoke_dir)
+    rel = con.sql(E.oracle_sql()[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in frame.schema.fields:
+        st = f.dataType.simpleString()
+        assert SPARK_TO_DUCKDB.get(st, st) == duck_types.get(f.name), (f.name, st, duck_types.get(f.name))
+    sdf = frame.toPandas()
+    odf = rel.df()
     assert sorted(sdf.columns) == sorted(odf.columns)
     assert len(sdf) == len(odf)
     assert _canon(sdf) == _canon(odf)

@@ -98,7 +98,7 @@ def bootstrap_hill_params(scored_attribution: DataFrame, channel_table: DataFram
     does.  The customer × resample stream is reduced map-side before any
     shuffle: the exchange carries resamples × channels rows per task."""
     n = scored_attribution.count()
-    r = F.explode(F.sequence(F.lit(1), F.lit(params.resamples)))
+    r = F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(params.resamples).cast("bigint")))
     exp = scored_attribution.select("customer_id", "channel", score_col).withColumn("resample", r)
     w = hash_poisson1(params.seed, F.concat_ws(":", F.col("resample"), F.col("customer_id")), "bootstrap")
     agg = exp.withColumn("_w", w).groupBy("resample", "channel").agg(

@@ -114,7 +114,7 @@ def qini_curve(df: DataFrame, uplift: str = "uplift", label: str = "label", trea
     rt = running_totals(src, [F.col(uplift).desc(), F.col(key).asc()],
                         {"yt": y * t, "yc": y * (F.lit(1) - t), "nt": t, "nc": F.lit(1) - t}, tuple(gs))
     tot = src.groupBy(*gs).agg(F.count(F.lit(1)).alias("n_customers"))
-    cuts = (tot.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(n_bins))))
+    cuts = (tot.withColumn("point", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_bins).cast("bigint"))))
             .withColumn("pos", F.expr(f"(n_customers * point) div {n_bins}")))
     j = cuts.join(rt.select(*gs, "pos", "cum_yt", "cum_yc", "cum_nt", "cum_nc"), [*gs, "pos"], "left")
     inc = F.coalesce(F.col("cum_yt") - F.col("cum_yc") * (F.col("cum_nt") / F.greatest(F.col("cum_nc"), F.lit(1))),
@@ -153,7 +153,7 @@ def uplift_by_decile(df: DataFrame, uplift: str = "uplift", label: str = "label"
     edges = q.select(*gs, F.sort_array(F.array_distinct(F.array(*[F.col(f"q{i}") for i in range(11)]))).alias("_edges"))
     j = src.join(edges, gs)
     interior = F.slice(F.col("_edges"), 2, F.greatest(F.size("_edges") - 2, F.lit(0)))
-    j = j.withColumn("decile", F.lit(1) + F.size(F.filter(interior, lambda e: -F.col(uplift) > e)))
+    j = j.withColumn("decile", (F.lit(1) + F.size(F.filter(interior, lambda e: -F.col(uplift) > e))).cast("bigint"))
     tr = F.col(treated).cast("boolean")
     y = F.col(label).cast("double")
     out = j.groupBy(*gs, "decile").agg(

@@ -50,7 +50,7 @@ def cohort_month_index(fact: DataFrame, dim: DataFrame) -> DataFrame:
     d = dim.select("customer_id", "acquisition_cohort")
     return (fact.select("customer_id", "invoice_date", "revenue").join(d, "customer_id")
             .withColumn("months_since_acquisition",
-                        month_index("invoice_date") - _cohort_index(F.col("acquisition_cohort"))))
+                        (month_index("invoice_date") - _cohort_index(F.col("acquisition_cohort"))).cast("bigint")))
 
 
 def _cohort_cells(fact: DataFrame, dim: DataFrame) -> DataFrame:

@@ -308,7 +308,7 @@ def choose_k(p):
     """First k with the highest silhouette over a sweep (here: frequency
     tiers for k = 2..10, silhouettes for all k in one grouped job)."""
     m = seg.rfm_matrix(p.features_current, p.sp)
-    sweep = m.withColumn("k", F.explode(F.sequence(F.lit(2), F.lit(10)))).withColumn(
+    sweep = m.withColumn("k", F.explode(F.sequence(F.lit(2).cast("bigint"), F.lit(10).cast("bigint")))).withColumn(
         "cluster", F.least(F.col("frequency") - 1, F.col("k") - 1))
     sil = ev.silhouette(sweep, seg.RFM_FEATURES, "cluster", ("k",))
     best = seg.choose_k(sil.select("k", "silhouette"), None)
