@@ -61,3 +61,15 @@ def test_marts_satisfy_their_contracts(spark, smoke_dir):
     assert checks and all(r.violations == 0 for r in checks), [r for r in checks if r.violations]
     uniq = E.queries()["mart_contract_unique"](spark, smoke_dir).collect()
     assert all(r.duplicate_keys == 0 for r in uniq)
+
+
+@pytest.mark.parametrize("name", ["dq_report", "customer_features", "roc_auc", "roc_curve", "qini_curve",
+                                  "stratified_split", "uplift_by_decile", "bootstrap_allocation",
+                                  "budget_allocation", "cohort_retention", "attribution_mix"])
+def test_same_result_at_1_and_16_partitions(spark, smoke_dir, name):
+    from tidewell.session import sql_conf
+    digests = []
+    for n in ("1", "16"):
+        with sql_conf(spark, {"spark.sql.shuffle.partitions": n}):
+            digests.append(_canon(E.queries()[name](spark, smoke_dir).toPandas()))
+    assert digests[0] == digests[1]
