@@ -62,7 +62,8 @@ def _cohort_cells(fact: DataFrame, dim: DataFrame) -> DataFrame:
 
 def _cohort_frame(fact: DataFrame, dim: DataFrame, observed_through: dt.datetime, max_months: int,
                   cell) -> DataFrame:
-    sizes = dim.groupBy("acquisition_cohort").agg(F.count_distinct("customer_id").alias("cohort_size"))
+    # dim is one row per customer (contract K3), so a plain count is the distinct count
+    sizes = dim.groupBy("acquisition_cohort").agg(F.count(F.lit(1)).alias("cohort_size"))
     cells = _cohort_cells(fact, dim).filter((F.col("m") >= 0) & (F.col("m") <= max_months))
     per = cells.groupBy("acquisition_cohort").agg(
         *[F.count(F.when(F.col("m") == i, F.lit(1))).alias(f"_a{i}") for i in range(max_months + 1)],
