@@ -60,31 +60,36 @@ def check_concave_above_floor(hp: DataFrame, floor: float) -> None:
 
 def budget_allocation(hp: DataFrame, params: BudgetParams = BudgetParams(), groups: tuple = ()) -> DataFrame:
     """Marginal-gain allocation per scenario (B4): (groups, channel, allocation,
-    conversions, total_conversions, concave_ok)."""
+    conversions, total_conversions, concave_ok).
+
+    The parameter table is consumed once: every (channel, step) gain is
+    ranked in one window per scenario, and one grouped aggregate carries the
+    Hill parameters together with the number of chosen steps."""
     b = params.total_budget
     floor, cap, d = params.min_share * b, params.max_share * b, params.step
-    n_channels = hp.select("channel").distinct().count() if not groups else None
-    if n_channels is not None and not (n_channels * params.min_share <= 1 <= n_channels * params.max_share):
-        raise ValueError("budget bounds are infeasible for this many channels")
+    if not groups:
+        n_channels = hp.select("channel").distinct().count()
+        if not (n_channels * params.min_share <= 1 <= n_channels * params.max_share):
+            raise ValueError("budget bounds are infeasible for this many channels")
     check_concave_above_floor(hp, floor)
     j_max = int(round((cap - floor) / d))
-    steps = hp.withColumn("j", F.explode(F.sequence(F.lit(1), F.lit(j_max))))
+    scen = Window.partitionBy(*groups) if groups else Window.partitionBy()
+    base = hp.withColumn("_n_steps", F.round((F.lit(b) - F.count(F.lit(1)).over(scen) * F.lit(floor)) / F.lit(d))
+                         .cast("int"))
+    js = F.sequence(F.lit(1), F.lit(j_max)) if j_max >= 1 else F.array().cast("array<int>")
+    steps = base.withColumn("j", F.explode_outer(js))
     x = F.lit(floor) + F.col("j") * F.lit(d)
-    gain = hill(x, "vmax", "k", "s") - hill(x - F.lit(d), "vmax", "k", "s")
-    steps = steps.withColumn("gain", gain)
-    chans = Window.partitionBy(*groups) if groups else Window.partitionBy()
-    n_total = F.round((F.lit(b) - F.count(F.lit(1)).over(chans) * F.lit(floor)) / F.lit(d)).cast("int")
-    per_ch = hp.withColumn("_n_steps", n_total)
-    steps = steps.join(per_ch.select(*groups, "channel", "_n_steps"), [*groups, "channel"])
-    w = Window.partitionBy(*groups).orderBy(F.col("gain").desc(), F.col("channel").asc(), F.col("j").asc())
-    chosen = steps.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= F.col("_n_steps"))
-    cnt = chosen.groupBy(*groups, "channel").agg(F.count(F.lit(1)).alias("_steps"))
-    alloc = hp.join(cnt, [*groups, "channel"], "left").withColumn(
-        "allocation", F.lit(floor) + F.coalesce(F.col("_steps"), F.lit(0)) * F.lit(d))
+    steps = steps.withColumn("gain", hill(x, "vmax", "k", "s") - hill(x - F.lit(d), "vmax", "k", "s"))
+    w = Window.partitionBy(*groups).orderBy(F.col("gain").desc_nulls_last(), F.col("channel").asc(), F.col("j").asc())
+    ranked = steps.withColumn("_rank", F.row_number().over(w))
+    chosen = F.when(F.col("j").isNotNull() & (F.col("_rank") <= F.col("_n_steps")), 1).otherwise(0)
+    per = ranked.groupBy(*groups, "channel").agg(
+        F.first("vmax").alias("vmax"), F.first("k").alias("k"), F.first("s").alias("s"),
+        F.sum(chosen).alias("_steps"))
+    alloc = per.withColumn("allocation", F.lit(floor) + F.col("_steps") * F.lit(d))
     alloc = alloc.withColumn("conversions", hill("allocation", "vmax", "k", "s"))
-    tot = Window.partitionBy(*groups) if groups else Window.partitionBy()
     return alloc.select(*groups, "channel", "allocation", "conversions",
-                        F.sum("conversions").over(tot).alias("total_conversions"),
+                        F.sum("conversions").over(scen).alias("total_conversions"),
                         (inflection(F.col("k"), F.col("s")) <= F.lit(floor)).alias("concave_ok"))
 
 

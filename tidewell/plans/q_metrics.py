@@ -136,8 +136,8 @@ def ltv_table(p):
 
 @register("channel_metrics", build("SELECT * FROM channel_table", "channel_table"))
 def channel_metrics(p):
-    """Per-channel spend, conversions, revenue, CPA, ROAS, CAC, LTV, LTV:CAC."""
-    return p.channel_table
+    """Per-channel spend, conversions, revenue, CPA, ROAS, CAC, LTV, LTV:CAC (ROAS desc)."""
+    return p.channel_table.orderBy(F.col("roas").desc(), F.col("channel"))
 
 
 @register("channel_segment_metrics", build(f"""
