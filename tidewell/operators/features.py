@@ -86,35 +86,68 @@ def history(fact: DataFrame, as_ofs, trend_months: int = 6) -> DataFrame:
 
 # -- F2/F3/F5/F6/F10 core aggregation ---------------------------------------------
 
-def _core(expanded: DataFrame, trend_months: int) -> DataFrame:
+def _invoice_grain(expanded: DataFrame, trend_months: int) -> DataFrame:
+    """One row per (as_of, customer, invoice): first/last history time, history
+    revenue, the invoice's share of the trend numerator and the label flag.
+    Every customer-level feature except product diversity, and the order
+    gaps, are derived from this one (partially aggregated) shuffle."""
     hist = F.col("invoice_date") <= F.col("as_of")
     fut = (F.col("invoice_date") > F.col("as_of")) & (F.col("invoice_date") <= F.col("horizon"))
     m = month_index("invoice_date")
     in_trend = hist & (m >= F.col("trend_start")) & (m <= F.col("trend_end"))
     center = trend_months / 2.0
+    return expanded.groupBy("as_of", "customer_id", "invoice").agg(
+        F.min(F.when(hist, F.col("invoice_date"))).alias("first_t"),
+        F.max(F.when(hist, F.col("invoice_date"))).alias("last_t"),
+        F.sum(F.when(hist, F.col("revenue"))).alias("rev"),
+        F.sum(F.when(in_trend, (m - F.col("trend_start") - F.lit(center)) * F.col("revenue"))).alias("slope_part"),
+        F.max(F.when(fut, F.lit(1)).otherwise(F.lit(0))).alias("fut"))
+
+
+def _core(inv: DataFrame, trend_months: int) -> DataFrame:
     n_pts = trend_months + 1
     denom = n_pts * (n_pts * n_pts - 1) / 12.0
-    agg = expanded.groupBy("as_of", "customer_id").agg(
-        F.max(F.when(hist, F.col("invoice_date"))).alias("last_ts"),
-        F.count_distinct(F.when(hist, F.col("invoice"))).alias("frequency"),
-        money_sum(F.when(hist, F.col("revenue"))).alias("monetary"),
-        F.count_distinct(F.when(hist, F.col("stock_code"))).alias("product_diversity"),
-        F.sum(F.when(in_trend, (m - F.col("trend_start") - F.lit(center)) * F.col("revenue"))).alias("_slope_num"),
-        F.max(F.when(fut, F.lit(1)).otherwise(F.lit(0))).alias("target_conversion"),
-        F.max(hist.cast("int")).alias("_has_hist"),
+    has_hist = F.col("first_t").isNotNull() & F.col("invoice").isNotNull()
+    agg = inv.groupBy("as_of", "customer_id").agg(
+        F.max("last_t").alias("last_ts"),
+        F.count(F.when(has_hist, F.lit(1))).alias("frequency"),
+        round_half(F.sum("rev"), 6).alias("monetary"),
+        F.sum("slope_part").alias("_slope_num"),
+        F.max("fut").alias("target_conversion"),
+        F.max(F.col("first_t").isNotNull().cast("int")).alias("_has_hist"),
     ).filter(F.col("_has_hist") == 1)
     return agg.select(
         "as_of", "customer_id",
         floor_days(F.col("as_of"), F.col("last_ts")).alias("recency_days"),
-        "frequency", "monetary", "product_diversity",
+        "frequency", "monetary",
         (F.col("frequency") == 1).alias("single_buyer"),
         (F.coalesce(F.col("_slope_num"), F.lit(0.0)) / F.lit(denom)).alias("spend_trend_slope"),
         F.col("target_conversion").cast("int").alias("target_conversion"),
     )
 
 
+def _diversity(expanded: DataFrame) -> DataFrame:
+    return (expanded.filter(F.col("invoice_date") <= F.col("as_of"))
+            .groupBy("as_of", "customer_id").agg(F.count_distinct("stock_code").alias("product_diversity")))
+
+
 # -- F4 -------------------------------------------------------------------------
 
+def _gaps_from_invoices(inv: DataFrame) -> DataFrame:
+    days = (inv.filter(F.col("first_t").isNotNull())
+            .groupBy("as_of", "customer_id", F.to_date("first_t").alias("day"))
+            .agg(F.min("first_t").alias("d_first"), F.max("first_t").alias("d_last"),
+                 F.count(F.lit(1)).alias("n")))
+    w = Window.partitionBy("as_of", "customer_id").orderBy("day")
+    days = days.withColumn("edge_gap", floor_days(F.col("d_first"), F.lag("d_last").over(w)))
+    tot = days.groupBy("as_of", "customer_id").agg(
+        F.coalesce(F.sum("edge_gap"), F.lit(0)).alias("gaps"), F.sum("n").alias("n_invoices"))
+    return tot.select(
+        "as_of", "customer_id",
+        F.when(F.col("n_invoices") >= 2, F.col("gaps") / (F.col("n_invoices") - 1))
+         .cast("double").alias("avg_days_between_orders"))
+
+
 def order_gaps(hist: DataFrame) -> DataFrame:
     """Mean floored day gap between a customer's consecutive invoices.
 
@@ -127,18 +160,8 @@ def order_gaps(hist: DataFrame) -> DataFrame:
     which is bounded by the calendar however many rows the customer has.
     Sum of gaps / (invoices − 1); null below two invoices.
     """
-    inv = (hist.groupBy("as_of", "customer_id", "invoice")
-           .agg(F.min("invoice_date").alias("t")))
-    days = inv.groupBy("as_of", "customer_id", F.to_date("t").alias("day")).agg(
-        F.min("t").alias("first_t"), F.max("t").alias("last_t"), F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("as_of", "customer_id").orderBy("day")
-    days = days.withColumn("edge_gap", floor_days(F.col("first_t"), F.lag("last_t").over(w)))
-    tot = days.groupBy("as_of", "customer_id").agg(
-        F.coalesce(F.sum("edge_gap"), F.lit(0)).alias("gaps"), F.sum("n").alias("n_invoices"))
-    return tot.select(
-        "as_of", "customer_id",
-        F.when(F.col("n_invoices") >= 2, F.col("gaps") / (F.col("n_invoices") - 1))
-         .cast("double").alias("avg_days_between_orders"))
+    inv = hist.groupBy("as_of", "customer_id", "invoice").agg(F.min("invoice_date").alias("first_t"))
+    return _gaps_from_invoices(inv)
 
 
 # -- F11 / F12 --------------------------------------------------------------------
@@ -151,10 +174,11 @@ def feature_snapshots(fact: DataFrame, dim: DataFrame, as_ofs, window_days: int
     tm = params.trend_months
     cols = fact.select("customer_id", "invoice", "stock_code", "invoice_date", "revenue")
     expanded = expand_to_cutoffs(cols, as_ofs, window_days if include_target else None, tm)
-    core = _core(expanded, tm)
-    gaps = order_gaps(expanded.filter(F.col("invoice_date") <= F.col("as_of")))
+    inv = _invoice_grain(expanded, tm)
+    keys = ["as_of", "customer_id"]
     d = dim.select("customer_id", "first_purchase_date", "country")
-    out = (core.join(gaps, ["as_of", "customer_id"], "left")
+    out = (_core(inv, tm).join(_diversity(expanded), keys, "left")
+           .join(_gaps_from_invoices(inv), keys, "left")
            .join(d, "customer_id", "left"))
     label = F.col("target_conversion") if include_target else F.lit(None).cast("int")
     return out.select(
