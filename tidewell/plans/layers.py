@@ -183,3 +183,11 @@ class Layers:
         split = stratified_split(df, ["treated", "label"], 0.3, self.pp.seed)
         u = hash_uniform(self.pp.seed, "customer_id", "uplift")
         return split.withColumn("uplift", F.floor(u * 200).cast("double") / F.lit(1000.0) - F.lit(0.1))
+
+    @cached_property
+    def kmeans_labels(self) -> DataFrame:
+        """segment_assignments mart from the fitted k-means (reference labelling
+        for the stability studies and the k-means segment report)."""
+        from tidewell.operators.models import kmeans_fit
+        return self.mart("segment_assignments_kmeans",
+                         lambda: kmeans_fit(self.features_current, self.sp)[0].select("customer_id", "cluster"))

@@ -80,22 +80,20 @@ def k_sweep(p):
 @register("stability_reseed")
 def stability_reseed(p):
     """ARI of reseeded refits vs the reference labelling (mean, min)."""
-    ref, _ = M.kmeans_fit(p.features_current, p.sp)
-    return M.stability_summary(M.stability_reseed(p.features_current, ref.cache(), p.sp))
+    return M.stability_summary(M.stability_reseed(p.features_current, p.kmeans_labels, p.sp))
 
 
 @register("stability_subsample")
 def stability_subsample(p):
     """ARI on 80% subsamples without replacement; stable iff mean ≥ 0.85."""
-    ref, _ = M.kmeans_fit(p.features_current, p.sp)
-    return M.stability_summary(M.stability_subsample(p.features_current, ref.cache(), p.sp), p.sp.ari_threshold)
+    return M.stability_summary(M.stability_subsample(p.features_current, p.kmeans_labels, p.sp),
+                               p.sp.ari_threshold)
 
 
 @register("kmeans_segments")
 def kmeans_segments(p):
     """G9–G12 on the fitted k-means labels: named profile per cluster."""
-    ref, _ = M.kmeans_fit(p.features_current, p.sp)
-    return seg.segment_profiles(p.features_current, ref.select("customer_id", "cluster"))
+    return seg.segment_profiles(p.features_current, p.kmeans_labels)
 
 
 # ---------------------------------------------------------------- probabilistic LTV
