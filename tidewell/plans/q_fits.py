@@ -129,3 +129,12 @@ def ltv_table_probabilistic(p):
     """LTV table on the probabilistic path (heuristic when the fit is unusable)."""
     from tidewell.operators import ltv
     return ltv.probabilistic_ltv_table(p.silver, p.features_current, p.cutoffs.t_test, p.mp)
+
+
+@register("model_budget_allocation")
+def model_budget_allocation(p):
+    """B2 + B4 on the calibrated boosted-tree scores (the fitted-model path of the simulator)."""
+    from tidewell.operators import budget as bud
+    scores = M.gbm_calibrated(p.features_train, p.features_test, p.pp).select("customer_id", "score")
+    hp = bud.hill_params(p.attribution, scores, p.channel_table, p.bp)
+    return bud.budget_allocation(hp, p.bp)
