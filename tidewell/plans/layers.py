@@ -1,7 +1,12 @@
-"""The standard layers over the TESTDATA tables, as lazily-built DataFrames.
-
-Each attribute is a DataFrame built once per Layers object, so a query that
-uses silver twice gets the same plan node (and Spark reuses its exchange).
+"""The pipeline layers over the TESTDATA tables.
+
+Stored layers (``silver``, ``dim``, ``snapshots``, ``attribution``,
+``kmeans_labels``) are Parquet marts in the shared checkpoint folder, keyed by
+an input + code signature and built on first use; ``*_plan`` attributes are
+the same layers as plans over their inputs, for the queries that measure the
+operator itself.  Derived customer-grain frames (scores, profiles, LTV,
+channel table, Hill parameters) are lazily built DataFrames, one object per
+Layers instance so repeated use inside one query shares plan nodes.
 """
 from __future__ import annotations
 
@@ -28,6 +33,8 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 class Layers:
+    """Entry point to every layer for one set of source tables and parameters."""
+
     def __init__(self, spark: SparkSession, sf_dir: str,
                  cutoffs: Cutoffs = Cutoffs(),
                  feature_params: FeatureParams = FeatureParams(),
