@@ -45,3 +45,13 @@ def test_probabilistic_ltv_non_negative(spark, smoke_dir):
 def test_permutation_importance_covers_features(spark, smoke_dir):
     rows = run(spark, smoke_dir, "permutation_importance").collect()
     assert len(rows) == 10 and all(r.importance_std >= 0 for r in rows)
+
+
+def test_stored_ensemble_scores_like_a_fresh_fit(spark, smoke_dir):
+    from tidewell.operators import models as M
+    from tidewell.plans.layers import Layers
+    p = Layers(spark, smoke_dir)
+    fresh = M.gbm_calibrated(p.features_train, p.features_test, p.pp).withColumnRenamed("score", "a")
+    stored = M.gbm_calibrated(p.features_train, p.features_test, p.pp, p.calibrated_ensemble)
+    j = fresh.join(stored.withColumnRenamed("score", "b"), ["customer_id", "label"])
+    assert j.count() == fresh.count() and j.filter(F.abs(F.col("a") - F.col("b")) > 1e-12).count() == 0

@@ -133,9 +133,31 @@ def apply_calibrated(df_gbm: DataFrame, va, models, keep: list[str]) -> DataFram
     return base.select(*keep, F.least(F.greatest(mean, F.lit(0.0)), F.lit(1.0)).alias("score"))
 
 
-def gbm_calibrated(train: DataFrame, test: DataFrame, params: PropensityParams = PropensityParams()) -> DataFrame:
+def save_calibrated(spark, fitted, path: str) -> None:
+    """Persist a calibrated ensemble with Spark ML's own writers (shared folder)."""
+    med, _, models = fitted
+    spark.createDataFrame([tuple(float(med[c]) if med[c] is not None else None for c in FEATURE_COLUMNS)],
+                          ", ".join(f"{c} double" for c in FEATURE_COLUMNS)).write.mode("overwrite").json(
+        f"{path}/medians")
+    for i, (gbt, iso) in enumerate(models):
+        gbt.write().overwrite().save(f"{path}/gbt_{i}")
+        iso.write().overwrite().save(f"{path}/iso_{i}")
+
+
+def load_calibrated(spark, path: str, folds: int):
+    from pyspark.ml.classification import GBTClassificationModel
+    from pyspark.ml.regression import IsotonicRegressionModel
+    row = spark.read.json(f"{path}/medians").first()
+    med = {c: row[c] for c in FEATURE_COLUMNS}
+    models = [(GBTClassificationModel.load(f"{path}/gbt_{i}"), IsotonicRegressionModel.load(f"{path}/iso_{i}"))
+              for i in range(folds)]
+    return med, VectorAssembler(inputCols=GBM_INPUTS, outputCol="features"), models
+
+
+def gbm_calibrated(train: DataFrame, test: DataFrame, params: PropensityParams = PropensityParams(),
+                   fitted=None) -> DataFrame:
     """Isotonic-calibrated boosted-tree ensemble scores on the test snapshot."""
-    med, va, models = calibrated_models(train, params)
+    med, va, models = fitted or calibrated_models(train, params)
     te = gbm_frame(test, med)
     return apply_calibrated(te, va, models, ["customer_id", "target_conversion"]).withColumnRenamed(
         "target_conversion", "label").select("customer_id", "score", "label")
@@ -143,7 +165,7 @@ def gbm_calibrated(train: DataFrame, test: DataFrame, params: PropensityParams =
 
 # ---------------------------------------------------------------- P13
 def permutation_importance(train: DataFrame, test: DataFrame, params: PropensityParams = PropensityParams(),
-                           repeats: int | None = None) -> DataFrame:
+                           repeats: int | None = None, fitted=None) -> DataFrame:
     """Drop in AUC when one feature column is permuted.
 
     All (feature, repeat) copies form one long frame: within each copy the
@@ -151,7 +173,7 @@ def permutation_importance(train: DataFrame, test: DataFrame, params: Propensity
     equi-join on rank, no driver shuffle.  Every copy is scored by the same
     model ensemble and AUC is computed grouped by (feature, repeat)."""
     repeats = repeats or params.permutation_repeats
-    med, va, models = calibrated_models(train, params)
+    med, va, models = fitted or calibrated_models(train, params)
     te = gbm_frame(test, med).cache()
     base_auc = ev.roc_auc(apply_calibrated(te, va, models, ["customer_id", "target_conversion"]),
                           "score", "target_conversion").first()["roc_auc"]
@@ -176,10 +198,11 @@ def permutation_importance(train: DataFrame, test: DataFrame, params: Propensity
         F.col("importance_mean").desc(), F.col("feature"))
 
 
-def propensity_scores(train: DataFrame, test: DataFrame, params: PropensityParams = PropensityParams()) -> DataFrame:
+def propensity_scores(train: DataFrame, test: DataFrame, params: PropensityParams = PropensityParams(),
+                      fitted=None) -> DataFrame:
     """customer_id, baseline score, calibrated score, label."""
     b = logistic_baseline(train, test, params).select("customer_id", F.col("score").alias("score_baseline"))
-    c = gbm_calibrated(train, test, params).select("customer_id", F.col("score").alias("score_gbm_calibrated"),
+    c = gbm_calibrated(train, test, params, fitted).select("customer_id", F.col("score").alias("score_gbm_calibrated"),
                                                   F.col("label").alias("target_conversion"))
     return b.join(c, "customer_id")
 

@@ -198,3 +198,18 @@ class Layers:
         from tidewell.operators.models import kmeans_fit
         return self.mart("segment_assignments_kmeans",
                          lambda: kmeans_fit(self.features_current, self.sp)[0].select("customer_id", "cluster"))
+
+    @cached_property
+    def calibrated_ensemble(self):
+        """The five-fold calibrated boosted-tree ensemble fitted on the training
+        snapshot, stored with Spark ML writers next to the marts and reused."""
+        from tidewell.operators import models
+        from tidewell.session import shared_path
+        from tidewell.sources.marts import exists
+        path = shared_path(self.spark, "marts", self.signature, "models", "gbm_calibrated")
+        done = f"{path}/_COMPLETE"
+        if not exists(self.spark, done):
+            fitted = models.calibrated_models(self.features_train, self.pp)
+            models.save_calibrated(self.spark, fitted, path)
+            self.spark.createDataFrame([(1,)], "ok int").write.mode("overwrite").json(done)
+        return models.load_calibrated(self.spark, path, self.pp.calibration_folds)

@@ -25,19 +25,19 @@ def gbm_raw(p):
 @register("isotonic_calibration")
 def isotonic_calibration(p):
     """Five-fold isotonic-calibrated boosted-tree ensemble."""
-    return M.gbm_calibrated(p.features_train, p.features_test, p.pp)
+    return M.gbm_calibrated(p.features_train, p.features_test, p.pp, p.calibrated_ensemble)
 
 
 @register("permutation_importance")
 def permutation_importance(p):
     """AUC drop per permuted feature (mean, population std over repeats)."""
-    return M.permutation_importance(p.features_train, p.features_test, p.pp)
+    return M.permutation_importance(p.features_train, p.features_test, p.pp, fitted=p.calibrated_ensemble)
 
 
 @register("propensity_scores")
 def propensity_scores(p):
     """Customer, baseline score, calibrated score, label."""
-    return M.propensity_scores(p.features_train, p.features_test, p.pp)
+    return M.propensity_scores(p.features_train, p.features_test, p.pp, p.calibrated_ensemble)
 
 
 @register("model_metrics")
@@ -45,7 +45,8 @@ def model_metrics(p):
     """P8–P10 on the fitted models' test scores, one grouped job."""
     b = M.logistic_baseline(p.features_train, p.features_test, p.pp).withColumn("model", F.lit("baseline"))
     g = M.gbm_raw(p.features_train, p.features_test, p.pp).withColumn("model", F.lit("gbm_raw"))
-    c = M.gbm_calibrated(p.features_train, p.features_test, p.pp).withColumn("model", F.lit("gbm_calibrated"))
+    c = M.gbm_calibrated(p.features_train, p.features_test, p.pp, p.calibrated_ensemble).withColumn(
+        "model", F.lit("gbm_calibrated"))
     long = b.unionByName(g).unionByName(c)
     from tidewell.operators.reports import model_comparison
     return model_comparison(long)
@@ -135,6 +136,7 @@ def ltv_table_probabilistic(p):
 def model_budget_allocation(p):
     """B2 + B4 on the calibrated boosted-tree scores (the fitted-model path of the simulator)."""
     from tidewell.operators import budget as bud
-    scores = M.gbm_calibrated(p.features_train, p.features_test, p.pp).select("customer_id", "score")
+    scores = M.gbm_calibrated(p.features_train, p.features_test, p.pp, p.calibrated_ensemble).select(
+        "customer_id", "score")
     hp = bud.hill_params(p.attribution, scores, p.channel_table, p.bp)
     return bud.budget_allocation(hp, p.bp)
