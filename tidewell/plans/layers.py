@@ -104,14 +104,22 @@ class Layers:
         return features.feature_snapshots(self.silver, self.dim, self.cutoffs.distinct(),
                                           self.cutoffs.window_days, self.fp)
 
+    @cached_property
+    def _features_mart(self) -> DataFrame:
+        """customer_features mart: every cutoff, written once, partitioned by
+        snapshot date so a single snapshot is read by partition pruning."""
+        return self.mart("customer_features", lambda: self.snapshots_plan.withColumn(
+            "snapshot", F.date_format("as_of", "yyyy-MM-dd")), ["snapshot"])
+
     @cached_property
     def snapshots(self) -> DataFrame:
-        """customer_features mart: every cutoff, written once."""
-        return self.mart("customer_features", lambda: self.snapshots_plan)
+        return self._features_mart.select(*features.FEATURE_TABLE_COLUMNS)
 
     def _snapshot(self, as_of) -> DataFrame:
         from tidewell.functions.timecols import as_ts
-        return self.snapshots.filter(F.col("as_of") == as_ts(as_of)).select(*features.FEATURE_TABLE_COLUMNS)
+        return self._features_mart.filter(
+            (F.col("snapshot") == F.lit(as_of.strftime("%Y-%m-%d"))) & (F.col("as_of") == as_ts(as_of))
+        ).select(*features.FEATURE_TABLE_COLUMNS)
 
     @cached_property
     def features_test(self) -> DataFrame:
