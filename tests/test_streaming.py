@@ -30,3 +30,15 @@ def test_stream_matches_batch(spark):
                             os.path.join(base, "ckpt_dq"))
     qc.awaitTermination(120)
     assert sum(seen.values()) == 15
+
+
+def test_start_silver_writes_the_batch_result(spark):
+    base = tempfile.mkdtemp(prefix="tw-stream2-")
+    src = os.path.join(base, "bronze")
+    spark.createDataFrame(SAMPLE_TRANSACTIONS, BRONZE_SCHEMA).write.parquet(src)
+    out = os.path.join(base, "silver")
+    q = st.start_silver(spark, src, BRONZE_SCHEMA, out, os.path.join(base, "ckpt"))
+    q.awaitTermination(120)
+    exp = cleaning.clean_silver(spark.read.schema(BRONZE_SCHEMA).parquet(src))
+    got = spark.read.parquet(out)
+    assert got.count() == exp.count() and got.select(*exp.columns).exceptAll(exp).count() == 0
