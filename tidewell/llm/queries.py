@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidewell.llm import oracle
 from tidewell.llm.common import table
 from tidewell.llm.line_dedup import dedup_lines
+from tidewell.llm.quality_rules import judge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,3 +28,10 @@ def query(name: str, sql: str | None = None):
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept")
