@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import oracle
-from tidewell.llm.common import table
+from tidewell.llm import oracle, reshard
+from tidewell.llm.common import stage_path, table
 from tidewell.llm.line_dedup import dedup_lines
 from tidewell.llm.quality_rules import judge
 
@@ -35,3 +35,20 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept")
+
+
+OLD_SHARDS = 16
+
+
+@query("op9_resharding")
+def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """16 shards by text hash become 24 even ones; the digest is of the files
+    then written (every shard gives or takes, so all are)."""
+    docs = table(spark, sf_dir, "documents")
+    old = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(OLD_SHARDS))
+    plan = reshard.plan(docs, old, OLD_SHARDS)
+    out = reshard.rewrite(docs, old, plan, stage_path(spark, "reshard"))
+    text = F.coalesce("text", F.lit(""))
+    return out.select("doc_id", reshard.document_size(text).alias("size"), F.crc32(text).alias("text_crc32"),
+                      F.lit("bytes").alias("law"), F.col("shard").cast("int"), F.col("slot").cast("long"),
+                      F.lit(None).cast("int").alias("grown_shard"))
