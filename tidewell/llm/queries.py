@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidewell.llm import oracle, reshard
 from tidewell.llm.common import stage_path, table
 from tidewell.llm.line_dedup import dedup_lines
+from tidewell.llm.packing import pack_documents
 from tidewell.llm.quality_rules import judge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +53,9 @@ def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", reshard.document_size(text).alias("size"), F.crc32(text).alias("text_crc32"),
                       F.lit("bytes").alias("law"), F.col("shard").cast("int"), F.col("slot").cast("long"),
                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op4_best_fit_packing")
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
