@@ -1,35 +1,30 @@
 """Small helpers shared by the operator tests."""
+import os
+
 import duckdb
 
 TABLES = "documents pages benchmark labels".split()
 DIR = "/root/testdata/sf0.01"
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-def duck(sql, sf_dir=DIR, **frames):
+def duck(sql, sf_dir=DIR, **paths):
+    """Column names and rows of a query over the tables (or given Parquet paths)."""
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
-    for k, v in frames.items():
-        con.execute(f"DROP VIEW IF EXISTS {k}")
-        con.register(k, v)
-    return con.sql(sql).df()
-
-
-def rows(pdf):
-    cols = sorted(pdf.columns)
-    return sorted((tuple(None if v is None or v != v else v for v in r)
-                   for r in pdf[cols].itertuples(index=False)), key=repr)
-
-
-def same(spark_df, duck_df):
-    s = spark_df.toPandas()
-    assert sorted(s.columns) == sorted(duck_df.columns)
-    a, b = rows(s), rows(duck_df)
-    assert len(a) == len(b)
-    assert a == b
-
-
-DOC = "doc_id long, text string, lang string, source string, n_chars long"
+        p = paths.get(t, f"{sf_dir}/{t}.parquet")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p + '/*.parquet' if os.path.isdir(p) else p}')")
+    rel = con.sql(sql)
+    return rel.columns, rel.fetchall()
+
+
+def same(spark_df, duck_rows):
+    names, rows = duck_rows
+    assert sorted(spark_df.columns) == sorted(names)
+    got = sorted((tuple(r) for r in spark_df.select(*names).collect()), key=repr)
+    want = sorted(map(tuple, rows), key=repr)
+    assert len(got) == len(want)
+    assert got == want
 
 
 def docs(spark, texts, ids=None):

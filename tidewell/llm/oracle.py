@@ -18,3 +18,16 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT lost), '')) AS kept_sha256
 FROM j GROUP BY doc_id
 """
+
+WARC = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (
+  SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS payload_digest FROM p),
+r AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS top FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM r
+"""

@@ -11,6 +11,7 @@ from tidewell.llm.common import stage_path, table
 from tidewell.llm.line_dedup import dedup_lines
 from tidewell.llm.packing import pack_documents
 from tidewell.llm.quality_rules import judge
+from tidewell.llm.warc import pages_of, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -59,3 +60,10 @@ def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op2_warc", oracle.WARC)
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stage_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return pages_of(spark, path)
