@@ -41,14 +41,14 @@ class LineRuns:
         self.spark, self.fan_out = spark, fan_out
         self.buckets = buckets or shuffle_partitions(spark)
         self.levels: list[list[str]] = []
-        self.tables: list[str] = []
+        self.paths: dict[str, str] = {}
 
     def _write(self, df: DataFrame) -> str:
         name = f"tidewell_line_run_{uuid.uuid4().hex}"
+        self.paths[name] = stage_path(self.spark, "line-run")
         (df.repartition(self.buckets, "h", "g").write
            .bucketBy(self.buckets, "h", "g").sortBy("h", "g")
-           .option("path", stage_path(self.spark, "line-run")).format("parquet").saveAsTable(name))
-        self.tables.append(name)
+           .option("path", self.paths[name]).format("parquet").saveAsTable(name))
         return name
 
     def _keys(self, name: str) -> DataFrame:
@@ -68,9 +68,9 @@ class LineRuns:
         """Merge-anti-join a batch's keys, store them as a run, compact, and
         return the batch's keys with ``seen``."""
         name = self._write(self.probe(keys))
-        added = self.spark.table(name)
         self._place(name, 0)
-        return added
+        # read by path: without the buckets a join may split a hot line's rows
+        return self.spark.read.schema(self.spark.table(name).schema).parquet(self.paths[name])
 
     def _place(self, name: str, level: int) -> None:
         if len(self.levels) <= level:
@@ -83,7 +83,7 @@ class LineRuns:
 
     def forget(self) -> None:
         """Drop the catalog entries (files stay with the checkpoint folder)."""
-        for name in self.tables:
+        for name in self.paths:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
