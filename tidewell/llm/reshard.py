@@ -139,8 +139,9 @@ def _shard_at(cuts: dict[int, list[tuple[int, int]]], old_shard: Column, at: Col
 
 def _placed(rows: DataFrame, starts: DataFrame, cuts) -> DataFrame:
     """Adds P+shard: where the middle byte of each document falls."""
+    # "home" follows from the keys: one exchange serves the layout and the windows
     keys = [P + k for k in KEYS]
-    inside = Window.partitionBy(*keys).orderBy(P + "th", "doc_id").rowsBetween(
+    inside = Window.partitionBy(P + "home", *keys).orderBy(P + "th", "doc_id").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     rows = rows.join(F.broadcast(starts), keys).repartitionByRange(P + "home", *keys)
     at = F.col(P + "start") + F.sum(P + "size").over(inside) - F.ceil(F.col(P + "size") / 2)
@@ -202,7 +203,7 @@ def assign(docs: DataFrame, old_shard: Column, plan: Plan) -> DataFrame:
     rows = _placed(_located(docs, old_shard), _starts_frame(spark, plan.starts), plan.cuts)
     firsts = spark.createDataFrame(plan.firsts, f"{P}shard int, " + ", ".join(f"{k} int" for k in keys)
                                    + f", {P}first long")
-    rank = F.row_number().over(Window.partitionBy(*keys, P + "shard").orderBy(P + "at", P + "th", "doc_id"))
+    rank = F.row_number().over(Window.partitionBy(P + "home", *keys, P + "shard").orderBy(P + "at", P + "th", "doc_id"))
     rows = rows.withColumn(P + "rank", rank).join(F.broadcast(firsts), [P + "shard", *keys])
     return rows.select(*out, F.col(P + "size").alias("size"), (F.col(P + "first") + F.col(P + "rank") - 1)
                        .alias("slot"), F.col(P + "shard").alias("shard"))
