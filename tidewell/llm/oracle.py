@@ -31,3 +31,27 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
 FROM r
 """
+
+DECONTAMINATION = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+g AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS m, array_to_string(w[a : a + least(len(w), 10) - 1], ' ') AS gram
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS a FROM i WHERE len(w) > 0)),
+c AS (
+  SELECT doc_id, m, a, array_to_string(w[a : a + m - 1], ' ') AS gram
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS a FROM d, (SELECT DISTINCT m FROM g))),
+h AS (SELECT c.doc_id, c.m, c.a, g.item_id FROM c JOIN g ON c.gram = g.gram AND c.m = g.m),
+n AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(a, a + m)) AS p FROM h) GROUP BY doc_id),
+k AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
