@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidewell.llm import oracle, reshard
 from tidewell.llm.common import stage_path, table
 from tidewell.llm.decontaminate import contamination
+from tidewell.llm.html_text import extract
 from tidewell.llm.line_dedup import dedup_lines
 from tidewell.llm.packing import pack_documents
 from tidewell.llm.quality_rules import judge
@@ -75,3 +76,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op5_html_extraction")
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
