@@ -55,3 +55,31 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
 """
+
+NEAR_DEDUP = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[a : a + 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 1) + 1)) AS a FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+r AS MATERIALIZED (
+  SELECT s.doc_id, g, row_number() OVER (PARTITION BY s.doc_id ORDER BY f, g) AS k
+  FROM s JOIN (SELECT g, count(*) AS f FROM s GROUP BY g) USING (g)),
+-- similar sets share one of the rarest fifth of their shingles
+p AS (SELECT r.doc_id, g FROM r JOIN n USING (doc_id) WHERE k <= n - ceil(n * 0.8) + 1),
+c AS (
+  SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM p a JOIN p b ON a.g = b.g AND a.doc_id < b.doc_id
+  JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  WHERE 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)),
+i AS (SELECT c.a, c.b, count(*) AS i FROM c JOIN s x ON x.doc_id = c.a JOIN s y ON y.doc_id = c.b AND y.g = x.g
+      GROUP BY c.a, c.b),
+l AS MATERIALIZED (
+  SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+t AS (SELECT doc_id AS node, doc_id AS seen FROM n UNION SELECT t.node, e.b FROM t JOIN e ON e.a = t.seen)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.c, d.doc_id) AS component_id,
+       coalesce(m.c, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT node, min(seen) AS c FROM t GROUP BY node) m ON m.node = d.doc_id
+"""

@@ -11,6 +11,7 @@ from tidewell.llm.common import stage_path, table
 from tidewell.llm.decontaminate import contamination
 from tidewell.llm.html_text import extract
 from tidewell.llm.line_dedup import dedup_lines
+from tidewell.llm.near_dedup import near_components
 from tidewell.llm.packing import pack_documents
 from tidewell.llm.quality_rules import judge
 from tidewell.llm.warc import pages_of, write_warc
@@ -81,3 +82,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_html_extraction")
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op8_near_dedup", oracle.NEAR_DEDUP)
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(table(spark, sf_dir, "documents")).drop("th")
