@@ -14,6 +14,7 @@ from tidewell.llm.line_dedup import dedup_lines
 from tidewell.llm.near_dedup import near_components
 from tidewell.llm.packing import pack_documents
 from tidewell.llm.quality_rules import judge
+from tidewell.llm.substring_dedup import repeat_report
 from tidewell.llm.warc import pages_of, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +88,8 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_near_dedup", oracle.NEAR_DEDUP)
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents")).drop("th")
+
+
+@query("op10_substring_dedup")
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(table(spark, sf_dir, "documents"))
