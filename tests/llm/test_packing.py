@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import DIR, DOC, docs
 from tokenizers import Tokenizer
@@ -84,7 +85,7 @@ def test_ids_equal_the_tokenizer():
             "we'll!", "ß.", "ı", "İ,", " ", "a b", "a\x1cb.", "日本語。", "́x", "", "\n", "\t", "\r\n", "q" * 300, "l'd", "a.b", "'s", "ſ,", "Ⅷ."]
     texts = ["", " ", "\n"] + ["".join(rnd.choice(pool) + rnd.choice([" ", "\n", "  ", ""]) for _ in range(30)) for _ in range(300)]
     for a in range(0, len(texts), 50):
-        for s, raw in zip(texts[a:a + 50], enc.batch(texts[a:a + 50])):
+        for s, raw in zip(texts[a:a + 50], enc.batch(pa.array(texts[a:a + 50]))):
             assert np.frombuffer(raw, "<u4").tolist() == t.encode(s, add_special_tokens=False).ids, s
 
 

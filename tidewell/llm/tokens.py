@@ -2,24 +2,28 @@
 
 The tokenizer never joins text across white space, so a document's ids are
 the concatenation of the ids of its pieces between blanks, tabs and line
-ends; each distinct piece is encoded once per worker.  Pieces of plain
-letters followed by punctuation are two tokens runs to the tokenizer as well
-and are cached apart."""
+ends; each distinct piece is encoded once per worker."""
 from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tidewell.llm.common import text_or_empty
 from tidewell.session import ship_package
 
-CACHE_WORDS = 400_000     # entries a worker keeps; then it starts anew
+CACHE_WORDS = 1_000_000   # entries a worker keeps; then it starts anew
 LONG_PIECE = 64           # longer pieces are encoded but not kept
-_LETTERS_THEN_POINTS = re.compile("([a-zß-öø-ÿ]+)([.,;:!?#$%&*]+)")
+# Latin letters: each is one character in NFC and in lower case
+_LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+_LETTERS = re.compile(f"[{_LATIN}]+")
+_POINTS = ".,;:!?#$%&*"
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -31,32 +35,68 @@ class Encoder:
         self.known: dict[str, bytes] = {"": b""}
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        return [pa.array(e.ids, pa.uint32()).buffers()[1].to_pybytes()[:4 * len(e.ids)] if e.ids else b""
-                for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def batch(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _encode_letters(self, words: list[str]) -> list[bytes]:
+        """Words of plain letters: one text, whose n-th word is the n-th."""
+        out = []
+        for at in range(0, len(words), 2000):
+            part = words[at:at + 2000]
+            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids, of = array("I", e.ids), e.word_ids
+            ends = [k for k in range(1, len(of)) if of[k] != of[k - 1]] + [len(of)]
+            if len(ends) != len(part):
+                return self._encode(words)
+            start = 0
+            for end in ends:
+                out.append(ids[start:end].tobytes())
+                start = end
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        known = self.known
+        low = {w: w.lower() for w in words if _LETTERS.fullmatch(w)}
+        plain = [x for x in set(low.values()) if x not in known]
+        known.update(zip(plain, self._encode_letters(plain)))
+        for w, x in low.items():
+            known[w] = known[x]
+        other = [w for w in words if w not in low]
+        known.update(zip(other, self._encode(other)))
+
+    @staticmethod
+    def _apart(texts: pa.StringArray) -> pa.StringArray:
+        """The same ids from fewer distinct words: a blank between a letter or
+        digit and the point after it, where the tokenizer cuts anyway, and
+        lower case where all is ASCII (and no special token could arise)."""
+        for c in "\n\t\r":
+            texts = pc.replace_substring(texts, c, " ")
+        odd = pc.match_substring_regex(texts, f"[^0-9 {_LATIN}][.,]|[{_POINTS[2:]}]")
+        spaced = pc.replace_substring(pc.replace_substring(texts, ".", " ."), ",", " ,")
+        mixed = pc.replace_substring_regex(texts.filter(odd), f"([0-9{_LATIN}])([{_POINTS}])", r"\1 \2")
+        texts = pc.replace_with_mask(spaced, odd, mixed)
+        plain = pc.and_(pc.string_is_ascii(texts), pc.invert(pc.match_substring(texts, "|>")))
+        return pc.if_else(plain, pc.ascii_lower(texts), texts)
+
+    def batch(self, texts: pa.StringArray) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()
             known[""] = b""
-        new = set().union(*split) - known.keys()
-        long = {w for w in new if len(w) > LONG_PIECE}
-        # a new word is its letters and its closing points, if it has that form
-        form = {}
-        for w in new - long:
-            m = _LETTERS_THEN_POINTS.fullmatch(w.lower() if w.isascii() else w)
-            form[w] = m.groups() if m else (w.lower(),) if w.isascii() else (w,)
-        parts = list({p for f in form.values() for p in f} - known.keys())
-        known.update(zip(parts, self._encode(parts)))
-        for w, f in form.items():
-            known[w] = b"".join([known[p] for p in f])
-        if not long:
-            return [b"".join(map(known.__getitem__, ws)) for ws in split]
-        order = list(long)
-        both = dict(zip(order, self._encode(order)))
-        return [b"".join([known[w] if w in known else both[w] for w in ws]) for ws in split]
+        split = pc.split_pattern(self._apart(texts), " ")
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        new = [w for w in distinct if w not in known]
+        long = [w for w in new if len(w) > LONG_PIECE]
+        self._learn([w for w in new if len(w) <= LONG_PIECE])
+        both = dict(zip(long, self._encode(long)))
+        raws = pa.array([known[w] if w in known else both[w] for w in distinct], pa.large_binary())
+        joined = raws.take(words.indices)
+        # the words' ids lie end to end: a text is the stretch of its words
+        ends = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset:joined.offset + len(joined) + 1]
+        cuts = ends[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
+        data = joined.buffers()[2]
+        return [data[x:y].to_pybytes() if y > x else b"" for x, y in zip(cuts, cuts[1:])]
 
 
 def encoder(path: str) -> Encoder:
@@ -65,6 +105,7 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+SLICE_BYTES = 8 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
@@ -79,11 +120,13 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int | None =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            # bounded slices: an Arrow batch may hold many long texts
+            # slices of bounded size: a batch may hold many long texts
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(ids), 256):
+            sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // SLICE_BYTES
+            edges = np.r_[0, np.flatnonzero(sizes[1:] != sizes[:-1]) + 1, len(ids)] if ids else []
+            for at, upto in zip(edges, edges[1:]):
                 docs_, pieces, starts, lengths, raws = [], [], [], [], []
-                for d, raw in zip(ids[at:at + 256], enc.batch(texts.slice(at, 256).to_pylist())):
+                for d, raw in zip(ids[at:upto], enc.batch(texts.slice(at, upto - at))):
                     raw += end
                     for k, b in enumerate(range(0, len(raw), step)):
                         docs_.append(d)
