@@ -13,6 +13,7 @@ from tidewell.llm.html_text import extract
 from tidewell.llm.line_dedup import dedup_lines
 from tidewell.llm.near_dedup import near_components
 from tidewell.llm.packing import pack_documents
+from tidewell.llm.quality_classifier import classify
 from tidewell.llm.quality_rules import judge
 from tidewell.llm.substring_dedup import repeat_report
 from tidewell.llm.warc import pages_of, write_warc
@@ -93,3 +94,10 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_substring_dedup")
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_report(table(spark, sf_dir, "documents"))
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", *[F.round(c, 6).alias(c) for c in (
+        "quality_posterior", "quality_score", "toxic_posterior", "toxic_score")], "good", "toxic", "kept")
