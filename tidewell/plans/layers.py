@@ -2,7 +2,7 @@
 
 Stored layers (``silver``, ``dim``, ``snapshots``, ``attribution``,
 ``kmeans_labels``) are Parquet marts in the shared checkpoint folder, keyed by
-an input + code signature and built on first use; ``*_plan`` attributes are
+an input + code + parameter signature and built on first use; ``*_plan`` attributes are
 the same layers as plans over their inputs, for the queries that measure the
 operator itself.  Derived customer-grain frames (scores, profiles, LTV,
 channel table, Hill parameters) are lazily built DataFrames, one object per
@@ -68,9 +68,14 @@ class Layers:
                                             for t in ("lineitem", "orders", "part", "supplier", "nation")
                                             if t in TABLES])
 
-    def mart(self, name: str, build, partition_by=None) -> DataFrame:
+    def keyed(self, *params) -> str:
+        """The signature of a layer that depends on ``params`` besides the inputs."""
+        from tidewell.sources.marts import parameter_key
+        return f"{self.signature}-{parameter_key(*params)}"
+
+    def mart(self, name: str, build, partition_by=None, params: tuple = ()) -> DataFrame:
         from tidewell.sources.marts import materialize
-        return materialize(self.spark, self.signature, name, build, partition_by)
+        return materialize(self.spark, self.keyed(*params), name, build, partition_by)
 
     @cached_property
     def silver_plan(self) -> DataFrame:
@@ -82,12 +87,13 @@ class Layers:
         """fact_transactions mart: silver stored once, partitioned by month
         (yyyymm), so time-window scans prune whole months."""
         def build():
-            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             with_month = self.silver_plan.withColumn(
                 "month", (F.year("invoice_date") * 100 + F.month("invoice_date")).cast("int"))
             # contiguous (month, customer) ranges per task: few files per month
-            # partition, and tight customer_id statistics inside each file
-            return with_month.repartitionByRange(n, "month", "customer_id")
+            # partition, and tight customer_id statistics inside each file.
+            # Invoice and stock code let a hot customer-month be split; without
+            # an explicit count AQE sizes the ranges by their bytes.
+            return with_month.repartitionByRange("month", "customer_id", "invoice", "stock_code")
         return self.mart("fact_transactions", build, ["month"])
 
     @cached_property
@@ -109,7 +115,7 @@ class Layers:
         """customer_features mart: every cutoff, written once, partitioned by
         snapshot date so a single snapshot is read by partition pruning."""
         return self.mart("customer_features", lambda: self.snapshots_plan.withColumn(
-            "snapshot", F.date_format("as_of", "yyyy-MM-dd")), ["snapshot"])
+            "snapshot", F.date_format("as_of", "yyyy-MM-dd")), ["snapshot"], (self.cutoffs, self.fp))
 
     @cached_property
     def snapshots(self) -> DataFrame:
@@ -135,7 +141,8 @@ class Layers:
 
     @cached_property
     def attribution(self) -> DataFrame:
-        return self.mart("synthetic_attribution", lambda: attr.synthetic_attribution(self.features_current, self.ap))
+        return self.mart("synthetic_attribution", lambda: attr.synthetic_attribution(self.features_current, self.ap),
+                         params=(self.cutoffs, self.fp, self.ap))
 
     # ---------------------------------------------------------------- derived marts
     @cached_property
@@ -205,7 +212,8 @@ class Layers:
         for the stability studies and the k-means segment report)."""
         from tidewell.operators.models import kmeans_fit
         return self.mart("segment_assignments_kmeans",
-                         lambda: kmeans_fit(self.features_current, self.sp)[0].select("customer_id", "cluster"))
+                         lambda: kmeans_fit(self.features_current, self.sp)[0].select("customer_id", "cluster"),
+                         params=(self.cutoffs, self.fp, self.sp))
 
     @cached_property
     def calibrated_ensemble(self):
@@ -213,11 +221,8 @@ class Layers:
         snapshot, stored with Spark ML writers next to the marts and reused."""
         from tidewell.operators import models
         from tidewell.session import shared_path
-        from tidewell.sources.marts import exists
-        path = shared_path(self.spark, "marts", self.signature, "models", "gbm_calibrated")
-        done = f"{path}/_COMPLETE"
-        if not exists(self.spark, done):
-            fitted = models.calibrated_models(self.features_train, self.pp)
-            models.save_calibrated(self.spark, fitted, path)
-            self.spark.createDataFrame([(1,)], "ok int").write.mode("overwrite").json(done)
+        from tidewell.sources.marts import publish, published
+        folder = shared_path(self.spark, "marts", self.keyed(self.cutoffs, self.fp, self.pp), "models", "gbm_calibrated")
+        path = published(self.spark, folder) or publish(self.spark, folder, lambda to: models.save_calibrated(
+            self.spark, models.calibrated_models(self.features_train, self.pp), to))
         return models.load_calibrated(self.spark, path, self.pp.calibration_folds)

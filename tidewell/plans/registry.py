@@ -32,12 +32,6 @@ def register(name: str, sql: str | None = None):
 def _load_all() -> None:
     # importing the modules registers their queries
     from tidewell.plans import q_ingest, q_features, q_metrics, q_models, q_budget, q_reports, q_fits  # noqa: F401
-    for mod in ("q_models", "q_metrics", "q_budget", "q_reports"):
-        try:
-            __import__(f"tidewell.plans.{mod}")
-        except ModuleNotFoundError as exc:
-            if exc.name != f"tidewell.plans.{mod}":
-                raise
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

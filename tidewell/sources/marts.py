@@ -1,12 +1,14 @@
 """Marts at rest (S3, S5, S6): write once, read many.
 
 Each pipeline layer is a Parquet table in the shared checkpoint folder
-(``spark.checkpoint.dir``), keyed by a signature of the input files and of
-this package's code, so a rerun over unchanged inputs reads the stored layer
-instead of recomputing it, and a changed input or operator never reads a
-stale one.  Tables are written to a temporary path and renamed into place,
-so a reader never sees a half-written mart and a failed job leaves nothing
-behind under the final name.
+(``spark.checkpoint.dir``), keyed by a signature of the input files, of this
+package's code and of the parameters the layer depends on, so a rerun over
+unchanged inputs reads the stored layer instead of recomputing it, and a
+changed input, operator or parameter never reads a stale one.  Every writer
+writes a version of its own below the layer's folder and then adds a marker
+file to it; readers take the first marked version.  Nothing is renamed, so
+publishing is safe on object stores and between jobs that build the same
+layer at once, and a failed job leaves no version behind.
 """
 from __future__ import annotations
 
@@ -69,20 +71,38 @@ def read_mart(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+MARKER = "_PUBLISHED"
+
+
+def parameter_key(*params) -> str:
+    """Short hash of parameter dataclasses (frozen: their repr is their value)."""
+    return hashlib.sha256("|".join(map(repr, params)).encode()).hexdigest()[:12]
+
+
+def published(spark: SparkSession, folder: str) -> str | None:
+    """The first marked version below ``folder``, if any."""
+    p, fs = _fs(spark, folder)
+    if not fs.exists(p):
+        return None
+    versions = sorted(st.getPath().toString() for st in fs.listStatus(p) if st.isDirectory())
+    return next((v for v in versions if exists(spark, f"{v}/{MARKER}")), None)
+
+
+def publish(spark: SparkSession, folder: str, write: Callable[[str], None]) -> str:
+    """Write a version of its own with ``write(path)``, mark it, and return
+    the version readers take."""
+    path = f"{folder}/v-{uuid.uuid4().hex}"
+    write(path)
+    marker, fs = _fs(spark, f"{path}/{MARKER}")
+    fs.create(marker, True).close()
+    return published(spark, folder)
+
+
 def materialize(spark: SparkSession, signature: str, name: str, build: Callable[[], DataFrame],
                 partition_by: list[str] | None = None) -> DataFrame:
-    """S3: the stored mart if present for this signature, else build, write
-    (temporary path + rename) and read it back."""
-    final = shared_path(spark, "marts", signature, name)
-    if not exists(spark, final):
-        tmp = f"{final}.tmp-{uuid.uuid4().hex[:8]}"
-        write_mart(build(), tmp, partition_by)
-        src, fs = _fs(spark, tmp)
-        dst, _ = _fs(spark, final)
-        if not fs.exists(dst):
-            fs.mkdirs(dst.getParent())
-            if not fs.rename(src, dst) and not fs.exists(dst):
-                raise RuntimeError(f"could not publish mart {final}")
-        if fs.exists(src):
-            fs.delete(src, True)
-    return read_mart(spark, final)
+    """S3: the stored mart if present for this signature, else build, publish
+    and read it back."""
+    folder = shared_path(spark, "marts", signature, name)
+    version = published(spark, folder) or publish(
+        spark, folder, lambda path: write_mart(build(), path, partition_by))
+    return read_mart(spark, version)
