@@ -39,29 +39,40 @@ def lgamma(x):
     return np.where(small, refl, val)
 
 
-def hyp2f1(a, b, c, z, max_terms: int = 2000, tol: float = 1e-14):
-    """Gauss hypergeometric series ₂F₁(a, b; c; z) for |z| < 1, vectorised."""
-    a, b, c, z = (np.asarray(v, dtype=float) for v in np.broadcast_arrays(a, b, c, z))
-    term = np.ones_like(z)
+def hyp2f1(a, b, c, z, tol: float = 1e-14, limit: int = 5_000_000):
+    """Gauss series F(a, b; c; z) for 0 <= z < 1, vectorised: every element is
+    summed until its own terms vanish.  An element that does not get there
+    within ``limit`` terms is an error, not a result."""
+    a, b, c, z = (np.array(v, dtype=float).ravel() for v in np.broadcast_arrays(a, b, c, z))
     total = np.ones_like(z)
-    for n in range(max_terms):
-        term = term * (a + n) * (b + n) / ((c + n) * (n + 1)) * z
-        total = total + term
-        if np.all(np.abs(term) <= tol * np.abs(total)):
-            break
+    term = np.ones_like(z)
+    live = np.flatnonzero(np.isfinite(a + b + c + z))
+    total[~np.isfinite(a + b + c + z)] = np.nan
+    n = 0
+    while len(live):
+        if n >= limit or not np.all(z[live] < 1):
+            raise ArithmeticError("the hypergeometric series does not converge")
+        ratio = (a[live] + n) * (b[live] + n) / ((c[live] + n) * (n + 1)) * z[live]
+        term[live] *= ratio
+        total[live] += term[live]
+        n += 1
+        # terms fall once their ratio is below 1; the rest is then at most term / (1 - ratio)
+        small = (np.abs(ratio) < 1) & (np.abs(term[live]) <= tol * np.abs(total[live]) * (1 - np.abs(ratio)))
+        live = live[~(small | (term[live] == 0))]
     return total
 
 
 # ---------------------------------------------------------------- likelihoods
 def bgnbd_ll(params: np.ndarray, x, tx, T):
-    """Per-row BG/NBD log-likelihood for params (r, alpha, a, b)."""
+    """Per-row log-likelihood of the BG/NBD model (Fader, Hardie and Lee 2005,
+    equation 6) for (r, alpha, a, b), written as that of a customer certainly
+    alive times one plus the odds of having left after the last purchase."""
     r, alpha, a, b = params
-    a1 = lgamma(r + x) - lgamma(r) + r * np.log(alpha)
-    a2 = lgamma(a + b) + lgamma(b + x) - lgamma(b) - lgamma(a + b + x)
-    a3 = -(r + x) * np.log(alpha + T)
-    a4 = np.log(a) - np.log(b + np.maximum(x, 1) - 1) - (r + x) * np.log(tx + alpha)
-    m = np.maximum(a3, a4)
-    return a1 + a2 + np.log(np.exp(a3 - m) + np.exp(a4 - m) * (x > 0)) + m
+    purchases = lgamma(r + x) - lgamma(r) + r * np.log(alpha) - (r + x) * np.log(alpha + T)
+    stayed = lgamma(b + x) + lgamma(a + b) - lgamma(b) - lgamma(a + b + x)
+    left_odds = np.where(x > 0, np.log(a) - np.log(b + np.maximum(x, 1) - 1)
+                         + (r + x) * np.log((alpha + T) / (alpha + tx)), -np.inf)
+    return purchases + stayed + np.logaddexp(0.0, left_odds)
 
 
 def gamma_gamma_ll(params: np.ndarray, x, m):
@@ -82,29 +93,40 @@ def _batch_objective(stats: DataFrame, cols: list[str], ll_fn, penalizer: float)
 
         def part(it):
             ll = np.zeros(len(cand))
+            invalid = np.zeros(len(cand), dtype=np.int64)
             wsum = 0.0
             for pdf in it:
                 w = pdf["w"].to_numpy(dtype=float)
                 args = [pdf[c].to_numpy(dtype=float) for c in cols]
                 wsum += w.sum()
                 for i, pr in enumerate(cand):
-                    ll[i] += float(np.sum(w * ll_fn(pr, *args)))
-            yield pd.DataFrame({"cand": np.arange(len(cand)), "ll": ll, "w": np.full(len(cand), wsum)})
-
-        res = (stats.mapInPandas(part, "cand long, ll double, w double")
-               .groupBy("cand").agg(F.sum("ll").alias("ll"), F.sum("w").alias("w")).collect())
+                    with np.errstate(all="ignore"):
+                        rows = ll_fn(pr, *args)
+                    fine = np.isfinite(rows)
+                    invalid[i] += int((~fine).sum())
+                    ll[i] += float(np.sum(w[fine] * rows[fine]))
+            yield pd.DataFrame({"cand": np.arange(len(cand)), "ll": ll, "w": np.full(len(cand), wsum),
+                                "invalid": invalid})
+
+        res = (stats.mapInPandas(part, "cand long, ll double, w double, invalid long")
+               .groupBy("cand").agg(F.sum("ll").alias("ll"), F.sum("w").alias("w"), F.sum("invalid").alias("invalid"))
+               .collect())
         out = np.full(len(cand), np.inf)
         for r in res:
+            # a candidate outside its domain on any row is no candidate
+            if r["invalid"] or not r["w"]:
+                continue
             val = -r["ll"] / r["w"] + penalizer * float(np.sum(cand[r["cand"]] ** 2))
             out[r["cand"]] = val if np.isfinite(val) else np.inf
         return out
     return evaluate
 
 
-def minimise(f_batch, x0: np.ndarray, max_iter: int = 200, gtol: float = 1e-6, h: float = 1e-5):
+def minimise(f_batch, x0: np.ndarray, max_iter: int = 500, gtol: float = 1e-6, h: float = 1e-5):
     """Quasi-Newton (BFGS) on a batched objective: per iteration one job for
     the value and central-difference gradient, one job for a line search
-    over a ladder of step lengths."""
+    over a ladder of step lengths.  Returns (x, f(x), iterations, converged):
+    converged when the gradient or the gain has vanished."""
     x = np.asarray(x0, dtype=float)
     n = len(x)
     H = np.eye(n)
@@ -116,9 +138,11 @@ def minimise(f_batch, x0: np.ndarray, max_iter: int = 200, gtol: float = 1e-6, h
 
     fx, g = val_grad(x)
     steps = np.array([2.0 ** -k for k in range(-2, 12)])
-    for _ in range(max_iter):
-        if not np.isfinite(fx) or np.max(np.abs(g)) < gtol:
-            break
+    for it in range(max_iter):
+        if not (np.isfinite(fx) and np.all(np.isfinite(g))):
+            return x, fx, it, False
+        if np.max(np.abs(g)) < gtol:
+            return x, fx, it, True
         d = -H @ g
         if g @ d >= 0:  # not a descent direction: reset to steepest descent
             H = np.eye(n)
@@ -126,7 +150,8 @@ def minimise(f_batch, x0: np.ndarray, max_iter: int = 200, gtol: float = 1e-6, h
         vals = f_batch(np.array([x + s * d for s in steps]))
         ok = vals <= fx + 1e-4 * steps * (g @ d)
         if not ok.any():
-            break
+            # no step gains: at the noise of the differences, unless the slope is still steep
+            return x, fx, it, bool(np.max(np.abs(g)) < 1e-3)
         s = steps[np.argmin(np.where(ok, vals, np.inf))]
         x_new = x + s * d
         f_new, g_new = val_grad(x_new)
@@ -135,11 +160,23 @@ def minimise(f_batch, x0: np.ndarray, max_iter: int = 200, gtol: float = 1e-6, h
             rho = 1.0 / (yk @ sk)
             I = np.eye(n)
             H = (I - rho * np.outer(sk, yk)) @ H @ (I - rho * np.outer(yk, sk)) + rho * np.outer(sk, sk)
-        if abs(fx - f_new) < 1e-12 * max(1.0, abs(fx)):
-            x, fx, g = x_new, f_new, g_new
-            break
+        gain = abs(fx - f_new)
         x, fx, g = x_new, f_new, g_new
-    return x, fx
+        if gain < 1e-12 * max(1.0, abs(fx)):
+            return x, fx, it + 1, True
+    return x, fx, max_iter, False
+
+
+# rows of sufficient statistics that one task takes
+STATS_ROWS = 50_000
+
+
+def _sized(stats: DataFrame) -> DataFrame:
+    """Compressed statistics, cached in as many partitions as their rows need
+    (each evaluation is one task per partition)."""
+    cached = stats.cache()
+    n = -(-cached.count() // STATS_ROWS)
+    return cached.coalesce(max(1, n))
 
 
 # ---------------------------------------------------------------- fits
@@ -151,16 +188,21 @@ def bgnbd_fit(rf: DataFrame, penalizer: float = 0.01) -> DataFrame:
     scale = 10.0 / max_t if max_t else 1.0
     stats = (rf.groupBy("frequency", "recency", "T").agg(F.count(F.lit(1)).alias("w"))
              .select(F.col("frequency").cast("double").alias("x"), (F.col("recency") * scale).alias("tx"),
-                     (F.col("T") * scale).alias("T"), F.col("w").cast("double").alias("w")).cache())
+                     (F.col("T") * scale).alias("T"), F.col("w").cast("double").alias("w")))
     from tidewell.session import static_plans
-    f = _batch_objective(stats, ["x", "tx", "T"], bgnbd_ll, penalizer)
+    sized = _sized(stats)
+    f = _batch_objective(sized, ["x", "tx", "T"], bgnbd_ll, penalizer)
     with static_plans(spark):
-        x, fx = minimise(f, np.full(4, 0.1))
+        x, fx, steps, converged = minimise(f, np.full(4, 0.1))
     r, alpha, a, b = np.exp(x)
-    rows = stats.agg(F.sum("w")).first()[0]
+    rows = sized.agg(F.sum("w")).first()[0] or 0
     stats.unpersist()
-    return spark.createDataFrame([(float(r), float(alpha / scale), float(a), float(b), float(fx), int(rows))],
-                                 "r double, alpha double, a double, b double, neg_log_likelihood double, rows long")
+    # with a or b next to 0 nobody (or everybody) leaves, and only their limit is known
+    identified = bool(min(a, b) > 1e-6)
+    return spark.createDataFrame(
+        [(float(r), float(alpha / scale), float(a), float(b), float(fx), int(rows), int(steps), converged, identified)],
+        "r double, alpha double, a double, b double, neg_log_likelihood double, rows long, iterations int, "
+        "converged boolean, identified boolean")
 
 
 def gamma_gamma_fit(rf: DataFrame, penalizer: float = 0.01) -> DataFrame:
@@ -169,33 +211,33 @@ def gamma_gamma_fit(rf: DataFrame, penalizer: float = 0.01) -> DataFrame:
     stats = (rf.filter((F.col("frequency") > 0) & (F.col("monetary_value") > 0))
              .groupBy("frequency", "monetary_value").agg(F.count(F.lit(1)).alias("w"))
              .select(F.col("frequency").cast("double").alias("x"), F.col("monetary_value").alias("m"),
-                     F.col("w").cast("double").alias("w")).cache())
+                     F.col("w").cast("double").alias("w")))
     from tidewell.session import static_plans
-    f = _batch_objective(stats, ["x", "m"], gamma_gamma_ll, penalizer)
+    sized = _sized(stats)
+    f = _batch_objective(sized, ["x", "m"], gamma_gamma_ll, penalizer)
     with static_plans(spark):
-        x, fx = minimise(f, np.full(3, 0.1))
+        x, fx, steps, converged = minimise(f, np.full(3, 0.1))
     p, q, v = np.exp(x)
-    rows = stats.agg(F.sum("w")).first()[0] or 0
+    rows = sized.agg(F.sum("w")).first()[0] or 0
     stats.unpersist()
-    return spark.createDataFrame([(float(p), float(q), float(v), float(fx), int(rows))],
-                                 "p double, q double, v double, neg_log_likelihood double, rows long")
+    return spark.createDataFrame([(float(p), float(q), float(v), float(fx), int(rows), int(steps), converged)],
+                                 "p double, q double, v double, neg_log_likelihood double, rows long, "
+                                 "iterations int, converged boolean")
 
 
 def expected_purchases(t, x, tx, T, r, alpha, a, b):
-    """BG/NBD conditional expected purchases in (T, T + t]."""
+    """BG/NBD conditional expected purchases in (T, T + t] (Fader, Hardie and
+    Lee 2005, equation 10).  With z = t / (alpha + T + t), Euler's
+    transformation turns the paper's (1 - z)^(r + x) F(r + x, b + x; c; z)
+    into (1 - z)^(a - 1) F(a - 1, a + b - 1 - r; c; z), c = a + b + x - 1,
+    whose series has small parameters and falls fast."""
     if np.isscalar(t) and t == 0:
         return np.zeros_like(np.asarray(x, dtype=float))
-    _a, _b, _c = r + x, b + x, a + b + x - 1
     z = t / (alpha + T + t)
-    ln_h = np.log(hyp2f1(_a, _b, _c, z))
-    bad = ~np.isfinite(ln_h)
-    if bad.any():
-        alt = np.log(hyp2f1(_c - _a, _c - _b, _c, z)) + (_c - _a - _b) * np.log(1 - z)
-        ln_h = np.where(bad, alt, ln_h)
-    first = (a + b + x - 1) / (a - 1)
-    second = 1 - np.exp(ln_h + (r + x) * np.log((alpha + T) / (alpha + t + T)))
-    denom = 1 + (x > 0) * (a / (b + x - 1)) * ((alpha + T) / (alpha + tx)) ** (r + x)
-    return first * second / denom
+    c = a + b + x - 1
+    stays = (1 - z) ** (a - 1) * hyp2f1(a - 1, a + b - 1 - r, c, z)
+    left_odds = np.where(x > 0, a / (b + np.maximum(x, 1) - 1) * ((alpha + T) / (alpha + tx)) ** (r + x), 0.0)
+    return c / (a - 1) * (1 - stays) / (1 + left_odds)
 
 
 def clv(rf: DataFrame, bg: DataFrame, gg: DataFrame, months: int = 12, discount: float = 0.0) -> DataFrame:
@@ -225,24 +267,29 @@ def clv(rf: DataFrame, bg: DataFrame, gg: DataFrame, months: int = 12, discount:
 
 
 def fits_usable(bg: DataFrame, gg: DataFrame) -> bool:
-    """The CLV expectations need a > 1 (BG/NBD) and q > 1 (Gamma-Gamma);
-    outside that region (or with non-finite estimates) the fit is rejected."""
+    """The expectations divide by a - 1 (BG/NBD) and q - 1 (Gamma-Gamma): a
+    fit with non-finite estimates, or at one of these poles, has none."""
     b, g = bg.first(), gg.first()
     vals = [b["r"], b["alpha"], b["a"], b["b"], g["p"], g["q"], g["v"]]
-    return all(np.isfinite(vals)) and b["a"] > 1 and g["q"] > 1
+    return bool(np.all(np.isfinite(vals))) and b["a"] != 1 and g["q"] != 1
 
 
 def probabilistic_ltv_table(fact: DataFrame, features: DataFrame, as_of, params=None, penalizer: float = 0.01):
     """M13 with the probabilistic path: fit M10/M11 on the day-grain summary,
-    score M12, and fall back to the heuristic when a fit fails or is unusable."""
+    score M12, and fall back to the heuristic when a fit or the scoring fails
+    for whatever reason (the reference's rule)."""
     from tidewell.operators.metrics import ltv_table, rf_summary
     from tidewell.params import MetricsParams
+    from tidewell.session import ensure_checkpoint_dir
     params = params or MetricsParams()
     try:
-        rf = rf_summary(fact, as_of).cache()
+        ensure_checkpoint_dir(fact.sparkSession)
+        rf = rf_summary(fact, as_of).checkpoint()
         bg, gg = bgnbd_fit(rf, penalizer), gamma_gamma_fit(rf, penalizer)
         if not fits_usable(bg, gg):
             return ltv_table(features, None, params)
-        return ltv_table(features, clv(rf, bg, gg, params.ltv_horizon_months), params)
-    except (ValueError, ArithmeticError, FloatingPointError):
+        # scored here, so that a failing row falls back as a failing fit does
+        scored = clv(rf, bg, gg, params.ltv_horizon_months).checkpoint()
+    except Exception:  # noqa: BLE001
         return ltv_table(features, None, params)
+    return ltv_table(features, scored, params)
