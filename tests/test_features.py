@@ -1,5 +1,6 @@
 """Point-in-time features, label windows and leakage."""
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import BRONZE_SCHEMA, FACT_SCHEMA, SAMPLE_TRANSACTIONS, SMOKE_CODES, d
 from tidewell.operators import cleaning, features
@@ -98,6 +99,30 @@ def test_snapshots_equal_single_cutoff_runs(spark, silver):
         assert snap.filter(F.col("as_of") == as_ts(a)).exceptAll(one).count() == 0
 
 
+def test_leakage_audit_finds_a_planted_leak(spark, silver):
+    import datetime as dt
+    dim = features.dim_customers(silver)
+
+    def leaky(fact, dim, as_ofs, window_days, params):
+        later = features.feature_snapshots(fact, dim, [a + dt.timedelta(days=40) for a in as_ofs], window_days, params)
+        return later.withColumn("as_of", F.col("as_of") - F.expr("INTERVAL 40 DAYS"))
+
+    res = features.leakage_audit(silver, dim, [d("2023-01-15")], UK, snapshots=leaky).collect()
+    assert sum(r.mismatched_rows for r in res) > 0
+
+
+def test_snapshots_prune_months_and_share_the_invoice_grain(spark, tmp_path, silver):
+    path = str(tmp_path / "fact")
+    silver.withColumn("month", (F.year("invoice_date") * 100 + F.month("invoice_date")).cast("int")) \
+        .write.partitionBy("month").parquet(path)
+    fact = spark.read.parquet(path)
+    plan = features.feature_snapshots(fact, features.dim_customers(silver), [AS_OF], 30, UK)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in text.splitlines() if "FileScan" in x and "fact" in x]
+    assert len(scans) == 2 and all("month" in x.split("PartitionFilters: [")[1].split("]")[0] for x in scans)
+    assert len([x for x in text.splitlines() if "Exchange hashpartitioning(as_of" in x and "invoice" in x]) == 1
+
+
 def test_leakage_audit_is_clean(spark, silver):
     dim = features.dim_customers(silver)
     res = features.leakage_audit(silver, dim, [d("2023-01-15"), AS_OF], UK).collect()

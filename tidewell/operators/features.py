@@ -10,6 +10,7 @@ that cutoff's features — only its label.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,6 +63,15 @@ def _cutoff_rows(as_ofs, window_days: int | None, trend_months: int) -> Column:
     return F.array(*rows)
 
 
+def until(fact: DataFrame, last: dt.datetime) -> DataFrame:
+    """Rows up to ``last``; on the stored fact (partitioned by yyyymm) later
+    months are pruned before they are read."""
+    base = fact.filter(F.col("invoice_date") <= as_ts(last))
+    if "month" in fact.columns:
+        base = base.filter(F.col("month") <= F.lit(last.year * 100 + last.month))
+    return base
+
+
 def expand_to_cutoffs(fact: DataFrame, as_ofs, window_days: int | None,
                       trend_months: int = 6) -> DataFrame:
     """Each fact row once per cutoff whose history or label window contains it.
@@ -71,10 +81,7 @@ def expand_to_cutoffs(fact: DataFrame, as_ofs, window_days: int | None,
     """
     as_ofs = sorted(set(as_ofs))
     last = as_ofs[-1] + (dt.timedelta(days=window_days) if window_days is not None else dt.timedelta(0))
-    base = fact.filter(F.col("invoice_date") <= as_ts(last))
-    if "month" in fact.columns:  # fact mart partitioned by yyyymm: prune whole months
-        base = base.filter(F.col("month") <= F.lit(last.year * 100 + last.month))
-    return (base.withColumn("_c", F.explode(_cutoff_rows(as_ofs, window_days, trend_months)))
+    return (until(fact, last).withColumn("_c", F.explode(_cutoff_rows(as_ofs, window_days, trend_months)))
             .filter(F.col("invoice_date") <= F.col("_c.horizon"))
             .select("*", "_c.as_of", "_c.horizon", "_c.trend_start", "_c.trend_end").drop("_c"))
 
@@ -104,18 +111,28 @@ def _invoice_grain(expanded: DataFrame, trend_months: int) -> DataFrame:
         F.max(F.when(fut, F.lit(1)).otherwise(F.lit(0))).alias("fut"))
 
 
-def _core(inv: DataFrame, trend_months: int) -> DataFrame:
+def _customer_grain(inv: DataFrame, trend_months: int) -> DataFrame:
+    """Every invoice-derived feature from one pass over the invoice grain.
+
+    Invoices are reduced to (as_of, customer, day) first: two invoices on the
+    same calendar day are less than 24 h apart, so only the gap from one
+    active day to the next counts (see ``order_gaps``), and the window runs
+    over a customer's active days.  Invoices with a label but no history have
+    no day."""
     n_pts = trend_months + 1
     denom = n_pts * (n_pts * n_pts - 1) / 12.0
-    has_hist = F.col("first_t").isNotNull() & F.col("invoice").isNotNull()
-    agg = inv.groupBy("as_of", "customer_id").agg(
-        F.max("last_t").alias("last_ts"),
-        F.count(F.when(has_hist, F.lit(1))).alias("frequency"),
-        round_half(F.sum("rev"), 6).alias("monetary"),
-        F.sum("slope_part").alias("_slope_num"),
-        F.max("fut").alias("target_conversion"),
-        F.max(F.col("first_t").isNotNull().cast("int")).alias("_has_hist"),
-    ).filter(F.col("_has_hist") == 1)
+    hist = F.col("first_t").isNotNull()
+    days = inv.groupBy("as_of", "customer_id", F.to_date("first_t").alias("day")).agg(
+        F.min("first_t").alias("d_first"), F.max("first_t").alias("d_last"), F.max("last_t").alias("last_ts"),
+        F.count_if(hist).alias("n"), F.count_if(hist & F.col("invoice").isNotNull()).alias("named"),
+        F.sum("rev").alias("rev"), F.sum("slope_part").alias("slope_part"), F.max("fut").alias("fut"))
+    w = Window.partitionBy("as_of", "customer_id").orderBy("day")
+    days = days.withColumn("edge_gap", floor_days(F.col("d_first"), F.lag("d_last").over(w)))
+    agg = days.groupBy("as_of", "customer_id").agg(
+        F.max("last_ts").alias("last_ts"), F.sum("named").alias("frequency"), F.sum("n").alias("_n"),
+        round_half(F.sum("rev"), 6).alias("monetary"), F.sum("slope_part").alias("_slope_num"),
+        F.max("fut").alias("target_conversion"), F.coalesce(F.sum("edge_gap"), F.lit(0)).alias("_gaps"),
+    ).filter(F.col("last_ts").isNotNull())
     return agg.select(
         "as_of", "customer_id",
         floor_days(F.col("as_of"), F.col("last_ts")).alias("recency_days"),
@@ -123,7 +140,7 @@ def _core(inv: DataFrame, trend_months: int) -> DataFrame:
         (F.col("frequency") == 1).alias("single_buyer"),
         (F.coalesce(F.col("_slope_num"), F.lit(0.0)) / F.lit(denom)).alias("spend_trend_slope"),
         F.col("target_conversion").cast("int").alias("target_conversion"),
-    )
+        F.when(F.col("_n") >= 2, F.col("_gaps") / (F.col("_n") - 1)).cast("double").alias("avg_days_between_orders"))
 
 
 def _diversity(expanded: DataFrame) -> DataFrame:
@@ -172,13 +189,14 @@ def feature_snapshots(fact: DataFrame, dim: DataFrame, as_ofs, window_days: int
     if include_target and window_days is None:
         raise ValueError("window_days is required when include_target=True")
     tm = params.trend_months
-    cols = fact.select("customer_id", "invoice", "stock_code", "invoice_date", "revenue")
+    # "month" stays: it prunes the stored fact's partitions
+    cols = fact.select("customer_id", "invoice", "stock_code", "invoice_date", "revenue",
+                       *[c for c in ("month",) if c in fact.columns])
     expanded = expand_to_cutoffs(cols, as_ofs, window_days if include_target else None, tm)
     inv = _invoice_grain(expanded, tm)
     keys = ["as_of", "customer_id"]
     d = dim.select("customer_id", "first_purchase_date", "country")
-    out = (_core(inv, tm).join(_diversity(expanded), keys, "left")
-           .join(_gaps_from_invoices(inv), keys, "left")
+    out = (_customer_grain(inv, tm).join(_diversity(expanded), keys, "left")
            .join(d, "customer_id", "left"))
     label = F.col("target_conversion") if include_target else F.lit(None).cast("int")
     return out.select(
@@ -198,7 +216,7 @@ def customer_features(fact: DataFrame, dim: DataFrame, as_of: dt.datetime, windo
 
 def rfm(fact: DataFrame, as_of: dt.datetime) -> DataFrame:
     """recency (whole days since last purchase), distinct invoices, revenue sum (F2)."""
-    hist = fact.filter(F.col("invoice_date") <= as_ts(as_of))
+    hist = until(fact, as_of)
     return hist.groupBy("customer_id").agg(
         floor_days(as_ts(as_of), F.max("invoice_date")).alias("recency_days"),
         F.count_distinct("invoice").alias("frequency"),
@@ -206,12 +224,12 @@ def rfm(fact: DataFrame, as_of: dt.datetime) -> DataFrame:
 
 
 def product_diversity(fact: DataFrame, as_of: dt.datetime) -> DataFrame:
-    return (fact.filter(F.col("invoice_date") <= as_ts(as_of))
+    return (until(fact, as_of)
             .groupBy("customer_id").agg(F.count_distinct("stock_code").alias("product_diversity")))
 
 
 def single_buyer(fact: DataFrame, as_of: dt.datetime) -> DataFrame:
-    return (fact.filter(F.col("invoice_date") <= as_ts(as_of))
+    return (until(fact, as_of)
             .groupBy("customer_id")
             .agg((F.count_distinct("invoice") == 1).alias("single_buyer")))
 
@@ -227,7 +245,7 @@ def spend_trend_slope(fact: DataFrame, dim: DataFrame, as_of: dt.datetime,
 
 
 def tenure_days(dim: DataFrame, fact: DataFrame, as_of: dt.datetime) -> DataFrame:
-    active = fact.filter(F.col("invoice_date") <= as_ts(as_of)).select("customer_id").distinct()
+    active = until(fact, as_of).select("customer_id").distinct()
     return active.join(dim, "customer_id").select(
         "customer_id", floor_days(as_ts(as_of), F.col("first_purchase_date")).alias("tenure_days"))
 
@@ -248,7 +266,7 @@ def target_conversion(fact: DataFrame, as_of: dt.datetime, window_days: int) ->
     """1 iff a purchase falls in (as_of, as_of + window]; eligible = has history.
     One conditional aggregation, no join."""
     horizon = as_of + dt.timedelta(days=window_days)
-    f = fact.filter(F.col("invoice_date") <= as_ts(horizon))
+    f = until(fact, horizon)
     return (f.groupBy("customer_id").agg(
         F.max((F.col("invoice_date") <= as_ts(as_of)).cast("int")).alias("_h"),
         F.max(F.when(F.col("invoice_date") > as_ts(as_of), F.lit(1)).otherwise(F.lit(0))).alias("target_conversion"))
@@ -263,29 +281,26 @@ def snapshot_conversion_rate(snapshots: DataFrame) -> DataFrame:
 
 
 def leakage_audit(fact: DataFrame, dim: DataFrame, as_ofs, params: FeatureParams = FeatureParams(),
-                  digits: int = 6) -> DataFrame:
-    """Features from the full fact must equal features from the fact truncated at
-    each cutoff (F14).  One row per cutoff with the count of differing rows;
-    doubles compared after rounding (summation order is not fixed)."""
-    outs = []
-    for a in sorted(set(as_ofs)):
-        full = feature_snapshots(fact, dim, [a], None, params, include_target=False)
-        trunc = feature_snapshots(fact.filter(F.col("invoice_date") <= as_ts(a)), dim, [a], None,
-                                  params, include_target=False)
-        outs.append((a, full, trunc))
+                  digits: int = 6, window_days: int = 90, snapshots=feature_snapshots) -> DataFrame:
+    """the features of the production plan (all cutoffs and the label in
+    one job, over the whole fact) must equal those computed for each cutoff
+    alone from a fact that ends there.  One row per cutoff with the count of
+    differing rows; doubles compared after rounding (summation order is not
+    fixed).  ``snapshots`` is the plan under audit."""
     cols = [c for c in FEATURE_TABLE_COLUMNS if c not in ("customer_id", "as_of", "target_conversion")]
-    res = None
-    for a, full, trunc in outs:
-        def rnd(df, side):
-            return df.select("as_of", "customer_id", *[
-                (round_half(F.col(c), digits) if c in ("monetary", "avg_days_between_orders", "spend_trend_slope")
-                 else F.col(c)).alias(f"{side}_{c}") for c in cols])
-        j = rnd(full, "f").join(rnd(trunc, "t"), ["as_of", "customer_id"], "full_outer")
-        same = F.lit(True)
-        for c in cols:
-            same = same & F.col(f"f_{c}").eqNullSafe(F.col(f"t_{c}"))
-        r = j.agg(F.count(F.col("f_recency_days")).alias("rows_full"),
-                  F.count(F.col("t_recency_days")).alias("rows_truncated"),
-                  F.count_if(~same).alias("mismatched_rows")).select(as_ts(a).alias("as_of"), "*")
-        res = r if res is None else res.unionByName(r)
-    return res
+
+    def rounded(df, side):
+        return df.select("as_of", "customer_id", *[
+            (round_half(F.col(c), digits) if c in ("monetary", "avg_days_between_orders", "spend_trend_slope")
+             else F.col(c)).alias(f"{side}_{c}") for c in cols])
+
+    as_ofs = sorted(set(as_ofs))
+    alone = [feature_snapshots(until(fact, a), dim, [a], None, params, include_target=False) for a in as_ofs]
+    full = rounded(snapshots(fact, dim, as_ofs, window_days, params), "f")
+    j = full.join(rounded(reduce(DataFrame.unionByName, alone), "t"), ["as_of", "customer_id"], "full_outer")
+    same = F.lit(True)
+    for c in cols:
+        same = same & F.col(f"f_{c}").eqNullSafe(F.col(f"t_{c}"))
+    return j.groupBy("as_of").agg(F.count(F.col("f_recency_days")).alias("rows_full"),
+                                  F.count(F.col("t_recency_days")).alias("rows_truncated"),
+                                  F.count_if(~same).alias("mismatched_rows"))

@@ -99,7 +99,8 @@ def rf_summary(fact: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Day-grain repeat-purchase summary (M9): frequency = purchase days − 1,
     recency = first→last purchase day, T = first purchase day→as_of day,
     monetary = mean daily spend excluding the first day (0 if none)."""
-    daily = (fact.filter(F.col("invoice_date") <= as_ts(as_of))
+    from tidewell.operators.features import until
+    daily = (until(fact, as_of)
              .groupBy("customer_id", F.to_date("invoice_date").alias("day"))
              .agg(F.sum("revenue").alias("spend")))
     per = daily.groupBy("customer_id").agg(
