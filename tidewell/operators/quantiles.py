@@ -1,86 +1,33 @@
-"""Exact percentiles with linear interpolation, sized for the data.
+"""Exact percentiles with linear interpolation.
 
-Spark's exact ``percentile`` keeps a value → count map whose final merge
-happens in one task: right for up to a few million distinct values.  Above
-that bound (checked with an approximate distinct count first) the order
-statistics are located from range-partitioned running counts over the
-distinct values, and only the two rows around each requested rank come
-back to the driver.
+One way for every size: the distinct values of each group are counted, their
+order statistics are located from range-partitioned running counts, and the
+target ranks are columns of the per-group count table.  Nothing but one row
+per group is brought together, so there is no value map in one task and no
+switch between algorithms.
 """
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.operators.ordered import running_totals
 
-MAX_DISTINCT_IN_ONE_TASK = 2_000_000
-
-
-def _ranked(df: DataFrame, col: str, ps: list[float]) -> list[float]:
-    vals = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    counts = vals.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    rt = running_totals(counts, [F.col("v").asc()], {"c": F.col("c")})
-    n = rt.agg(F.max("cum_c")).first()[0]
-    if not n:
-        return [None] * len(ps)
-    ranks = set()
-    for p in ps:
-        pos = p * (n - 1)
-        ranks.update({math.floor(pos), math.ceil(pos)})
-    cond = None
-    for r in ranks:  # 0-based rank r lies in [cum_c − c, cum_c)
-        c = (F.col("cum_c") - F.col("c") <= r) & (F.lit(r) < F.col("cum_c"))
-        cond = c if cond is None else (cond | c)
-    rows = rt.filter(cond).select("v", "c", "cum_c").collect()
-
-    def at(r):
-        return next(x["v"] for x in rows if x["cum_c"] - x["c"] <= r < x["cum_c"])
 
-    out = []
-    for p in ps:
-        pos = p * (n - 1)
-        lo, hi = math.floor(pos), math.ceil(pos)
-        a, b = at(lo), at(hi)
-        out.append(a + (pos - lo) * (b - a))
-    return out
+def exact_percentiles(df: DataFrame, cols: list[str], p: float) -> dict[str, float]:
+    """Exact linear-interpolated p-quantile of each column, all columns in one
+    pass (the result has one row per column)."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("v"))
+                                         for c in cols])).alias("x")).select("x.col", "x.v")
+    rows = {r["col"]: r["q0"] for r in grouped_percentiles(long, "v", [p], ["col"]).collect()}
+    return {c: rows.get(c) for c in cols}
 
 
-def exact_percentiles(df: DataFrame, cols: list[str], p: float,
-                      max_distinct: int = MAX_DISTINCT_IN_ONE_TASK) -> dict[str, float]:
-    """Exact linear-interpolated p-quantile of each column, one small job for
-    all columns whose distinct count is under ``max_distinct``."""
-    est = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    small = [c for c in cols if est[c] <= max_distinct]
-    out: dict[str, float] = {}
-    if small:
-        row = df.agg(*[F.percentile(F.col(c), F.lit(p)).alias(c) for c in small]).first()
-        out.update({c: row[c] for c in small})
-    for c in cols:
-        if c not in out:
-            out[c] = _ranked(df, c, [p])[0]
-    return out
-
-
-def grouped_percentiles(df: DataFrame, col: str, ps: list[float], groups: list[str],
-                        max_distinct: int = MAX_DISTINCT_IN_ONE_TASK) -> DataFrame:
+def grouped_percentiles(df: DataFrame, col: str, ps: list[float], groups: list[str]) -> DataFrame:
     """Exact linear-interpolated quantiles of ``col`` per group, as columns
-    q0..q{k-1} (one per requested p).
-
-    Small inputs use Spark's exact ``percentile`` (a value map per group).
-    Above the distinct-value bound, each group's order statistics come from
-    range-partitioned running counts over its distinct values; the target
-    ranks are columns of the per-group count table, so nothing but one row
-    per group is ever brought together."""
+    q0..q{k-1} (one per requested p).  Groups without values are absent."""
     v = F.col(col).cast("double")
     base = df.select(*groups, v.alias("_v")).filter(F.col("_v").isNotNull())
-    est = base.agg(F.approx_count_distinct("_v")).first()[0]
-    if est <= max_distinct:
-        q = F.percentile("_v", F.array(*[F.lit(float(p)) for p in ps]))
-        agg = base.groupBy(*groups).agg(q.alias("_q"))
-        return agg.select(*groups, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(ps))])
     counts = base.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("c"))
     rt = running_totals(counts, [F.col("_v").asc()], {"c": F.col("c")}, tuple(groups))
     n = rt.groupBy(*groups).agg(F.max("cum_c").alias("_n"))
