@@ -169,8 +169,8 @@ def permutation_importance(train: DataFrame, test: DataFrame, params: Propensity
     """Drop in AUC when one feature column is permuted.
 
     All (feature, repeat) copies form one long frame: within each copy the
-    donor of row i is the row whose hashed rank equals i's id rank — an
-    equi-join on rank, no driver shuffle.  Every copy is scored by the same
+    donor of row i is the row whose hashed rank equals i's id rank (ranked
+    once) — an equi-join on rank, no driver shuffle.  Every copy is scored by the same
     model ensemble and AUC is computed grouped by (feature, repeat)."""
     repeats = repeats or params.permutation_repeats
     med, va, models = fitted or calibrated_models(train, params)
@@ -178,17 +178,20 @@ def permutation_importance(train: DataFrame, test: DataFrame, params: Propensity
     base_auc = ev.roc_auc(apply_calibrated(te, va, models, ["customer_id", "target_conversion"]),
                           "score", "target_conversion").first()["roc_auc"]
     feats = list(FEATURE_COLUMNS)
-    copies = te.select("*", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"))
-                                                  for f in feats for r in range(repeats)])).alias("_fr")) \
-        .select("*", "_fr.feature", "_fr.repeat").drop("_fr")
     g = ("feature", "repeat")
-    by_id = running_totals(copies, [F.col("customer_id").asc()], {}, g).withColumnRenamed("pos", "_rid")
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"))
+                               for f in feats for r in range(repeats)])).alias("_fr")
+    # ranked by id once: the rank is the same in every copy
+    ranked = running_totals(te, [F.col("customer_id").asc()], {}).withColumnRenamed("pos", "_rid")
+    copies = ranked.select("*", each).select("*", "_fr.*").drop("_fr")
+    # donors carry the key and the one permuted column
+    value = F.coalesce(*[F.when(F.col("_fr.feature") == f, F.col(f)) for f in feats])
     u = hash_uniform(params.seed, F.concat_ws(":", "feature", "repeat", "customer_id"), "perm")
-    donors = running_totals(copies.withColumn("_u", u), [F.col("_u").asc(), F.col("customer_id").asc()], {}, g) \
-        .select("feature", "repeat", F.col("pos").alias("_rid"),
-                F.create_map(*[x for f in feats for x in (F.lit(f), F.col(f))]).alias("_donor"))
-    perm = by_id.join(donors, ["feature", "repeat", "_rid"])
-    perm = perm.withColumns({f: F.when(F.col("feature") == f, F.col("_donor")[f]).otherwise(F.col(f)) for f in feats})
+    donors = te.select("customer_id", *feats, each).select("customer_id", "_fr.*", value.alias("_donor"))
+    donors = running_totals(donors.withColumn("_u", u), [F.col("_u").asc(), F.col("customer_id").asc()], {}, g) \
+        .select("feature", "repeat", F.col("pos").alias("_rid"), "_donor")
+    perm = copies.join(donors, ["feature", "repeat", "_rid"])
+    perm = perm.withColumns({f: F.when(F.col("feature") == f, F.col("_donor")).otherwise(F.col(f)) for f in feats})
     scored = apply_calibrated(perm, va, models, ["feature", "repeat", "customer_id", "target_conversion"])
     auc = ev.roc_auc(scored, "score", "target_conversion", g)
     te.unpersist()
@@ -227,10 +230,15 @@ def t_learner(features: DataFrame, attribution: DataFrame, params: PropensityPar
 
 
 # ---------------------------------------------------------------- k-means runs
+def _k(features: DataFrame, params: SegmentationParams) -> int:
+    """The configured k, else the sweep's choice."""
+    return params.chosen_k or seg.choose_k(k_sweep(features, params)).first()["k"]
+
+
 def kmeans_fit(features: DataFrame, params: SegmentationParams = SegmentationParams()):
     """Final k-means labels: best of ``restarts`` fits by inertia."""
     m = seg.rfm_matrix(features, params)
-    k = params.chosen_k or 5
+    k = _k(features, params)
     labels, summary = seg.kmeans_fits(m, seg.fit_table([k], params.restarts), None, params)
     return labels.select("customer_id", "cluster", *seg.RFM_FEATURES), summary
 
@@ -247,7 +255,7 @@ def k_sweep(features: DataFrame, params: SegmentationParams = SegmentationParams
 def stability_reseed(features: DataFrame, reference: DataFrame, params: SegmentationParams = SegmentationParams()):
     """ARI of ``reseed_runs`` refits (new seeds) against the reference labels."""
     m = seg.rfm_matrix(features, params)
-    k = params.chosen_k or 5
+    k = _k(features, params)
     # fit ids offset from the reference fit's, so every run gets new seeds
     fits = [(f + 1000, kk, run, r) for f, kk, run, r in seg.fit_table([k] * params.reseed_runs, params.restarts)]
     labels, _ = seg.kmeans_fits(m, fits, None, params)
@@ -258,8 +266,8 @@ def stability_reseed(features: DataFrame, reference: DataFrame, params: Segmenta
 def stability_subsample(features: DataFrame, reference: DataFrame,
                         params: SegmentationParams = SegmentationParams()):
     """ARI on ``subsample_runs`` exact-size 80% subsamples without replacement."""
-    m = seg.rfm_matrix(features, params).cache()
-    k = params.chosen_k or 5
+    m = seg.rfm_matrix(features, params)
+    k = _k(features, params)
     runs = list(range(params.subsample_runs))
     members = seg.subsample_members(m, runs, params.subsample_frac, params.seed)
     fits = [(f + 5000, kk, run, r) for f, kk, run, r in seg.fit_table([k] * params.subsample_runs, params.restarts)]

@@ -1,18 +1,20 @@
 """RFM segmentation.
 
 The matrix, profiles, naming and actions are plain aggregates and windows
-over the k-row profile.  K-means is Lloyd's algorithm written as DataFrame
-jobs over *all* fits at once: every (run, restart) keeps its k centres in one
-small table (runs × restarts × k rows — bounded by parameters), each
-iteration assigns every point to its nearest centre of every fit with one
-broadcast join and re-averages with one grouped aggregate.  A k-sweep,
-reseeded stability runs and subsample runs are just more fit ids in the
-same job, so the cost grows with points × fits, not with a driver loop of
-separate model fits.
+over the k-row profile.  K-means is Lloyd's algorithm over *all* fits at
+once: every (run, restart) keeps its k centres on the driver (bounded by
+parameters), the points are stored once, and each iteration is one job that
+assigns every point to its nearest centre of every fit in memory and sends
+one partial sum per fit and cluster.  A k-sweep, reseeded stability runs and
+subsample runs are just more fits in the same job.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.hashing import hash_uniform
@@ -110,114 +112,125 @@ def choose_k(sweep: DataFrame, chosen_k: int | None = None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- batched Lloyd
-
-def _sq(c) -> Column:
-    """Squared distance from the row's point to centre struct ``c``."""
-    terms = [(F.col(f) - c["c_" + f]) * (F.col(f) - c["c_" + f]) for f in RFM_FEATURES]
-    return terms[0] + terms[1] + terms[2]
-
-
-def _centre_arrays(centres: DataFrame) -> DataFrame:
-    """One row per fit holding its k centres as an array (fits × k values)."""
-    return centres.groupBy("fit").agg(F.collect_list(F.struct(
-        "cluster", *[F.col("c_" + f) for f in RFM_FEATURES])).alias("_cs"))
-
-
-def _assign(points: DataFrame, centres: DataFrame) -> DataFrame:
-    """Nearest centre of its fit for every (fit, point) row — a map-side
-    expression over the fit's broadcast centre array: no shuffle, no
-    per-point aggregation."""
-    j = points.join(F.broadcast(_centre_arrays(centres)), "fit")
-    best = F.array_min(F.transform("_cs", lambda c: F.struct(_sq(c).alias("d"), c["cluster"].alias("cluster"))))
-    return j.select("fit", "customer_id", *RFM_FEATURES, best["cluster"].alias("cluster"), best["d"].alias("d"))
-
-
-def _init_centres(points: DataFrame, k: DataFrame, seed: int) -> DataFrame:
-    """k-means++-style seeding for all fits at once: the first centre is the
-    point with the smallest hashed uniform; each next centre is drawn with
-    probability ∝ D² by the exponential-race trick (argmin −ln(u)/D²), one
-    grouped min_by (partially aggregated map-side) per centre."""
-    spark = points.sparkSession
-    u0 = hash_uniform(seed, F.concat_ws(":", "fit", "customer_id"), "init0")
-    first = points.groupBy("fit").agg(F.min_by(F.struct(*RFM_FEATURES), u0).alias("_p")) \
-        .select("fit", F.lit(0).alias("cluster"), *[F.col(f"_p.{f}").alias("c_" + f) for f in RFM_FEATURES])
-    centres = spark.createDataFrame(first.collect(), first.schema)
-    kmax = k.agg(F.max("k")).first()[0]
-    k_of = {r["fit"]: r["k"] for r in k.collect()}
-    for c in range(1, kmax):
-        active = [f for f, kk in k_of.items() if kk > c]
-        pts = points.filter(F.col("fit").isin(active))
-        d = pts.join(F.broadcast(_centre_arrays(centres)), "fit").withColumn(
-            "d2", F.array_min(F.transform("_cs", lambda cc: _sq(cc))))
-        u = hash_uniform(seed, F.concat_ws(":", "fit", "customer_id"), f"init{c}")
-        race = -F.log(u) / F.col("d2")
-        nxt = d.filter(F.col("d2") > 0).groupBy("fit").agg(F.min_by(F.struct(*RFM_FEATURES), race).alias("_p")) \
-            .select("fit", F.lit(c).alias("cluster"), *[F.col(f"_p.{f}").alias("c_" + f) for f in RFM_FEATURES])
-        centres = spark.createDataFrame(centres.collect() + nxt.collect(), centres.schema)
+#
+# Points are stored once, whatever the number of fits.  Every job reads them,
+# works on all live fits in memory and emits one row per fit and cluster; the
+# centres (fits x k rows) travel in the closure.
+
+_DIM = len(RFM_FEATURES)
+_SUMS = ", ".join(f"s{i} double" for i in range(_DIM))
+
+
+def _uniform(ids: np.ndarray, *salt: int) -> np.ndarray:
+    """Hashed uniforms in (0, 1) from 64-bit ids: partition-independent."""
+    x = ids.view(np.uint64).copy()
+    for v in salt:
+        x = (x ^ np.uint64(v * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xFF51AFD7ED558CCD)
+        x ^= x >> np.uint64(33)
+    return ((x >> np.uint64(11)).astype(float) + 0.5) / float(1 << 53)
+
+
+def _batch(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """(hashed ids, points, run membership by point and run or None for all)."""
+    x = np.column_stack([batch.column(f).to_numpy() for f in RFM_FEATURES])
+    member = None
+    if "runs" in batch.schema.names:
+        runs = batch.column("runs")
+        flat = runs.flatten().to_numpy()
+        member = np.zeros((len(x), int(flat.max()) + 1 if len(flat) else 1), bool)
+        member[np.repeat(np.arange(len(x)), np.diff(runs.offsets.to_numpy())), flat] = True
+    return batch.column("hid").to_numpy(), x, member
+
+
+def _in_run(member: np.ndarray | None, run: int, n: int) -> np.ndarray:
+    if member is None:
+        return np.ones(n, bool)
+    return member[:, run] if run < member.shape[1] else np.zeros(n, bool)
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    d = ((x[:, None, :] - centres[None]) ** 2).sum(2)
+    best = d.argmin(1)
+    return best, d[np.arange(len(x)), best]
+
+
+def _seed_centres(points: DataFrame, fits: list[tuple[int, int, int]], seed: int) -> dict[int, np.ndarray]:
+    """k-means++ seeding for all fits at once: each next centre is drawn with
+    probability proportional to the squared distance, as the winner of an
+    exponential race (least -ln(u) / d2).  One job per centre."""
+    centres: dict[int, np.ndarray] = {f: np.empty((0, _DIM)) for f, _, _ in fits}
+    for c in range(max(k for _, k, _ in fits)):
+        live = [(f, run) for f, k, run in fits if k > c]
+
+        def race(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best: dict[int, tuple] = {}
+            for batch in batches:
+                ids, x, runs = _batch(batch)
+                for f, run in live:
+                    with np.errstate(divide="ignore"):
+                        t = -np.log(_uniform(ids, seed, f, c))
+                        if c:
+                            t = t / _nearest(x, centres[f])[1]
+                    t[~_in_run(runs, run, len(x))] = np.inf
+                    if len(t):
+                        i = int(np.lexsort((ids, t))[0])
+                        if np.isfinite(t[i]) and (f not in best or (t[i], ids[i]) < best[f][:2]):
+                            best[f] = (t[i], ids[i], *x[i])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(best), pa.int32()), *(pa.array([b[j] for b in best.values()], pa.float64() if j != 1 else pa.int64())
+                                                     for j in range(2 + _DIM))],
+                ["fit", "t", "hid", *[f"s{i}" for i in range(_DIM)]])
+
+        won = points.mapInArrow(race, f"fit int, t double, hid long, {_SUMS}").groupBy("fit").agg(
+            F.min(F.struct("t", "hid", *[f"s{i}" for i in range(_DIM)])).alias("w")).collect()
+        for r in won:
+            centres[r.fit] = np.vstack([centres[r.fit], [r.w[f"s{i}"] for i in range(_DIM)]])
     return centres
 
 
-_CENTRE_SCHEMA = "fit int, cluster int, " + ", ".join(f"c_{f} double" for f in RFM_FEATURES)
-_ARRAY_SCHEMA = ("fit int, _cs array<struct<cluster:int, "
-                 + ", ".join(f"c_{f}:double" for f in RFM_FEATURES) + ">>")
-
-
-def _assign_local(points: DataFrame, rows: list[tuple]) -> DataFrame:
-    """_assign with the centre arrays built from driver-side rows (fits × k)."""
-    by_fit: dict[int, list] = {}
-    for r in rows:
-        by_fit.setdefault(r[0], []).append(tuple(r[1:]))
-    arr = points.sparkSession.createDataFrame(list(by_fit.items()), _ARRAY_SCHEMA)
-    j = points.join(F.broadcast(arr), "fit")
-    best = F.array_min(F.transform("_cs", lambda c: F.struct(_sq(c).alias("d"), c["cluster"].alias("cluster"))))
-    return j.select("fit", "customer_id", *RFM_FEATURES, best["cluster"].alias("cluster"), best["d"].alias("d"))
-
-
-def lloyd(points: DataFrame, fits: DataFrame, seed: int, max_iter: int = 50, tol: float = 1e-4):
-    """Run Lloyd's algorithm for every fit in ``fits`` (fit, k) at once.
+def lloyd(points: DataFrame, fits: list[tuple[int, int, int]], seed: int, max_iter: int, tol: float):
+    """Lloyd's algorithm for every (fit, k, run) at once, one job per
+    iteration over the points stored once.
 
-    ``points``: (fit, customer_id, x_*) — the rows each fit clusters.
     A fit has converged when the sum of its squared centre shifts is at most
-    ``tol`` × the mean feature variance; converged fits are dropped from later
-    iterations (a narrow filter on the fit id).  Centres live on the driver
-    between iterations (≤ fits × k rows), so every iteration is one job over
-    the checkpointed points and the lineage never grows.
-    Returns (assignments DataFrame for all fits, centres DataFrame).
-    """
+    ``tol`` x the mean feature variance; converged fits are left out of later
+    iterations.  Returns (centres by fit, {fit: (iterations, converged)})."""
     from tidewell.session import static_plans
-    spark = points.sparkSession
     var = points.agg(*[F.var_pop(f) for f in RFM_FEATURES]).first()
-    threshold = tol * (sum(v or 0.0 for v in var) / len(RFM_FEATURES))
-    # the per-iteration shuffle carries at most fits × k rows: size it to that
-    n_groups = fits.agg(F.sum("k")).first()[0] or 1
-    with static_plans(spark, max(1, -(-n_groups // 20000))):
-        rows = _lloyd_loop(points, fits, seed, max_iter, threshold)
-    centres = spark.createDataFrame(rows, _CENTRE_SCHEMA)
-    return _assign_local(points, rows), centres
-
-
-def _lloyd_loop(points: DataFrame, fits: DataFrame, seed: int, max_iter: int, threshold: float) -> list[tuple]:
-    rows = [tuple(r) for r in _init_centres(points, fits, seed).collect()]
-    active = sorted({r[0] for r in rows})
-    for _ in range(max_iter):
-        if not active:
-            break
-        live = set(active)
-        a = _assign_local(points.filter(F.col("fit").isin(active)), [r for r in rows if r[0] in live])
-        new = a.groupBy("fit", "cluster").agg(*[F.avg(f).alias(f) for f in RFM_FEATURES]).collect()
-        moved = {(r["fit"], r["cluster"]): tuple(r[f] for f in RFM_FEATURES) for r in new}
-        shift: dict[int, float] = {}
-        out = []
-        for r in rows:
-            if r[0] in live:
-                vals = moved.get((r[0], r[1]), tuple(r[2:]))  # an emptied cluster keeps its centre
-                shift[r[0]] = shift.get(r[0], 0.0) + sum((v - o) ** 2 for v, o in zip(vals, r[2:]))
-                out.append((r[0], r[1], *vals))
-            else:
-                out.append(r)
-        rows = out
-        active = sorted(f for f, sh in shift.items() if sh > threshold)
-    return rows
+    threshold = tol * (sum(v or 0.0 for v in var) / _DIM)
+    # the shuffle carries at most fits x k rows per task: size it to that
+    with static_plans(points.sparkSession, max(1, -(-sum(k for _, k, _ in fits) // 20000))):
+        centres = _seed_centres(points, fits, seed)
+        status = {f: (0, False) for f, _, _ in fits}
+        for it in range(1, max_iter + 1):
+            live = [(f, run) for f, _, run in fits if not status[f][1] and len(centres[f])]
+            if not live:
+                break
+
+            def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                total = {f: np.zeros((len(centres[f]), 1 + _DIM)) for f, _ in live}
+                for batch in batches:
+                    _, x, runs = _batch(batch)
+                    for f, run in live:
+                        mine = x[_in_run(runs, run, len(x))] if runs is not None else x
+                        best, _ = _nearest(mine, centres[f])
+                        for i, w in enumerate([None, *mine.T]):
+                            total[f][:, i] += np.bincount(best, w, len(centres[f]))
+                rows = [(f, c, *t) for f, ts in total.items() for c, t in enumerate(ts) if t[0]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[j] for r in rows], t) for j, t in enumerate(
+                        [pa.int32(), pa.int32()] + [pa.float64()] * (1 + _DIM))],
+                    ["fit", "cluster", "n", *[f"s{i}" for i in range(_DIM)]])
+
+            new = points.mapInArrow(sums, f"fit int, cluster int, n double, {_SUMS}").groupBy("fit", "cluster").agg(
+                F.sum("n").alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(_DIM)]).collect()
+            moved = {f: centres[f].copy() for f, _ in live}      # an emptied cluster keeps its centre
+            for r in new:
+                moved[r.fit][r.cluster] = [r[f"s{i}"] / r.n for i in range(_DIM)]
+            for f, _ in live:
+                status[f] = (it, bool(((moved[f] - centres[f]) ** 2).sum() <= threshold))
+                centres[f] = moved[f]
+    return centres, status
 
 
 def subsample_members(matrix: DataFrame, runs: list[int], frac: float, seed: int) -> DataFrame:
@@ -233,41 +246,65 @@ def subsample_members(matrix: DataFrame, runs: list[int], frac: float, seed: int
     return rt.filter(F.col("pos") <= m).select("run", "customer_id")
 
 
+def _inertia(points: DataFrame, fits: list[tuple[int, int, int]], centres: dict[int, np.ndarray]) -> dict[int, float]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = dict.fromkeys((f for f, _, _ in fits if len(centres[f])), 0.0)
+        for batch in batches:
+            _, x, runs = _batch(batch)
+            for f, _, run in fits:
+                if f in total:
+                    total[f] += float(_nearest(x, centres[f])[1][_in_run(runs, run, len(x))].sum())
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.float64())],
+                                         ["fit", "d"])
+
+    return {r.fit: r.d for r in points.mapInArrow(work, "fit int, d double").groupBy("fit").agg(F.sum("d").alias("d")).collect()}
+
+
 def kmeans_fits(matrix: DataFrame, fits: list[tuple[int, int, int, int]], subsample: DataFrame | None = None,
                 params: SegmentationParams = SegmentationParams()):
     """Fit every (fit, k, run, restart) on the matrix (or, per run, on the
     subsample rows) and keep per run the restart with the lowest inertia.
 
     Returns (labels, summary): labels (run, customer_id, cluster, x_*) of the
-    best restart per run, summary (run, k, inertia)."""
+    best restart per run, summary (run, k, inertia, iterations, converged)."""
+    from pyspark import StorageLevel
+    from tidewell.session import ensure_checkpoint_dir, ship_package
     spark = matrix.sparkSession
-    fit_df = spark.createDataFrame(fits, "fit int, k int, run int, restart int")
-    pts = matrix.select("customer_id", *RFM_FEATURES)
-    if subsample is None:
-        points = pts.withColumn("fit", F.explode(F.array(*[F.lit(f[0]) for f in fits])))
-    else:
-        run_fits = F.broadcast(fit_df.select("fit", "run"))
-        points = subsample.join(run_fits, "run").join(pts, "customer_id").select("fit", "customer_id", *RFM_FEATURES)
-    # Hash-partition on (fit, customer_id) before cutting the lineage: the
-    # checkpoint keeps that partitioning, so each iteration's nearest-centre
-    # aggregate (grouped by a superset of those keys) needs no exchange, and
-    # AQE cannot collapse the point set into a single task.
-    from tidewell.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    from pyspark import StorageLevel
-    # checkpoint: reliable copy that cuts the lineage; persist: every Lloyd
-    # iteration re-reads the points, so keep them in executor memory (spilling
-    # to disk) — a lost block is re-read from the checkpoint
-    points = points.repartition(n_parts, "fit", "customer_id").checkpoint(eager=True)
-    points = points.persist(StorageLevel.MEMORY_AND_DISK)
-    assign, _ = lloyd(points, fit_df.select("fit", "k"), params.seed, params.max_iter, params.tol)
-    inertia = assign.groupBy("fit").agg(F.sum("d").alias("inertia")).join(F.broadcast(fit_df), "fit")
-    best = inertia.withColumn("_r", F.row_number().over(
-        Window.partitionBy("run").orderBy(F.col("inertia").asc(), F.col("restart").asc()))).filter("_r = 1")
-    labels = assign.join(F.broadcast(best.select("fit", "run")), "fit").select(
-        "run", "customer_id", "cluster", *RFM_FEATURES)
-    return labels, best.select("run", "k", "inertia")
+    ship_package(spark)
+    points = matrix.select("customer_id", F.xxhash64("customer_id").alias("hid"),
+                           *[F.col(f).cast("double").alias(f) for f in RFM_FEATURES])
+    if subsample is not None:
+        # the runs of a customer as one array (at most the number of runs)
+        points = points.join(subsample.groupBy("customer_id").agg(F.collect_set("run").alias("runs")), "customer_id")
+    # A reliable copy cuts the lineage; iterations read it from executor memory
+    # (a lost block is re-read from the copy).
+    points = points.checkpoint(eager=True)
+    held = points.persist(StorageLevel.MEMORY_AND_DISK)
+    shapes = [(f, k, run) for f, k, run, _ in fits]
+    centres, status = lloyd(held, shapes, params.seed, params.max_iter, params.tol)
+    inertia = _inertia(held, shapes, centres)
+    held.unpersist()
+    best: dict[int, tuple] = {}
+    for f, k, run, restart in fits:
+        if f in inertia and (run not in best or (inertia[f], restart) < best[run][:2]):
+            best[run] = (inertia[f], restart, f, k)
+    chosen = [(run, centres[f]) for run, (_, _, f, _) in best.items()]
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, x, runs = _batch(batch)
+            for run, c in chosen:
+                mine = _in_run(runs, run, len(x))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(int(mine.sum()), run), pa.int32()), batch.column("customer_id").filter(pa.array(mine)),
+                     pa.array(_nearest(x, c)[0][mine], pa.int32()), *(pa.array(v) for v in x[mine].T)],
+                    ["run", "customer_id", "cluster", *RFM_FEATURES])
+
+    labels = points.mapInArrow(label, "run int, customer_id string, cluster int, " + ", ".join(f"{f} double" for f in RFM_FEATURES))
+    summary = spark.createDataFrame([(run, k, i, *status[f]) for run, (i, _, f, k) in best.items()],
+                                    "run int, k int, inertia double, iterations int, converged boolean")
+    return labels, summary
 
 
 def fit_table(ks: list[int], restarts: int, first_run: int = 0) -> list[tuple[int, int, int, int]]:

@@ -128,7 +128,7 @@ class SegmentationParams:
     chosen_k: int | None = 5
     restarts: int = 10
     seed: int = GLOBAL_SEED
-    max_iter: int = 50
+    max_iter: int = 300
     tol: float = 1e-4
     recency_winsor_pct: float = 99.0
     reseed_runs: int = 20
