@@ -91,6 +91,11 @@ JOIN supplier s ON l.l_suppkey = s.s_suppkey
 JOIN nation n ON s.s_nationkey = n.n_nationkey
 JOIN (SELECT unnest([0, 1]) AS copy_no) c ON c.copy_no = 0 OR l.l_orderkey % {DUPLICATE_ORDER_MOD} = 0""")
 
+cte("ordered_bronze", (), _CTES["bronze"][1].replace("p.p_name AS description", "p.p_name || ' v' || copy_no AS description")
+    .replace("AS country\n", """AS country,
+       (l.l_orderkey * 10 + l.l_linenumber) * 2 + CASE WHEN l.l_orderkey % 2 = 1 THEN 1 - copy_no ELSE copy_no END AS source_row
+"""))
+
 _codes = ", ".join(q(c) for c in NON_PRODUCT_STOCK_CODES)
 cte("tagged", ("bronze",), f"""
 SELECT *, CASE

@@ -15,10 +15,14 @@ SV = "invoice, stock_code, description, quantity, invoice_date, unit_price, cust
 
 @register("bronze_union", build(f"SELECT {BR} FROM bronze", "bronze"))
 def bronze_union(p):
-    """Source part(s) with raw padded headers → trimmed, unioned, renamed, conformed."""
-    from tidewell.sources.files import bronze_union as union
-    from tidewell.sources.testdata import bronze_source_part
-    return union([bronze_source_part(p.spark, p.sf_dir)])
+    """Two source files with raw padded headers → read, trimmed, unioned, renamed, conformed."""
+    import uuid
+
+    from tidewell.session import shared_path
+    from tidewell.sources.files import bronze_union as union, read_parts
+    from tidewell.sources.testdata import write_source_parts
+    paths = write_source_parts(p.spark, p.sf_dir, shared_path(p.spark, "parts", uuid.uuid4().hex))
+    return union(read_parts(p.spark, paths))
 
 
 _conform_sql = " UNION ALL ".join(
@@ -69,6 +73,24 @@ def dedupe_line_items(p):
     return cleaning.dedupe_line_items(cleaning.drop_missing_customer(_stage3(p)))
 
 
+_first_sql = """
+SELECT invoice, stock_code, description, quantity, invoice_date, unit_price, customer_id, country FROM (
+  SELECT *, row_number() OVER (PARTITION BY invoice, stock_code, invoice_date, customer_id, quantity, unit_price
+                               ORDER BY source_row) AS nth
+  FROM ordered_bronze
+  WHERE NOT coalesce(starts_with(invoice, 'C'), false) AND quantity > 0 AND unit_price > 0
+    AND customer_id IS NOT NULL AND NOT isnan(customer_id)) WHERE nth = 1"""
+
+
+@register("dedupe_keep_first", build(_first_sql, "ordered_bronze"))
+def dedupe_keep_first(p):
+    """C5 with a source ordinal: of equal line keys the first row of the export stays."""
+    from tidewell.sources.testdata import bronze_in_source_order
+    rows = cleaning.drop_missing_customer(cleaning.drop_invalid_qty_price(
+        cleaning.drop_cancellations(bronze_in_source_order(p.spark, p.sf_dir))))
+    return cleaning.dedupe_line_items(rows, "source_row")
+
+
 @register("standardize", build(f"SELECT {SV} FROM silver", "silver"))
 def standardize(p):
     """Conformance of the deduplicated rows."""

@@ -19,22 +19,38 @@ ZERO_QTY_ORDER_MOD = 41
 MINUTES_MOD = 1440
 ANON_CUSTOMER_MOD = 23
 DUPLICATE_ORDER_MOD = 37
+SPLIT_DATE = "1996-01-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def bronze_source_part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The adapter output under the retail export's raw, space-padded headers
-    (what the file reader S1 has to trim and rename)."""
+def write_source_parts(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
+    """The adapter output as two files, split at a date as yearly exports are,
+    under the retail export's raw headers: the parts pad different headers
+    with blanks (what the file reader S1 has to trim and rename)."""
     from tidewell.sources.files import RAW_COLUMNS
     raw = {v: k for k, v in RAW_COLUMNS.items()}
     b = bronze_from_testdata(spark, sf_dir)
-    return b.select(*[F.col(c).alias(f" {raw[c]} " if i % 2 else raw[c]) for i, c in enumerate(b.columns)])
+    early = F.coalesce(F.col("invoice_date") < F.lit(SPLIT_DATE).cast("timestamp_ntz"), F.lit(True))
+    paths = []
+    for part, rows in enumerate((b.filter(early), b.filter(~early))):
+        named = rows.select(*[F.col(c).alias(f" {raw[c]} " if i % 2 == part else raw[c]) for i, c in enumerate(b.columns)])
+        paths.append(f"{folder}/part_{part}")
+        named.write.mode("overwrite").parquet(paths[-1])
+    return paths
 
 
-def bronze_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_in_source_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze with ``source_row``, the place of a row in the export, and with
+    export rows that repeat a line key under another description; the copy
+    comes first for odd orders, so neither order of text nor of copying is
+    the source's."""
+    return bronze_from_testdata(spark, sf_dir, source_order=True)
+
+
+def bronze_from_testdata(spark: SparkSession, sf_dir: str, source_order: bool = False) -> DataFrame:
     """lineitem ⋈ orders ⋈ part ⋈ (supplier ⋈ nation) → 8 bronze columns.
 
     Join strategy is left to Catalyst/AQE: lineitem⋈orders is a sort-merge on
@@ -58,7 +74,10 @@ def bronze_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
           .join(supp_nation, l.l_suppkey == supp_nation.s_suppkey))
     key = F.col("l_orderkey")
     copies = F.when(key % DUPLICATE_ORDER_MOD == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return (j.select(
+    copy = F.col("_copy").cast("bigint")
+    ordered = [((key * 10 + F.col("l_linenumber")) * 2 + F.when(key % 2 == 1, 1 - copy).otherwise(copy)).alias("source_row")]
+    out = (j.select(
+        "l_orderkey", "l_linenumber",
         F.when(F.col("l_returnflag") == "R", F.concat(F.lit("C"), key.cast("string")))
          .otherwise(key.cast("string")).alias("invoice"),
         F.when(F.col("l_partkey") % POSTAGE_PART_MOD == 0, F.lit("POST"))
@@ -72,5 +91,9 @@ def bronze_from_testdata(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_custkey") % ANON_CUSTOMER_MOD == 0, F.lit(None).cast("double"))
          .otherwise(F.col("o_custkey").cast("double")).alias("customer_id"),
         F.concat(F.lit(" "), F.col("n_name"), F.lit(" ")).alias("country"),
-        F.explode(copies).alias("_copy"))
-        .drop("_copy"))
+        F.explode(copies).alias("_copy")))
+    if not source_order:
+        return out.drop("_copy", "l_orderkey", "l_linenumber")
+    described = F.concat("description", F.lit(" v"), copy.cast("string"))
+    return out.select("invoice", "stock_code", described.alias("description"), "quantity", "invoice_date", "unit_price",
+                      "customer_id", "country", *ordered)
