@@ -4,10 +4,12 @@ The reference pipeline is batch only; this is the same cleaning waterfall
 (C1–C6) for bronze files that keep arriving.  Rules C1–C4 are stateless
 predicates.  C5 de-duplicates within an event-time watermark
 (``dropDuplicatesWithinWatermark``): state per line key is kept for
-``dedup_delay`` and then dropped, so a duplicate arriving later than that
-is not caught — the bounded-state trade-off of a stream; the batch plan
-remains the exact form.  Per-rule removal counts are kept as a running
-aggregate written by ``foreachBatch``.
+``dedup_delay`` and then dropped.  The watermark cuts both ways: *every* row
+that arrives later than ``dedup_delay`` behind the newest event is dropped,
+duplicate or not, so a back-fill of older files must go through the batch
+plan, which remains the exact form, or run with a delay that spans it.
+Per-rule removal counts are kept as a running aggregate written by
+``foreachBatch``.
 """
 from __future__ import annotations
 
