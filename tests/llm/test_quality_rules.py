@@ -3,7 +3,7 @@ import random
 import re
 
 import pytest
-from helpers import DIR, DOC, docs
+from helpers import DIR, DOC, docs, duck, same
 
 from tidewell.llm import queries
 from tidewell.llm import quality_rules as Q
@@ -72,3 +72,12 @@ def test_query_rows(spark):
     for r in out.sample(60, random_state=1).itertuples():
         if len(texts[r.doc_id]) < 8000:
             assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute(texts[r.doc_id])
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_query_matches_sql(spark, sf):
+    """At sf0.1 there are labels enough to certify cutoffs."""
+    path = f"/root/testdata/{sf}"
+    out = queries.QUERIES["op7_quality_rules"](spark, path)
+    same(out, duck(queries.ORACLE["op7_quality_rules"], path))
+    assert sf == "sf0.01" or out.filter("not kept and not base_failed").count() > 0

@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from helpers import DIR, DOC
+from helpers import DIR, DOC, duck, same
 
 from tidewell.llm import queries
 from tidewell.llm import substring_dedup as S
@@ -96,3 +96,7 @@ def test_query_against_brute_force(spark):
         o = out[r.doc_id]
         assert (o.n_bytes, o.n_removed, o.n_spans) == (n, gone, spans)
         assert o.kept_sha256 == hashlib.sha256(kept).hexdigest()
+
+
+def test_query_matches_sql(spark):
+    same(queries.QUERIES["op10_substring_dedup"](spark, DIR), duck(queries.ORACLE["op10_substring_dedup"]))

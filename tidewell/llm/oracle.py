@@ -1,4 +1,7 @@
 """DuckDB SQL for the operators that SQL can express."""
+from __future__ import annotations
+
+from tidewell.llm.quality_rules import RuleParams
 
 LINE_DEDUP = r"""
 WITH split AS (
@@ -83,3 +86,84 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.c, d.doc_id) AS comp
        coalesce(m.c, d.doc_id) = d.doc_id AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT node, min(seen) AS c FROM t GROUP BY node) m ON m.node = d.doc_id
 """
+
+SUBSTRING_DEDUP = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS MATERIALIZED (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS k
+  FROM (SELECT doc_id, h, unnest(range(n - 399)) AS i FROM d WHERE n >= 400)),
+s AS (
+  SELECT doc_id, i, i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -401) + 400 AS first
+  FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+r AS (
+  SELECT doc_id, min(i) AS a, max(i) + 400 AS b
+  FROM (SELECT doc_id, i, sum(CAST(first AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM s) GROUP BY doc_id, g),
+p AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS prev FROM r),
+c AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+         string_agg(substr(h, 2 * prev + 1, 2 * (a - prev)), '' ORDER BY a) AS head
+  FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(from_hex(CASE WHEN head IS NULL THEN h ELSE head || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id)
+"""
+
+
+def quality_rules(params: RuleParams = RuleParams()) -> str:
+    strata = ", ".join(f"'{x}'" for x in params.strata)
+    grid = ", ".join(f"('{name}', {k}, {cut})" for name, cuts in params.grid.items() for k, cut in enumerate(cuts))
+    level = params.level / ((len(params.strata) + 1) * len(params.grid))
+    return rf"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN lang IN ({strata}) THEN lang ELSE 'other' END AS stratum, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS MATERIALIZED (
+  SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+r AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p
+        FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM g) WHERE c > 1) GROUP BY doc_id),
+l AS (
+  SELECT doc_id, count(*) AS n_word_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+f AS MATERIALIZED (
+  SELECT d.doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_word_lines, 0) AS n_word_lines,
+         len(w) < {params.min_words} OR 100 * coalesce(n_repeat_words, 0) > {params.max_repeat_pct} * len(w) AS base_failed
+  FROM d LEFT JOIN r USING (doc_id) LEFT JOIN l USING (doc_id)),
+m AS (
+  SELECT doc_id, stratum, base_failed, unnest(['symbols', 'dup_lines', 'word_length']) AS metric, unnest([
+    CASE WHEN n_words > 0 THEN 1000 * n_symbols // n_words ELSE 0 END,
+    CASE WHEN n_word_lines > 0 THEN 1000 * n_dup_lines // n_word_lines ELSE 0 END,
+    CASE WHEN n_words > 0 THEN 1000 * word_chars // n_words ELSE 0 END]) AS value FROM f),
+grid(metric, pos, cut) AS (VALUES {grid}),
+h AS (
+  SELECT m.*, good FROM m
+  JOIN (SELECT doc_id, max(quality) > 0 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) USING (doc_id)
+  WHERE NOT base_failed),
+c AS (
+  SELECT stratum, metric, pos, cut, count(*) FILTER (WHERE good) AS n,
+         count(*) FILTER (WHERE good AND value > cut) AS k, count(*) FILTER (WHERE NOT good AND value > cut) AS bad
+  FROM h JOIN grid USING (metric) GROUP BY ALL),
+t AS (
+  SELECT *, n > 0 AND k <= {params.risk} * n AND list_sum(list_transform(range(k + 1), lambda i: exp(
+    lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln({params.risk}) + (n - i) * ln(1 - {params.risk})
+    ))) <= {level!r} AS passed FROM c),
+o AS (
+  SELECT *, bool_and(passed) OVER (PARTITION BY stratum, metric ORDER BY pos) AS certified,
+         bad - {params.cost} * k AS gain FROM t),
+u AS (
+  SELECT stratum, metric, cut FROM o WHERE certified AND gain > 0
+  QUALIFY row_number() OVER (PARTITION BY stratum, metric ORDER BY gain DESC, pos) = 1),
+x AS (SELECT DISTINCT m.doc_id FROM m JOIN u ON u.stratum = m.stratum AND u.metric = m.metric AND m.value > u.cut)
+SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND x.doc_id IS NULL AS kept
+FROM f LEFT JOIN x USING (doc_id)
+"""

@@ -37,7 +37,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-@query("op7_quality_rules")
+@query("op7_quality_rules", oracle.quality_rules())
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -91,7 +91,7 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents")).drop("th")
 
 
-@query("op10_substring_dedup")
+@query("op10_substring_dedup", oracle.SUBSTRING_DEDUP)
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_report(table(spark, sf_dir, "documents"))
 
