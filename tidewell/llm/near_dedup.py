@@ -47,7 +47,8 @@ BANDS, ROWS = 42, 6
 PERCENT = 80
 ERRORS = 4.5
 BLOCK_SHINGLES = 1 << 18
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
+BATCH_ROWS = 500          # sets of long texts are large
 
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -176,8 +177,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
 
     text = text_or_empty(docs)
     src = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_hash(text).alias("th"), text.alias("text"))
-    with sql_conf(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}):
-        return stage(src.mapInArrow(run, SIGNATURE), "signatures")
+    return stage(src.mapInArrow(run, SIGNATURE), "signatures")
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
@@ -313,18 +313,19 @@ def _leftover_links(promising: DataFrame, links: DataFrame, sets: DataFrame) ->
 
 def near_components(docs: DataFrame, width: int = 2) -> DataFrame:
     """(doc_id, th, n_shingles, component_id, kept), one row per row of ``docs``."""
-    rows = signatures(docs, width)
-    classes = stage(rows.filter("k is not null").groupBy("k", "n").agg(
-        F.min("doc_id").alias("doc"), F.min(F.struct("doc_id", "th")).alias("one"),
-        F.first("sketch").alias("sketch")), "classes")
-    pairs = stage(_candidates(classes), "candidates")
-    ends = pairs.select(F.explode(F.array("u", "v")).alias("k")).distinct()
-    near = stage(classes.join(ends, "k"), "near")
-    promising = stage(_promising(pairs, near), "promising")
-    members = near.join(promising.select(F.explode(F.array("u", "v")).alias("k")).distinct(), "k")
-    sets = stage(_full_sets(docs, members, width), "sets")
-    links = stage(_verified(promising, sets), "links")
-    more = stage(_leftover_links(promising, links, sets), "links")
+    with sql_conf(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
+        rows = signatures(docs, width)
+        classes = stage(rows.filter("k is not null").groupBy("k", "n").agg(
+            F.min("doc_id").alias("doc"), F.min(F.struct("doc_id", "th")).alias("one"),
+            F.first("sketch").alias("sketch")), "classes")
+        pairs = stage(_candidates(classes), "candidates")
+        ends = pairs.select(F.explode(F.array("u", "v")).alias("k")).distinct()
+        near = stage(classes.join(ends, "k"), "near")
+        promising = stage(_promising(pairs, near), "promising")
+        members = near.join(promising.select(F.explode(F.array("u", "v")).alias("k")).distinct(), "k")
+        sets = stage(_full_sets(docs, members, width), "sets")
+        links = stage(_verified(promising, sets), "links")
+        more = stage(_leftover_links(promising, links, sets), "links")
     comp = components(links.unionByName(more))
     least = comp.join(classes.select(F.col("k").alias("node"), "doc"), "node").groupBy("root").agg(
         F.min("doc").alias("component_id"))

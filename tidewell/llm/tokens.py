@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from tidewell.llm.common import text_or_empty
 from tidewell.session import ship_package
 
-CACHE_WORDS = 1_000_000   # entries a worker keeps; then it starts anew
+CACHE_WORDS = 250_000     # entries a worker keeps; then it starts anew
 LONG_PIECE = 64           # longer pieces are encoded but not kept
 # Latin letters: each is one character in NFC and in lower case
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
