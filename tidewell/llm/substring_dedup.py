@@ -55,8 +55,8 @@ LENGTH = 400
 GRAM, SPAN = 100, 240     # GRAM + SPAN - 1 must not exceed the length
 ORDER = 7                 # prime; the cover has ORDER + 1 of ORDER^2 + ORDER + 1 positions
 
-BLOCK_BYTES = 4 << 20
-BUCKET_ROWS = 1 << 20
+BLOCK_BYTES = 2 << 20
+BUCKET_ROWS = 1 << 19
 
 _BASES = (np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD1342543DE82EF95))
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -145,13 +145,13 @@ def content_samples(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def surviving_starts(s: np.ndarray, repeated: np.ndarray, length: int) -> np.ndarray:
     """Mask of the starts whose window holds no span with a single sample.
-    repeated: positions of repeated samples."""
+    repeated: hashes of the text's repeated samples."""
     n = len(s) - length + 1
-    h, least = _span_minima(s)
+    _, least = _span_minima(s)
     # spans of one minimum lie together
     first = np.r_[0, np.flatnonzero(least[1:] != least[:-1]) + 1]
     end = np.r_[first[1:], len(least)]
-    single = ~np.isin(least[first], h[repeated])
+    single = ~np.isin(least[first], repeated)
     edge = np.zeros(n + 1, np.int64)
     lo, hi = np.maximum(first[single] - (length - GRAM - SPAN + 1), 0), np.minimum(end[single], n)
     ok = lo < hi
@@ -186,19 +186,20 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _samples(rows: DataFrame) -> DataFrame:
-    """(x, c, at, h): content samples of every text."""
+    """(x, c, h, many): the distinct content samples of every text, and
+    whether it has one several times."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                found = [content_samples(_bytes(t)) for t in part.column(2)]
-                size = [len(at) for at, _ in found]
+                found = [np.unique(content_samples(_bytes(t))[1], return_counts=True) for t in part.column(2)]
+                size = [len(h) for h, _ in found]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.repeat(part.column(0).to_numpy(), size)), pa.array(np.repeat(part.column(1).to_numpy(), size)),
-                    pa.array(np.concatenate([at for at, _ in found]).astype(np.int32)),
-                    pa.array(np.concatenate([h for _, h in found]).view(np.int64))], ["x", "c", "at", "h"])
+                    pa.array(np.concatenate([h for h, _ in found]).view(np.int64)),
+                    pa.array(np.concatenate([n for _, n in found]) > 1)], ["x", "c", "h", "many"])
 
-    return rows.select("x", "c", "text").mapInArrow(run, "x long, c long, at int, h long")
+    return rows.select("x", "c", "text").mapInArrow(run, "x long, c long, h long, many boolean")
 
 
 # a block: texts with starts left (distinct texts), their keys and those starts as runs
@@ -206,7 +207,7 @@ BLOCK = "block long, x array<long>, c array<long>, text array<string>, runs arra
 
 
 def _blocks(rows: DataFrame, length: int) -> DataFrame:
-    """From (x, c, text, at): texts that have starts left, in blocks."""
+    """From (x, c, text, hs): texts that have starts left, in blocks."""
     def pack(held: list) -> pa.RecordBatch:
         x, c, text, left, n = (list(v) for v in zip(*held))
         return pa.RecordBatch.from_arrays(
@@ -217,10 +218,10 @@ def _blocks(rows: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for x, c, t, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2),
-                                   batch.column(3).to_pylist()):
+            for x, c, t, hs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2),
+                                   batch.column(3)):
                 s = _bytes(t)
-                left = surviving_starts(s, np.array(at, np.int64), length)
+                left = surviving_starts(s, hs.values.to_numpy().view(np.uint64), length)
                 if left.any():
                     held.append((x, c, t.as_py(), runs(left).ravel().tolist(), int(left.sum())))
                     size += len(s)
@@ -394,14 +395,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, order: int = ORDER) ->
         classes = stage(rows.groupBy("x", "c", "n").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies")),
                         "texts")
         samples = stage(_samples(rows), "content-samples")
-        place = F.xxhash64("x", "c", "at")
-        again = samples.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).filter("lo < hi").select("h")
-        seen = samples.join(again, "h", "left_semi").groupBy("x", "c").agg(F.collect_set("at").alias("at"))
+        # a stored table joined on its own: a join may then split a frequent sample's rows
+        place = F.xxhash64("x", "c")
+        again = stage(samples.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.max("many").alias("many"))
+                      .filter("many or lo < hi").select("h"), "repeated-samples")
+        seen = samples.join(again, "h", "left_semi").groupBy("x", "c").agg(F.collect_set("h").alias("hs"))
         seen = seen.join(classes.select("x", "c", "doc"), ["x", "c"]).withColumnsRenamed({"x": "rx", "c": "rc"})
         # one row of each distinct text
         one = rows.join(seen, rows["doc_id"].eqNullSafe(seen["doc"]) & (rows["x"] == seen["rx"])
                         & (rows["c"] == seen["rc"])).dropDuplicates(["x", "c"])
-        blocks = _stored(_blocks(one.select("x", "c", "text", "at"), length))
+        blocks = _stored(_blocks(one.select("x", "c", "text", "hs"), length))
     total = blocks.agg(F.sum("starts")).first()[0] or 0
     n_ranks = 1 + total * len(cover) // v // BUCKET_ROWS
     n_starts = 1 + total // 2 // BUCKET_ROWS
