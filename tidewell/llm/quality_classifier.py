@@ -43,10 +43,10 @@ from tidewell.llm.common import P, stage, text_or_empty
 from tidewell.session import ship_package, sql_conf
 
 TRAIN_ROWS = 40_000
-BUCKETS = 1 << 16         # word buckets; as many again for shapes
+BUCKETS = 1 << 15         # word buckets; as many again for shapes
 ROUNDS = 100
 SPACES = b" \t\n\x0b\x0c\r"
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 
 # FIXED VALUES: common function words of the four languages, and insults
 ENGLISH = frozenset(b"the of and to in that for is was with on this are from which have they".split())
@@ -292,7 +292,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, train_rows: int =
             mean = sample.agg(F.avg(target)).first()[0]
             if mean is not None and 1e-4 < mean < 1 - 1e-4:
                 scorers[target] = fit_scorer(sample.filter(F.col(target).isNotNull()), target)
-    # 2^17 weights per target, a fixed size
+    # 2^16 weights per target, a fixed size
     held = spark.sparkContext.broadcast((models, scorers))
 
     @F.pandas_udf(", ".join(f"{c} double" for c in new[:4]) + ", good boolean, toxic boolean")
