@@ -33,12 +33,14 @@ def query(name: str, sql: str | None = None):
 
 @query("op1_line_dedup", oracle.LINE_DEDUP)
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that several documents hold stay in the smallest doc_id only."""
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
 @query("op7_quality_rules", oracle.quality_rules())
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and certified cutoffs for every document."""
     out = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept")
@@ -63,12 +65,14 @@ def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_best_fit_packing")
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents as tokens in as few 4096-token sequences as best fit finds."""
     import public_tokenizers
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 @query("op2_warc", oracle.WARC)
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records (equal large payloads as revisits) and read back."""
     path = stage_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
     return pages_of(spark, path)
@@ -76,6 +80,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_decontamination", oracle.DECONTAMINATION)
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
     out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
@@ -83,21 +88,25 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_html_extraction")
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
     return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
 @query("op8_near_dedup", oracle.NEAR_DEDUP)
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components over two-word shingles."""
     return near_components(table(spark, sf_dir, "documents")).drop("th")
 
 
 @query("op10_substring_dedup", oracle.SUBSTRING_DEDUP)
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated 400-byte strings cover in every document."""
     return repeat_report(table(spark, sf_dir, "documents"))
 
 
 @query("op3_quality_classifier")
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality and toxicity of every document from weak labels and the scorer they train."""
     out = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", *[F.round(c, 6).alias(c) for c in (
         "quality_posterior", "quality_score", "toxic_posterior", "toxic_score")], "good", "toxic", "kept")
