@@ -19,8 +19,12 @@ def _small_star(e: DataFrame) -> DataFrame:
     return links.unionByName(least.select("u", F.col("m").alias("v")))
 
 
-def _mark(e: DataFrame) -> tuple:
-    return tuple(e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _is_star(e: DataFrame) -> bool:
+    """Every node has one root, and no root has another."""
+    ends = e.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        e.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter(
+        (F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -30,10 +34,8 @@ def components(edges: DataFrame) -> DataFrame:
     aggregated before they are shuffled.  Self-loops and repeats are fine."""
     e = stage(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
               .filter("u <> v").distinct(), "edges")
-    mark = None
-    while mark != (now := _mark(e)):
-        mark = now
-        e = stage(_small_star(_large_star(e).distinct()).distinct(), "edges")
+    while not _is_star(e):
+        e = stage(_small_star(_large_star(e)).distinct(), "edges")
     roots = e.select(F.col("v").alias("node")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         roots.select("node", F.col("node").alias("root")))
