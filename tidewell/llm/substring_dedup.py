@@ -404,7 +404,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, order: int = ORDER) ->
         # one row of each distinct text
         one = rows.join(seen, rows["doc_id"].eqNullSafe(seen["doc"]) & (rows["x"] == seen["rx"])
                         & (rows["c"] == seen["rc"])).dropDuplicates(["x", "c"])
-        blocks = _stored(_blocks(one.select("x", "c", "text", "hs"), length))
+        name = _stored(_blocks(one.select("x", "c", "text", "hs"), length))
+        blocks = spark.table(name)
     total = blocks.agg(F.sum("starts")).first()[0] or 0
     n_ranks = 1 + total * len(cover) // v // BUCKET_ROWS
     n_starts = 1 + total // 2 // BUCKET_ROWS
@@ -434,20 +435,21 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, order: int = ORDER) ->
         found = _sorted(_per_block(ranked, ROWS, start_rows), "found")
         cut = stage(_per_block(ranked.join(found, "block", "left"), SPANS, span_rows)
                     .filter(F.size("spans") > 0), "cut")
+    spark.sql(f"DROP TABLE {name}")        # the catalog entry; files stay with the checkpoint folder
     whole = classes.filter("copies > 1").select(
         "x", "c", F.array(F.lit(0).cast("long"), F.col("n")).alias("spans"), F.sha2(F.lit(""), 256).alias("kept_sha256"))
     rest = cut.join(whole, ["x", "c"], "left_anti")
     return rest.unionByName(whole)
 
 
-def _stored(blocks: DataFrame) -> DataFrame:
-    """Blocks bucketed by id: later joins bring the marks to them, not them to the marks."""
+def _stored(blocks: DataFrame) -> str:
+    """Name of a table of blocks bucketed by id: later joins bring the marks to them, not them to the marks."""
     spark = blocks.sparkSession
     name = f"tidewell_blocks_{uuid.uuid4().hex}"
     n = shuffle_partitions(spark)
     (blocks.repartition(n, "block").write.bucketBy(n, "block").option("path", stage_path(spark, "blocks"))
            .format("parquet").saveAsTable(name))
-    return spark.table(name)
+    return name
 
 
 def span_bytes(spans: Column) -> Column:
