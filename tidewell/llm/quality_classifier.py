@@ -46,7 +46,7 @@ TRAIN_ROWS = 40_000
 BUCKETS = 1 << 15         # word buckets; as many again for shapes
 ROUNDS = 100
 SPACES = b" \t\n\x0b\x0c\r"
-CACHE_WORDS = 100_000
+CACHE_WORDS = 250_000
 
 # FIXED VALUES: common function words of the four languages, and insults
 ENGLISH = frozenset(b"the of and to in that for is was with on this are from which have they".split())
@@ -182,13 +182,14 @@ def fit_labellers(patterns: dict[str, int], rounds: int = ROUNDS) -> Labellers:
     return model
 
 
-_SHAPE = re.compile(rb"[a-z]+|[A-Z]+|[0-9]+|[\x80-\xff]+")
+# letters, capitals and digits as one a, A or 0 each run; all else as it is
+_CLASSES = bytes(ord("a") if c >= 128 or chr(c).islower() else ord("A") if chr(c).isupper() else ord("0") if chr(c).isdigit()
+                 else c for c in range(256))
+_RUNS = re.compile(rb"([aA0])\1+")
 
 
 def _shape(word: bytes) -> bytes:
-    out = _SHAPE.sub(lambda m: b"a" if m[0][:1].islower() else b"A" if m[0][:1].isupper() else b"0" if m[0].isdigit()
-                     else b"a", word)
-    return re.sub(rb"a+", b"a", out)[:12]
+    return _RUNS.sub(rb"\1", word.translate(_CLASSES))[:12]
 
 
 class _Buckets(dict):
