@@ -105,7 +105,7 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
@@ -138,6 +138,8 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int | None =
                     [pa.array(docs_, pa.int64()), pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()),
                      pa.array(lengths, pa.int64()), pa.array(raws, pa.binary())],
                     ["doc_id", "piece", "start", "length", "ids"])
+        # workers live on: hand back what the last slices took
+        pa.default_memory_pool().release_unused()
 
     src = docs.select(docs["doc_id"].cast("long"), text_or_empty(docs).alias("text"))
     return src.mapInArrow(run, PIECES)
