@@ -330,8 +330,9 @@ def near_components(docs: DataFrame, width: int = 2) -> DataFrame:
     least = comp.join(classes.select(F.col("k").alias("node"), "doc"), "node").groupBy("root").agg(
         F.min("doc").alias("component_id"))
     linked = comp.join(least, "root").select(F.col("node").alias("k"), "component_id")
-    ids = classes.select("k", "doc").join(linked, "k", "left").select(
-        "k", F.coalesce("component_id", "doc").alias("component_id"))
+    # stored: the rows of a class with very many copies may then be split in the join
+    ids = stage(classes.select("k", "doc").join(linked, "k", "left").select(
+        "k", F.coalesce("component_id", "doc").alias("component_id")), "class-components")
     out = rows.select("doc_id", "th", "n", "k").join(ids, "k", "left")
     found = F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "th", F.col("n").alias("n_shingles"), found.alias("component_id"),
