@@ -287,11 +287,11 @@ def block_links(table: pa.Table) -> pa.Table:
     return pa.table({"u": pa.array(u_out, pa.int64()), "v": pa.array(v_out, pa.int64())})
 
 
-def _leftover_links(promising: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+def _leftover_links(promising: DataFrame, linked: DataFrame, sets: DataFrame) -> DataFrame:
     """Links that leaders missed: members outside their family's largest
     component against the whole family, in blocks of bounded size."""
     family = components(promising).withColumnRenamed("root", "f")
-    comp = components(links).select("node", F.col("root").alias("c"))
+    comp = linked.select("node", F.col("root").alias("c"))
     nodes = family.join(comp, "node", "left").select(
         F.col("node").alias("k"), "f", F.coalesce("c", "node").alias("c"))
     nodes = stage(nodes.join(sets.select("k", "n"), "k"), "families")
@@ -325,8 +325,10 @@ def near_components(docs: DataFrame, width: int = 2) -> DataFrame:
         members = near.join(promising.select(F.explode(F.array("u", "v")).alias("k")).distinct(), "k")
         sets = stage(_full_sets(docs, members, width), "sets")
         links = stage(_verified(promising, sets), "links")
-        more = stage(_leftover_links(promising, links, sets), "links")
-    comp = components(links.unionByName(more))
+        linked = stage(components(links), "components")
+        more = stage(_leftover_links(promising, linked, sets), "links")
+    # from the stars found so far, few rounds are left
+    comp = components(linked.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
     least = comp.join(classes.select(F.col("k").alias("node"), "doc"), "node").groupBy("root").agg(
         F.min("doc").alias("component_id"))
     linked = comp.join(least, "root").select(F.col("node").alias("k"), "component_id")
