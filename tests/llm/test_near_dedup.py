@@ -69,6 +69,27 @@ def test_leftover_blocks_find_what_leaders_miss(spark, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got), key=repr) == brute(list(enumerate(texts)), 2)
 
 
+def test_close_pairs_among_heavily_edited_copies(spark, monkeypatch):
+    """Bucket leaders are unlike all others here: close pairs must meet without them."""
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(600)]
+    fresh = (f"f{i}" for i in range(10**9))
+
+    def edited(words, runs):
+        out = list(words)
+        for at in rnd.sample(range(0, len(out) // 10), runs):
+            out[10 * at:10 * at + 10] = [next(fresh) for _ in range(10)]
+        return out
+
+    texts = [" ".join(edited(base, 9)) for _ in range(4000)]
+    pairs = [(rnd.randrange(4000), 4000 + i) for i in range(20)]
+    texts += [" ".join(edited(texts[a].split(), 3)) for a, _ in pairs]
+    monkeypatch.setattr(N, "BLOCK_SKETCHES", 100)
+    got = {r.doc_id: r.component_id for r in N.near_components(docs(spark, texts), 2).collect()}
+    assert [got[b] for _, b in pairs] == [a for a, _ in pairs]
+    assert all(got[i] == i for i in range(4000))
+
+
 def test_estimate_is_corrected():
     rng = np.random.default_rng(1)
     for n, j in ((400, .8), (3000, .5), (20000, .9), (5000, 0.0)):

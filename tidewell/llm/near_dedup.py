@@ -12,11 +12,16 @@ the smallest shingle hash that falls into it.  Then:
 3. Candidates of compatible size whose collision-corrected sketch estimate
    comes within 4.5 standard errors of the threshold are verified on the full
    sets; verified links give components.
-4. Candidates also give families, wider than components.  Where a family has
-   several components, its members outside the largest are compared with all
-   of the family on full sets, block by block; only links that join two
-   components come out.  So pairs that no bucket leader linked are found
-   without listing pairs, and the work shrinks to the members left over.
+4. Candidates that pass the estimate give families, wider than components.
+   A leader that is unlike a member says nothing of the others in the bucket:
+   where a bucket of four or more holds several families, its members outside
+   the largest are compared with the whole bucket by the same estimate, block
+   by block, and families that meet are joined.
+5. Where a family has several components, its members outside the largest are
+   compared with all of the family on full sets, block by block; only links
+   that join two components come out.  So pairs that no bucket leader linked
+   are found without listing pairs, and the work shrinks to the members left
+   over.
 
 At similarity 0.8 a pair shares no band with a chance of (1 - 0.8^6)^42, about
 3 in a million.  Sets are held as 64-bit shingle hashes.
@@ -47,6 +52,7 @@ BANDS, ROWS = 42, 6
 PERCENT = 80
 ERRORS = 4.5
 BLOCK_SHINGLES = 1 << 18
+BLOCK_SKETCHES = 1 << 12
 CACHE_WORDS = 100_000
 BATCH_ROWS = 500          # sets of long texts are large
 
@@ -180,8 +186,9 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return stage(src.mapInArrow(run, SIGNATURE), "signatures")
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
-    """(u, v): each class with the least and greatest of its band buckets."""
+def _meetings(classes: DataFrame) -> DataFrame:
+    """(band, k, lo, hi, many): each class in its band buckets of two or more,
+    with the least and greatest class of the bucket and its size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -192,8 +199,13 @@ def _candidates(classes: DataFrame) -> DataFrame:
 
     rows = classes.select("k", "sketch").mapInArrow(run, "k long, bands array<long>").select(
         "k", F.explode("bands").alias("band"))
-    ends = rows.groupBy("band").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).filter("lo < hi")
-    met = rows.join(ends, "band")
+    ends = rows.groupBy("band").agg(F.min("k").alias("lo"), F.max("k").alias("hi"),
+                                    F.count("*").alias("many")).filter("lo < hi")
+    return rows.join(ends, "band")
+
+
+def _candidates(met: DataFrame) -> DataFrame:
+    """(u, v): each class with the least and greatest of its band buckets."""
     pairs = met.select("k", F.explode(F.array("lo", "hi")).alias("o")).filter("k <> o")
     return pairs.select(F.greatest("k", "o").alias("u"), F.least("k", "o").alias("v")).distinct()
 
@@ -217,6 +229,64 @@ def _promising(pairs: DataFrame, near: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "u long, v long")
 
 
+def sketch_links(table: pa.Table) -> pa.Table:
+    """Promising pairs that join two families within one block: rows with side
+    0 (left over) against all rows with side 1; at most one less than the families."""
+    side, k, f = (np.asarray(table[c]) for c in ("side", "k", "f"))
+    n = np.asarray(table["n"]).astype(float)
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    u_out, v_out = [], []
+    if len(left) and len(right):
+        sketches = np.stack([np.frombuffer(b, "<u2") for b in table["sketch"].to_pylist()])
+        full = (sketches > 0).sum(1)
+        f = np.unique(f, return_inverse=True)[1]
+        t = PERCENT / 100
+        for i in left:
+            least, most = np.minimum(n[i], n[right]), np.maximum(n[i], n[right])
+            other = right[(f[right] != f[i]) & (100 * least >= PERCENT * most)]
+            if not len(other):
+                continue
+            # an upper bound of the estimate against a lower bound of what it is held to;
+            # equal registers are summed as bytes of 64-bit words, at most 32 each
+            equal = (sketches[other] == sketches[i]).view(np.uint64).sum(1).view(np.uint8).reshape(-1, 8).sum(1)
+            other = other[equal / BUCKETS >= t - ERRORS * np.sqrt(t * (1 - t) / np.maximum(full[i], full[other]))]
+            if not len(other):
+                continue
+            j, error = estimate(sketches[other], sketches[i][None], n[other], np.full(len(other), n[i]))
+            for o in other[j >= t - ERRORS * error]:
+                if f[o] != f[i]:
+                    f[f == f[o]] = f[i]
+                    u_out.append(k[i].item())
+                    v_out.append(k[o].item())
+    return pa.table({"u": pa.array(u_out, pa.int64()), "v": pa.array(v_out, pa.int64())})
+
+
+def _bucket_links(met: DataFrame, near: DataFrame, family: DataFrame) -> DataFrame:
+    """Promising pairs of two families that share a bucket but no leader:
+    members outside a bucket's largest family against the whole bucket, in
+    blocks of bounded size.  Up to three members, leaders have met all."""
+    rows = met.filter("many > 3").select("band", "k").join(
+        family.select(F.col("node").alias("k"), "root"), "k", "left").select("band", "k", F.coalesce("root", "k").alias("f"))
+    rows = stage(rows, "buckets")
+    top = rows.groupBy("band", "f").agg(F.count("*").alias("s")).groupBy("band").agg(
+        F.max(F.struct("s", "f")).alias("top"), F.sum("s").alias("all")).filter("all > top.s").select(
+        "band", F.col("top.f").alias("main"), F.ceil(F.col("all") / BLOCK_SKETCHES).cast("int").alias("wide"),
+        F.ceil((F.col("all") - F.col("top.s")) / BLOCK_SKETCHES).cast("int").alias("tall"))
+    return _in_blocks(rows.join(top, "band"), "band", "f", near.select("k", "n", "sketch"), sketch_links)
+
+
+def _in_blocks(mixed: DataFrame, group: str, part: str, content: DataFrame, links) -> DataFrame:
+    """``links`` of the rows of each group outside its main part with all of
+    the group, dealt into tall x wide blocks."""
+    own = lambda n: F.pmod(F.xxhash64("k"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = mixed.filter(F.col(part) != F.col("main")).withColumn("i", own(F.col("tall"))).withColumn("j", every(F.col("wide")))
+    right = mixed.withColumn("j", own(F.col("wide"))).withColumn("i", every(F.col("tall")))
+    cols = [group, "i", "j", "k", part]
+    rows = left.select(*cols, F.lit(0).alias("side")).unionByName(right.select(*cols, F.lit(1).alias("side")))
+    return rows.join(content, "k").groupBy(group, "i", "j").applyInArrow(links, "u long, v long")
+
+
 def _full_sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
     """(k, n, words): the full set of each member class, from one document of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,10 +357,10 @@ def block_links(table: pa.Table) -> pa.Table:
     return pa.table({"u": pa.array(u_out, pa.int64()), "v": pa.array(v_out, pa.int64())})
 
 
-def _leftover_links(promising: DataFrame, linked: DataFrame, sets: DataFrame) -> DataFrame:
+def _leftover_links(family: DataFrame, linked: DataFrame, sets: DataFrame) -> DataFrame:
     """Links that leaders missed: members outside their family's largest
     component against the whole family, in blocks of bounded size."""
-    family = components(promising).withColumnRenamed("root", "f")
+    family = family.withColumnRenamed("root", "f")
     comp = linked.select("node", F.col("root").alias("c"))
     nodes = family.join(comp, "node", "left").select(
         F.col("node").alias("k"), "f", F.coalesce("c", "node").alias("c"))
@@ -300,15 +370,7 @@ def _leftover_links(promising: DataFrame, linked: DataFrame, sets: DataFrame) ->
                                  F.count("*").alias("many")).filter("many > 1").select(
         "f", F.col("top.c").alias("main"), F.ceil(F.col("all") / BLOCK_SHINGLES).cast("int").alias("wide"),
         F.ceil((F.col("all") - F.col("top.s")) / BLOCK_SHINGLES).cast("int").alias("tall"))
-    mixed = nodes.join(top, "f")
-    own = lambda n: F.pmod(F.xxhash64("k"), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    left = mixed.filter("c <> main").withColumn("i", own(F.col("tall"))).withColumn("j", every(F.col("wide")))
-    right = mixed.withColumn("j", own(F.col("wide"))).withColumn("i", every(F.col("tall")))
-    cols = ["f", "i", "j", "k", "c"]
-    rows = left.select(*cols, F.lit(0).alias("side")).unionByName(right.select(*cols, F.lit(1).alias("side")))
-    rows = rows.join(sets.select("k", "words"), "k")
-    return rows.groupBy("f", "i", "j").applyInArrow(block_links, "u long, v long")
+    return _in_blocks(nodes.select("k", "f", "c").join(top, "f"), "f", "c", sets.select("k", "words"), block_links)
 
 
 def near_components(docs: DataFrame, width: int = 2) -> DataFrame:
@@ -318,15 +380,21 @@ def near_components(docs: DataFrame, width: int = 2) -> DataFrame:
         classes = stage(rows.filter("k is not null").groupBy("k", "n").agg(
             F.min("doc_id").alias("doc"), F.min(F.struct("doc_id", "th")).alias("one"),
             F.first("sketch").alias("sketch")), "classes")
-        pairs = stage(_candidates(classes), "candidates")
+        met = stage(_meetings(classes), "meetings")
+        pairs = stage(_candidates(met), "candidates")
         ends = pairs.select(F.explode(F.array("u", "v")).alias("k")).distinct()
         near = stage(classes.join(ends, "k"), "near")
         promising = stage(_promising(pairs, near), "promising")
+        family = components(promising)
+        wider = stage(_bucket_links(met, near, family), "wider")
+        if not wider.isEmpty():
+            promising = promising.unionByName(wider)
+            family = components(family.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(wider))
         members = near.join(promising.select(F.explode(F.array("u", "v")).alias("k")).distinct(), "k")
         sets = stage(_full_sets(docs, members, width), "sets")
         links = stage(_verified(promising, sets), "links")
         linked = stage(components(links), "components")
-        more = stage(_leftover_links(promising, linked, sets), "links")
+        more = stage(_leftover_links(family, linked, sets), "links")
     # from the stars found so far, few rounds are left
     comp = components(linked.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
     least = comp.join(classes.select(F.col("k").alias("node"), "doc"), "node").groupBy("root").agg(
