@@ -70,3 +70,29 @@ def test_held_out_accuracy(spark):
 def test_query_rows(spark):
     out = queries.QUERIES["op3_quality_classifier"](spark, DIR)
     assert out.count() == 1000 and out.filter("kept is null").count() == 0
+
+
+def test_toxic_without_listed_words(spark):
+    """Insults that no list holds are learned from labels, in English and in mixed texts; no list vote overrules the score."""
+    rnd = random.Random(3)
+    english = "the of and with this house green river walks over slowly many people said in was on for".split()
+    mixed = "der die und nicht haus fluss grün langsam leute in was on for".split()
+    rows, labels = [], []
+    for i in range(800):
+        words = [rnd.choice(english if i % 2 else mixed) for _ in range(60)]
+        toxic = i % 8 < 2
+        if toxic:
+            words[10:10] = ["blorgface"] if i % 2 else ["dreckskerl"]
+            if i % 5 == 0 and i % 2:          # some have listed words too, or nothing tells how far labels can be trusted
+                words[20:20] = rnd.sample("idiot moron stupid dumb loser clown".split(), 3)
+        rows.append((i, " ".join(words) + ".", "en" if i % 2 else "de"))
+        if i % 16 < 8:
+            labels.append((i, 1, int(toxic)))
+    out = C.classify(spark.createDataFrame(rows, "doc_id long, text string, lang string"),
+                     spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    unlabelled = [r for r in out if r.doc_id % 16 >= 8]
+    assert all(r.toxic == (r.doc_id % 8 < 2) for r in unlabelled)
+
+
+def test_shared_function_words_are_not_english():
+    assert set(C._votes("toxicity", C.stats("ein haus in was on for der fluss"))) == {"-"}

@@ -9,7 +9,9 @@ votes (patterns of votes are counted on the cluster; there are at most
 of documents with votes, as soft labels, train a hashed linear scorer
 (logistic regression with an L1 term over hashed words and word shapes).  The
 verdict is the mean of the heuristics' posterior and the score, or the score
-alone where all heuristics abstain.
+alone where all heuristics abstain and, for toxicity, where no listed insult
+occurs: that a short English list has no hit says little.  Where there are
+labels, such a document teaches what its label says, else nothing.
 
 The same machinery serves two targets: quality (is it prose?) and toxicity
 (does it insult?).  A document is kept if it is good and not toxic.
@@ -45,11 +47,13 @@ from tidewell.session import ship_package, sql_conf
 TRAIN_ROWS = 40_000
 BUCKETS = 1 << 15         # word buckets; as many again for shapes
 ROUNDS = 100
+LABEL_TRUST = 0.98        # chance that a toxicity label is right where no list speaks
 SPACES = b" \t\n\x0b\x0c\r"
 CACHE_WORDS = 250_000
 
 # FIXED VALUES: common function words of the four languages, and insults
-ENGLISH = frozenset(b"the of and to in that for is was with on this are from which have they".split())
+# (of English those that other languages don't have: no "in", "was", "on", "for", "is", "to", "that")
+ENGLISH = frozenset(b"the of and with this are from which have they".split())
 COMMON = ENGLISH | frozenset(w.encode() for w in (
     "the of and to in a is that for it as was with be by on not he this are or his from at which but have an they "
     "der die und das von zu den mit ist des im ein eine nicht auf für sich dem auch als an es "
@@ -131,6 +135,11 @@ def _votes(target: str, s: Stats) -> str:
     return "".join(f(s) for f in TARGETS[target].values())
 
 
+def _heard(target: str, pattern: str, labels: bool) -> str:
+    """The votes that count beside labels: not those of insult lists without a hit."""
+    return "-" * len(pattern) if labels and target == "toxicity" and "g" not in pattern else pattern
+
+
 def votes(docs: DataFrame) -> DataFrame:
     """(doc_id, quality, toxicity): a letter per labeller, one row per row of ``docs``."""
     ship_package(docs.sparkSession)
@@ -253,7 +262,11 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, train_rows: int =
     for target in TARGETS:
         # at most 3^(labellers + 1) rows
         counts = {r[0]: r[1] for r in voted.groupBy(F.concat(target, "l_" + target)).count().collect()}
-        models[target] = fit_labellers(counts) if counts else None
+        heard: dict[str, int] = {}
+        for k, n in counts.items():
+            k = _heard(target, k[:-1], k[-1] != "-") + k[-1]
+            heard[k] = heard.get(k, 0) + n
+        models[target] = fit_labellers(heard) if counts else None
         some = {"rows": sum(counts.values()), "labelled": sum(n for k, n in counts.items() if k[-1] != "-")}
     text = text_or_empty(docs)
 
@@ -274,9 +287,13 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, train_rows: int =
                 idx.append(f[0].tolist())
                 val.append(f[1].tolist())
                 for target, x in zip(TARGETS, label):
-                    pattern = _votes(target, s) + (x or "-")
+                    pattern = _heard(target, _votes(target, s), some["labelled"] > 0) + (x or "-")
                     # a document without votes teaches nothing
-                    chance[target].append(models[target].posterior(pattern) if set(pattern) != {"-"} else None)
+                    if target == "toxicity" and x in ("g", "b") and set(pattern[:-1]) == {"-"}:
+                        # beyond the lists nothing but the label speaks
+                        chance[target].append(LABEL_TRUST if x == "g" else 1 - LABEL_TRUST)
+                    else:
+                        chance[target].append(models[target].posterior(pattern) if set(pattern) != {"-"} else None)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(idx, pa.list_(pa.int32())), pa.array(val, pa.list_(pa.float64())),
                  *(pa.array(c, pa.float64()) for c in chance.values())], ["idx", "val", *TARGETS])
@@ -314,7 +331,8 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, train_rows: int =
                 if model is not None and s.words:
                     z = float(1 / (1 + np.exp(-np.clip(model.bias + model.weights[i] @ v, -30, 30))))
                 row += [p, z]
-                verdict.append(z >= 0.5 if set(pattern) == {"-"} else p + z >= 1)
+                alone = set(pattern) == {"-"} or (target == "toxicity" and "g" not in pattern)
+                verdict.append(z >= 0.5 if alone else p + z >= 1)
             out.append(row + verdict)
         return pd.DataFrame(out, columns=new[:6])
 
