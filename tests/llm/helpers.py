@@ -3,7 +3,7 @@ import os
 
 import duckdb
 
-TABLES = "documents pages benchmark labels".split()
+TABLES = "documents embeddings pages benchmark labels".split()
 DIR = "/root/testdata/sf0.01"
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 

@@ -111,6 +111,56 @@ SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BI
 FROM d LEFT JOIN c USING (doc_id)
 """
 
+TOP_K = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.r, q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score
+  FROM v q JOIN v ON q.r <> v.r WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+FILTER_AUDIT = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(CAST(source AS VARCHAR), '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels GROUP BY doc_id),
+f AS MATERIALIZED (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [
+    len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+    100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t),
+    regexp_matches(t, '[#$%&*|]'), coalesce(min(d.doc_id) OVER (PARTITION BY t) < d.doc_id, false)] AS fail
+  FROM d LEFT JOIN l ON l.doc_id = d.doc_id),
+b AS (SELECT unnest([1, 2, 3, 4, 5]) AS k),
+o AS (
+  SELECT p.k AS k1, q.k AS k2, r.k AS k3, s.k AS k4, t.k AS k5 FROM b p JOIN b q ON q.k <> p.k
+  JOIN b r ON r.k NOT IN (p.k, q.k) JOIN b s ON s.k NOT IN (p.k, q.k, r.k) JOIN b t ON t.k NOT IN (p.k, q.k, r.k, s.k)),
+c AS (SELECT part, good, toxic, fail, count(*) AS n FROM f GROUP BY ALL),
+x AS (
+  SELECT part, [k1, k2, k3, k4, k5] AS ks, b.k AS step, good, toxic, n,
+         fail[[k1, k2, k3, k4, k5][b.k]] AS own, list_bool_or([false] || list_transform(range(1, b.k),
+           lambda i: fail[[k1, k2, k3, k4, k5][i]])) AS before,
+         len(list_filter(fail, lambda z: z)) AS many FROM c, o, b),
+a AS (
+  SELECT part, ks, step, coalesce(sum(n) FILTER (WHERE NOT own AND NOT before), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE own AND NOT before), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE own AND before), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE own AND many = 1), 0) AS unique_fails,
+         coalesce(sum(n) FILTER (WHERE own AND NOT before AND good), 0) AS good_lost,
+         coalesce(sum(n) FILTER (WHERE own AND NOT before AND toxic), 0) AS toxic_lost
+  FROM x GROUP BY part, ks, step)
+SELECT part, list_reduce(list_transform(ks, lambda k: substr('ABCDE', k, 1)), lambda u, v: u || v) AS filter_order,
+       CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, ks[step]) AS BIGINT) AS shapley
+FROM a
+"""
 
 def quality_rules(params: RuleParams = RuleParams()) -> str:
     strata = ", ".join(f"'{x}'" for x in params.strata)

@@ -1,6 +1,7 @@
 """The registered query of each operator and, where SQL can say it, its DuckDB SQL."""
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,13 +10,16 @@ from pyspark.sql import functions as F
 from tidewell.llm import oracle, reshard
 from tidewell.llm.common import stage_path, table
 from tidewell.llm.decontaminate import contamination
+from tidewell.llm.filter_audit import audit
 from tidewell.llm.html_text import extract
 from tidewell.llm.line_dedup import dedup_lines
 from tidewell.llm.near_dedup import near_components
 from tidewell.llm.packing import pack_documents
+from tidewell.llm.periodic_runs import periodic_runs
 from tidewell.llm.quality_classifier import classify
 from tidewell.llm.quality_rules import judge
 from tidewell.llm.substring_dedup import repeat_report
+from tidewell.llm.topk_search import top_k
 from tidewell.llm.warc import pages_of, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +114,43 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", *[F.round(c, 6).alias(c) for c in (
         "quality_posterior", "quality_score", "toxic_posterior", "toxic_score")], "good", "toxic", "kept")
+
+
+@query("op11_top_k_search", oracle.TOP_K)
+def op11_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five greatest inner products of every 50th vector with all others."""
+    out = top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, scale=256.0)
+    return out.select("query_id", "rank", "vec_id", "score")
+
+
+@query("op12_filter_audit", oracle.FILTER_AUDIT)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from every source, in each of their orders."""
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def repeat_tail(doc_id: int, words: list[bytes]) -> list[bytes]:
+    """In one document of ten the words from some place on repeat their first few."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    g = h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic word runs of every document, and the document without their repeats."""
+    out = periodic_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), rewrite=repeat_tail)
+    runs = F.col("runs")
+    best = F.array_min(F.transform(runs, lambda r: F.struct(
+        (-r["length"]).alias("l"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform(runs, lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return out.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        (-F.col("best.l")).alias("length"), F.col("best.period").alias("period"),
+        F.floor(1000 * -F.col("best.l") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
