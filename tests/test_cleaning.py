@@ -1,8 +1,10 @@
 """Cleaning waterfall (C1–C9) and contracts (K1–K3)."""
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import BRONZE_SCHEMA, SAMPLE_TRANSACTIONS, SMOKE_CODES
 from tidewell.operators import cleaning, contracts
+from tidewell.operators.audited import counters
 from tidewell.params import CLEANING_STEPS
 
 
@@ -88,3 +90,59 @@ def test_contract_reports_every_violation(spark):
     assert types["customer_id"] == "type_mismatch"
     uniq = contracts.contract_unique(bad, contracts.SILVER).first()
     assert uniq.duplicate_keys == 1
+
+
+def test_counters_observed_on_the_way_equal_a_plain_count(spark):
+    for b in (bronze(spark), bronze(spark).filter("quantity < 0"), spark.createDataFrame([], BRONZE_SCHEMA)):
+        plain = cleaning.counted_rules(b, SMOKE_CODES)
+        assert cleaning.rule_counts(b, SMOKE_CODES) == plain
+        silver, rules = cleaning.clean_silver_observed(b, SMOKE_CODES)
+        assert silver.count() == plain["rows_silver"]
+        assert counters(rules) in (None, {k: n for k, n in plain.items() if k != "rows_silver"})
+        assert counters(rules) or not plain["rows_silver"]
+    empty = cleaning.dq_report(b, SMOKE_CODES).collect()
+    assert [r.rows_removed for r in empty] == [0] * 6 and {r.retention_pct for r in empty} == {None}
+
+
+def test_a_run_with_failed_tasks_is_told(spark):
+    from tidewell.operators.audited import undisturbed
+    df = spark.range(100).repartition(3)
+    save = lambda x: x.write.format("noop").mode("overwrite").save()
+    assert undisturbed(spark, lambda: save(df.groupBy(F.col("id") % 7).count()))
+    before = spark.sparkContext.getLocalProperty("spark.jobGroup.id")
+    with pytest.raises(Exception):
+        undisturbed(spark, lambda: save(df.select(F.raise_error(F.lit("no")))))
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") == before
+
+    class Retried:
+        jobs = stageIds = (1,)
+        status, numFailedTasks, currentAttemptId = "SUCCEEDED", 1, 0
+
+        def getJobIdsForGroup(self, _):
+            return [1]
+
+        def getJobInfo(self, _):
+            return self
+
+        getStageInfo = getJobInfo
+
+    sc = spark.sparkContext
+    real = sc.statusTracker
+    sc.statusTracker = Retried
+    try:
+        assert not undisturbed(spark, lambda: None)
+        assert cleaning.rule_counts(bronze(spark), SMOKE_CODES) == cleaning.counted_rules(bronze(spark), SMOKE_CODES)
+    finally:
+        sc.statusTracker = real
+
+
+def test_report_of_a_stored_silver_reads_no_source(spark, smoke_dir):
+    from tidewell.plans.layers import Layers
+    p = Layers(spark, smoke_dir)
+    rows = sorted(map(tuple, cleaning.dq_report(p.bronze).collect()))
+    assert p.silver.count() == rows[0][8]
+    plan = p.dq._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "Exchange" not in plan
+    assert sorted(map(tuple, p.dq.collect())) == rows
+    want = {(r.column, r.check): r.violations for r in contracts.contract_checks(p.silver_plan, contracts.SILVER).collect()}
+    assert {(r.column, r.check): r.violations for r in p.silver_checks.collect()} == want

@@ -118,8 +118,10 @@ def test_snapshots_prune_months_and_share_the_invoice_grain(spark, tmp_path, sil
     fact = spark.read.parquet(path)
     plan = features.feature_snapshots(fact, features.dim_customers(silver), [AS_OF], 30, UK)
     text = plan._jdf.queryExecution().executedPlan().toString()
-    scans = [x for x in text.splitlines() if "FileScan" in x and "fact" in x]
-    assert len(scans) == 2 and all("month" in x.split("PartitionFilters: [")[1].split("]")[0] for x in scans)
+    # locations are cut short in plans: look at the columns that a scan prunes by
+    scans = [x.split("PartitionFilters: [")[1].split("]")[0] for x in text.splitlines()
+             if "FileScan" in x and "PartitionFilters: [" in x]
+    assert len([x for x in scans if "month" in x]) == 2
     assert len([x for x in text.splitlines() if "Exchange hashpartitioning(as_of" in x and "invoice" in x]) == 1
 
 

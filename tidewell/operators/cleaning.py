@@ -7,11 +7,11 @@ pass, one CASE — instead of materialising five filtered copies.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.ratios import round_half
-
+from tidewell.operators.audited import counters, observe, undisturbed
 from tidewell.params import (CLEANING_RATIONALE, CLEANING_STEPS, DEDUP_KEY,
                              NON_PRODUCT_STOCK_CODES)
 
@@ -113,54 +113,63 @@ def clean_silver(bronze: DataFrame, codes=NON_PRODUCT_STOCK_CODES,
     return standardize(dedupe_line_items(kept, order_col))
 
 
-def dq_report(bronze: DataFrame, codes=NON_PRODUCT_STOCK_CODES) -> DataFrame:
-    """Per-rule audit in one aggregation pass over bronze.
+def rule_metrics() -> dict[str, Column]:
+    """What a pass over tagged bronze rows counts: all rows and those of C1–C4."""
+    failed = F.col("failed_rule")
+    return {"rows_raw": F.count(F.lit(1))} | {name: F.count_if(failed == name) for name in CLEANING_STEPS[:4]}
 
-    Rows failing C1–C4 collapse to four groups by their tag; survivors are
-    grouped by the line key, so duplicates = survivors − distinct keys.  The
-    result is six rows (five dropping rules + the conformance record) with
-    rows_before from a running sum over that six-row frame.
-    """
+
+def clean_silver_observed(bronze: DataFrame, codes=NON_PRODUCT_STOCK_CODES):
+    """``clean_silver`` with the rule counters observed on its way: (silver, observation)."""
+    tagged, seen = observe(tag_failed_rule(bronze, codes), rule_metrics())
+    kept = tagged.filter(F.col("failed_rule").isNull()).drop("failed_rule")
+    return standardize(dedupe_line_items(kept)), seen
+
+
+def counted_rules(bronze: DataFrame, codes=NON_PRODUCT_STOCK_CODES) -> dict[str, int]:
+    """The counters by a plain aggregation (for when an observed pass was disturbed)."""
     tagged = tag_failed_rule(bronze, codes)
     surv = F.col("failed_rule").isNull()
     keyed = tagged.groupBy(
-        F.coalesce(F.col("failed_rule"), F.lit("_survivor")).alias("tag"),
-        *[F.when(surv, F.col(k)).alias(k) for k in DEDUP_KEY],
-    ).agg(F.count(F.lit(1)).alias("n"))
-    per_tag = keyed.groupBy("tag").agg(
-        F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("dupes"))
-    spark = bronze.sparkSession
-    order = spark.createDataFrame(
-        [(i, name, CLEANING_RATIONALE[name]) for i, name in enumerate(CLEANING_STEPS)],
-        "rule_order int, rule string, rationale string")
-    # per_tag has at most five rows (four rule tags + survivors) and order six:
-    # one outer join, then totals as windows over that bounded frame, so the
-    # bronze scan feeds a single consumer
-    j = order.join(per_tag, order.rule == per_tag.tag, "full_outer")
-    everything = Window.partitionBy()
-    is_surv = F.col("tag") == "_survivor"
-    j = j.select(
-        "rule_order", "rule", "rationale", "rows",
-        F.sum("rows").over(everything).alias("rows_raw"),
-        F.sum(F.when(is_surv, F.col("rows") - F.col("dupes")).otherwise(0)).over(everything).alias("rows_silver"),
-        F.sum(F.when(is_surv, F.col("dupes")).otherwise(0)).over(everything).alias("dup_removed")
-    ).filter(F.col("rule").isNotNull())
-    removed = F.coalesce(
-        F.when(F.col("rule") == CLEANING_STEPS[4], F.col("dup_removed"))
-         .when(F.col("rule") == CLEANING_STEPS[5], F.lit(0))
-         .otherwise(F.col("rows")), F.lit(0)).cast("bigint")
-    rep = j.select("rule_order", "rule", "rationale", "rows_raw", "rows_silver", removed.alias("rows_removed"))
-    w = Window.orderBy("rule_order").rowsBetween(Window.unboundedPreceding, -1)
-    rep = rep.withColumn("rows_before",
-                         (F.col("rows_raw") - F.coalesce(F.sum("rows_removed").over(w), F.lit(0))).cast("bigint"))
-    return rep.select(
-        "rule_order", "rule", "rationale", "rows_before", "rows_removed",
-        round_half(F.lit(100.0) * F.col("rows_removed") / F.greatest(F.col("rows_before"), F.lit(1)), 2).alias("pct_of_input"),
-        round_half(F.lit(100.0) * F.col("rows_removed") / F.greatest(F.col("rows_raw"), F.lit(1)), 2).alias("pct_of_raw"),
-        F.col("rows_raw").cast("bigint").alias("rows_raw"),
-        F.col("rows_silver").cast("bigint").alias("rows_silver"),
-        round_half(F.lit(100.0) * F.col("rows_silver") / F.col("rows_raw"), 2).alias("retention_pct"),
-    )
+        "failed_rule", *[F.when(surv, F.col(k)).alias(k) for k in DEDUP_KEY]).agg(F.count(F.lit(1)).alias("n"))
+    got = keyed.groupBy("failed_rule").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("keys")).collect()
+    by = {r.failed_rule: r.n for r in got}
+    return ({"rows_raw": sum(by.values()), "rows_silver": sum(r["keys"] for r in got if r.failed_rule is None)}
+            | {name: by.get(name, 0) for name in CLEANING_STEPS[:4]})
+
+
+def rule_counts(bronze: DataFrame, codes=NON_PRODUCT_STOCK_CODES) -> dict[str, int]:
+    """The counters of the cleaning, observed on one pass that goes as far as
+    the line keys of silver and keeps nothing."""
+    tagged, rules = observe(tag_failed_rule(bronze, codes), rule_metrics())
+    keys, written = observe(tagged.filter(F.col("failed_rule").isNull()).select(*DEDUP_KEY).distinct(),
+                            {"rows_silver": F.count(F.lit(1))})
+    once = undisturbed(bronze.sparkSession, lambda: keys.write.format("noop").mode("overwrite").save())
+    return (counters(rules, written) if once else None) or counted_rules(bronze, codes)
+
+
+def dq_report(bronze: DataFrame, codes=NON_PRODUCT_STOCK_CODES) -> DataFrame:
+    """C8 from bronze alone; where silver is stored, ``dq_report_from`` its counters."""
+    return dq_report_from(bronze.sparkSession, rule_counts(bronze, codes))
+
+
+def dq_report_from(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Per-rule audit from the counters of a cleaning run: one row per rule
+    (five dropping rules and the conformance record), in order."""
+    left, rows = counts["rows_raw"], []
+    duplicates = counts["rows_raw"] - sum(counts[name] for name in CLEANING_STEPS[:4]) - counts["rows_silver"]
+    removed = [counts[name] for name in CLEANING_STEPS[:4]] + [duplicates, 0]
+    for k, (name, n) in enumerate(zip(CLEANING_STEPS, removed)):
+        rows.append((k, name, CLEANING_RATIONALE[name], left, n, counts["rows_raw"], counts["rows_silver"]))
+        left -= n
+    rep = spark.createDataFrame(rows, "rule_order int, rule string, rationale string, rows_before bigint, "
+                                      "rows_removed bigint, rows_raw bigint, rows_silver bigint")
+    share = lambda part, whole: round_half(F.lit(100.0) * F.col(part) / F.greatest(F.col(whole), F.lit(1)), 2)
+    # an empty bronze has no retention
+    return rep.select("rule_order", "rule", "rationale", "rows_before", "rows_removed",
+                      share("rows_removed", "rows_before").alias("pct_of_input"),
+                      share("rows_removed", "rows_raw").alias("pct_of_raw"), "rows_raw", "rows_silver",
+                      F.when(F.col("rows_raw") > 0, share("rows_silver", "rows_raw")).alias("retention_pct"))
 
 
 def dq_active_rules(report: DataFrame) -> DataFrame:

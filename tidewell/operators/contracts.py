@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -113,25 +113,35 @@ def _violation(spec: ColumnSpec, check) -> tuple[str, Column]:
     raise ValueError(kind)
 
 
-def contract_checks(df: DataFrame, contract: Contract) -> DataFrame:
-    """K2: (table, column, check, violations) for every check, from one aggregate."""
-    names, exprs = [], []
+def check_metrics(columns: list[str], contract: Contract) -> dict[tuple[str, str], Column]:
+    """(column, check) → the count of rows that violate it."""
+    out = {}
     for spec in contract.columns:
-        if spec.name not in df.columns:
+        if spec.name not in columns:
             continue
         if not spec.nullable:
-            names.append((spec.name, "not_null"))
-            exprs.append(F.count_if(F.col(spec.name).isNull()))
+            out[spec.name, "not_null"] = F.count_if(F.col(spec.name).isNull())
         for chk in spec.checks:
             label, pred = _violation(spec, chk)
-            names.append((spec.name, label))
-            exprs.append(F.count_if(pred))
-    agg = df.agg(*[e.alias(f"v{i}") for i, e in enumerate(exprs)])
+            out[spec.name, label] = F.count_if(pred)
+    return out
+
+
+def contract_checks(df: DataFrame, contract: Contract) -> DataFrame:
+    """K2: (table, column, check, violations) for every check, from one aggregate."""
+    metrics = check_metrics(df.columns, contract)
+    agg = df.agg(*[e.alias(f"v{i}") for i, e in enumerate(metrics.values())])
     stack = "stack({n}, {args}) AS (column, check, violations)".format(
-        n=len(names), args=", ".join(f"'{c}', '{k}', v{i}" for i, (c, k) in enumerate(names)))
+        n=len(metrics), args=", ".join(f"'{c}', '{k}', v{i}" for i, (c, k) in enumerate(metrics)))
     return agg.selectExpr(f"'{contract.table}' AS table", stack)
 
 
+def contract_checks_from(spark: SparkSession, counts: dict[tuple[str, str], int], contract: Contract) -> DataFrame:
+    """K2 from counters gathered while the table was written."""
+    return spark.createDataFrame([(contract.table, c, k, int(n)) for (c, k), n in counts.items()],
+                                 "table string, column string, check string, violations bigint")
+
+
 def contract_unique(df: DataFrame, contract: Contract) -> DataFrame:
     """K3: per unique key set, rows, distinct keys and keys seen more than once."""
     out = None

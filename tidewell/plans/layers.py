@@ -18,7 +18,8 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from tidewell.functions.ratios import round_half
 from tidewell.operators import attribution as attr
-from tidewell.operators import cleaning, features
+from tidewell.operators import cleaning, contracts, features
+from tidewell.operators.audited import counters, observe, undisturbed
 from tidewell.params import (AttributionParams, BudgetParams, Cutoffs, FeatureParams,
                              MetricsParams, PropensityParams, SegmentationParams)
 from tidewell.sources.testdata import bronze_from_testdata, table
@@ -83,18 +84,59 @@ class Layers:
         return cleaning.clean_silver(self.bronze)
 
     @cached_property
-    def silver(self) -> DataFrame:
+    def _silver_version(self) -> str:
         """fact_transactions mart: silver stored once, partitioned by month
-        (yyyymm), so time-window scans prune whole months."""
-        def build():
-            with_month = self.silver_plan.withColumn(
+        (yyyymm), so time-window scans prune whole months.  The counters of the
+        cleaning (C8) and of silver's checks (K2) are observed by the same jobs
+        and stored beside the version."""
+        from tidewell.session import shared_path
+        from tidewell.sources.marts import publish, published, write_mart
+        folder = shared_path(self.spark, "marts", self.keyed(), "fact_transactions")
+
+        def write(path: str) -> None:
+            silver, rules = cleaning.clean_silver_observed(self.bronze)
+            with_month = silver.withColumn(
                 "month", (F.year("invoice_date") * 100 + F.month("invoice_date")).cast("int"))
             # contiguous (month, customer) ranges per task: few files per month
             # partition, and tight customer_id statistics inside each file.
             # Invoice and stock code let a hot customer-month be split; without
             # an explicit count AQE sizes the ranges by their bytes.
-            return with_month.repartitionByRange("month", "customer_id", "invoice", "stock_code")
-        return self.mart("fact_transactions", build, ["month"])
+            ranged = with_month.repartitionByRange("month", "customer_id", "invoice", "stock_code")
+            checks = contracts.check_metrics(silver.columns, contracts.SILVER)
+            out, written = observe(ranged, {"rows_silver": F.count(F.lit(1))} | {
+                f"{c}:{k}": e for (c, k), e in checks.items()})
+            once = undisturbed(self.spark, lambda: write_mart(out, path, ["month"]))
+            counts = counters(rules, written) if once else None
+            if counts is None:
+                again = contracts.contract_checks(self.spark.read.parquet(path), contracts.SILVER).collect()
+                counts = cleaning.counted_rules(self.bronze) | {f"{r.column}:{r.check}": r.violations for r in again}
+            self.spark.createDataFrame(list(counts.items()), "counter string, n bigint").coalesce(1) \
+                .write.parquet(f"{path}-audit")
+
+        return published(self.spark, folder) or publish(self.spark, folder, write)
+
+    @cached_property
+    def silver(self) -> DataFrame:
+        """The stored fact_transactions."""
+        return self.spark.read.parquet(self._silver_version)
+
+    @cached_property
+    def _stored_counts(self) -> dict[str, int]:
+        return {r.counter: r.n for r in self.spark.read.parquet(f"{self._silver_version}-audit").collect()}
+
+    @cached_property
+    def dq(self) -> DataFrame:
+        """C8 from the counters of silver's write or, while it is not stored, of a counting pass."""
+        from tidewell.session import shared_path
+        from tidewell.sources.marts import published
+        stored = published(self.spark, shared_path(self.spark, "marts", self.keyed(), "fact_transactions"))
+        return cleaning.dq_report_from(self.spark, self._stored_counts if stored else cleaning.rule_counts(self.bronze))
+
+    @cached_property
+    def silver_checks(self) -> DataFrame:
+        """K2 of silver, counted while it was written."""
+        counts = {tuple(k.split(":")): n for k, n in self._stored_counts.items() if ":" in k}
+        return contracts.contract_checks_from(self.spark, counts, contracts.SILVER)
 
     @cached_property
     def dim(self) -> DataFrame:

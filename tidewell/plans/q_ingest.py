@@ -106,8 +106,8 @@ def clean_silver(p):
 
 @register("dq_report", build("SELECT * FROM dq", "dq"))
 def dq_report(p):
-    """Per-rule audit in one pass."""
-    return cleaning.dq_report(p.bronze)
+    """Per-rule audit from counters observed while silver is made."""
+    return p.dq
 
 
 _labels = " ".join(f"WHEN '{r}' THEN '{r.replace('_', ' ').title()}'" for r in CLEANING_STEPS)
@@ -118,7 +118,7 @@ SELECT rule_order, CASE rule {_labels} END AS rule_label, rows_removed, pct_of_r
 FROM dq WHERE rows_removed > 0""", "dq"))
 def dq_active_rules(p):
     """Rules that removed rows, prettified."""
-    return cleaning.dq_active_rules(cleaning.dq_report(p.bronze))
+    return cleaning.dq_active_rules(p.dq)
 
 
 @register("contract_types")
@@ -144,8 +144,8 @@ SELECT 'silver' AS "table", "column", "check", violations FROM (
 
 @register("contract_checks", build(_checks_sql, "silver"))
 def contract_checks(p):
-    """K2: every silver value check from one aggregate."""
-    return contracts.contract_checks(p.silver_plan, contracts.SILVER)
+    """K2: every silver value check, counted while silver was written."""
+    return p.silver_checks
 
 
 @register("contract_unique", build("""
@@ -200,7 +200,7 @@ def export_csv(p):
     seg_rfm = p.segments.join(p.features_current.select("customer_id", "recency_days", "frequency", "monetary"),
                               "customer_id")
     outs = {"segment_assignments": seg_rfm, "top_audience": rep.top_audience(p.scores, p.segments),
-            "channel_metrics": p.channel_table, "dq_report": cleaning.dq_report(p.bronze)}
+            "channel_metrics": p.channel_table, "dq_report": p.dq}
     frames = []
     for name, df in outs.items():
         path = shared_path(p.spark, "exports", p.signature, name)
@@ -226,7 +226,7 @@ def write_summary(p):
     from tidewell.functions.ratios import round_half
     from tidewell.session import shared_path
     from tidewell.sources.files import write_summary as summary
-    r = cleaning.dq_report(p.bronze).filter(F.col("rule_order") == 0)
+    r = p.dq.filter(F.col("rule_order") == 0)
     m = (r.select(F.lit("rows_raw").alias("metric"), F.col("rows_raw").cast("double").alias("value"))
          .unionByName(r.select(F.lit("rows_silver").alias("metric"), F.col("rows_silver").cast("double").alias("value")))
          .unionByName(r.select(F.lit("retention_pct").alias("metric"), F.col("retention_pct").alias("value"))))

@@ -3,7 +3,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewell.operators import cleaning
 from tidewell.operators import reports as rep
 from tidewell.plans.oracle import build, cte, q
 from tidewell.plans.layers import round_doubles
@@ -32,7 +31,7 @@ UNION ALL SELECT 'fact_transactions', (SELECT count(*) FROM silver)
 UNION ALL SELECT 'dim_customers', (SELECT count(*) FROM dim)""", "bronze", "silver", "dim"))
 def layer_row_counts(p):
     """Rows per medallion layer."""
-    return rep.layer_row_counts(cleaning.dq_report(p.bronze), p.silver, p.dim)
+    return rep.layer_row_counts(p.dq, p.silver, p.dim)
 
 
 @register("monthly_revenue", build("""
