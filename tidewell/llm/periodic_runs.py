@@ -24,7 +24,7 @@ worked on within one task; nothing is shuffled.
 
 Defined cases: null or empty text, and texts of white space, have no words and
 no runs, and collapse to the empty text.  Every row is a document of its own,
-whatever its id; one with a null id is never handed to ``rewrite``.  Further
+whatever its id; one with a null id is never handed to ``rewrite``.  Other
 columns pass through; result columns replace input columns of the same name.
 Empty tables give empty results.
 """
@@ -235,8 +235,8 @@ Rewrite = Callable[[int, list[bytes]], list[bytes]]
 
 
 def periodic_runs(docs: DataFrame, params: RunParams = RunParams(), rewrite: Rewrite | None = None) -> DataFrame:
-    """``docs`` with ``n_words``, ``runs`` (by start, then period) and
-    ``collapsed``, stored in the shared folder.  ``rewrite`` changes the words
+    """``docs`` with the collapsed ``text``, ``n_words`` and ``runs`` (by start,
+    then period), stored in the shared folder.  ``rewrite`` changes the words
     of a document (given its id) before they are searched."""
     ship_package(docs.sparkSession)
 
@@ -258,7 +258,8 @@ def periodic_runs(docs: DataFrame, params: RunParams = RunParams(), rewrite: Rew
 
     # the id goes as text: a null one must not turn the others into floats
     out = docs.withColumn(P + "r", search(docs["doc_id"].cast("long").cast("string"), text_or_empty(docs)))
-    new = ("n_words", "runs", "collapsed")
-    out = out.select(*[c for c in docs.columns if c not in new], *[F.col(P + "r")[c].alias(c) for c in new])
+    found = F.col(P + "r")
+    out = out.select(*[found["collapsed"].alias(c) if c == "text" else F.col(c) for c in docs.columns
+                       if c not in ("n_words", "runs")], found["n_words"].alias("n_words"), found["runs"].alias("runs"))
     with sql_conf(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
         return stage(out, "periodic-runs")

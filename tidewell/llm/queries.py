@@ -153,4 +153,4 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (-F.col("best.l")).alias("length"), F.col("best.period").alias("period"),
         F.floor(1000 * -F.col("best.l") / F.col("best.period")).alias("exponent_milli"),
         F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
-        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+        F.sha2("text", 256).alias("collapsed_sha256"))
