@@ -109,6 +109,17 @@ def feature_snapshots(p):
     return round_doubles(p.snapshots_plan)
 
 
+WEEKLY = [CUT.t_test - dt.timedelta(days=7 * k) for k in range(52)]
+
+
+@register("feature_snapshots_weekly", build(f"SELECT {FEAT_COLS} FROM ({features_sql('silver', WEEKLY, CUT.window_days)})",
+                                            "silver", "dim"))
+def feature_snapshots_weekly(p):
+    """F12 over a year of weekly cutoffs, by as-of look-ups in running sums."""
+    from tidewell.operators.feature_grid import snapshot_grid
+    return round_doubles(snapshot_grid(p.silver, p.dim, WEEKLY, p.cutoffs.window_days, p.fp))
+
+
 @register("snapshot_conversion_rate", build("""
 SELECT as_of, count(*) AS customers, round(avg(target_conversion), 6) AS conversion_rate
 FROM snapshots GROUP BY as_of""", "snapshots"))
