@@ -93,7 +93,9 @@ def test_contract_reports_every_violation(spark):
 
 
 def test_counters_observed_on_the_way_equal_a_plain_count(spark):
-    for b in (bronze(spark), bronze(spark).filter("quantity < 0"), spark.createDataFrame([], BRONZE_SCHEMA)):
+    from tidewell.session import observer_session
+    own = observer_session(spark)
+    for b in (bronze(own), bronze(own).filter("quantity < 0"), own.createDataFrame([], BRONZE_SCHEMA)):
         plain = cleaning.counted_rules(b, SMOKE_CODES)
         assert cleaning.rule_counts(b, SMOKE_CODES) == plain
         silver, rules = cleaning.clean_silver_observed(b, SMOKE_CODES)
@@ -131,7 +133,9 @@ def test_a_run_with_failed_tasks_is_told(spark):
     sc.statusTracker = Retried
     try:
         assert not undisturbed(spark, lambda: None)
-        assert cleaning.rule_counts(bronze(spark), SMOKE_CODES) == cleaning.counted_rules(bronze(spark), SMOKE_CODES)
+        from tidewell.session import observer_session
+        assert cleaning.rule_counts(bronze(observer_session(spark)), SMOKE_CODES) == cleaning.counted_rules(
+            bronze(spark), SMOKE_CODES)
     finally:
         sc.statusTracker = real
 

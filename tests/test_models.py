@@ -55,3 +55,36 @@ def test_stored_ensemble_scores_like_a_fresh_fit(spark, smoke_dir):
     stored = M.gbm_calibrated(p.features_train, p.features_test, p.pp, p.calibrated_ensemble)
     j = fresh.join(stored.withColumnRenamed("score", "b"), ["customer_id", "label"])
     assert j.count() == fresh.count() and j.filter(F.abs(F.col("a") - F.col("b")) > 1e-12).count() == 0
+
+
+def test_patience_outlasts_a_noisy_curve():
+    from tidewell.operators.models import patient_stop
+    noisy = [1.0, 0.9, 0.95, 0.93, 0.8, 0.85, 0.84, 0.83]
+    assert patient_stop(noisy, 3, 1e-7) == (5, True)
+    assert patient_stop(noisy, 2, 1e-7) == (2, True)
+    assert patient_stop(noisy[:5], 3, 1e-7) == (5, False)
+    assert patient_stop([1.0, 1.0 - 1e-9, 1.0 - 2e-9], 2, 1e-7) == (1, True)
+    assert patient_stop([], 3, 0.0) == (0, False)
+
+
+def test_boosting_keeps_the_best_round(spark):
+    """A label with a signal: many rounds, and the kept trees are the first of a longer fit."""
+    from tidewell.operators import models as M
+    from tidewell.params import FEATURE_COLUMNS, PropensityParams
+    cols = [F.lit(1.0).alias(c) if c not in ("recency_days", "frequency") else
+            F.expr(f"pmod(hash(id, '{c}'), 1000) / 1000.0").alias(c) for c in FEATURE_COLUMNS]
+    df = spark.range(1500).select(F.col("id").cast("string").alias("customer_id"), *cols, F.lit(0.0).alias("gap_missing"))
+    df = df.withColumn("target_conversion", (F.sin(F.col("recency_days") * 9) + F.col("frequency") * 2
+                                             + F.expr("pmod(hash(customer_id, 'n'), 100) / 90.0") > 1.6).cast("int"))
+    params = PropensityParams(gbm_max_iter=60, gbm_max_depth=3, gbm_patience=4)
+    curve = []
+    va, model = M.fit_gbm(df, params, curve=curve)
+    kept, _ = M.patient_stop(curve, params.gbm_patience, params.gbm_tol)
+    assert model.getNumTrees == kept > params.gbm_patience + 2
+    assert len(curve) == 60 or len(curve) >= kept + params.gbm_patience
+    rows = va.transform(M._holdout(df, params.gbm_validation_fraction, params.seed, "val").filter("not is_val").withColumn(
+        "label", F.col("target_conversion").cast("double"))).select("features", "label")
+    longer = M._gbt(params, 0, kept + 3).fit(rows)
+    # the first line of a tree's text names its object
+    assert all(a.toDebugString.split("\n", 1)[1] == b.toDebugString.split("\n", 1)[1]
+               for a, b in zip(longer.trees, model.trees))

@@ -120,7 +120,8 @@ def rule_metrics() -> dict[str, Column]:
 
 
 def clean_silver_observed(bronze: DataFrame, codes=NON_PRODUCT_STOCK_CODES):
-    """``clean_silver`` with the rule counters observed on its way: (silver, observation)."""
+    """``clean_silver`` with the rule counters observed on its way: (silver,
+    observation).  ``bronze`` belongs to an observer session."""
     tagged, seen = observe(tag_failed_rule(bronze, codes), rule_metrics())
     kept = tagged.filter(F.col("failed_rule").isNull()).drop("failed_rule")
     return standardize(dedupe_line_items(kept)), seen
@@ -140,7 +141,8 @@ def counted_rules(bronze: DataFrame, codes=NON_PRODUCT_STOCK_CODES) -> dict[str,
 
 def rule_counts(bronze: DataFrame, codes=NON_PRODUCT_STOCK_CODES) -> dict[str, int]:
     """The counters of the cleaning, observed on one pass that goes as far as
-    the line keys of silver and keeps nothing."""
+    the line keys of silver and keeps nothing.  ``bronze`` belongs to an
+    observer session (``session.observer_session``)."""
     tagged, rules = observe(tag_failed_rule(bronze, codes), rule_metrics())
     keys, written = observe(tagged.filter(F.col("failed_rule").isNull()).select(*DEDUP_KEY).distinct(),
                             {"rows_silver": F.count(F.lit(1))})
@@ -150,7 +152,7 @@ def rule_counts(bronze: DataFrame, codes=NON_PRODUCT_STOCK_CODES) -> dict[str, i
 
 def dq_report(bronze: DataFrame, codes=NON_PRODUCT_STOCK_CODES) -> DataFrame:
     """C8 from bronze alone; where silver is stored, ``dq_report_from`` its counters."""
-    return dq_report_from(bronze.sparkSession, rule_counts(bronze, codes))
+    return dq_report_from(bronze.sparkSession, counted_rules(bronze, codes))
 
 
 def dq_report_from(spark: SparkSession, counts: dict[str, int]) -> DataFrame:

@@ -145,6 +145,8 @@ class PropensityParams:
     gbm_learning_rate: float = 0.08
     gbm_max_depth: int = 6
     gbm_validation_fraction: float = 0.15
+    gbm_patience: int = 10  # rounds without a lower held-out loss before boosting ends
+    gbm_tol: float = 1e-7   # what counts as lower
     gbm_min_instances: int = 20
     calibration_folds: int = 5
     permutation_repeats: int = 15

@@ -61,6 +61,12 @@ class Layers:
     def bronze(self) -> DataFrame:
         return bronze_from_testdata(self.spark, self.sf_dir)
 
+    @property
+    def _observed_bronze(self) -> DataFrame:
+        """Bronze in the session for observed jobs."""
+        from tidewell.session import observer_session
+        return bronze_from_testdata(observer_session(self.spark), self.sf_dir)
+
     @cached_property
     def signature(self) -> str:
         from tidewell.sources.marts import input_signature
@@ -94,7 +100,7 @@ class Layers:
         folder = shared_path(self.spark, "marts", self.keyed(), "fact_transactions")
 
         def write(path: str) -> None:
-            silver, rules = cleaning.clean_silver_observed(self.bronze)
+            silver, rules = cleaning.clean_silver_observed(self._observed_bronze)
             with_month = silver.withColumn(
                 "month", (F.year("invoice_date") * 100 + F.month("invoice_date")).cast("int"))
             # contiguous (month, customer) ranges per task: few files per month
@@ -130,7 +136,7 @@ class Layers:
         from tidewell.session import shared_path
         from tidewell.sources.marts import published
         stored = published(self.spark, shared_path(self.spark, "marts", self.keyed(), "fact_transactions"))
-        return cleaning.dq_report_from(self.spark, self._stored_counts if stored else cleaning.rule_counts(self.bronze))
+        return cleaning.dq_report_from(self.spark, self._stored_counts if stored else cleaning.rule_counts(self._observed_bronze))
 
     @cached_property
     def silver_checks(self) -> DataFrame:

@@ -22,6 +22,12 @@ def gbm_raw(p):
     return M.gbm_raw(p.features_train, p.features_test, p.pp)
 
 
+@register("gbm_rounds")
+def gbm_rounds(p):
+    """P5: held-out loss after each boosting round and the rounds kept."""
+    return M.boosting_rounds(p.features_train, p.pp)
+
+
 @register("isotonic_calibration")
 def isotonic_calibration(p):
     """Five-fold isotonic-calibrated boosted-tree ensemble."""

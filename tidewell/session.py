@@ -56,6 +56,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def observer_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for jobs that observe metrics, with the settings of
+    ``spark``.  A session that has observed metrics can no longer be serialized,
+    and the training summary of a fitted Spark ML model holds its session: the
+    caller's session is kept out of it."""
+    out = getattr(spark, "_tidewell_observer", None)
+    if out is None:
+        out = spark._tidewell_observer = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if out.conf.isModifiable(key) and out.conf.get(key, None) != value:
+            out.conf.set(key, value)
+    return out
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder, for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
