@@ -1,23 +1,35 @@
 """Main-text extraction with a site style tree.
 
-Each page becomes a tree of elements.  Branches that say what they are
-(navigation, footers, adverts, forms, comments, ...) are left out by tag, role
-or class.  What is left is judged by the site: the trees of one host are
-merged, and every container branch (a path of tags and classes) gets an
-importance from the entropy of its presentations (sequences of child
-elements) and of its contents over the distinct pages that have it.  A
-branch that looks and reads the same across a host's pages is of low
-importance and is cut from each of them.  Plain paragraphs and headings are
-never cut on their own, nor is anything on hosts with few distinct pages.
+Each page becomes a tree of elements.  What is noise by its element (navigation,
+footers, asides, scripts, ...), role or hidden state is left out at once.  What only
+a whole class name (or the id of a plain container) says is judged with the
+page in view, and the rest by the site: the trees of one host are merged, and
+every node gets an importance.
+
+* A container (a path of tags, classes and ids): the entropy of its presentations
+  (sequences of child elements) and of its contents over the distinct pages that
+  have it.
+* A block of text at its path: how rare it is among the host's distinct pages,
+  log(pages / pages with it) / log(pages).  Paragraphs and headings inside an article
+  or main element are not judged on their own.
+
+Either is shrunk towards 1 by the number of pages n, to 1 - (1 - importance) * n /
+(n + 1), so that few pages say little and no host is left out.  Nodes of low importance
+are cut from each page.
+
+A page's own text limits what may go.  A named branch stays if the page's only article
+or main element lies in it, or, without such an element, if it holds most of the text;
+low nodes stay if they hold an article or main element or if little were left without
+them.  The text is what lies in the article and main elements or, if that is empty or a
+small part of what is left, all that is left.
 
 Both passes parse the page; between them only hashes and counts are
-shuffled, aggregated per host and path before that.  The pages meet their
-host's low branches in a join salted by page, so a host that has a third of
+shuffled, aggregated per host and node before that.  The pages meet their
+host's low nodes in a join salted by page, so a host that has a third of
 all pages is spread over SALTS parts.
 
 Output: blocks in page order joined by a line end, white space inside a
-block as one blank, character references decoded.  If a page has an article
-or main element, its text is what lies inside.
+block as one blank, character references decoded.
 
 Defined cases: null or empty html gives an empty text; a null or hostless url
 is a site of its own that nothing is learned from.  Rows sharing a page_id
@@ -41,9 +53,10 @@ from tidewell.llm.common import P
 from tidewell.session import ship_package
 
 SALTS = 16
-MIN_PAGES = 10            # distinct pages that must have a branch before it is judged
-LOW = 0.2                 # importance up to which a branch is cut
-PRESENTATION = 0.1        # share of the presentation in a branch's importance
+LOW = 0.3                 # importance up to which a node is cut
+PRESENTATION = 0.1        # share of the presentation in a container's importance
+SMALL = 0.2               # an article with a smaller share of the text left is not the main part
+MOST = 0.5
 MAX_DEPTH = 64            # elements nested deeper count as part of their ancestor (their text is kept)
 
 # FIXED VALUES: element names of HTML and words that sites use in class, id and role
@@ -64,6 +77,7 @@ NOISE_WORDS = frozenset("ad ads adv advert adverts advertisement advertisements
                         "comment comments disqus replies respond cookie cookies consent gdpr notice notices popup "
                         "modal newsletter subscribe signup share sharing social related recommended widget widgets "
                         "login toolbar pagination pager copyright".split())
+COMMENT_IDS = frozenset("comment comments disqus replies respond".split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
 MAIN_ROLES = frozenset("main article".split())
 
@@ -71,7 +85,6 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
-_WORDS = re.compile("[a-z]+")
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -80,17 +93,43 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html_lib.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(raw)}
 
 
-def _noise(tag: str, attrs: dict[str, str], in_main: bool) -> bool:
-    if tag in NOISE_TAGS or (tag == "header" and not in_main):
+def _certain(tag: str, attrs: dict[str, str], in_main: bool) -> bool:
+    """Noise whatever it holds."""
+    if (tag in NOISE_TAGS and tag != "form") or (tag == "header" and not in_main):
         return True
-    if not attrs:
+    return bool(attrs) and ("hidden" in attrs or attrs.get("aria-hidden") == "true"
+                            or attrs.get("role", "").lower() in NOISE_ROLES)
+
+
+def _named(tag: str, attrs: dict[str, str], in_main: bool) -> bool:
+    """Noise by a whole class token, by the id of a plain container, or a form."""
+    if tag in ("html", "body", "main", "article"):
         return False
-    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in NOISE_ROLES:
+    if tag == "form":
         return True
-    if tag in ("html", "body", "main", "article") and not in_main:
-        return False
-    named = set(_WORDS.findall((attrs.get("class", "") + " " + attrs.get("id", "")).lower()))
-    return bool(named & NOISE_WORDS) or (not in_main and bool(named & HEADER_WORDS))
+    names, own = set(attrs.get("class", "").lower().split()), attrs.get("id", "").lower()
+    if tag in ("div", "ul", "ol", "dl", "table") or (tag == "section" and own in COMMENT_IDS):
+        names.add(own)
+    return bool(names & NOISE_WORDS) or (not in_main and bool(names & HEADER_WORDS))
+
+
+@dataclass
+class Node:
+    """An element that is not inline."""
+    up: "Node | None"
+    path: str
+    container: bool = False
+    named: bool = False
+    holds_main: bool = False
+    size: int = 0                                          # characters below it
+    text: list[str] = field(default_factory=list)          # of a container
+    shape: list[str] = field(default_factory=list)
+
+    def above(self):
+        node = self
+        while node is not None:
+            yield node
+            node = node.up
 
 
 @dataclass
@@ -98,38 +137,43 @@ class _Open:
     tag: str
     noise: bool
     main: bool
-    path: str | None          # of a container branch
     inline: bool
-    branch: bool
+    node: Node | None
 
 
 @dataclass
-class Branch:
-    """One occurrence of a container branch in a page."""
-    path: str
-    text: list[str] = field(default_factory=list)
-    shape: list[str] = field(default_factory=list)
+class Block:
+    text: str
+    node: Node | None
+    main: bool
+
+    def id(self) -> int:
+        return _hash([self.node.path if self.node else "", self.text])
 
 
-def parse(html: str, low: frozenset[str] | None = None) -> tuple[list[str], list[Branch]]:
-    """(blocks of the page's text, container branches).  ``low``: paths to cut."""
+def parse(html: str) -> tuple[list[Block], list[Node]]:
+    """(blocks, containers) of a page without what is certainly noise."""
     stack: list[_Open] = []
-    blocks: list[tuple[bool, str]] = []
+    blocks: list[Block] = []
     buffer: list[str] = []
-    branches: list[Branch] = []
-    open_branches: list[Branch] = []
+    containers: list[Node] = []
     counts: dict[str, int] = {}
-    has_main = False
     noise_depth = main_depth = 0
 
+    def here() -> Node | None:
+        return next((x.node for x in reversed(stack) if x.node), None)
+
     def flush() -> None:
         if buffer:
             text = " ".join("".join(buffer).split())
             buffer.clear()
             if text:
-                blocks.append((main_depth > 0, text))
-                for b in open_branches:
-                    b.text.append(text)
+                block = Block(text, here(), main_depth > 0)
+                blocks.append(block)
+                for n in block.node.above() if block.node else ():
+                    n.size += len(text)
+                    if n.container:
+                        n.text.append(text)
 
     def pop(to: int) -> None:
         nonlocal noise_depth, main_depth
@@ -138,8 +182,6 @@ def parse(html: str, low: frozenset[str] | None = None) -> tuple[list[str], list
                 flush()
             top = stack.pop()
             counts[top.tag] -= 1
-            if top.branch:
-                open_branches.pop()
             noise_depth -= top.noise
             main_depth -= top.main
 
@@ -206,38 +248,66 @@ def parse(html: str, low: frozenset[str] | None = None) -> tuple[list[str], list
             continue
         if tag == "body":
             pop(find(("head",)) if find(("head",)) >= 0 else len(stack))
-        noise = _noise(tag, attrs, main_depth > 0)
-        main = not noise and not noise_depth and (tag in ("article", "main") or attrs.get("role", "").lower() in MAIN_ROLES)
-        has_main |= main
-        path, branch = None, None
-        if not inline and len(stack) < MAX_DEPTH:
-            if not noise_depth:
-                for b in open_branches:
-                    b.shape.append(tag)
-            up = next((x.path for x in reversed(stack) if x.path), "")
-            path = up + "/" + tag + "".join(sorted("." + c for c in attrs.get("class", "").lower().split())) + (
-                "#" + attrs["id"].lower() if attrs.get("id") else "")
-            if tag in CONTAINERS and not noise and not noise_depth:
-                if low and path in low:
-                    noise = True
-                else:
-                    branch = Branch(path)
-                    branches.append(branch)
+        noise = _certain(tag, attrs, main_depth > 0)
+        if inline and not noise and _named(tag, attrs, main_depth > 0):
+            noise = True                   # part of a block, which is not judged by halves
+        live = not noise and not noise_depth
+        main = live and (tag in ("article", "main") or attrs.get("role", "").lower() in MAIN_ROLES)
+        named = live and not inline and _named(tag, attrs, main_depth > 0)
+        node = None
+        if live and (named or main or not inline) and len(stack) < MAX_DEPTH:
+            up = here()
+            for n in up.above() if up else ():
+                if n.container:
+                    n.shape.append(tag)
+                n.holds_main |= main
+            path = (up.path if up else "") + "/" + tag + "".join(sorted(
+                "." + c for c in attrs.get("class", "").lower().split())) + ("#" + attrs["id"].lower() if attrs.get("id") else "")
+            node = Node(up, path, tag in CONTAINERS, named, main)
+            if node.container:
+                containers.append(node)
         if raw.rstrip().endswith("/") and tag not in ("p", "div", "article", "main", "section", "body", "html") and noise:
             continue                       # <svg/> and the like have no content
-        stack.append(_Open(tag, noise, main, path, inline, branch is not None))
+        stack.append(_Open(tag, noise, main, inline, node))
         counts[tag] = counts.get(tag, 0) + 1
-        if branch:
-            open_branches.append(branch)
         noise_depth += noise
         main_depth += main
     pop(0)
     flush()
-    return [t for inside, t in blocks if inside or not has_main], branches
+    return blocks, containers
+
+
+def _size(blocks: list[Block]) -> int:
+    return sum(len(b.text) for b in blocks)
+
+
+def judged(blocks: list[Block], low: frozenset[int] = frozenset()) -> list[Block]:
+    """The blocks of the main text.  low: ids of the site's unimportant nodes."""
+    def under(block: Block, test) -> bool:
+        return block.node is not None and any(test(n) for n in block.node.above())
+
+    total = _size(blocks)
+    # an article outside all named branches frees them to go
+    has_main = any(b.main and not under(b, lambda n: n.named and n.holds_main) for b in blocks)
 
+    def goes(n: Node) -> bool:
+        return n.named and (has_main or not (n.holds_main or n.size > MOST * total))
 
-def main_text(html: str, low: frozenset[str] | None = None) -> str:
-    return "\n".join(parse(html, low)[0])
+    left = [b for b in blocks if not under(b, goes)]
+    if not any(b.main for b in left) and has_main:
+        left = blocks                      # the article is all in named branches
+    if low:
+        tops = _size(left)
+        rest = [b for b in left if not (not b.main and b.id() in low) and not under(
+            b, lambda n: n.container and not n.holds_main and n.size <= MOST * tops and _hash([n.path]) in low)]
+        if _size(rest) >= MOST * tops or any(b.main for b in rest):
+            left = rest
+    main = [b for b in left if b.main]
+    return main if main and _size(main) >= SMALL * _size(left) else left
+
+
+def main_text(html: str, low: frozenset[int] = frozenset()) -> str:
+    return "\n".join(b.text for b in judged(parse(html)[0], low))
 
 
 def _hash(parts: list[str]) -> int:
@@ -250,56 +320,64 @@ def host(url: Column) -> Column:
     return F.when(found != "", found)
 
 
-def branch_rows(pages: DataFrame) -> DataFrame:
-    """(host, path, content, shape, page): hashes of each page's container branches."""
+PAGE = 0                  # the node that every page has
+
+
+def node_rows(pages: DataFrame) -> DataFrame:
+    """(host, node, content, shape, page): hashes of each page's containers and
+    blocks, and of the page itself; a block is its own node."""
     ship_package(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                hosts, paths, contents, shapes, whole = [], [], [], [], []
+                rows: list[tuple[str, int, int, int, int]] = []
                 part = batch.slice(at, 256)
                 for h, doc in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    blocks, branches = parse(doc)
-                    page = _hash(blocks)
-                    for b in branches:
-                        if b.text:
-                            hosts.append(h)
-                            paths.append(b.path)
-                            contents.append(_hash(b.text))
-                            shapes.append(_hash(b.shape))
-                            whole.append(page)
+                    blocks, containers = parse(doc)
+                    page = _hash([b.text for b in blocks])
+                    found = {(PAGE, 0, 0)} | {(b.id(), 0, 0) for b in blocks if not b.main} | {
+                        (_hash([c.path]), _hash(c.text), _hash(c.shape)) for c in containers if c.text}
+                    rows += [(h, *f, page) for f in found]
+                names = ["host", "node", "content", "shape", "page"]
+                columns = list(zip(*rows)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(contents, pa.int64()),
-                     pa.array(shapes, pa.int64()), pa.array(whole, pa.int64())],
-                    ["host", "path", "content", "shape", "page"])
+                    [pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]], names)
 
     src = pages.select(host(pages["url"].cast("string")).alias("host"), F.coalesce(
         pages["html"].cast("string"), F.lit("")).alias("html")).filter("host is not null")
-    return src.mapInArrow(run, "host string, path string, content long, shape long, page long")
+    return src.mapInArrow(run, "host string, node long, content long, shape long, page long")
 
 
 def _entropy(rows: DataFrame, value: str) -> DataFrame:
-    """Entropy of ``value`` over a branch's pages, as a share of the most it could be."""
-    cells = rows.groupBy("host", "path", value).agg(F.count("*").alias("c"))
-    sums = cells.groupBy("host", "path").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("s"))
-    return sums.select("host", "path", "n", F.when(F.col("n") > 1, (F.log("n") - F.col("s") / F.col("n")) / F.log("n"))
+    """Entropy of ``value`` over a container's pages, as a share of the most it could be."""
+    cells = rows.groupBy("host", "node", value).agg(F.count("*").alias("c"))
+    sums = cells.groupBy("host", "node").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("s"))
+    return sums.select("host", "node", "n", F.when(F.col("n") > 1, (F.log("n") - F.col("s") / F.col("n")) / F.log("n"))
                        .otherwise(1.0).alias(f"{value}_entropy"))
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, n, importance) of every container branch."""
-    rows = branch_rows(pages).distinct()       # copies of a page count once
-    both = _entropy(rows, "content").join(_entropy(rows, "shape").drop("n"), ["host", "path"])
-    return both.select("host", "path", "n", (PRESENTATION * F.col("shape_entropy")
-                                             + (1 - PRESENTATION) * F.col("content_entropy")).alias("importance"))
-
-
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, low: float = LOW) -> DataFrame:
+    """(host, node, n, importance) of every container and block of a site; n is
+    the number of distinct pages it was judged by."""
+    rows = node_rows(pages).distinct()         # copies of a page count once
+    inner, whole = rows.filter("content <> 0"), rows.filter("content = 0")
+    both = _entropy(inner, "content").join(_entropy(inner, "shape").drop("n"), ["host", "node"])
+    containers = both.select("host", "node", "n", (PRESENTATION * F.col("shape_entropy")
+                                                   + (1 - PRESENTATION) * F.col("content_entropy")).alias("raw"))
+    counts = whole.groupBy("host", "node").agg(F.count("*").alias("c"))
+    sites = counts.filter(F.col("node") == PAGE).select(F.col("host").alias("h"), F.col("c").alias("n"))
+    blocks = counts.filter(F.col("node") != PAGE).join(sites, F.col("host") == F.col("h")).select(
+        "host", "node", "n", F.when(F.col("n") > 1, F.log(F.col("n") / F.col("c")) / F.log("n")).otherwise(1.0).alias("raw"))
+    shrunk = 1 - (1 - F.col("raw")) * F.col("n") / (F.col("n") + 1)
+    return containers.unionByName(blocks).select("host", "node", "n", shrunk.alias("importance"))
+
+
+def extract(pages: DataFrame, low: float = LOW) -> DataFrame:
     """``pages`` with ``text`` and ``n_chars``."""
     ship_package(pages.sparkSession)
-    cut = (style_tree(pages).filter((F.col("n") >= min_pages) & (F.col("importance") <= low))
-           .groupBy(F.col("host").alias(P + "h")).agg(F.collect_set("path").alias(P + "low"))
+    cut = (style_tree(pages).filter(F.col("importance") <= low)
+           .groupBy(F.col("host").alias(P + "h")).agg(F.collect_set("node").alias(P + "low"))
            .withColumn(P + "s", F.explode(F.array([F.lit(k) for k in range(SALTS)]))))
     rows = pages.withColumns({P + "host": host(pages["url"].cast("string")),
                               P + "salt": F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")})
@@ -307,7 +385,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, low: float = LOW) -> D
 
     @F.pandas_udf("string")
     def run(docs: pd.Series, lows: pd.Series) -> pd.Series:
-        return pd.Series([main_text(d or "", frozenset(x) if x is not None else None)
+        return pd.Series([main_text(d or "", frozenset(x) if x is not None else frozenset())
                           for d, x in zip(docs, lows)], dtype=object)
 
     out = [c for c in pages.columns if c not in ("text", "n_chars")]
