@@ -277,19 +277,23 @@ def fits_usable(bg: DataFrame, gg: DataFrame) -> bool:
 def probabilistic_ltv_table(fact: DataFrame, features: DataFrame, as_of, params=None, penalizer: float = 0.01):
     """M13 with the probabilistic path: fit M10/M11 on the day-grain summary,
     score M12, and fall back to the heuristic when a fit or the scoring fails
-    for whatever reason (the reference's rule)."""
+    for whatever reason (the reference's rule), which ``fallback_reason`` says."""
     from tidewell.operators.metrics import ltv_table, rf_summary
     from tidewell.params import MetricsParams
     from tidewell.session import ensure_checkpoint_dir
     params = params or MetricsParams()
+
+    def heuristic(reason: str) -> DataFrame:
+        return ltv_table(features, None, params).withColumn("fallback_reason", F.lit(reason))
+
     try:
         ensure_checkpoint_dir(fact.sparkSession)
         rf = rf_summary(fact, as_of).checkpoint()
         bg, gg = bgnbd_fit(rf, penalizer), gamma_gamma_fit(rf, penalizer)
         if not fits_usable(bg, gg):
-            return ltv_table(features, None, params)
+            return heuristic("estimates not finite or at a pole")
         # scored here, so that a failing row falls back as a failing fit does
         scored = clv(rf, bg, gg, params.ltv_horizon_months).checkpoint()
-    except Exception:  # noqa: BLE001
-        return ltv_table(features, None, params)
-    return ltv_table(features, scored, params)
+    except Exception as exc:  # noqa: BLE001
+        return heuristic(f"{type(exc).__name__}: {str(exc)[:200]}")
+    return ltv_table(features, scored, params).withColumn("fallback_reason", F.lit(None).cast("string"))

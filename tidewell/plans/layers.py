@@ -274,3 +274,44 @@ class Layers:
         path = published(self.spark, folder) or publish(self.spark, folder, lambda to: models.save_calibrated(
             self.spark, models.calibrated_models(self.features_train, self.pp), to))
         return models.load_calibrated(self.spark, path, self.pp.calibration_folds)
+
+    # ---------------------------------------------------------------- fitted layers, stored
+    # What a model said of each customer is kept as a table, keyed by inputs, code and
+    # parameters: reports read the stored estimates, so two of them never see two
+    # fits, and SQL can recompute every report from the same rows.
+    @cached_property
+    def fitted_ltv(self) -> DataFrame:
+        """ltv_table mart (M13) on the probabilistic path, the method and any
+        reason for falling back in every row."""
+        from tidewell.operators.ltv import probabilistic_ltv_table
+        return self.mart("ltv_table", lambda: probabilistic_ltv_table(
+            self.silver, self.features_current, self.cutoffs.t_test, self.mp), params=(self.cutoffs, self.fp, self.mp))
+
+    @cached_property
+    def fitted_scores(self) -> DataFrame:
+        """propensity_scores mart: the calibrated ensemble on the test snapshot."""
+        from tidewell.operators.models import gbm_calibrated
+        return self.mart("propensity_scores", lambda: gbm_calibrated(
+            self.features_train, self.features_test, self.pp, self.calibrated_ensemble), params=(self.cutoffs, self.fp, self.pp))
+
+    @cached_property
+    def fitted_uplift(self) -> DataFrame:
+        """uplift_scores mart: the T-learner's test rows."""
+        from tidewell.operators.models import t_learner
+        return self.mart("uplift_scores", lambda: t_learner(self.features_test, self.attribution, self.pp),
+                         params=(self.cutoffs, self.fp, self.ap, self.pp))
+
+    @cached_property
+    def fitted_channel_table(self) -> DataFrame:
+        from tidewell.operators.metrics import channel_metrics
+        return channel_metrics(self.features_current, self.attribution, self.fitted_ltv, self.window_rev)
+
+    @cached_property
+    def fitted_hill(self) -> DataFrame:
+        from tidewell.operators.budget import hill_params
+        return hill_params(self.attribution, self.fitted_scores, self.fitted_channel_table, self.bp)
+
+    @cached_property
+    def fitted_scored_attribution(self) -> DataFrame:
+        return self.attribution.select("customer_id", "channel").join(
+            self.fitted_scores.select("customer_id", "score"), "customer_id")

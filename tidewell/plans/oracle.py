@@ -25,21 +25,40 @@ def cte(name: str, deps: tuple[str, ...], sql: str) -> None:
     _CTES[name] = (deps, sql)
 
 
-def build(final: str, *needs: str) -> str:
+class Recipe(str):
+    """SQL text that can be built again over stored layers."""
+
+    final: str
+    needs: tuple[str, ...]
+
+    def over(self, stored: dict[str, str]) -> str:
+        return build(self.final, *self.needs, stored=stored)
+
+
+def build(final: str, *needs: str, stored: dict[str, str] | None = None) -> str:
+    """``final`` over the named tables it needs.  ``stored``: SQL that takes the
+    place of a named table, such as the reading of a stored layer."""
     order: list[str] = []
+    tables = _CTES | {n: ((), sql) for n, sql in (stored or {}).items()}
 
     def visit(n: str) -> None:
         if n in order:
             return
-        for d in _CTES[n][0]:
+        for d in tables[n][0]:
             visit(d)
         order.append(n)
 
     for n in needs:
         visit(n)
+    out = Recipe(_text(final, order, tables))
+    out.final, out.needs = final, needs
+    return out
+
+
+def _text(final: str, order: list[str], tables: dict[str, tuple[tuple[str, ...], str]]) -> str:
     if not order:
         return final
-    body = ",\n".join(f"{n} AS (\n{_CTES[n][1]}\n)" for n in order)
+    body = ",\n".join(f"{n} AS (\n{tables[n][1]}\n)" for n in order)
     head = final.lstrip()
     if head[:5].upper() == "WITH ":
         return f"WITH {body},\n{head[5:]}"

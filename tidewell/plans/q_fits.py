@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewell.functions.ratios import round_half
+from tidewell.operators import budget as bud
 from tidewell.operators import evaluation as ev
 from tidewell.operators import models as M
 from tidewell.operators import segmentation as seg
+from tidewell.plans.layers import round_doubles
 from tidewell.plans.registry import register
 
 
@@ -60,15 +63,26 @@ def model_metrics(p):
 
 @register("t_learner")
 def t_learner(p):
-    """treated/control boosted trees, uplift on the stratified test split."""
-    return M.t_learner(p.features_test, p.attribution, p.pp)
+    """treated/control boosted trees, uplift on the stratified test split (stored)."""
+    return p.fitted_uplift
 
 
 @register("t_learner_qini")
 def t_learner_qini(p):
     """U3/U4 on the fitted T-learner's uplift."""
-    u = M.t_learner(p.features_test, p.attribution, p.pp)
-    return ev.qini_coefficient(ev.qini_curve(u))
+    return round_doubles(ev.qini_coefficient(ev.qini_curve(p.fitted_uplift)))
+
+
+@register("t_learner_qini_curve")
+def t_learner_qini_curve(p):
+    """U3 on the fitted T-learner's uplift."""
+    return round_doubles(ev.qini_curve(p.fitted_uplift))
+
+
+@register("t_learner_deciles")
+def t_learner_deciles(p):
+    """U5 on the fitted T-learner's uplift."""
+    return round_doubles(ev.uplift_by_decile(p.fitted_uplift))
 
 
 @register("kmeans_fit")
@@ -134,15 +148,42 @@ def clv(p):
 @register("ltv_table_probabilistic")
 def ltv_table_probabilistic(p):
     """LTV table on the probabilistic path (heuristic when the fit is unusable)."""
-    from tidewell.operators import ltv
-    return ltv.probabilistic_ltv_table(p.silver, p.features_current, p.cutoffs.t_test, p.mp)
+    return p.fitted_ltv
+
+
+@register("channel_metrics_fitted")
+def channel_metrics_fitted(p):
+    """M14 on the stored probabilistic LTV."""
+    return p.fitted_channel_table
+
+
+@register("channel_segment_metrics_fitted")
+def channel_segment_metrics_fitted(p):
+    """M15 on the stored probabilistic LTV."""
+    from tidewell.operators import metrics as met
+    return met.channel_segment_metrics(p.features_current, p.attribution, p.segments, p.fitted_ltv, p.window_rev)
+
+
+@register("response_curves_fitted")
+def response_curves_fitted(p):
+    """B3 on the stored calibrated scores and probabilistic LTV."""
+    return bud.response_curves(p.fitted_hill, p.bp).withColumn("conversions", round_half(F.col("conversions"), 6))
 
 
 @register("model_budget_allocation")
 def model_budget_allocation(p):
-    """B2 + B4 on the calibrated boosted-tree scores (the fitted-model path of the simulator)."""
-    from tidewell.operators import budget as bud
-    scores = M.gbm_calibrated(p.features_train, p.features_test, p.pp, p.calibrated_ensemble).select(
-        "customer_id", "score")
-    hp = bud.hill_params(p.attribution, scores, p.channel_table, p.bp)
-    return bud.budget_allocation(hp, p.bp)
+    """B2 + B4 on the stored calibrated scores (the fitted-model path of the simulator)."""
+    return bud.budget_allocation(p.fitted_hill, p.bp)
+
+
+@register("bootstrap_allocation_fitted")
+def bootstrap_allocation_fitted(p):
+    """B5 on the stored calibrated scores."""
+    return round_doubles(bud.bootstrap_allocation(p.fitted_scored_attribution, p.fitted_channel_table, p.bp))
+
+
+@register("allocation_quantiles_fitted")
+def allocation_quantiles_fitted(p):
+    """B6 on the stored calibrated scores."""
+    return round_doubles(bud.allocation_quantiles(
+        bud.bootstrap_allocation(p.fitted_scored_attribution, p.fitted_channel_table, p.bp)))
