@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import DIR, DOC, docs, duck, same
 
 from tidewell.llm import queries
@@ -43,17 +44,37 @@ def test_certified_stops_at_first_failure():
 
 
 def test_cutoffs_and_verdict(spark):
-    good = ["word number %d in this clean text goes on for some while" % i for i in range(600)]
+    good = ["word number %d in this clean text goes on for some while" % i for i in range(1000)]
     bad = ["junk### word$$$ in||| this*** text&&& goes||| on### for||| some*** while " + str(i) for i in range(50)]
     df = docs(spark, good + bad + [None, "too short"])
-    labels = spark.createDataFrame([(i, int(i < 600), 0) for i in range(650)] + [(9999, 1, 0), (5, None, 0)],
+    labels = spark.createDataFrame([(i, int(i < 1000), 0) for i in range(1050)] + [(9999, 1, 0), (5, None, 0)],
                                    "doc_id long, quality int, toxic int")
     out = {r.doc_id: r.kept for r in Q.judge(df, labels).collect()}
-    assert all(out[i] for i in range(600)) and not any(out[i] for i in range(600, 652))
+    assert all(out[i] for i in range(1000)) and not any(out[i] for i in range(1000, 1052))
     kept = Q.keep_quality(df, labels)
-    assert kept.columns == df.columns and kept.count() == 600
+    assert kept.columns == df.columns and kept.count() == 1000
     none = Q.judge(df, labels.limit(0))
-    assert none.filter("kept").count() == 650 and Q.keep_quality(spark.createDataFrame([], DOC), labels).count() == 0
+    assert none.filter("kept").count() == 1050 and Q.keep_quality(spark.createDataFrame([], DOC), labels).count() == 0
+
+
+def test_joint_risk_of_three_metrics(spark):
+    """Each metric rejects other good documents: together no more than the risk."""
+    clean = "word number %d in this clean text goes on for some while"
+    n, odd = 6000, 50
+    texts = [clean % i for i in range(n)]
+    for k in range(odd):
+        texts[k] = clean % k + " ###" * 12                                           # symbols
+        texts[odd + k] = "\n".join([f"short line {k}"] * 4 + [clean % k])            # repeated lines
+        texts[2 * odd + k] = " ".join("verylongword%dx%d" % (k, j) for j in range(12))  # word length
+    bad = [texts[k % (3 * odd)] for k in range(3000)]
+    df = docs(spark, texts + bad)
+    labels = spark.createDataFrame([(i, int(i < n), 0) for i in range(n + len(bad))], "doc_id long, quality int, toxic int")
+    # alone each of the three shares, 50 of 6000, could be certified at 2 %, and all three together are 2.5 %
+    assert Q.binomial_tail(odd, n, .02) < .05 / 15 < Q.binomial_tail(odd, n, Q.RuleParams().metric_risk)
+    params = Q.RuleParams(cost=0.1)
+    kept = Q.judge(df, labels, params).filter((F.col("doc_id") < n) & ~F.col("base_failed"))
+    rejected = kept.filter(~F.col("kept")).count() / kept.count()
+    assert rejected <= params.risk
 
 
 def test_repeated_ids_nulls_and_clashing_columns(spark):

@@ -165,7 +165,7 @@ FROM a
 def quality_rules(params: RuleParams = RuleParams()) -> str:
     strata = ", ".join(f"'{x}'" for x in params.strata)
     grid = ", ".join(f"('{name}', {k}, {cut})" for name, cuts in params.grid.items() for k, cut in enumerate(cuts))
-    level = params.level / ((len(params.strata) + 1) * len(params.grid))
+    level, risk = params.level / ((len(params.strata) + 1) * len(params.grid)), params.metric_risk
     return rf"""
 WITH d AS MATERIALIZED (
   SELECT doc_id, CASE WHEN lang IN ({strata}) THEN lang ELSE 'other' END AS stratum, coalesce(text, '') AS t,
@@ -203,8 +203,8 @@ c AS (
          count(*) FILTER (WHERE good AND value > cut) AS k, count(*) FILTER (WHERE NOT good AND value > cut) AS bad
   FROM h JOIN grid USING (metric) GROUP BY ALL),
 t AS (
-  SELECT *, n > 0 AND k <= {params.risk} * n AND list_sum(list_transform(range(k + 1), lambda i: exp(
-    lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln({params.risk}) + (n - i) * ln(1 - {params.risk})
+  SELECT *, n > 0 AND k <= {risk!r} * n AND list_sum(list_transform(range(k + 1), lambda i: exp(
+    lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln({risk!r}) + (n - i) * ln(1 - {risk!r})
     ))) <= {level!r} AS passed FROM c),
 o AS (
   SELECT *, bool_and(passed) OVER (PARTITION BY stratum, metric ORDER BY pos) AS certified,

@@ -1,9 +1,10 @@
 """Quality rules with risk-controlled cutoffs.
 
 Base rules are fixed.  On top, each stratum (language) gets one cutoff per
-metric, chosen on a labelled holdout so that the share of good documents it
-rejects is provably small: a cutoff is certified when the exact binomial
-tail P(Bin(n, risk) <= k) is at most the test's level, n being the good
+metric, chosen on a labelled holdout so that the share of good documents that all
+its cutoffs together reject is provably at most ``risk``: a document goes if any
+metric rejects it, so each metric may use risk / metrics.  A cutoff is certified when
+the exact binomial tail P(Bin(n, risk / metrics) <= k) is at most the test's level, n being the good
 holdout documents of the stratum and k those rejected.  The cutoffs of a
 metric are tested from lenient to strict and testing stops at the first
 failure (fixed sequence, no further correction needed); across strata and
@@ -44,8 +45,8 @@ SCHEMA = ", ".join(f"{c} long" for c in FEATURES)
 @dataclass(frozen=True)
 class RuleParams:
     strata: tuple[str, ...] = ("en", "de", "fr", "es")
-    risk: float = 0.02          # most good documents a cutoff may reject, as a share
-    level: float = 0.05         # chance that any certified cutoff breaks that
+    risk: float = 0.02          # most good documents of a stratum that its cutoffs may reject, as a share
+    level: float = 0.05         # chance that any stratum breaks that
     cost: float = 10.0          # bad documents that one good document is worth
     min_words: int = 10
     max_repeat_pct: int = 20
@@ -55,6 +56,10 @@ class RuleParams:
         "dup_lines": (900, 800, 700, 600, 500, 400, 300, 200, 100),
         "word_length": (20000, 15000, 12000, 10000, 9000, 8500, 8000, 7500, 7000)})
 
+    @property
+    def metric_risk(self) -> float:
+        return self.risk / len(self.grid)
+
 
 def _repeat_words(words: list[bytes]) -> int:
     """Words inside a window of five that occurs twice or more."""
@@ -160,7 +165,7 @@ def fit_cutoffs(features: DataFrame, labels: DataFrame, params: RuleParams = Rul
     for r in held.groupBy("stratum").agg(*cells).collect():
         for name, grid in params.grid.items():
             cut = certified([(c, r[f"g_{name}_{c}"], r[f"b_{name}_{c}"]) for c in grid],
-                            r["n"], params.risk, level, params.cost)
+                            r["n"], params.metric_risk, level, params.cost)
             if cut is not None:
                 out[r["stratum"], name] = cut
     return out
