@@ -51,6 +51,11 @@ def test_hot_text_nulls_and_repeats(spark, tmp_path):
     assert sorted(map(repr, ((r.doc_id, r.text) for r in rows))) == sorted(map(repr, (
         (r.doc_id, r.text) for r in df.collect())))
     check(rows, 6, 400)
+    groups = defaultdict(set)
+    for r in rows:
+        groups[r.text or ""].add(r.shard)
+    hot = groups.pop("copy of one text " * 3)
+    assert len(hot) > 1 and all(len(s) == 1 for s in groups.values()) and len(plan.heavy) == 1
     stays = sum(r.size for r in R.assign(df, old, plan).withColumn("old", old).filter("old = shard").collect())
     total = sum(r.size for r in rows)
     assert total - stays <= plan.moved_bytes + 400
@@ -80,3 +85,10 @@ def test_query(spark):
         assert r.size == len(raw) + 8 and r.text_crc32 == zlib.crc32(raw)
         assert r.law == "bytes" and r.grown_shard is None
     check(rows, 24, 2 * max(r.size for r in rows))
+    # equal texts lie together, but for those of more than a sixteenth of a shard
+    groups = defaultdict(list)
+    for r in rows:
+        groups[texts[r.doc_id]].append(r)
+    heavy = sum(r.size for r in rows) / 24 / R.HEAVY
+    light = [g for g in groups.values() if len(g) > 1 and sum(r.size for r in g) <= heavy]
+    assert len(light) > 20 and all(len({r.shard for r in g}) == 1 for g in light)

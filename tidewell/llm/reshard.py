@@ -8,9 +8,11 @@ hash; whole blocks are transferred and only the block on a boundary is split
 between documents.  What reaches the driver is one row per block (old shards
 x BLOCKS x SALTS, fixed).
 
-Inside a shard documents lie in the order of (text-hash block, id salt), so
-equal texts stay near each other but a text that fills a third of the table
-still falls into SALTS blocks.
+Inside a shard documents lie in the order of (text-hash block, salt, text hash), and a
+cut falls between groups of equal texts: a group goes where its middle byte falls.  Only
+a group of more than 1 / HEAVY of a new shard is dealt by document instead (salted by id, so a
+text that fills a third of the table falls into SALTS blocks): kept whole it would break
+the balance.  There are fewer than HEAVY x new shards of those.
 
 The text is shuffled once, straight into the file layout of the new shards.
 
@@ -33,6 +35,7 @@ from tidewell.llm.common import P, stage, text_hash, text_or_empty
 
 BLOCKS = 64
 SALTS = 16
+HEAVY = 16
 OVERHEAD = 8
 
 
@@ -98,12 +101,14 @@ class Plan:
     """flow: bytes by old and new shard.  starts: (old_shard, block, salt,
     first byte in the old shard, new shard of that byte).  cuts: per old shard
     the (end byte, new shard) of consecutive intervals.  firsts: (shard,
-    old_shard, block, salt, documents before that part in the new shard)."""
+    old_shard, block, salt, documents before that part in the new shard).
+    heavy: hashes of the texts that are dealt by document."""
 
     flow: np.ndarray
     starts: list[tuple[int, int, int, int, int]]
     cuts: dict[int, list[tuple[int, int]]]
     firsts: list[tuple[int, int, int, int, int]]
+    heavy: list[int]
 
     @property
     def moved_bytes(self) -> int:
@@ -118,13 +123,20 @@ class Plan:
 KEYS = ["old_shard", "block", "salt"]
 
 
-def _located(docs: DataFrame, old_shard: Column) -> DataFrame:
+def _keyed(docs: DataFrame, old_shard: Column) -> DataFrame:
     text = text_or_empty(docs)
     th = text_hash(text)
     return docs.withColumns({
         P + "th": th, P + "size": document_size(text), P + "old_shard": old_shard.cast("int"),
-        P + "block": F.pmod(F.xxhash64(F.lit("block"), th), F.lit(BLOCKS)).cast("int"),
-        P + "salt": F.pmod(F.xxhash64(F.lit("salt"), docs["doc_id"]), F.lit(SALTS)).cast("int")})
+        P + "block": F.pmod(F.xxhash64(F.lit("block"), th), F.lit(BLOCKS)).cast("int")})
+
+
+def _salted(rows: DataFrame, heavy: list[int]) -> DataFrame:
+    """Adds P+salt and P+unit, what goes to one shard together within a text: all of it, or a document."""
+    by_document = F.col(P + "th").isin(heavy) if heavy else F.lit(False)
+    unit = F.when(by_document, F.xxhash64(F.lit("unit"), "doc_id"))
+    return rows.withColumn(P + "unit", unit).withColumn(P + "salt", F.pmod(F.xxhash64(
+        F.lit("salt"), F.coalesce(P + "unit", P + "th")), F.lit(SALTS)).cast("int"))
 
 
 def _shard_at(cuts: dict[int, list[tuple[int, int]]], old_shard: Column, at: Column) -> Column:
@@ -138,14 +150,17 @@ def _shard_at(cuts: dict[int, list[tuple[int, int]]], old_shard: Column, at: Col
 
 
 def _placed(rows: DataFrame, starts: DataFrame, cuts) -> DataFrame:
-    """Adds P+shard: where the middle byte of each document falls."""
+    """Adds P+shard: where the middle byte of each unit falls."""
     # "home" follows from the keys: one exchange serves the layout and the windows
     keys = [P + k for k in KEYS]
-    inside = Window.partitionBy(P + "home", *keys).orderBy(P + "th", "doc_id").rowsBetween(
+    inside = Window.partitionBy(P + "home", *keys).orderBy(P + "th", P + "unit", "doc_id").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
+    # heavy texts hold many units; theirs are single documents, or rows that share an id
+    unit = Window.partitionBy(P + "home", *keys, P + "th", P + "unit")
     rows = rows.join(F.broadcast(starts), keys).repartitionByRange(P + "home", *keys)
-    at = F.col(P + "start") + F.sum(P + "size").over(inside) - F.ceil(F.col(P + "size") / 2)
-    rows = rows.withColumn(P + "at", at)
+    rows = rows.withColumn(P + "end", F.sum(P + "size").over(inside))
+    middle = F.col(P + "start") + F.max(P + "end").over(unit) - F.ceil(F.sum(P + "size").over(unit) / 2)
+    rows = rows.withColumn(P + "at", middle)
     return rows.withColumn(P + "shard", _shard_at(cuts, F.col(P + "old_shard"), F.col(P + "at")).cast("int"))
 
 
@@ -158,8 +173,13 @@ def plan(docs: DataFrame, old_shard: Column, old_shards: int, capacity: list[int
          new_shards: int = 24) -> Plan:
     """Solve the transfers.  ``capacity``: bytes per new shard, even if None."""
     spark = docs.sparkSession
-    rows = stage(_located(docs, old_shard).select(
-        "doc_id", *[P + c for c in ("th", "size", *KEYS)]), "reshard-rows")
+    located = stage(_keyed(docs, old_shard).select(
+        "doc_id", *[P + c for c in ("th", "size", "old_shard", "block")]), "reshard-rows")
+    total = located.agg(F.sum(P + "size")).first()[0] or 0
+    shards = len(capacity) if capacity else new_shards
+    heavy = [r[0] for r in located.groupBy(P + "th").agg(F.sum(P + "size").alias("b")).filter(
+        F.col("b") * HEAVY * shards > total).collect()]
+    rows = _salted(located, heavy)
     keys = [P + k for k in KEYS]
     blocks = sorted(tuple(r) for r in rows.groupBy(*keys).agg(F.sum(P + "size"), F.count("*")).collect())
     old = [0] * old_shards
@@ -191,7 +211,7 @@ def plan(docs: DataFrame, old_shard: Column, old_shards: int, capacity: list[int
     for key in sorted(counts):
         firsts.append((*key, seen.get(key[0], 0)))
         seen[key[0]] = seen.get(key[0], 0) + counts[key]
-    return Plan(flow, starts, cuts, firsts)
+    return Plan(flow, starts, cuts, firsts, heavy)
 
 
 def assign(docs: DataFrame, old_shard: Column, plan: Plan) -> DataFrame:
@@ -200,7 +220,7 @@ def assign(docs: DataFrame, old_shard: Column, plan: Plan) -> DataFrame:
     spark = docs.sparkSession
     out = [c for c in docs.columns if c not in ("shard", "slot", "size")]
     keys = [P + k for k in KEYS]
-    rows = _placed(_located(docs, old_shard), _starts_frame(spark, plan.starts), plan.cuts)
+    rows = _placed(_salted(_keyed(docs, old_shard), plan.heavy), _starts_frame(spark, plan.starts), plan.cuts)
     firsts = spark.createDataFrame(plan.firsts, f"{P}shard int, " + ", ".join(f"{k} int" for k in keys)
                                    + f", {P}first long")
     rank = F.row_number().over(Window.partitionBy(P + "home", *keys, P + "shard").orderBy(P + "at", P + "th", "doc_id"))
