@@ -50,10 +50,5 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def replace_columns(df: DataFrame, new: dict[str, Column]) -> DataFrame:
-    """``df`` with ``new`` columns; one of the same name is replaced."""
-    return df.withColumns(new)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -42,14 +42,14 @@ import hashlib
 import html as html_lib
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import P
+from tidewell.llm.common import P, stage
 from tidewell.session import ship_package
 
 SALTS = 16
@@ -113,17 +113,26 @@ def _named(tag: str, attrs: dict[str, str], in_main: bool) -> bool:
     return bool(names & NOISE_WORDS) or (not in_main and bool(names & HEADER_WORDS))
 
 
-@dataclass
 class Node:
     """An element that is not inline."""
-    up: "Node | None"
-    path: str
-    container: bool = False
-    named: bool = False
-    holds_main: bool = False
-    size: int = 0                                          # characters below it
-    text: list[str] = field(default_factory=list)          # of a container
-    shape: list[str] = field(default_factory=list)
+
+    __slots__ = ("up", "tag", "attrs", "container", "named", "holds_main", "size", "text", "shape", "_path")
+
+    def __init__(self, up: "Node | None", tag: str, attrs: dict[str, str], named: bool, main: bool):
+        self.up, self.tag, self.attrs = up, tag, attrs
+        self.container, self.named, self.holds_main = tag in CONTAINERS, named, main
+        self.size = 0                      # characters below it, once counted
+        self.text: list[str] = []          # of a container, where it is learned from
+        self.shape: list[str] = []
+        self._path: str | None = None
+
+    @property
+    def path(self) -> str:
+        if self._path is None:
+            own = "".join(sorted("." + c for c in self.attrs.get("class", "").lower().split())) if self.attrs else ""
+            self._path = (self.up.path if self.up else "") + "/" + self.tag + own + (
+                "#" + self.attrs["id"].lower() if self.attrs.get("id") else "")
+        return self._path
 
     def above(self):
         node = self
@@ -132,7 +141,7 @@ class Node:
             node = node.up
 
 
-@dataclass
+@dataclass(slots=True)
 class _Open:
     tag: str
     noise: bool
@@ -141,7 +150,7 @@ class _Open:
     node: Node | None
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
     text: str
     node: Node | None
@@ -151,8 +160,9 @@ class Block:
         return _hash([self.node.path if self.node else "", self.text])
 
 
-def parse(html: str) -> tuple[list[Block], list[Node]]:
-    """(blocks, containers) of a page without what is certainly noise."""
+def parse(html: str, learn: bool = False) -> tuple[list[Block], list[Node]]:
+    """(blocks, containers) of a page without what is certainly noise.  Contents
+    and presentations of containers are gathered only to ``learn``."""
     stack: list[_Open] = []
     blocks: list[Block] = []
     buffer: list[str] = []
@@ -160,20 +170,18 @@ def parse(html: str) -> tuple[list[Block], list[Node]]:
     counts: dict[str, int] = {}
     noise_depth = main_depth = 0
 
-    def here() -> Node | None:
-        return next((x.node for x in reversed(stack) if x.node), None)
+    nodes: list[Node | None] = [None]      # the open ones
 
     def flush() -> None:
         if buffer:
             text = " ".join("".join(buffer).split())
             buffer.clear()
             if text:
-                block = Block(text, here(), main_depth > 0)
-                blocks.append(block)
-                for n in block.node.above() if block.node else ():
-                    n.size += len(text)
-                    if n.container:
-                        n.text.append(text)
+                blocks.append(Block(text, nodes[-1], main_depth > 0))
+                if learn:
+                    for n in nodes[1:]:
+                        if n.container:
+                            n.text.append(text)
 
     def pop(to: int) -> None:
         nonlocal noise_depth, main_depth
@@ -184,6 +192,8 @@ def parse(html: str) -> tuple[list[Block], list[Node]]:
             counts[top.tag] -= 1
             noise_depth -= top.noise
             main_depth -= top.main
+            if top.node:
+                nodes.pop()
 
     def find(names, stop=()) -> int:
         if not any(counts.get(x) for x in names):
@@ -256,14 +266,15 @@ def parse(html: str) -> tuple[list[Block], list[Node]]:
         named = live and not inline and _named(tag, attrs, main_depth > 0)
         node = None
         if live and (named or main or not inline) and len(stack) < MAX_DEPTH:
-            up = here()
-            for n in up.above() if up else ():
-                if n.container:
-                    n.shape.append(tag)
-                n.holds_main |= main
-            path = (up.path if up else "") + "/" + tag + "".join(sorted(
-                "." + c for c in attrs.get("class", "").lower().split())) + ("#" + attrs["id"].lower() if attrs.get("id") else "")
-            node = Node(up, path, tag in CONTAINERS, named, main)
+            if learn:
+                for n in nodes[1:]:
+                    if n.container:
+                        n.shape.append(tag)
+            if main:
+                for n in nodes[1:]:
+                    n.holds_main = True
+            node = Node(nodes[-1], tag, attrs, named, main)
+            nodes.append(node)
             if node.container:
                 containers.append(node)
         if raw.rstrip().endswith("/") and tag not in ("p", "div", "article", "main", "section", "body", "html") and noise:
@@ -286,16 +297,18 @@ def judged(blocks: list[Block], low: frozenset[int] = frozenset()) -> list[Block
     def under(block: Block, test) -> bool:
         return block.node is not None and any(test(n) for n in block.node.above())
 
-    total = _size(blocks)
-    # an article outside all named branches frees them to go
-    has_main = any(b.main and not under(b, lambda n: n.named and n.holds_main) for b in blocks)
-
-    def goes(n: Node) -> bool:
-        return n.named and (has_main or not (n.holds_main or n.size > MOST * total))
-
-    left = [b for b in blocks if not under(b, goes)]
-    if not any(b.main for b in left) and has_main:
-        left = blocks                      # the article is all in named branches
+    left = blocks
+    if low or any(under(b, lambda n: n.named) for b in blocks):
+        for b in blocks:
+            for n in b.node.above() if b.node else ():
+                n.size += len(b.text)
+        total = _size(blocks)
+        # an article outside all named branches frees them to go
+        has_main = any(b.main and not under(b, lambda n: n.named and n.holds_main) for b in blocks)
+        left = [b for b in blocks if not under(b, lambda n: n.named and (
+            has_main or not (n.holds_main or n.size > MOST * total)))]
+        if has_main and not any(b.main for b in left):
+            left = blocks                  # the article is all in named branches
     if low:
         tops = _size(left)
         rest = [b for b in left if not (not b.main and b.id() in low) and not under(
@@ -334,7 +347,7 @@ def node_rows(pages: DataFrame) -> DataFrame:
                 rows: list[tuple[str, int, int, int, int]] = []
                 part = batch.slice(at, 256)
                 for h, doc in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    blocks, containers = parse(doc)
+                    blocks, containers = parse(doc, learn=True)
                     page = _hash([b.text for b in blocks])
                     found = {(PAGE, 0, 0)} | {(b.id(), 0, 0) for b in blocks if not b.main} | {
                         (_hash([c.path]), _hash(c.text), _hash(c.shape)) for c in containers if c.text}
@@ -360,7 +373,8 @@ def _entropy(rows: DataFrame, value: str) -> DataFrame:
 def style_tree(pages: DataFrame) -> DataFrame:
     """(host, node, n, importance) of every container and block of a site; n is
     the number of distinct pages it was judged by."""
-    rows = node_rows(pages).distinct()         # copies of a page count once
+    # copies of a page count once; stored, for the pages are parsed for it
+    rows = stage(node_rows(pages).distinct(), "site-nodes")
     inner, whole = rows.filter("content <> 0"), rows.filter("content = 0")
     both = _entropy(inner, "content").join(_entropy(inner, "shape").drop("n"), ["host", "node"])
     containers = both.select("host", "node", "n", (PRESENTATION * F.col("shape_entropy")
