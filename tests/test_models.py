@@ -88,3 +88,25 @@ def test_boosting_keeps_the_best_round(spark):
     # the first line of a tree's text names its object
     assert all(a.toDebugString.split("\n", 1)[1] == b.toDebugString.split("\n", 1)[1]
                for a, b in zip(longer.trees, model.trees))
+
+
+def test_permutations_swap_one_feature_at_a_time(spark):
+    from tidewell.operators import models as M
+    feats = ["a", "b", "c"]
+    df = spark.range(40).select(F.format_string("c%03d", "id").alias("customer_id"), *[
+        (F.col("id") * (k + 1)).cast("double").alias(c) for k, c in enumerate(feats)])
+    out = M.permuted_features(df, feats, 2, 7)
+    rows = out.collect()
+    assert len(rows) == 40 * 3 * 2
+    own = {r.customer_id: r for r in df.collect()}
+    donor = {}
+    for r in rows:
+        for k, c in enumerate(feats):
+            if c == r.feature:
+                # the same donor for all features of a repeat
+                assert donor.setdefault((r.repeat, r.customer_id), r[c] / (k + 1)) == r[c] / (k + 1)
+            else:
+                assert r[c] == own[r.customer_id][c]
+    for rep in (0, 1):
+        assert sorted(d for (q, _), d in donor.items() if q == rep) == [float(i) for i in range(40)]
+    assert [donor[0, f"c{i:03d}"] for i in range(40)] != [donor[1, f"c{i:03d}"] for i in range(40)]

@@ -34,3 +34,17 @@ def test_materialize_writes_once_and_reads_back(spark):
 def test_source_manifest(spark, smoke_dir):
     m = files.source_manifest(spark, [f"{smoke_dir}/nation.parquet"]).first()
     assert m.rows == 25 and len(m.sha256) == 64 and m.bytes > 0
+
+
+def test_export_digest_sees_every_change(spark, tmp_path):
+    from tidewell.sources.files import content_digest, export_csv, read_export
+    rows = [("a", 1, 2.5), ("b|c", 2, None), (None, 3, 1e9), ("d", 4, 0.1 + 0.2)]
+    df = spark.createDataFrame(rows, "k string, n int, x double")
+    one = lambda d: d.agg(content_digest(d)).first()[0]
+    export_csv(df.repartition(3), str(tmp_path / "out"))
+    want = one(df)
+    assert one(read_export(spark, str(tmp_path / "out"), df)) == want
+    assert one(df.limit(0)) == 0
+    for k, change in enumerate([("a", 1, 2.500001), ("A", 1, 2.5), ("a", 2, 2.5)]):
+        assert one(spark.createDataFrame([change, *rows[1:]], df.schema)) != want, k
+    assert one(df.unionByName(df.limit(1))) != want and one(df.filter("n > 1")) != want

@@ -210,10 +210,12 @@ def permutation_importance(train: DataFrame, test: DataFrame, params: Propensity
                            repeats: int | None = None, fitted=None) -> DataFrame:
     """Drop in AUC when one feature column is permuted.
 
-    All (feature, repeat) copies form one long frame: within each copy the
-    donor of row i is the row whose hashed rank equals i's id rank (ranked
-    once) — an equi-join on rank, no driver shuffle.  Every copy is scored by the same
-    model ensemble and AUC is computed grouped by (feature, repeat)."""
+    A repeat is one permutation of the rows: the donor of the row with id rank i is
+    the row whose hashed rank is i, and it brings its whole feature row.  So there is one
+    ordering by id, one by hash within each repeat (repeats x rows in a single exchange),
+    and one equi-join on rank; the copies of the features, each with its own column
+    swapped, are made after it.  Every copy is scored by the same model ensemble and
+    AUC is computed grouped by (feature, repeat)."""
     repeats = repeats or params.permutation_repeats
     med, va, models = fitted or calibrated_models(train, params)
     te = gbm_frame(test, med).cache()
@@ -221,19 +223,7 @@ def permutation_importance(train: DataFrame, test: DataFrame, params: Propensity
                           "score", "target_conversion").first()["roc_auc"]
     feats = list(FEATURE_COLUMNS)
     g = ("feature", "repeat")
-    each = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"))
-                               for f in feats for r in range(repeats)])).alias("_fr")
-    # ranked by id once: the rank is the same in every copy
-    ranked = running_totals(te, [F.col("customer_id").asc()], {}).withColumnRenamed("pos", "_rid")
-    copies = ranked.select("*", each).select("*", "_fr.*").drop("_fr")
-    # donors carry the key and the one permuted column
-    value = F.coalesce(*[F.when(F.col("_fr.feature") == f, F.col(f)) for f in feats])
-    u = hash_uniform(params.seed, F.concat_ws(":", "feature", "repeat", "customer_id"), "perm")
-    donors = te.select("customer_id", *feats, each).select("customer_id", "_fr.*", value.alias("_donor"))
-    donors = running_totals(donors.withColumn("_u", u), [F.col("_u").asc(), F.col("customer_id").asc()], {}, g) \
-        .select("feature", "repeat", F.col("pos").alias("_rid"), "_donor")
-    perm = copies.join(donors, ["feature", "repeat", "_rid"])
-    perm = perm.withColumns({f: F.when(F.col("feature") == f, F.col("_donor")).otherwise(F.col(f)) for f in feats})
+    perm = permuted_features(te, feats, repeats, params.seed)
     scored = apply_calibrated(perm, va, models, ["feature", "repeat", "customer_id", "target_conversion"])
     auc = ev.roc_auc(scored, "score", "target_conversion", g)
     te.unpersist()
@@ -243,6 +233,19 @@ def permutation_importance(train: DataFrame, test: DataFrame, params: Propensity
         F.col("importance_mean").desc(), F.col("feature"))
 
 
+def permuted_features(rows: DataFrame, feats: list[str], repeats: int, seed: int) -> DataFrame:
+    """``rows`` once per feature and repeat, that feature taken from the row's donor in that repeat."""
+    ranked = running_totals(rows, [F.col("customer_id").asc()], {}).withColumnRenamed("pos", "_rid")
+    donors = rows.select("customer_id", F.struct(*feats).alias("_donor")).withColumn(
+        "repeat", F.explode(F.array(*[F.lit(r) for r in range(repeats)])))
+    u = hash_uniform(seed, F.concat_ws(":", "repeat", "customer_id"), "perm")
+    donors = running_totals(donors.withColumn("_u", u), [F.col("_u").asc(), F.col("customer_id").asc()], {}, ("repeat",)) \
+        .select("repeat", F.col("pos").alias("_rid"), "_donor")
+    copies = ranked.join(donors, "_rid").withColumn("feature", F.explode(F.array(*[F.lit(f) for f in feats])))
+    return copies.withColumns({f: F.when(F.col("feature") == f, F.col(f"_donor.{f}")).otherwise(F.col(f)) for f in feats}) \
+        .drop("_donor", "_rid")
+
+
 def propensity_scores(train: DataFrame, test: DataFrame, params: PropensityParams = PropensityParams(),
                       fitted=None) -> DataFrame:
     """customer_id, baseline score, calibrated score, label."""

@@ -186,27 +186,47 @@ def read_mart(p):
     return p.silver.select(*SILVER_COLUMNS)
 
 
-@register("export_csv", build("""
-SELECT 'segment_assignments' AS export, count(*) AS rows FROM segments
-UNION ALL SELECT 'top_audience', least(count(*), 500) FROM scores
-UNION ALL SELECT 'channel_metrics', count(*) FROM channel_table
-UNION ALL SELECT 'dq_report', count(*) FROM dq""", "segments", "scores", "channel_table", "dq"))
+def _digest_sql(source: str, cells: str, order: str = "") -> str:
+    """rows and content digest of an export; cells: name, or name:d for a number with a point."""
+    text = ", ".join("coalesce(CAST(" + (f"CAST(round({c[:-2]} * 1000000) AS BIGINT)" if c.endswith(":d") else c) + " AS VARCHAR), '')"
+                     for c in cells.split())
+    return (f"SELECT count(*) AS rows, CAST(coalesce(sum(('0x' || substr(md5(concat_ws('|', {text})), 1, 8))::BIGINT), 0) AS BIGINT) "
+            f"AS digest FROM {source}")
+
+
+_segment_rows = """(SELECT s.customer_id, s.cluster, s.segment_name, f.recency_days, f.frequency, f.monetary
+ FROM segments s JOIN features_current f ON s.customer_id = f.customer_id)"""
+_top_rows = """(SELECT t.customer_id, t.score, s.segment_name FROM (
+  SELECT customer_id, score FROM scores ORDER BY score DESC, customer_id LIMIT 500) t
+ LEFT JOIN segments s ON t.customer_id = s.customer_id)"""
+_exports = {
+    "segment_assignments": _digest_sql(_segment_rows, "customer_id cluster segment_name recency_days frequency monetary:d"),
+    "top_audience": _digest_sql(_top_rows, "customer_id score:d segment_name"),
+    "channel_metrics": _digest_sql("channel_table", "channel customers spend_synthetic:d conversions revenue:d cpa:d roas:d "
+                                                    "avg_cac:d avg_ltv:d ltv_cac:d"),
+    "dq_report": _digest_sql("dq", "rule_order rule rationale rows_before rows_removed pct_of_input:d pct_of_raw:d rows_raw "
+                                   "rows_silver retention_pct:d")}
+
+
+@register("export_csv", build(" UNION ALL ".join(f"SELECT '{k}' AS export, rows, digest FROM ({x})" for k, x in _exports.items()),
+                              "segments", "features_current", "scores", "channel_table", "dq"))
 def export_csv(p):
-    """The four CSV exports, written with headers and re-read (row counts)."""
+    """The four CSV exports, written with headers and re-read: row counts and content digests."""
     from pyspark.sql import functions as F
     from tidewell.operators import reports as rep
     from tidewell.session import shared_path
-    from tidewell.sources.files import export_csv as export
+    from tidewell.sources.files import content_digest, export_csv as export, read_export
     seg_rfm = p.segments.join(p.features_current.select("customer_id", "recency_days", "frequency", "monetary"),
-                              "customer_id")
+                              "customer_id").select("customer_id", "cluster", "segment_name", "recency_days", "frequency", "monetary")
     outs = {"segment_assignments": seg_rfm, "top_audience": rep.top_audience(p.scores, p.segments),
             "channel_metrics": p.channel_table, "dq_report": p.dq}
     frames = []
     for name, df in outs.items():
         path = shared_path(p.spark, "exports", p.signature, name)
         export(df, path)
-        frames.append(p.spark.read.option("header", True).csv(path)
-                      .agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("export"), "rows"))
+        back = read_export(p.spark, path, df)
+        frames.append(back.agg(F.count(F.lit(1)).alias("rows"), content_digest(back).alias("digest"))
+                      .select(F.lit(name).alias("export"), "rows", "digest"))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed source header → bronze column map.
@@ -67,6 +67,25 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def content_digest(df: DataFrame, decimals: int = 6) -> Column:
+    """Order-free digest of the rows of ``df``, as an aggregate: the sum of the
+    top 32 md5 bits of each row's cells.  Cells are written as text, numbers
+    with a point as whole multiples of 10^-decimals, nulls as nothing; a
+    changed, lost, doubled or swapped cell changes it."""
+    cells = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if f.dataType.typeName() in ("double", "float"):
+            c = F.round(c * 10 ** decimals).cast("bigint")
+        cells.append(F.coalesce(c.cast("string"), F.lit("")))
+    return F.coalesce(F.sum(F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 8), 16, 10).cast("bigint")), F.lit(0))
+
+
+def read_export(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """An export read back with the types it was written from."""
+    return spark.read.option("header", True).schema(like.schema).csv(path)
+
+
 def write_summary(spark: SparkSession, metrics: DataFrame, path: str) -> DataFrame:
     """A tidy (metric, value) summary written as JSON lines and read back."""
     metrics.write.mode("overwrite").json(path)
