@@ -1,8 +1,11 @@
 """Sources and sinks."""
+import hashlib
 import os
+import random
 import tempfile
+from urllib.parse import unquote
 
-from tidewell.sources import files, marts
+from tidewell.sources import digests, files, marts
 
 
 def test_bronze_union_trims_renames_and_unions(spark):
@@ -33,7 +36,53 @@ def test_materialize_writes_once_and_reads_back(spark):
 
 def test_source_manifest(spark, smoke_dir):
     m = files.source_manifest(spark, [f"{smoke_dir}/nation.parquet"]).first()
-    assert m.rows == 25 and len(m.sha256) == 64 and m.bytes > 0
+    with open(f"{smoke_dir}/nation.parquet", "rb") as f:
+        body = f.read()
+    assert m.rows == 25 and m.sha256 == hashlib.sha256(body).hexdigest() and m.bytes == len(body)
+
+
+def name_of(path):
+    return unquote(path.rsplit("/", 1)[1])
+
+
+def test_file_digests_are_those_of_the_bytes(spark, tmp_path):
+    rnd = random.Random(5)
+    want = {}
+    for name, n in (("a b%20.bin", 2500), ("one", 1000), ("one more", 1001), ("many", 31_000)):
+        body = rnd.randbytes(n)
+        (tmp_path / name).write_bytes(body)
+        pieces = [body[i:i + 1000] for i in range(0, n, 1000)]
+        tree = hashlib.sha256(b"".join(hashlib.sha256(p).digest() for p in pieces)).hexdigest()
+        want[name] = (n, len(pieces), hashlib.sha256(body).hexdigest() if len(pieces) == 1 else None, tree)
+    (tmp_path / "empty").touch()     # Spark's file sources list no empty files
+    out = files.source_manifest(spark, [str(tmp_path)], None, 1000).collect()
+    assert {name_of(r.path): (r.bytes, r.pieces, r.sha256, r.tree_sha256) for r in out} == want
+    # one byte changed in one piece
+    body = bytearray((tmp_path / "many").read_bytes())
+    body[17_500] ^= 1
+    (tmp_path / "many").write_bytes(body)
+    new = {name_of(r.path): r.tree_sha256 for r in files.source_manifest(spark, [str(tmp_path)], None, 1000).collect()}
+    assert [k for k in want if new[k] != want[k][3]] == ["many"]
+
+
+def test_manifest_counts_rows_by_reader_and_lists_without_reading(spark, tmp_path):
+    spark.range(30).repartition(3).write.option("header", True).csv(str(tmp_path / "t"))
+    spark.range(0).coalesce(1).write.option("header", True).csv(str(tmp_path / "none"))
+    src = [str(tmp_path / "t"), str(tmp_path / "none")]
+    rows = sorted(r.rows for r in files.source_manifest(spark, src, "csv").collect())
+    assert sum(rows) >= 30 and len(rows) in (3, 4)
+    plan = digests.list_files(spark, src)._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+
+
+def test_manifest_of_a_file_larger_than_one_row_may_be(spark, tmp_path):
+    # binary cells end at 2 GB; the file is sparse
+    with open(tmp_path / "large.bin", "wb") as f:
+        f.truncate((2 << 30) + 5)
+    r = files.source_manifest(spark, [str(tmp_path / "large.bin")], None).first()
+    full, last = hashlib.sha256(bytes(digests.PIECE_BYTES)).digest(), hashlib.sha256(bytes(5)).digest()
+    assert (r.bytes, r.pieces, r.sha256) == ((2 << 30) + 5, 33, None)
+    assert r.tree_sha256 == hashlib.sha256(full * 32 + last).hexdigest()
 
 
 def test_export_digest_sees_every_change(spark, tmp_path):

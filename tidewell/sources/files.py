@@ -6,6 +6,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.sources import digests
+
 # Fixed source header → bronze column map.
 RAW_COLUMNS = {
     "Invoice": "invoice",
@@ -49,17 +51,23 @@ def read_parts(spark: SparkSession, paths: list[str], fmt: str = "parquet", sche
     return out
 
 
-def source_manifest(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Per source file — path, bytes, sha256, modification time, rows.
-
-    Content hashes come from the binaryFile source (one row per file); row
-    counts from the Parquet reader grouped by the hidden file-path column."""
-    files = (spark.read.format("binaryFile").load(paths)
-             .select(F.col("path"), F.col("length").alias("bytes"), F.sha2(F.col("content"), 256).alias("sha256"),
-                     F.col("modificationTime").alias("modified")))
-    rows = (spark.read.parquet(*paths).select(F.col("_metadata.file_path").alias("path"))
+def source_manifest(spark: SparkSession, paths: list[str], fmt: str | None = "parquet",
+                    piece_bytes: int = digests.PIECE_BYTES) -> DataFrame:
+    """Per source file — path, bytes, modified, pieces, sha256,
+    tree_sha256, rows.
+
+    Contents are hashed by byte ranges (``sources.digests``), whatever a
+    file's size: ``sha256`` is the plain digest of files of one piece, null
+    for larger ones, ``tree_sha256`` covers all.  Row counts come from the
+    ``fmt`` reader grouped by the hidden file-path column; a file without rows
+    has 0, without a ``fmt`` they are null."""
+    files = digests.list_files(spark, paths)
+    out = files.join(digests.file_digests(files, piece_bytes), "path")
+    if fmt is None:
+        return out.withColumn("rows", F.lit(None).cast("long"))
+    rows = (spark.read.format(fmt).load(paths).select(F.col("_metadata.file_path").alias("path"))
             .groupBy("path").agg(F.count(F.lit(1)).alias("rows")))
-    return files.join(rows, "path", "left")
+    return out.join(rows, "path", "left").fillna(0, ["rows"])
 
 
 def export_csv(df: DataFrame, path: str) -> None:
