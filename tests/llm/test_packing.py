@@ -77,6 +77,24 @@ def test_pack_rows(spark):
     assert packing.pack(df.limit(0), 10).count() == 0
 
 
+def test_hot_lengths_are_dealt_to_parts(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PART_ROWS", 50)
+    rnd = random.Random(9)
+    lengths = [4] * 700 + [3] * 260 + [10] * 300 + [rnd.randint(1, 9) for _ in range(200)]
+    rows = [(i % 400, n, {"a": i}) for i, n in enumerate(lengths)] + [(7, 4, {"a": 1})] * 120     # the same row again and again
+    df = spark.createDataFrame(rows, "doc_id long, length int, extra map<string, int>")
+    out = packing.pack(df.repartition(5), 10).collect()
+    assert Counter(r.length for r in out) == Counter(r[1] for r in rows)
+    assert check_sequences(out, 10) == brute_best_fit([r[1] for r in rows], 10)
+    full = [r for r in out if r.length == 10]
+    assert len({r.sequence_id for r in full}) == 300 and all(r.offset == 0 for r in full)
+    # only full pieces: nothing to plan
+    out = packing.pack(df.filter("length = 10"), 10).collect()
+    assert len({r.sequence_id for r in out}) == len(out) == 300
+    plan = packing.pack(df.filter("length = 10"), 10)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+
+
 def test_ids_equal_the_tokenizer():
     t = Tokenizer.from_file(PATH)
     enc = tokens.Encoder(PATH)

@@ -9,8 +9,10 @@ Both steps work on the histogram of lengths, so what the driver plans is
 bounded by the capacity, not by the number of documents.  The plan is a list
 of runs (length, first rank, count, first sequence, offset): the piece of
 that length with rank r goes to sequence first + (r - first rank).  Ranks are
-counted on the cluster, in SALTS parts per length, so a length that a third
-of all pieces have is no single group.
+counted on the cluster, in parts of about PART_ROWS pieces of one length, so
+a length that a third of all pieces have is dealt to as many tasks as it
+needs.  Pieces as long as the capacity need no rank: each is a sequence of
+its own, numbered behind the planned ones.
 
 Defined cases: rows of length 0 or null are returned with null sequence and
 offset; a length beyond the capacity is an error.  Extra columns pass
@@ -26,12 +28,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 from pyspark.sql.window import Window
 
 from tidewell.llm.common import P, stage
 from tidewell.session import ship_package
 
-SALTS = 16
+PART_ROWS = 200_000       # pieces of one length ranked in one group
 RANK_BITS = 44            # ranks below 2^44 beside a length below 2^19
 
 
@@ -129,53 +132,62 @@ def plan_runs(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, in
 
 def pack(pieces: DataFrame, capacity: int = 4096, key: str = "doc_id") -> DataFrame:
     """``pieces`` (stored, so that its rows stay as they are) with
-    ``sequence_id`` and ``offset``.  ``key`` spreads equal lengths."""
+    ``sequence_id`` and ``offset``.  The columns of a piece spread equal
+    lengths over parts, ``key`` orders them there."""
     spark = pieces.sparkSession
     cols = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    rows = pieces.select(*cols, F.coalesce(F.col("length").cast("long"), F.lit(0)).alias(P + "len"),
-                         F.pmod(F.xxhash64(F.col(key)), F.lit(SALTS)).cast("int").alias(P + "salt"))
-    cells = sorted(tuple(r) for r in rows.filter(F.col(P + "len") > 0)
-                   .groupBy(P + "len", P + "salt").count().collect())   # at most capacity x SALTS
-    counts: dict[int, int] = {}
-    firsts = {}
+    rows = pieces.select(*cols, F.coalesce(F.col("length").cast("long"), F.lit(0)).alias(P + "len"))
+    totals = sorted(tuple(r) for r in rows.filter(F.col(P + "len") > 0).groupBy(P + "len").count().collect())
+    if totals and totals[-1][0] > capacity:
+        raise ValueError(f"a piece of {totals[-1][0]} exceeds the capacity of {capacity}")
+    counts = {s: n for s, n in totals if s < capacity}              # fewer than the capacity
+    runs, planned = plan_runs(counts, capacity)
+    full = rows.filter(F.col(P + "len") == capacity).select(
+        *cols, (F.lit(planned) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    bare = rows.filter(F.col(P + "len") <= 0).select(
+        *cols, F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
+    if not runs:
+        return full.unionByName(bare)
+    # parts by length: one unless the length is hot, so cells are at most lengths + rows / PART_ROWS
+    hot = {s: -(-n // PART_ROWS) for s, n in counts.items() if n > PART_ROWS}
+    parts = F.lit(1)
+    if hot:
+        parts = F.coalesce(F.element_at(F.create_map(*[F.lit(v) for s, n in hot.items() for v in (s, n)]), F.col(P + "len")), parts)
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols if not isinstance(pieces.schema[c].dataType, MapType)]), parts)
+    rows = rows.filter((F.col(P + "len") > 0) & (F.col(P + "len") < capacity)).withColumn(P + "part", spread.cast("int"))
+    cells = sorted(tuple(r) for r in rows.groupBy(P + "len", P + "part").count().collect()) if hot else [(s, 0, n) for s, n in totals if s < capacity]
+    base = np.zeros(capacity + 1, np.int64)     # the first cell of a length
+    first, ahead = [], {}
     for s, k, n in cells:
-        firsts[s, k] = counts.get(s, 0)
-        counts[s] = counts.get(s, 0) + n
-    if counts and max(counts) > capacity:
-        raise ValueError(f"a piece of {max(counts)} exceeds the capacity of {capacity}")
-    runs, _ = plan_runs(counts, capacity)
+        if s not in ahead:
+            base[s] = len(first)
+            first += [0] * hot.get(s, 1)
+        first[base[s] + k] = ahead.get(s, 0)
+        ahead[s] = ahead.get(s, 0) + n
     runs.sort()
     table = np.array(runs, np.int64).reshape(-1, 5)
     start = (table[:, 0] << RANK_BITS) + table[:, 1]
-    first = np.zeros((max(counts, default=0) + 1, SALTS), np.int64)
-    for (s, k), n in firsts.items():
-        first[s, k] = n
-    # the plan and the offsets are bounded by the capacity
-    held = spark.sparkContext.broadcast((start, table, first))
+    # the plan is bounded by the capacity, the cells as above
+    held = spark.sparkContext.broadcast((start, table, base, np.array(first, np.int64)))
     ship_package(spark)
-    rank = F.row_number().over(Window.partitionBy(P + "len", P + "salt").orderBy(key)) - 1
+    rank = F.row_number().over(Window.partitionBy(P + "len", P + "part").orderBy(key)) - 1
     rows = rows.withColumn(P + "rank", rank.cast("long"))
     types = {f.name: f.dataType.simpleString() for f in pieces.schema.fields}
     schema = ", ".join(f"`{c}` {types[c]}" for c in cols) + ", sequence_id long, offset long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, table, first = held.value
+        start, table, base, first = held.value
         for batch in batches:
             n = len(cols)
             size = batch.column(n).to_numpy()
-            ok = size > 0
-            r = batch.column(n + 2).to_numpy() + first[np.where(ok, size, 0), batch.column(n + 1).to_numpy()]
+            r = batch.column(n + 2).to_numpy() + first[base[size] + batch.column(n + 1).to_numpy()]
             at = np.searchsorted(start, (size << RANK_BITS) + r, side="right") - 1
-            seq = table[at, 3] + r - table[at, 1]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(n)]
-                + [pa.array(seq, pa.int64(), mask=~ok), pa.array(table[at, 4], pa.int64(), mask=~ok)],
+                + [pa.array(table[at, 3] + r - table[at, 1]), pa.array(table[at, 4])],
                 [*cols, "sequence_id", "offset"])
 
-    if not runs:
-        return rows.select(*cols, F.lit(None).cast("long").alias("sequence_id"),
-                           F.lit(None).cast("long").alias("offset"))
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).unionByName(full).unionByName(bare)
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = 4096, end_id: int | None = 1) -> DataFrame:
