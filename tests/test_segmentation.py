@@ -36,6 +36,26 @@ def test_batched_kmeans_separates_blobs_and_inertia_falls_with_k(spark):
     assert sorted(r["count"] for r in lab3) == [30, 30, 30]
 
 
+def test_kmeans_follows_from_the_data_and_takes_odd_tables(spark):
+    rows = [(str(i), float(i % 7), float(i % 5), float(i % 3)) for i in range(200)]
+    schema = "customer_id string, x_recency double, x_frequency double, x_monetary double"
+    m = spark.createDataFrame(rows, schema)
+    got = [sorted((r.customer_id, r.cluster) for r in seg.kmeans_fits(d, seg.fit_table([4], 2))[0].collect())
+           for d in (m.repartition(1), m.orderBy(F.rand(3)).repartition(9))]
+    assert got[0] == got[1]
+    # no rows: no labels and no fit
+    labels, summary = seg.kmeans_fits(m.limit(0), seg.fit_table([3], 2))
+    assert labels.count() == 0 and summary.count() == 0
+    # fewer distinct points than centres
+    labels, summary = seg.kmeans_fits(m.filter("customer_id in ('0', '1', '105')"), seg.fit_table([5], 2))
+    assert summary.first().inertia == 0 and len({r.cluster for r in labels.filter("customer_id in ('0', '105')").collect()}) == 1
+    # runs see their own rows only; one without rows is left out
+    members = spark.createDataFrame([(0, str(i)) for i in range(50)] + [(2, str(i)) for i in range(20, 200)], "run int, customer_id string")
+    labels, summary = seg.kmeans_fits(m, seg.fit_table([3, 3, 3], 2), members)
+    assert {r.run: r["count"] for r in labels.groupBy("run").count().collect()} == {0: 50, 2: 180}
+    assert {r.run for r in summary.collect()} == {0, 2} and all(r.converged and r.inertia > 0 for r in summary.collect())
+
+
 def test_subsample_members_exact_size(spark):
     m = spark.range(500).select(F.col("id").cast("string").alias("customer_id"))
     mem = seg.subsample_members(m, list(range(5)), 0.8, 42)

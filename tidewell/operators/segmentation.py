@@ -160,7 +160,10 @@ def _seed_centres(points: DataFrame, fits: list[tuple[int, int, int]], seed: int
     exponential race (least -ln(u) / d2).  One job per centre."""
     centres: dict[int, np.ndarray] = {f: np.empty((0, _DIM)) for f, _, _ in fits}
     for c in range(max(k for _, k, _ in fits)):
-        live = [(f, run) for f, k, run in fits if k > c]
+        # a run without rows, or with fewer distinct points than centres, gets no more
+        live = [(f, run) for f, k, run in fits if k > c and len(centres[f]) == c]
+        if not live:
+            break
 
         def race(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best: dict[int, tuple] = {}
