@@ -77,8 +77,10 @@ def test_pack_rows(spark):
     assert packing.pack(df.limit(0), 10).count() == 0
 
 
-def test_hot_lengths_are_dealt_to_parts(spark, monkeypatch):
-    monkeypatch.setattr(packing, "PART_ROWS", 50)
+@pytest.mark.parametrize("part_rows, max_parts", [(50, 50_000), (7, 4), (500, 50_000), (10_000, 1)])
+def test_hot_lengths_are_dealt_to_parts(spark, monkeypatch, part_rows, max_parts):
+    monkeypatch.setattr(packing, "PART_ROWS", part_rows)
+    monkeypatch.setattr(packing, "MAX_PARTS", max_parts)
     rnd = random.Random(9)
     lengths = [4] * 700 + [3] * 260 + [10] * 300 + [rnd.randint(1, 9) for _ in range(200)]
     rows = [(i % 400, n, {"a": i}) for i, n in enumerate(lengths)] + [(7, 4, {"a": 1})] * 120     # the same row again and again

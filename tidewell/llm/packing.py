@@ -9,9 +9,10 @@ Both steps work on the histogram of lengths, so what the driver plans is
 bounded by the capacity, not by the number of documents.  The plan is a list
 of runs (length, first rank, count, first sequence, offset): the piece of
 that length with rank r goes to sequence first + (r - first rank).  Ranks are
-counted on the cluster, in parts of about PART_ROWS pieces of one length, so
-a length that a third of all pieces have is dealt to as many tasks as it
-needs.  Pieces as long as the capacity need no rank: each is a sequence of
+counted on the cluster, in parts of a length; a part holds about PART_ROWS
+pieces, or a MAX_PARTS-th of all where that is more, so a length that a third
+of all pieces have is dealt to as many tasks as the cluster may have, and the
+driver sees at most capacity + MAX_PARTS counts.  Pieces as long as the capacity need no rank: each is a sequence of
 its own, numbered behind the planned ones.
 
 Defined cases: rows of length 0 or null are returned with null sequence and
@@ -34,7 +35,8 @@ from pyspark.sql.window import Window
 from tidewell.llm.common import P, stage
 from tidewell.session import ship_package
 
-PART_ROWS = 200_000       # pieces of one length ranked in one group
+PART_ROWS = 500           # least size of a part: pieces of one length ranked in one group
+MAX_PARTS = 50_000
 RANK_BITS = 44            # ranks below 2^44 beside a length below 2^19
 
 
@@ -148,14 +150,14 @@ def pack(pieces: DataFrame, capacity: int = 4096, key: str = "doc_id") -> DataFr
         *cols, F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
     if not runs:
         return full.unionByName(bare)
-    # parts by length: one unless the length is hot, so cells are at most lengths + rows / PART_ROWS
-    hot = {s: -(-n // PART_ROWS) for s, n in counts.items() if n > PART_ROWS}
-    parts = F.lit(1)
-    if hot:
-        parts = F.coalesce(F.element_at(F.create_map(*[F.lit(v) for s, n in hot.items() for v in (s, n)]), F.col(P + "len")), parts)
+    size = max(PART_ROWS, -(-sum(counts.values()) // MAX_PARTS))
+    hot = {s: -(-n // size) for s, n in counts.items() if n > size}
+    # parts by length as one literal; null and so 1 beyond the last hot one
+    parts = F.coalesce(F.get(F.split(F.lit(",".join(str(hot.get(s, 1)) for s in range(max(hot, default=0) + 1))), ",")
+                             .cast("array<int>"), F.col(P + "len").cast("int")), F.lit(1))
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols if not isinstance(pieces.schema[c].dataType, MapType)]), parts)
     rows = rows.filter((F.col(P + "len") > 0) & (F.col(P + "len") < capacity)).withColumn(P + "part", spread.cast("int"))
-    cells = sorted(tuple(r) for r in rows.groupBy(P + "len", P + "part").count().collect()) if hot else [(s, 0, n) for s, n in totals if s < capacity]
+    cells = sorted(tuple(r) for r in rows.groupBy(P + "len", P + "part").count().collect())
     base = np.zeros(capacity + 1, np.int64)     # the first cell of a length
     first, ahead = [], {}
     for s, k, n in cells:
