@@ -110,3 +110,28 @@ def test_permutations_swap_one_feature_at_a_time(spark):
     for rep in (0, 1):
         assert sorted(d for (q, _), d in donor.items() if q == rep) == [float(i) for i in range(40)]
     assert [donor[0, f"c{i:03d}"] for i in range(40)] != [donor[1, f"c{i:03d}"] for i in range(40)]
+
+
+def test_boosted_fits_take_tasks_by_their_rows(spark, monkeypatch):
+    """However many partitions the frame comes in, a task takes FIT_ROWS of its rows and no row is lost."""
+    from tidewell.operators import models as M
+    from tidewell.params import FEATURE_COLUMNS, PropensityParams
+    df = spark.range(900).select(F.col("id").cast("string").alias("customer_id"), *[
+        F.expr(f"pmod(hash(id, '{c}'), 50) / 50.0").alias(c) for c in FEATURE_COLUMNS], F.lit(0.0).alias("gap_missing"))
+    df = df.withColumn("target_conversion", (F.col("frequency") > 0.5).cast("int"))
+    params, seen, plain = PropensityParams(gbm_max_iter=2, gbm_max_depth=2, gbm_patience=1), [], M._gbt
+
+    class Watched:
+        def __init__(self, gbt):
+            self.gbt = gbt
+
+        def fit(self, rows):
+            seen.append((rows.count(), rows.rdd.getNumPartitions()))
+            return self.gbt.fit(rows)
+
+    monkeypatch.setattr(M, "FIT_ROWS", 300)
+    monkeypatch.setattr(M, "_gbt", lambda *a: Watched(plain(*a)))
+    for frame in (df.repartition(23), df.coalesce(1)):
+        M.fit_gbm(frame, params)
+    held = M._holdout(df, params.gbm_validation_fraction, params.seed, "val").filter("is_val").count()
+    assert set(seen) == {(900 - held, -(-(900 - held) // 300))}
