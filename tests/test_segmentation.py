@@ -67,3 +67,22 @@ def test_choose_k_first_best(spark):
     sw = spark.createDataFrame([(2, 1.0, 0.4), (3, 0.8, 0.5), (4, 0.7, 0.5)], "k int, inertia double, silhouette double")
     assert seg.choose_k(sw).first().k == 3
     assert seg.choose_k(sw, 4).first().k == 4
+
+
+def test_points_are_spread_by_their_number(spark, monkeypatch):
+    """A frame in one partition is fitted by as many tasks as its points need, every point labelled once."""
+    monkeypatch.setattr(seg, "POINT_ROWS", 100)
+    m = spark.range(350).coalesce(1).select(F.col("id").cast("string").alias("customer_id"), *[
+        F.expr(f"pmod(hash(id, '{c}'), 1000) / 100.0").alias(c) for c in seg.RFM_FEATURES])
+    labels, _ = seg.kmeans_fits(m, seg.fit_table([3], 2))
+    assert labels.rdd.getNumPartitions() == 4
+    assert labels.count() == labels.select("customer_id").distinct().count() == 350
+
+
+def test_nearest_centre_is_the_first_of_equal_ones():
+    import numpy as np
+    x = np.random.default_rng(2).integers(0, 4, (3, 500)).astype(float)
+    centres = np.array([[1, 1, 1], [0, 2, 1], [1, 1, 1], [3, 0, 2.5]], float)
+    far = ((x.T[:, None] - centres[None]) ** 2).sum(2)
+    best, d = seg._nearest(x, centres)
+    assert (best == far.argmin(1)).all() and (d == far.min(1)).all()
