@@ -125,6 +125,19 @@ def test_snapshots_prune_months_and_share_the_invoice_grain(spark, tmp_path, sil
     assert len([x for x in text.splitlines() if "Exchange hashpartitioning(as_of" in x and "invoice" in x]) == 1
 
 
+def test_products_of_all_cutoffs_are_shuffled_once(spark, silver):
+    cuts = [d("2023-01-15"), AS_OF]
+    some = silver.withColumn("stock_code", F.when(F.col("stock_code") != "s", F.col("stock_code")))
+    plan = features.feature_snapshots(some, features.dim_customers(silver), cuts, 30, UK)
+    got = {(r.as_of, r.customer_id): r.product_diversity for r in plan.collect()}
+    want = (features.expand_to_cutoffs(some, cuts, None).groupBy("as_of", "customer_id")
+            .agg(F.count_distinct("stock_code").alias("n")).collect())
+    assert got and got == {(r.as_of, r.customer_id): r.n for r in want}
+    pairs = [x for x in plan._jdf.queryExecution().executedPlan().toString().splitlines()
+             if "Exchange hashpartitioning(" in x and "stock_code" in x]
+    assert pairs and all("as_of" not in x for x in pairs)
+
+
 def test_leakage_audit_is_clean(spark, silver):
     dim = features.dim_customers(silver)
     res = features.leakage_audit(silver, dim, [d("2023-01-15"), AS_OF], UK).collect()

@@ -64,3 +64,31 @@ def test_hot_customer_month_is_split_on_write(spark, smoke_dir):
         fact = p.silver
     files = fact.filter(F.col("customer_id") == hot.customer_id).select(F.col("_metadata.file_path")).distinct().count()
     assert files >= 2
+
+
+def test_fact_layers_are_written_by_tasks_sized_by_bytes(spark, smoke_dir, tmp_path, monkeypatch):
+    """What a task sorts must not grow with the input: more bytes, more shuffle partitions."""
+    from tidewell import session
+    from tidewell.plans.layers import Layers
+    from tidewell.sources import marts
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    seen, real = {}, marts.write_mart
+
+    def write_mart(df, path, *args):
+        seen[path.split("/")[-2]] = [int(df.sparkSession.conf.get(k)) for k in keys]
+        real(df, path, *args)
+
+    monkeypatch.setattr(marts, "write_mart", write_mart)
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 4096)
+    with session.sql_conf(spark, {"spark.tidewell.mart.namespace": str(tmp_path)}):
+        p = Layers(spark, smoke_dir)
+        before = [s.conf.get(k, None) for s in (spark, session.observer_session(spark)) for k in keys]
+        rows = p.features_test.count()
+        assert before == [s.conf.get(k, None) for s in (spark, session.observer_session(spark)) for k in keys]
+        n = -(-marts.input_bytes(spark, p._inputs) // 4096)
+        assert rows and n > 8
+        assert seen == {k: [16 << 20, 16 << 20, n] for k in ("fact_transactions", "dim_customers", "customer_features")}
+        monkeypatch.undo()
+        with session.sql_conf(spark, {keys[1]: "8m"}), session.sized_tasks(spark, 0):
+            assert int(spark.conf.get(keys[1])) == 8 << 20
