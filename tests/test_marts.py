@@ -73,9 +73,10 @@ def test_fact_layers_are_written_by_tasks_sized_by_bytes(spark, smoke_dir, tmp_p
     from tidewell.sources import marts
     keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
-    seen, real = {}, marts.write_mart
+    seen, plans, real = {}, [], marts.write_mart
 
     def write_mart(df, path, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
         seen[path.split("/")[-2]] = [int(df.sparkSession.conf.get(k)) for k in keys]
         real(df, path, *args)
 
@@ -89,6 +90,8 @@ def test_fact_layers_are_written_by_tasks_sized_by_bytes(spark, smoke_dir, tmp_p
         n = -(-marts.input_bytes(spark, p._inputs) // 4096)
         assert rows and n > 8
         assert seen == {k: [16 << 20, 16 << 20, n] for k in ("fact_transactions", "dim_customers", "customer_features")}
+        # the layout of silver carries no derived column through its shuffle
+        assert "RepartitionByExpression" in plans[0] and plans[0].index(" AS revenue") < plans[0].index("RepartitionByExpression")
         monkeypatch.undo()
         with session.sql_conf(spark, {keys[1]: "8m"}), session.sized_tasks(spark, 0):
             assert int(spark.conf.get(keys[1])) == 8 << 20
