@@ -135,3 +135,34 @@ def test_boosted_fits_take_tasks_by_their_rows(spark, monkeypatch):
         M.fit_gbm(frame, params)
     held = M._holdout(df, params.gbm_validation_fraction, params.seed, "val").filter("is_val").count()
     assert set(seen) == {(900 - held, -(-(900 - held) // 300))}
+
+
+def test_boosting_does_not_fit_its_rounds_over_and_over(spark, monkeypatch):
+    """A loss that falls to the last round: all batches together take less than one and a half times the rounds."""
+    from tidewell.operators import models as M
+    from tidewell.params import FEATURE_COLUMNS, PropensityParams
+    df = spark.range(40).select(F.col("id").cast("string").alias("customer_id"), *[
+        F.col("id").cast("double").alias(c) for c in FEATURE_COLUMNS], F.lit(0.0).alias("gap_missing"),
+        (F.col("id") % 2).cast("int").alias("target_conversion"))
+    fitted = []
+
+    class Model:
+        def __init__(self, rounds):
+            self.getNumTrees = rounds
+
+        def evaluateEachIteration(self, held):
+            return [1.0 / k for k in range(1, self.getNumTrees + 1)]
+
+    class Fit:
+        def __init__(self, params, seed_salt, rounds):
+            self.rounds = rounds
+
+        def fit(self, rows):
+            fitted.append(self.rounds)
+            return Model(self.rounds)
+
+    monkeypatch.setattr(M, "_gbt", Fit)
+    params = PropensityParams()
+    _, model = M.fit_gbm(df, params)
+    assert model.getNumTrees == fitted[-1] == params.gbm_max_iter
+    assert fitted[0] == params.gbm_patience + 2 and sum(fitted) < 1.5 * params.gbm_max_iter
