@@ -52,3 +52,21 @@ def test_monthly_revenue(spark):
                                  "invoice_date timestamp_ntz, revenue double")
     got = sorted((r.month.month, r.revenue) for r in rep.monthly_revenue(fact).collect())
     assert got == [(1, 3.0), (2, 4.0)]
+
+
+def test_model_comparison_scores_each_row_once(spark):
+    """The three metrics read the scores once stored; scoring may cost hundreds of trees a row."""
+    from pyspark.sql import functions as F
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def scored(s):
+        seen.add(1)
+        return s
+
+    rows = [("baseline", f"{i}", i / 20, i % 2) for i in range(20)] + [("other", f"{i}", (i % 7) / 10, i % 2) for i in range(20)]
+    long = spark.createDataFrame(rows, "model string, customer_id string, score double, label int")
+    out = {r.model: r for r in rep.model_comparison(long.withColumn("score", scored("score"))).collect()}
+    assert seen.value == len(rows)
+    plain = {r.model: r for r in rep.model_comparison(long).collect()}
+    assert out == plain and out["baseline"].delta_roc_auc == 0

@@ -143,11 +143,13 @@ def best_channel(channel_table: DataFrame) -> DataFrame:
 
 def model_comparison(long_scores: DataFrame, baseline: str = "baseline") -> DataFrame:
     """AUC, AP and Brier of every model from one long (model, customer, score,
-    label) frame, plus deltas to the baseline model (D12)."""
+    label) frame, plus deltas to the baseline model (D12).  The three read the
+    scores once stored: rows are scored by hundreds of trees."""
     g = ("model",)
-    m = ev.roc_auc(long_scores, "score", "label", g).join(
-        ev.average_precision(long_scores, "score", "label", g), "model").join(
-        ev.brier_score(long_scores, "score", "label", g), "model")
+    scored = long_scores.select("model", "score", "label").cache()
+    m = ev.roc_auc(scored, "score", "label", g).join(
+        ev.average_precision(scored, "score", "label", g), "model").join(
+        ev.brier_score(scored, "score", "label", g), "model")
     base = m.filter(F.col("model") == baseline)
     return m.select("model", "roc_auc", "average_precision", "brier",
                     (F.col("roc_auc") - base.select("roc_auc").scalar()).alias("delta_roc_auc"),
