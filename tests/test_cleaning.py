@@ -150,3 +150,38 @@ def test_report_of_a_stored_silver_reads_no_source(spark, smoke_dir):
     assert sorted(map(tuple, p.dq.collect())) == rows
     want = {(r.column, r.check): r.violations for r in contracts.contract_checks(p.silver_plan, contracts.SILVER).collect()}
     assert {(r.column, r.check): r.violations for r in p.silver_checks.collect()} == want
+
+
+def test_plans_over_silver_pass_bronze_once(spark, smoke_dir, monkeypatch):
+    """With no silver stored, a plan that needs it takes the rule counts from its write, not from a pass before."""
+    import uuid
+    from tidewell.plans import registry
+    q = registry.queries()
+    names = ("write_summary", "export_csv", "layer_row_counts")
+    want = {n: sorted(map(tuple, q[n](spark, smoke_dir).collect())) for n in names}
+    passes, plain = [], cleaning.rule_counts
+    monkeypatch.setattr(cleaning, "rule_counts", lambda *a: passes.append(1) or plain(*a))
+    try:
+        for n in names:
+            spark.conf.set("spark.tidewell.mart.namespace", uuid.uuid4().hex)
+            assert sorted(map(tuple, q[n](spark, smoke_dir).collect())) == want[n] and not passes, n
+    finally:
+        spark.conf.unset("spark.tidewell.mart.namespace")
+
+
+def test_line_items_are_not_shuffled_for_their_supplier(spark, smoke_dir, monkeypatch):
+    """Where a plan by size would not broadcast the suppliers, up to so many rows they are all the same."""
+    from tidewell.session import sql_conf
+    from tidewell.sources import testdata
+    def shuffled():
+        plan = testdata.bronze_from_testdata(spark, smoke_dir)._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange hashpartitioning(l_suppkey")
+
+    with sql_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        assert not shuffled()
+        rows = testdata.bronze_from_testdata(spark, smoke_dir)
+        want = rows.groupBy().agg(F.count("*"), F.sum(F.xxhash64(*rows.columns).cast("decimal(38)"))).first()
+        monkeypatch.setattr(testdata, "BROADCAST_SUPPLIERS", 0)
+        assert shuffled() == 1
+        rows = testdata.bronze_from_testdata(spark, smoke_dir)
+        assert rows.groupBy().agg(F.count("*"), F.sum(F.xxhash64(*rows.columns).cast("decimal(38)"))).first() == want

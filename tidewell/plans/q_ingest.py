@@ -219,7 +219,7 @@ def export_csv(p):
     seg_rfm = p.segments.join(p.features_current.select("customer_id", "recency_days", "frequency", "monetary"),
                               "customer_id").select("customer_id", "cluster", "segment_name", "recency_days", "frequency", "monetary")
     outs = {"segment_assignments": seg_rfm, "top_audience": rep.top_audience(p.scores, p.segments),
-            "channel_metrics": p.channel_table, "dq_report": p.dq}
+            "channel_metrics": p.channel_table, "dq_report": p.silver_dq}
     frames = []
     for name, df in outs.items():
         path = shared_path(p.spark, "exports", p.signature, name)
@@ -246,7 +246,7 @@ def write_summary(p):
     from tidewell.functions.ratios import round_half
     from tidewell.session import shared_path
     from tidewell.sources.files import write_summary as summary
-    r = p.dq.filter(F.col("rule_order") == 0)
+    r = p.silver_dq.filter(F.col("rule_order") == 0)
     m = (r.select(F.lit("rows_raw").alias("metric"), F.col("rows_raw").cast("double").alias("value"))
          .unionByName(r.select(F.lit("rows_silver").alias("metric"), F.col("rows_silver").cast("double").alias("value")))
          .unionByName(r.select(F.lit("retention_pct").alias("metric"), F.col("retention_pct").alias("value"))))

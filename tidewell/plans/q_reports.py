@@ -31,7 +31,7 @@ UNION ALL SELECT 'fact_transactions', (SELECT count(*) FROM silver)
 UNION ALL SELECT 'dim_customers', (SELECT count(*) FROM dim)""", "bronze", "silver", "dim"))
 def layer_row_counts(p):
     """Rows per medallion layer."""
-    return rep.layer_row_counts(p.dq, p.silver, p.dim)
+    return rep.layer_row_counts(p.silver_dq, p.silver, p.dim)
 
 
 @register("monthly_revenue", build("""
