@@ -86,3 +86,32 @@ def test_nearest_centre_is_the_first_of_equal_ones():
     far = ((x.T[:, None] - centres[None]) ** 2).sum(2)
     best, d = seg._nearest(x, centres)
     assert (best == far.argmin(1)).all() and (d == far.min(1)).all()
+
+
+def test_subsample_is_the_smallest_draws_of_each_run(spark, monkeypatch):
+    """Members by the last one of each run are those of a full ranking, at any size and with draws in one slice."""
+    from tidewell.functions.hashing import hash_uniform
+    for n, frac, slices in ((500, 0.8, 4096), (37, 0.5, 2), (3, 0.2, 4096), (0, 0.8, 4096), (5, 1.0, 1)):
+        monkeypatch.setattr(seg, "SLICES", slices)
+        m = spark.range(n).select(F.col("id").cast("string").alias("customer_id"))
+        rows = m.crossJoin(spark.range(4).select(F.col("id").cast("int").alias("run"))).withColumn(
+            "u", hash_uniform(7, F.concat_ws(":", "run", "customer_id"), "subsample")).collect()
+        want = {(run, c) for run in range(4) for _, c in
+                sorted((r.u, r.customer_id) for r in rows if r.run == run)[:int(n * frac)]}
+        got = seg.subsample_members(m, list(range(4)), frac, 7).collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_stability_shuffles_customers_not_customers_by_runs(spark, smoke_dir, monkeypatch):
+    """The reference meets the points once; the labels of all runs are counted where they are made."""
+    from tidewell.operators import evaluation as ev
+    from tidewell.operators import models
+    from tidewell.plans.layers import Layers
+    p = Layers(spark, smoke_dir)
+    seen, plain = [], ev.adjusted_rand_index
+    monkeypatch.setattr(ev, "adjusted_rand_index", lambda df, *a: seen.append(df) or plain(df, *a))
+    for study in (models.stability_reseed, models.stability_subsample):
+        ari = study(p.features_current, p.kmeans_labels, p.sp)
+        plan = seen[-1]._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
+        assert all(-1 <= r.ari <= 1 + 1e-9 for r in ari.collect())
