@@ -154,3 +154,20 @@ def test_same_day_invoices_have_zero_gap(spark):
             ("S", "3", "s", d("2023-01-07 09:00:00"), 1.0, "X"), ("S", "3", "t", d("2023-01-07 10:00:00"), 1.0, "X")]
     # invoice 3's time is its earliest row; gaps 0 (same day) and 1 (1 d 13 h)
     assert feats(spark, rows)["S"].avg_days_between_orders == pytest.approx(0.5)
+
+
+def test_cutoffs_of_a_block_share_the_shuffled_rows(spark, silver):
+    """Two cutoffs, one row an invoice; more than a block of them still equal single runs, in other block sizes too."""
+    dim = features.dim_customers(silver)
+    inv = features._invoice_grain(silver, features._blocks([d("2023-01-15"), AS_OF]), 90, 6)
+    assert inv.count() == inv.select("customer_id", "invoice").distinct().count()
+    cuts = [d("2022-12-10 10:00:00"), d("2023-01-05"), d("2023-01-15"), d("2023-01-15 09:30:00"), AS_OF, d("2023-03-01")]
+    from tidewell.plans.layers import round_doubles
+    rows = lambda df: sorted(map(repr, round_doubles(df).collect()))
+    alone = sorted(r for a in cuts for r in rows(features.customer_features(silver, dim, a, 90, UK)))
+    for size in (2, 4):
+        features.BLOCK, kept = size, features.BLOCK
+        try:
+            assert rows(features.feature_snapshots(silver, dim, cuts, 90, UK)) == alone
+        finally:
+            features.BLOCK = kept
