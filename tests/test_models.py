@@ -166,3 +166,24 @@ def test_boosting_does_not_fit_its_rounds_over_and_over(spark, monkeypatch):
     _, model = M.fit_gbm(df, params)
     assert model.getNumTrees == fitted[-1] == params.gbm_max_iter
     assert fitted[0] == params.gbm_patience + 2 and sum(fitted) < 1.5 * params.gbm_max_iter
+
+
+def test_unchanged_copies_are_not_scored_again(spark, smoke_dir, monkeypatch):
+    """A permuted copy that equals its row keeps the row's score; importances are those of scoring every copy."""
+    from tidewell.operators import models as M
+    from tidewell.plans.layers import Layers
+    p = Layers(spark, smoke_dir)
+    fitted, plain, asked = p.calibrated_ensemble, M.apply_calibrated, []
+    monkeypatch.setattr(M, "apply_calibrated", lambda df, *a: asked.append(df) or plain(df, *a))
+    got = M.permutation_importance(p.features_train, p.features_test, p.pp, repeats=2, fitted=fitted).collect()
+    n, copies = asked[0].count(), asked[1]
+    assert copies.count() < 2 * len(M.FEATURE_COLUMNS) * n * 0.95
+    assert copies.filter("feature = 'single_buyer'").count() < 2 * n
+    med, va, models = fitted
+    te = M.gbm_frame(p.features_test, med)
+    every = plain(M.permuted_features(te, list(M.FEATURE_COLUMNS), 2, p.pp.seed), va, models, ["feature", "repeat", "target_conversion"])
+    base = M.ev.roc_auc(plain(te, va, models, ["target_conversion"]), "score", "target_conversion").first().roc_auc
+    auc = M.ev.roc_auc(every, "score", "target_conversion", ("feature", "repeat")).collect()
+    for r in got:
+        drops = [base - a.roc_auc for a in auc if a.feature == r.feature]
+        assert abs(r.importance_mean - sum(drops) / 2) < 1e-12
